@@ -3,6 +3,7 @@ broadcasts, grouped maps without one Python call per group, and connected compon
 
 from __future__ import annotations
 
+import pickle
 import sys
 import tempfile
 from collections.abc import Callable, Iterator
@@ -34,17 +35,17 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Compute df once into the cluster's shared checkpoint folder and cut its lineage.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder all of the cluster shares: spark.checkpoint.dir; a temporary one only where that is unset."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
 
-    The folder is the session's spark.checkpoint.dir; only where that is unset
-    (as in tests) a temporary one is set.
-    """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-")
-        )
+
+def durable(df: DataFrame) -> DataFrame:
+    """Compute df once into the shared checkpoint folder and cut its lineage."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -53,6 +54,18 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def shared(spark: SparkSession, value) -> Callable:
+    """A function that gives `value` in tasks: sent once to each executor, loaded once by each worker."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get():
+        if not hasattr(sent, "loaded"):
+            sent.loaded = pickle.loads(sent.value)
+        return sent.loaded
+
+    return get
+
+
 def hex_fraction(text: Column) -> Column:
     """A reproducible number in [0, 1) from a text: the first 8 digits of its MD5."""
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)

@@ -110,4 +110,16 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(r, vec_id) AS compone
 FROM embeddings LEFT JOIN links ON a = vec_id LEFT JOIN root ON u = vec_id
 """
 
-ORACLES = {"op1_mixing": OP1, "op3_sharding": op3(64), "op4_quality_rules": OP4, "op7_minhash_near_dedup": OP7, "op9_embedding_near_dedup": OP9}
+OP8 = r"""
+WITH rules(rule, action) AS (VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'), ('com/fr/', 'allow'), ('com/de/', 'block')),
+listed AS (SELECT rule, action, split_part(rule, '/', 1) AS h, substr(rule, length(split_part(rule, '/', 1)) + 1) AS p FROM rules),
+cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT row_number() OVER () AS row, page_id, regexp_extract(rest, '^[^/?#]*') AS host,
+                 regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut),
+low AS (SELECT row, page_id, translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM parts),
+fit AS (SELECT row, arg_max(rule, (length(rule), length(h), rule)) AS rule, arg_max(action, (length(rule), length(h), rule)) AS action
+        FROM low JOIN listed ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY row)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM low LEFT JOIN fit USING (row)
+"""
+
+ORACLES = {"op1_mixing": OP1, "op3_sharding": op3(64), "op4_quality_rules": OP4, "op7_minhash_near_dedup": OP7, "op8_url_filters": OP8, "op9_embedding_near_dedup": OP9}

@@ -22,6 +22,8 @@ Closeness = Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray], np.ndarray
 
 def closest(close: np.ndarray) -> set[tuple[int, int]]:
     """Each row with its three closest, and a spanning forest of the closest pairs."""
+    near = np.flatnonzero((close >= 0).any(1))  # most rows have nothing near
+    close = close[np.ix_(near, near)]
     m, found = len(close), set()
     for i in range(m):
         for j in np.argsort(-close[i], kind="stable")[:3]:
@@ -35,7 +37,7 @@ def closest(close: np.ndarray) -> set[tuple[int, int]]:
         left[i] = False
         nearer = left & (close[i] > best)
         best[nearer], via[nearer] = close[i][nearer], i
-    return found
+    return {(int(near[i]), int(near[j])) for i, j in found}
 
 
 def pairs_in_regions(regions: DataFrame, closeness: Closeness, load: Callable[[pd.DataFrame], dict[str, np.ndarray]], every: bool) -> DataFrame:
@@ -62,6 +64,8 @@ def pairs_in_regions(regions: DataFrame, closeness: Closeness, load: Callable[[p
                 i = np.arange(k, min(k + 64, end))[:, None]
                 close[k - start : k - start + 64] = closeness(columns, i, np.arange(start, end)[None, :])
             np.fill_diagonal(close, -1)
+            if (close < 0).all():
+                continue
             if every:
                 a, b = np.nonzero(np.triu((close >= 0) & (label[start:end, None] != label[None, start:end])))
             else:

@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, neardup, neardup_vectors, quality, sharding
+from . import grades, langid, licenses, mixing, neardup, neardup_vectors, pieces, quality, sharding, urls
 from .common import durable
 
 SHARDS = 64
 LINK_DOCUMENTS = 0.85
 LINK_VECTORS = 0.9
+#: A public tokenizer's vocabulary; a deployment names its own.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: The listed hosts and paths, and what becomes of their urls.
+URL_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +30,18 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str, path: str = PIECE_MODEL) -> DataFrame:
+    model = pieces.load(spark, path)
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    decoded = pieces.decode(encoded, model)
+    return decoded.select(
+        "doc_id",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
     placed = sharding.assign_shards(docs, SHARDS)
@@ -47,23 +63,51 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(".txt")))
+    found = licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+    return found.select("doc_id", "path", "own_license", F.round("similarity", 6).alias("similarity"), "license", "license_from")
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, threshold=LINK_DOCUMENTS)
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = ", ".join(f"('{rule}', '{action}')" for rule, action in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS t(rule, action)")
+    judged = urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), threshold=LINK_VECTORS)
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 of low quality, 1 toxic, 2 good. Documents whose crc32(doc_id) mod 4 is 2 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    rating = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+    ratings = labels.where(~langid.held_out(F.col("doc_id"))).select("doc_id", rating.alias("grade"))
+    found = grades.grade(docs, grades.train(docs, ratings, 3))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "expected_grade", "tail_probability", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_sentencepiece": op2_sentencepiece,
         "op3_sharding": op3_sharding,
         "op4_quality_rules": op4_quality_rules,
         "op5_language_id": op5_language_id,
+        "op6_license_scans": op6_license_scans,
         "op7_minhash_near_dedup": op7_minhash_near_dedup,
+        "op8_url_filters": op8_url_filters,
         "op9_embedding_near_dedup": op9_embedding_near_dedup,
+        "op10_quality_classifier": op10_quality_classifier,
     }
 
 
