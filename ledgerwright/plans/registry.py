@@ -1,11 +1,402 @@
-"""Every query by name, and its SQL."""
+"""Every query by name, over the driver's tables; oracles.py has the SQL of the same names."""
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import codes
+from ..functions import text as tx
+from ..operators import dedupe, history
+from ..sources import readers
+from . import kpi, serving
+from .star import AFTER, AFTER_DATE, BEFORE, batch, customers, events, facts, keyed, pick, star, table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+@query
+def star_txn(spark, d):
+    columns = ["transaction_id", "account_id", "txn_date", "month_start", "quarter", "amount_inr", "net_inr", "status", "customer_name", "kyc_status", "product_type", "category", "branch_name", "region"]
+    return star(spark, d).txn.select(*columns)
+
+
+@query
+def kpi01_top_customers(spark, d):
+    s = star(spark, d)
+    return kpi.top_customers(s.txn, s.customers)
+
+
+for _name, _plan in (
+    ("kpi02_branch_monthly", kpi.branch_monthly), ("kpi02_region_monthly", kpi.region_monthly), ("kpi03_product_revenue", kpi.product_revenue), ("kpi03_product_share", kpi.product_share),
+    ("kpi07_branch_ranking", kpi.branch_ranking), ("kpi08_kyc_exposure", kpi.kyc_exposure), ("kpi09_refund_by_product", kpi.refunds_by_product), ("kpi09_refund_by_branch", kpi.refunds_by_branch),
+):
+    QUERIES[_name] = lambda spark, d, plan=_plan: plan(star(spark, d).txn)
+
+
+@query
+def kpi04_dormant_accounts(spark, d):
+    s = star(spark, d)
+    return kpi.dormant_accounts(s.facts.where("status = 'Success'"), s.customers, s.products)
+
+
+@query
+def kpi05_suspicious_10min(spark, d):
+    return kpi.suspicious(events(spark, d), high=300)
+
+
+@query
+def kpi05_suspicious_60min(spark, d):
+    return kpi.suspicious(events(spark, d), window="60 MINUTES", high=300)
+
+
+@query
+def kpi06_customer_segments(spark, d):
+    s = star(spark, d)
+    return kpi.segments(s.txn, s.facts, s.customers)
+
+
+def _settled_lines(spark, d):
+    """Line items as records of one file each batch: keys repeat, some fail a rule, some refer to nothing."""
+    l = table(spark, d, "lineitem")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    rejects = F.array_compact(F.array(F.when(F.col("l_quantity") < 3, "LOW_QUANTITY"), F.when(F.col("l_discount") > 0.09, "HIGH_DISCOUNT"), F.when(F.col("l_partkey") % 97 == 0, "ORPHAN_PRODUCT")))
+    flags = F.array_compact(F.array(F.when(F.col("l_tax") > 0.07, "NON_INR_CURRENCY"), F.when(F.col("l_returnflag") == "N", "MISSING_REFUND_FLAG")))
+    return l.select("*", key.alias("key"), batch("l_orderkey", 20).alias("batch_id"), F.concat(F.col("l_linestatus"), F.lit(".csv")).alias("source_file"), rejects.alias("rejects"), flags.alias("flags"))
+
+
+def _scorecard(lines):
+    rejected = F.size("rejects") > 0
+    return lines.groupBy("batch_id", "source_file").agg(F.count("*").alias("records_received"), F.count_if(~rejected).alias("records_passed"), F.count_if(rejected).alias("records_rejected"), F.lit(0).cast("long").alias("duplicates_removed"))
+
+
+def _issues(lines):
+    each = lambda s, c: F.transform(c, lambda x: F.struct(F.lit(s).alias("severity"), x.alias("reason_code")))
+    exploded = lines.select("batch_id", "source_file", F.explode(F.concat(each("REJECT", F.col("rejects")), each("FLAG", F.col("flags")))).alias("x"))
+    return exploded.groupBy("batch_id", "source_file", "x.severity", "x.reason_code").agg(F.count("*").alias("record_count"))
+
+
+@query
+def kpi10_dq_scorecard(spark, d):
+    lines = _settled_lines(spark, d)
+    return kpi.dq_scorecard(_scorecard(lines), _issues(lines))
+
+
+@query
+def issue_counts(spark, d):
+    return _issues(_settled_lines(spark, d))
+
+
+def _customer_versions(spark, d) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Day 1's dimension, and day 2's records: every seventh has another segment, every eleventh another name, some are new."""
+    c = table(spark, d, "customer")
+    base = c.select(keyed("C", "c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"), keyed("A", "c_custkey").alias("account_id"), F.col("c_mktsegment").alias("kyc_status"), F.col("c_custkey").alias("k"))
+    attributes = ["customer_name", "account_id", "kyc_status"]
+    first = history.hashed(base.where("k % 13 <> 0"), attributes).drop("k")
+    scd = {"valid_from": F.lit(history.FIRST), "valid_to": F.lit(history.OPEN), "is_current": F.lit(1), "batch_id": F.lit(BEFORE)}
+    old = first.withColumns(scd).select("customer_id", *attributes, *history.SCD)
+    moved = F.when(F.col("k") % 7 == 0, F.concat(F.lit("NEW "), "kyc_status")).otherwise(F.col("kyc_status"))
+    named = F.when(F.col("k") % 11 == 0, F.concat("customer_name", F.lit(" II"))).otherwise(F.col("customer_name"))
+    new = base.where("k % 3 <> 0").select("customer_id", named.alias("customer_name"), "account_id", moved.alias("kyc_status"))
+    return old, new, attributes
+
+
+def _merged(spark, d):
+    old, new, _ = _customer_versions(spark, d)
+    return history.merge_versions(old, new, "customer_id", ["kyc_status", "account_id"], AFTER, AFTER_DATE, [BEFORE, AFTER])
+
+
+@query
+def scd2_merge(spark, d):
+    return _merged(spark, d)[0].drop("row_hash")
+
+
+@query
+def scd_actions(spark, d):
+    return _merged(spark, d)[1]
+
+
+@query
+def scd1_update(spark, d):
+    """Versions that were edited in place."""
+    return _merged(spark, d)[0].where((F.col("batch_id") == AFTER) & (F.col("valid_from") == F.lit(history.FIRST)) & F.col("customer_name").endswith(" II")).select("customer_id", "customer_name", "kyc_status", "is_current")
+
+
+@query
+def scd_replay_protected(spark, d):
+    """The earlier batch once more: what the later one changed is not undone."""
+    old, new, attributes = _customer_versions(spark, d)
+    merged, _ = history.merge_versions(old, new, "customer_id", ["kyc_status", "account_id"], AFTER, AFTER_DATE, [BEFORE, AFTER])
+    again = old.select("customer_id", *attributes)
+    return history.merge_versions(merged, again, "customer_id", ["kyc_status", "account_id"], BEFORE, dt.date(2026, 9, 30), [BEFORE, AFTER])[1]
+
+
+@query
+def kpi12_kyc_transitions(spark, d):
+    return kpi.kyc_transitions(_merged(spark, d)[0])
+
+
+@query
+def asof_join(spark, d):
+    """Orders with the customer's segment of the day: every fifth order is dated after the change."""
+    versions = _merged(spark, d)[0]
+    o = table(spark, d, "orders")
+    day = F.when(F.col("o_orderkey") % 5 == 0, F.lit(AFTER_DATE)).otherwise(F.col("o_orderdate").cast("date"))
+    orders = o.select("o_orderkey", keyed("A", "o_custkey").alias("account_id"), day.alias("day"))
+    return history.as_of(orders, versions, "account_id", "account_id", "day", {"customer_id": "customer_id", "kyc_status": "kyc_status"}, "matches").withColumn("matches", F.col("matches").cast("long"))
+
+
+FACT = ["account_id", "txn_date", "amount", "status", "remarks"]
+
+
+def _fact_versions(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Orders as facts of day 1, and day 2's records: new orders, corrected amounts and statuses, repeats."""
+    o = table(spark, d, "orders")
+    base = o.select(
+        F.col("o_orderkey").alias("transaction_id"), keyed("A", "o_custkey").alias("account_id"), F.col("o_orderdate").cast("date").alias("txn_date"), F.col("o_totalprice").cast("decimal(15,2)").alias("amount"),
+        F.col("o_orderstatus").alias("status"), F.when(F.col("o_orderkey") % 4 == 0, F.col("o_orderpriority")).alias("remarks"), F.col("o_custkey").alias("customer_sk"),
+    )
+    old = history.hashed(base.where("transaction_id % 6 <> 0"), FACT).withColumns({"source_batch_id": F.lit(BEFORE), "last_updated_batch_id": F.lit(BEFORE)})
+    amount = F.when(F.col("transaction_id") % 10 == 0, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(15,2)")
+    status = F.when(F.col("transaction_id") % 15 == 0, "F").otherwise(F.col("status"))
+    remarks = F.when(F.col("transaction_id") % 25 == 0, F.lit(None).cast("string")).otherwise(F.col("remarks"))
+    new = base.where("transaction_id % 2 = 0 OR transaction_id % 15 = 0").withColumns({"amount": amount, "status": status, "remarks": remarks})
+    return old, new
+
+
+def _upserted(spark, d):
+    old, new = _fact_versions(spark, d)
+    return history.upsert_facts(old, new, "transaction_id", FACT, ["customer_sk"], AFTER, [BEFORE, AFTER])
+
+
+@query
+def fact_upsert(spark, d):
+    return _upserted(spark, d)[0].drop("row_hash")
+
+
+@query
+def fact_actions(spark, d):
+    return _upserted(spark, d)[1]
+
+
+@query
+def correction_diff(spark, d):
+    """A row for each changed column of each corrected fact."""
+    log = _upserted(spark, d)[2]
+    keys = log.select("transaction_id", "old_values", "new_values", F.explode(F.map_keys("old_values")).alias("column_name"))
+    return keys.select("transaction_id", "column_name", F.col("old_values")[F.col("column_name")].alias("old_value"), F.col("new_values")[F.col("column_name")].alias("new_value"))
+
+
+@query
+def kpi11_incremental_counts(spark, d):
+    s = star(spark, d)
+    log = _upserted(spark, d)[2]
+    dims = {"customers": s.customers, "products": s.products, "branches": s.branches}
+    return kpi.incremental_counts(s.facts, log, dims, AFTER, AFTER_DATE)
+
+
+@query
+def kpi_snapshot(spark, d):
+    s = star(spark, d)
+    return kpi.snapshot(s.txn, s.customers, AFTER)
+
+
+@query
+def kpi11_kpi_deltas(spark, d):
+    s = star(spark, d)
+    before = kpi.snapshot(s.txn.where(F.col("source_batch_id") == BEFORE), s.customers, BEFORE)
+    return kpi.snapshot_deltas(before.unionByName(kpi.snapshot(s.txn, s.customers, AFTER)), BEFORE, AFTER)
+
+
+@query
+def kpi13_new_activations(spark, d):
+    return kpi.new_activations(facts(spark, d), customers(spark, d), AFTER)
+
+
+@query
+def range_self_join(spark, d):
+    """Events that at least three of the same user's in the hour up to them, by a join on time ranges."""
+    e = table(spark, d, "events").select("event_id", "user_id", "ts")
+    earlier = e.select(F.col("user_id"), F.col("ts").alias("earlier"))
+    near = e.join(earlier, "user_id").where("earlier BETWEEN ts - INTERVAL 60 MINUTES AND ts")
+    return near.groupBy("event_id").agg(F.count("*").alias("n")).where("n >= 3")
+
+
+def _ordered_lines(spark, d):
+    l = table(spark, d, "lineitem")
+    order = F.struct("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus")
+    return l.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"), "l_partkey", "l_suppkey", "l_quantity", order.alias("o"), F.col("l_tax"), "l_returnflag", "l_discount")
+
+
+@query
+def exact_dedupe(spark, d):
+    """Documents by their text: the first copy, and how many repeat it."""
+    marked = dedupe.mark_exact_duplicates(table(spark, d, "documents").select("doc_id", "text"), "text", "doc_id")
+    return marked.select("doc_id", F.col("_copy").cast("long").alias("copy"), (F.col("_copy") > 1).alias("duplicate"))
+
+
+@query
+def conflict_quarantine(spark, d):
+    """Lines whose key another line has."""
+    return dedupe.mark_conflicts(_ordered_lines(spark, d), "key").where("_conflict").select("key", "l_partkey", "l_suppkey", "l_quantity")
+
+
+@query
+def best_copy(spark, d):
+    """Of the lines of a key the one with the fewest flags, the last in order of equal ones."""
+    lines = _ordered_lines(spark, d)
+    flags = F.array_compact(F.array(F.when(F.col("l_tax") > 0.04, "TAXED"), F.when(F.col("l_returnflag") == "N", "MISSING_REFUND_FLAG"), F.when(F.col("l_discount") > 0.05, "DISCOUNTED")))
+    best = dedupe.mark_best_copy(lines.withColumn("flags", flags), "key", "flags", "o").where("_rank = 1")
+    return best.select("key", "l_partkey", "l_suppkey", F.size("flags").cast("long").alias("n_flags"))
+
+
+@query
+def account_owner(spark, d):
+    """The customer of each part of a street who ordered first."""
+    o = table(spark, d, "orders").groupBy("o_custkey").agg(F.min(F.col("o_orderdate").cast("date")).alias("first_order"))
+    c = table(spark, d, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left").select((F.col("c_custkey") % 500).alias("account"), F.col("c_custkey").alias("customer"), "first_order")
+    return dedupe.mark_owner(c, "account", "first_order", "customer").select("account", "customer", F.col("_owner").alias("is_owner"))
+
+
+@query
+def referential_check(spark, d):
+    """Reasons of lines whose part or supplier is not among the known ones."""
+    l = table(spark, d, "lineitem")
+    settled = l.select("l_orderkey", "l_linenumber", F.struct("l_partkey", "l_suppkey").alias("clean"), F.array().cast("array<string>").alias("_rejects"), F.lit(dedupe.PASSED).alias("_disposition"))
+    known = {"ORPHAN_PRODUCT": ("l_partkey", table(spark, d, "part").where("p_size < 45").select("p_partkey")), "ORPHAN_BRANCH": ("l_suppkey", table(spark, d, "supplier").where("s_acctbal > 0").select("s_suppkey"))}
+    judged = dedupe.check_references(settled, known).where(F.size("_rejects") > 0)
+    return judged.select("l_orderkey", "l_linenumber", F.col("clean.l_partkey").alias("l_partkey"), F.array_join("_rejects", ";").alias("reasons"))
+
+
+def _messy(spark, d):
+    """Customers' numbers and names written in many ways."""
+    c = table(spark, d, "customer")
+    n = F.col("c_custkey").cast("string")
+    return c.select(
+        "c_custkey",
+        F.concat(pick(("  ", "Rs.", "₹ ", "INR ", "rs "), "c_custkey"), pick(("", "-", "1,"), "c_custkey"), n, pick((".125", ".5", "", ".375", "x", "e2"), "c_custkey")).alias("amount"),
+        F.concat(pick(("01/02/", "13-02-", "2020/1/", "31/04/", "2021-12-", "x"), "c_custkey"), pick(("2001", "7", "31", "1999"), "c_custkey")).alias("day"),
+        F.concat(pick((" Succes", "FAILD ", "pending", "Sucess", "none", ""), "c_custkey"), pick(("", " ", "\t"), "c_custkey")).alias("status"),
+        F.concat(pick(("  Main", "park", "5th"), "c_custkey"), pick((" ave-", "  o'neil ", "  "), "c_custkey"), F.lower("c_name")).alias("address"),
+        F.concat(pick(("A.b", "x y", ""), "c_custkey"), pick(("@Mail.org", "@mail", "mail.org"), "c_custkey")).alias("email"),
+        F.concat(pick(("+91 ", "91", "", "0"), "c_custkey"), F.lpad(n, 10, "7"), pick(("", "-", "1"), "c_custkey")).alias("phone"),
+    )
+
+
+@query
+def parse_amount(spark, d):
+    return _messy(spark, d).select("c_custkey", tx.parse_amount(F.col("amount")).alias("amount"))
+
+
+@query
+def date_candidates(spark, d):
+    m, c = _messy(spark, d), tx.date_candidates(F.col("day"))
+    return m.select("c_custkey", tx.parse_date(F.col("day")).alias("first"), F.get(c, 1).alias("second"), F.size(c).cast("long").alias("readings"))
+
+
+@query
+def lookup_codes(spark, d):
+    return _messy(spark, d).select("c_custkey", tx.lookup(F.col("status"), codes.STATUS).alias("status"))
+
+
+@query
+def clean_text(spark, d):
+    return _messy(spark, d).select("c_custkey", tx.clean_text(F.col("address")).alias("address"))
+
+
+@query
+def title_case(spark, d):
+    return _messy(spark, d).select("c_custkey", tx.title_case(F.col("address")).alias("address"))
+
+
+@query
+def email_phone(spark, d):
+    m, e, p = _messy(spark, d), tx.clean_email(F.col("email")), tx.clean_phone(F.col("phone"))
+    return m.select("c_custkey", e.value.alias("email"), F.coalesce(e.valid, F.lit(False)).alias("email_valid"), p.value.alias("phone"), p.valid.alias("phone_valid"))
+
+
+@query
+def shape_profile(spark, d):
+    return serving.profile(table(spark, d, "events").select("event_type", "props"), 5)
+
+
+@query
+def pivot_month_region(spark, d):
+    return serving.pivot(kpi.valued(star(spark, d).txn), "month_start", "region", "net_inr", ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"])
+
+
+@query
+def pivot_quarter_product(spark, d):
+    return serving.pivot(kpi.valued(star(spark, d).txn), "quarter", "product_type", "net_inr", ["Credit Card", "Fixed Deposit", "Loan", "Savings Account"])
+
+
+@query
+def dashboard_totals(spark, d):
+    return serving.totals(star(spark, d).txn, _scorecard(_settled_lines(spark, d)))
+
+
+@query
+def segment_counts(spark, d):
+    return serving.counts_by(kpi06_customer_segments(spark, d), "segment")
+
+
+@query
+def reason_counts(spark, d):
+    return serving.reason_counts(kpi05_suspicious_60min(spark, d), "risk_reason", ["HIGH_VALUE", "VELOCITY", "ODD_HOURS"])
+
+
+@query
+def reason_filter(spark, d):
+    return serving.any_reason(kpi05_suspicious_60min(spark, d), "risk_reason", ["HIGH_VALUE", "VELOCITY"]).select("transaction_id", "risk_reason")
+
+
+@query
+def quarantine_search(spark, d):
+    lines = _settled_lines(spark, d).where(F.size("rejects") > 0).select("key", F.array_join("rejects", ";").alias("reasons"))
+    return serving.search(lines, "orphan", ["key", "reasons"])
+
+
+@query
+def safe_csv(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", F.concat(pick(("=", "+", "-", "@", ""), "c_custkey"), F.col("c_name")).alias("c_name"))
+    return serving.safe_csv(c)
+
+
+@query
+def json_salvage(spark, d):
+    """Events' properties written as one broken array for each type: every object is recovered."""
+    e = table(spark, d, "events")
+    files = e.groupBy("event_type", (F.col("event_id") % 64).alias("part")).agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("props")), " "), F.lit(" {cut")).alias("value"))
+    rows = readers.salvage_json(files)
+    return rows.groupBy(F.col("_raw").alias("record"), F.col("_lost").alias("fragment")).agg(F.count("*").alias("n"))
+
+
+def _plain(f: Query) -> Query:
+    """Money as double in the result: sums are exact decimals before, and both engines convert alike."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = f(spark, sf_dir)
+        return df.select(*[F.col(f"`{c}`").cast("double").alias(c) if kind.startswith("decimal") else F.col(f"`{c}`") for c, kind in df.dtypes])
+
+    return run
+
+
+def queries() -> dict[str, Query]:
+    return {name: _plain(f) for name, f in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .oracles import ORACLES
+
+    return dict(ORACLES)
