@@ -111,25 +111,22 @@ def map_groups(
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b), as (node, root): root is the smallest reachable id.
 
-    Alternating large-star and small-star steps: every step is one minimum per node and one
-    join, so a node with very many links is pre-aggregated and split, and nothing is collected.
-    Null ids and self links are ignored. An empty input gives an empty result.
+    Edges point from the larger to the smaller id. In each step every node finds its smallest
+    neighbour; its other neighbours are hooked to that one, and the node itself to the smallest
+    neighbour of that. The steps needed grow with the logarithm of the longest path. A step is
+    one pre-aggregated minimum, two joins that can be split where a node has very many links,
+    and one distinct; nothing is collected but a checksum. Null ids and self links are ignored.
+    An empty input gives an empty result.
     """
-    e = durable(
-        edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
-    )
+    proper = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    e = durable(proper.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = None
     while True:
-        both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (
-            both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        ).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hooked = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = durable(low.select("u", F.col("m").alias("v")).unionByName(hooked).where("u <> v").distinct())
+        low = e.groupBy("u").agg(F.min("v").alias("m"))
+        hooked = e.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        onward = low.select(F.col("u").alias("m"), F.col("m").alias("mm"))
+        jumped = low.join(onward, "m", "left").select("u", F.coalesce("mm", "m").alias("v"))
+        e = durable(hooked.unionByName(jumped).distinct())
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -127,9 +127,10 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int, *, id_col: str = "do
 
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     # max_rows bounds the broadcast
-    sample = own.join(F.broadcast(chosen), "id").select("id", "grade", extracted("text").alias("x")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_rows).collect()
-    rows = [(np.array(r["x"]["bucket"], np.int64), np.full(len(r["x"]["bucket"]), r["x"]["value"])) for r in sample]
-    return fit(rows, np.array([r["grade"] for r in sample], np.int64), levels)
+    sample = own.join(F.broadcast(chosen), "id").select("id", "grade", extracted("text").alias("x")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_rows)
+    sample = sample.select("grade", "x.bucket", "x.value").toArrow()
+    rows = [(b.values.to_numpy(), np.full(len(b), v)) for b, v in zip(sample["bucket"], sample["value"].to_numpy(), strict=True)]
+    return fit(rows, sample["grade"].to_numpy().astype(np.int64), levels)
 
 
 def grade(docs: DataFrame, model: GradeModel, *, text_col: str = "text", least: int | None = None, probability: float = 0.5) -> DataFrame:

@@ -189,9 +189,10 @@ def train(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         .orderBy("place", "id")
         .limit(max_rows)
         .select("lang", "bag.at", "bag.n")
-        .collect()
+        .toArrow()
     )
-    return fit([(np.array(r["at"], np.int64), np.array(r["n"], float)) for r in sample], [r["lang"] for r in sample])
+    at, n = ([x.values.to_numpy() for x in sample[c]] for c in ("at", "n"))
+    return fit(list(zip(at, n, strict=True)), sample["lang"].to_pylist())
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
