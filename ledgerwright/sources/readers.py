@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Columns that every reader adds: place in the file, the record as JSON, what is lost.
 POSITION, RAW, LOST = "_pos", "_raw", "_lost"
+# executors get the functions with the task and need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 JSON_ROWS = "_pos long, _raw string, _lost string"
 
 
