@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import os
 
 from . import session
 from .operators.cleaners import ENTITIES
@@ -23,8 +24,10 @@ def calendar(path: str) -> batch.Calendar:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="ledgerwright")
-    parser.add_argument("--calendar", required=True)
-    parser.add_argument("--warehouse", required=True)
+    # settings come from the environment as it is when the command runs; arguments override them
+    for name, needed in (("calendar", True), ("warehouse", True), ("landing-zone", False)):
+        value = os.environ.get("LEDGERWRIGHT_" + name.upper().replace("-", "_"))
+        parser.add_argument(f"--{name}", default=value, required=needed and not value)
     actions = parser.add_subparsers(dest="action", required=True)
     actions.add_parser("run").add_argument("--batch-id", required=True)
     actions.add_parser("profile").add_argument("--batch-id", required=True)
@@ -35,13 +38,15 @@ def main(argv: list[str] | None = None) -> int:
     store = Warehouse(spark, args.warehouse)
     try:
         if args.action == "run":
-            print(batch.run_batch(spark, args.batch_id, batches, args.warehouse))
+            print(batch.run_batch(spark, args.batch_id, batches, args.warehouse, args.landing_zone))
         elif args.action == "profile":
             for name, entity in ENTITIES.items():
                 rows = readers.read_source(spark, batches.path(args.batch_id, name), list(entity.columns))
-                serving.profile(rows.select(*entity.columns)).orderBy("column_name", "shape_rank").show(1000, truncate=False)
+                raw = rows.select(*entity.columns)
+                serving.duplicates(raw, entity.key).show()
+                serving.profile(raw).orderBy("column_name", "shape_rank").show(1000, truncate=False)
         elif args.action == "report":
-            batch.register_views(spark, args.warehouse)
+            batch.register_views(spark, args.warehouse, batches)
             print(report.quality_report(spark.table("kpi10_dq_scorecard"), spark.table("dq_issue_counts")))
         else:
             store.drop(args.yes)

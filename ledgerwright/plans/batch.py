@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 from dataclasses import dataclass, field
 
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 
 from ..operators import dedupe, history
 from ..operators.cleaners import ENTITIES
-from ..sources import readers
+from ..sources import landing, readers
 from . import kpi
 from .warehouse import Warehouse, require, require_not_null, require_reference, require_unique
 
+LOG_TO = logging.getLogger(__name__)
 SCD = "valid_from date, valid_to date, is_current int, row_hash string, batch_id string"
 DIMENSIONS = {
     "customers": ("dim_customer", "customer_sk", "customer_id string, customer_name string, email string, email_valid int, phone string, phone_valid int, account_id string, gender string, dob date, address string, kyc_status string, registration_date date"),
@@ -59,11 +61,13 @@ class Summary:
     counts: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
-def run_batch(spark: SparkSession, batch_id: str, calendar: Calendar, root: str) -> Summary:
+def run_batch(spark: SparkSession, batch_id: str, calendar: Calendar, root: str, landing_zone: str | None = None) -> Summary:
     """Read, settle, merge and publish one batch; running it again changes nothing.
 
     Fails with ValueError for an unknown batch, FileNotFoundError for a missing or empty file, and
     whatever else goes wrong is audited as FAILED and leaves the published tables as they were.
+    With a landing zone the raw files are kept there first, and after publication the quarantine
+    is exported as CSV; an export that fails is logged and does not undo a published run.
     """
     if batch_id not in calendar.dates:
         raise ValueError(f"unknown batch {batch_id}")
@@ -71,7 +75,7 @@ def run_batch(spark: SparkSession, batch_id: str, calendar: Calendar, root: str)
     store = Warehouse(spark, root)
     _audit(spark, root, summary, {})
     try:
-        _run(spark, batch_id, calendar, store, summary)
+        settled = _run(spark, batch_id, calendar, store, summary, landing_zone)
     except Exception as error:
         summary.status = "FAILED"
         _audit(spark, root, summary, {}, str(error)[:2000])
@@ -79,16 +83,23 @@ def run_batch(spark: SparkSession, batch_id: str, calendar: Calendar, root: str)
     summary.status = "SUCCESS"
     totals = {k: sum(c[f"records_{k}"] for c in summary.counts.values()) for k in ("received", "passed", "rejected")}
     _audit(spark, root, summary, totals)
+    if landing_zone:
+        for name, rows in settled.items():
+            try:
+                landing.write_quarantine(dedupe.quarantine(rows), f"{landing_zone}/quarantine/batch={batch_id}/{name}")
+            except Exception:
+                LOG_TO.exception("quarantine of %s was not exported", name)
     return summary
 
 
-def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehouse, summary: Summary) -> None:
+def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehouse, summary: Summary, landing_zone: str | None) -> dict[str, DataFrame]:
     day, batches = calendar.dates[batch_id], list(calendar.dates)
     settled: dict[str, DataFrame] = {}
     for name, entity in ENTITIES.items():
         path = calendar.path(batch_id, name)
         if not store.exists(path) or not store.size(path):
             raise FileNotFoundError(path)
+        landing.land(spark, path, landing_zone and f"{landing_zone}/bronze", batch_id)
         rows = readers.read_source(spark, path, list(entity.columns))
         # written once: the clean rows, the quarantine and all counts are taken from it
         settled[name] = store.stage(f"settled_{name}", dedupe.settle(rows, entity, day))
@@ -126,6 +137,7 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
     _quality(spark, batch_id, calendar, store, summary, settled)
     _snapshot(spark, batch_id, batches, store, facts, dims)
     store.publish()
+    return settled
 
 
 def _quality(spark, batch_id, calendar, store, summary, settled) -> None:
@@ -174,8 +186,11 @@ def last_run(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/pipeline_runs").orderBy(F.desc("at")).limit(1)
 
 
-def register_views(spark: SparkSession, root: str) -> list[str]:
-    """Temporary views of the published tables and of the metrics over them."""
+def register_views(spark: SparkSession, root: str, calendar: Calendar | None = None) -> list[str]:
+    """Temporary views of the published tables and of the metrics over them.
+
+    With a calendar also the metrics that compare its last batch with the one before.
+    """
     store = Warehouse(spark, root)
     tables = {name: spark.read.parquet(path) for name, path in store.tables().items()}
     facts, c, p, b = (tables[n] for n in ("fact_transaction", "dim_customer", "dim_product", "dim_branch"))
@@ -186,6 +201,13 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
         "kpi06_customer_segments": kpi.segments(txn, facts, c), "kpi07_branch_ranking": kpi.branch_ranking(txn), "kpi08_kyc_exposure": kpi.kyc_exposure(txn), "kpi09_refund_by_product": kpi.refunds_by_product(txn),
         "kpi09_refund_by_branch": kpi.refunds_by_branch(txn), "kpi10_dq_scorecard": kpi.dq_scorecard(tables["dq_scorecard"], tables["dq_issue_counts"]), "kpi12_kyc_transitions": kpi.kyc_transitions(c),
     }
+    if calendar and len(calendar.dates) > 1:
+        before, after = list(calendar.dates)[-2:]
+        dims = {"customers": c, "products": p, "branches": b}
+        views |= {
+            "kpi11_incremental_counts": kpi.incremental_counts(facts, tables["fact_correction_log"], dims, after, calendar.dates[after]),
+            "kpi11_kpi_deltas": kpi.snapshot_deltas(tables["kpi_snapshot"], before, after), "kpi13_new_activations": kpi.new_activations(facts, c, after),
+        }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return sorted(views)

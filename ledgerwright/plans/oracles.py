@@ -175,6 +175,7 @@ SELECT c_custkey, e AS email, regexp_matches(e, '^[a-z0-9._%+-]+@[a-z0-9.-]+\\.[
 s AS (SELECT column_name, CASE WHEN trim(coalesce(v, '')) = '' THEN '<blank>' ELSE regexp_replace(regexp_replace(v, '[0-9]', '9', 'g'), '[A-Za-z]', 'A', 'g') END AS shape, count(*) AS shape_n FROM c GROUP BY ALL),
 a AS (SELECT column_name, count(*) AS n_rows, count(*) FILTER (trim(coalesce(v, '')) = '') AS blanks, count(DISTINCT v) FILTER (trim(v) <> '') AS n_distinct FROM c GROUP BY ALL)
 SELECT s.column_name, shape, shape_n, row_number() OVER (PARTITION BY s.column_name ORDER BY shape_n DESC, shape) AS shape_rank, n_rows, blanks, n_distinct FROM s JOIN a USING (column_name) QUALIFY shape_rank <= 5""",
+    "duplicate_profile": "SELECT count(*) AS n_rows, count(*) - count(DISTINCT (text, lang, source)) AS repeated_rows, count(text) - count(DISTINCT text) AS repeated_keys FROM documents",
     "pivot_month_region": f"{STAR} SELECT month_start, " + ", ".join(f"(sum(net_inr) FILTER (region = '{r}'))::DECIMAL(18,2) AS \"{r}\"" for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")) + " FROM v GROUP BY month_start",
     "pivot_quarter_product": f"{STAR} SELECT quarter, " + ", ".join(f"(sum(net_inr) FILTER (product_type = '{p}'))::DECIMAL(18,2) AS \"{p}\"" for p in ("Credit Card", "Fixed Deposit", "Loan", "Savings Account")) + " FROM v GROUP BY quarter",
     "dashboard_totals": f"""SELECT * FROM ({STAR} SELECT (SELECT count(*) FROM t) AS facts, count(*) AS valued, sum(net_inr)::DECIMAL(18,2) AS net_value_inr FROM v)

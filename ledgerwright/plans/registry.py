@@ -335,6 +335,16 @@ def shape_profile(spark, d):
     return serving.profile(table(spark, d, "events").select("event_type", "props"), 5)
 
 
+@query
+def duplicate_profile(spark, d):
+    return serving.duplicates(table(spark, d, "documents").select("text", "lang", "source"), "text")
+
+
+@query
+def file_metadata(spark, d):
+    return readers.file_metadata(spark, f"{d}/region.parquet")
+
+
 @query
 def pivot_month_region(spark, d):
     return serving.pivot(kpi.valued(star(spark, d).txn), "month_start", "region", "net_inr", ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import safe_cell, shape
 from .kpi import money, percent, valued
@@ -62,7 +63,12 @@ def profile(df: DataFrame, top: int = 8) -> DataFrame:
     values = df.select(cells.alias("x")).groupBy("x.name", "x.value").agg(F.count("*").alias("n"))
     columns = values.groupBy("name").agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.trim("value") == "", F.col("n")).otherwise(0)).alias("blanks"), F.count_if(F.trim("value") != "").alias("n_distinct"))
     shapes = values.groupBy("name", shape(F.col("value")).alias("shape")).agg(F.sum("n").alias("shape_n"))
-    from pyspark.sql.window import Window
-
     rank = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("shape_n"), "shape"))
     return shapes.withColumn("shape_rank", rank.cast("long")).where(F.col("shape_rank") <= top).join(columns, "name").withColumnRenamed("name", "column_name")
+
+
+def duplicates(df: DataFrame, key: str) -> DataFrame:
+    """One row: rows, rows that repeat another one, and rows whose key another row has had."""
+    whole = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+    counted = df.agg(F.count("*").alias("n_rows"), F.count_distinct(whole).alias("_rows"), F.count(key).alias("_keyed"), F.count_distinct(key).alias("_keys"))
+    return counted.select("n_rows", (F.col("n_rows") - F.col("_rows")).alias("repeated_rows"), (F.col("_keyed") - F.col("_keys")).alias("repeated_keys"))

@@ -45,7 +45,9 @@ def calendar(tmp_path):
 
 def test_two_days_replays_and_views(spark, calendar, tmp_path):
     root = str(tmp_path / "wh")
-    one = batch.run_batch(spark, "day1", calendar, root)
+    zone = str(tmp_path / "zone")
+    one = batch.run_batch(spark, "day1", calendar, root, zone)
+    assert (tmp_path / "zone/bronze/batch=day1/customers.csv").exists() and (tmp_path / "zone/quarantine/batch=day1/transactions").exists()
     assert one.actions["transactions"] == {"inserted": 2} and one.counts["products"]["records_rejected"] == 1
     two = batch.run_batch(spark, "day2", calendar, root)
     assert two.actions["customers"] == {"new_version": 1, "updated_in_place": 1} and two.actions["transactions"] == {"corrected": 1, "inserted": 1}
@@ -54,7 +56,9 @@ def test_two_days_replays_and_views(spark, calendar, tmp_path):
     older = batch.run_batch(spark, "day1", calendar, root)
     assert older.actions["transactions"] == {"skipped_newer_exists": 1, "unchanged": 1} and older.actions["customers"] == {"skipped_newer_exists": 2}
 
-    batch.register_views(spark, root)
+    views = batch.register_views(spark, root, calendar)
+    assert {"kpi11_incremental_counts", "kpi13_new_activations"} <= set(views)
+    assert {r["metric"]: r["record_count"] for r in spark.table("kpi11_incremental_counts").collect()}["Corrected transactions"] == 1
     log = spark.table("fact_correction_log").collect()
     assert [(r["old_values"], r["new_values"]) for r in log] == [({"status": "Failed", "remarks": "x"}, {"status": "Success", "remarks": "ok"})]
     versions = spark.table("dim_customer").where("customer_id = 'C2'").orderBy("valid_from").collect()
@@ -111,3 +115,15 @@ def test_stream_of_batches(spark, tmp_path):
     for _ in range(2):
         watch(spark, str(tmp_path / "in"), str(tmp_path / "cp"), seen.append).awaitTermination(60)
     assert seen == ["day1"]
+
+
+def test_command_line(calendar, tmp_path, monkeypatch, capsys, spark):
+    from ledgerwright import cli
+
+    found = {"raw": calendar.raw, "batches": {b: {"date": str(d), "files": FILES} for b, d in calendar.dates.items()}}
+    (tmp_path / "c.json").write_text(json.dumps(found))
+    monkeypatch.setenv("LEDGERWRIGHT_CALENDAR", str(tmp_path / "c.json"))
+    monkeypatch.setenv("LEDGERWRIGHT_WAREHOUSE", str(tmp_path / "wh"))
+    assert cli.main(["run", "--batch-id", "day1"]) == 0 and cli.main(["run", "--batch-id", "day7"]) == 1
+    assert cli.main(["report"]) == 0 and "ORPHAN_ACCOUNT" in capsys.readouterr().out
+    assert cli.main(["reset"]) == 1 and cli.main(["reset", "--yes"]) == 0
