@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 MONEY = "decimal(18,2)"
 HIGH_VALUE = 100_000
-BURST, BURST_WINDOW = 3, "10 MINUTES"
+BURST, BURST_MINUTES = 3, 10
 ODD_BEFORE = 5
 DORMANT_DAYS = 90
 RISKY_PRODUCTS = ("Credit Card", "Loan")
@@ -111,19 +111,20 @@ def dormant_accounts(facts: DataFrame, customers: DataFrame, products: DataFrame
     return idle.select("account_id", "customer_id", "customer_name", F.col("txn_date").alias("last_txn_date"), inactive.alias("days_inactive"), "product_type", risk.alias("dormancy_class"))
 
 
-def with_burst(txn: DataFrame, window: str = BURST_WINDOW) -> DataFrame:
-    """txn with the account's transactions in the time up to each (equal times included)."""
-    count = F.expr(f"count(1) OVER (PARTITION BY account_id ORDER BY txn_ts RANGE BETWEEN INTERVAL {window} PRECEDING AND CURRENT ROW)")
-    return txn.withColumn("txns_in_window", count)
+def with_burst(txn: DataFrame, name: str, minutes: int = BURST_MINUTES) -> DataFrame:
+    """txn with the account's transactions in the minutes up to each (equal times included)."""
+    count = F.expr(f"count(1) OVER (PARTITION BY account_id ORDER BY txn_ts RANGE BETWEEN INTERVAL {minutes} MINUTES PRECEDING AND CURRENT ROW)")
+    return txn.withColumn(name, count)
 
 
-def suspicious(txn: DataFrame, window: str = BURST_WINDOW, burst: int = BURST, high: int = HIGH_VALUE) -> DataFrame:
+def suspicious(txn: DataFrame, minutes: int = BURST_MINUTES, burst: int = BURST, high: int = HIGH_VALUE) -> DataFrame:
     """K5: transactions of any status of high value, in a burst, or at odd hours, with the reasons."""
-    large, fast, odd = F.col("amount_inr") > high, F.col("txns_in_window") >= burst, F.hour("txn_ts") < ODD_BEFORE
-    named = ((large, "HIGH_VALUE"), (fast, "VELOCITY"), (odd, "ODD_HOURS"))
+    near = f"txns_in_{minutes}_min"
+    large, fast, odd = F.col("amount_inr") > high, F.col(near) >= burst, F.hour("txn_ts") < ODD_BEFORE
+    named = ((large, "HIGH_VALUE"), (fast, f"VELOCITY_{burst}_IN_{minutes}_MIN"), (odd, "ODD_HOURS"))
     reason = F.concat_ws(" | ", *[F.when(c, n) for c, n in named])
-    found = with_burst(txn, window).where(large | fast | odd)
-    return found.select("transaction_id", "account_id", "customer_id", "customer_name", "txn_ts", "amount", "currency", "status", F.col("txns_in_window").cast("long").alias("txns_in_window"), reason.alias("risk_reason"))
+    found = with_burst(txn, near, minutes).where(large | fast | odd)
+    return found.select("transaction_id", "account_id", "customer_id", "customer_name", "txn_ts", "amount", "currency", "status", F.col(near).cast("long").alias(near), reason.alias("risk_reason"))
 
 
 def _tile(scores: DataFrame, value: str, descending: bool, tiles: int, name: str) -> DataFrame:
@@ -205,10 +206,10 @@ def dq_scorecard(scorecard: DataFrame, issues: DataFrame, k: int = 3) -> DataFra
     rank = F.row_number().over(Window.partitionBy("batch_id", "source_file").orderBy(F.desc("record_count"), "reason_code"))
     top = issues.where("severity = 'REJECT'").withColumn("rn", rank).where(F.col("rn") <= k)
     text = F.concat("reason_code", F.lit(" ("), F.col("record_count").cast("string"), F.lit(")"))
-    listed = top.withColumn("t", text).groupBy("batch_id", "source_file").agg(F.expr("listagg(t, ', ') WITHIN GROUP (ORDER BY rn)").alias("top_reject_reasons"))
+    listed = top.withColumn("t", text).groupBy("batch_id", "source_file").agg(F.expr("listagg(t, ', ') WITHIN GROUP (ORDER BY rn)").alias(f"top_{k}_reject_reasons"))
     rate = percent(F.col("records_passed"), F.col("records_received"), 1)
     joined = scorecard.join(listed, ["batch_id", "source_file"], "left")
-    return joined.select("batch_id", "source_file", "records_received", "records_passed", "records_rejected", "duplicates_removed", rate.alias("pass_rate_pct"), "top_reject_reasons")
+    return joined.select("batch_id", "source_file", "records_received", "records_passed", "records_rejected", "duplicates_removed", rate.alias("pass_rate_pct"), f"top_{k}_reject_reasons")
 
 
 def incremental_counts(facts: DataFrame, log: DataFrame, dims: dict[str, DataFrame], batch_id: str, batch_date: dt.date) -> DataFrame:
@@ -225,20 +226,22 @@ def incremental_counts(facts: DataFrame, log: DataFrame, dims: dict[str, DataFra
 def snapshot(txn: DataFrame, customers: DataFrame, batch_id: str) -> DataFrame:
     """The rows of K1 and K7 as a batch leaves them."""
     top, ranks = top_customers(txn, customers), branch_ranking(txn)
-    one = top.select(F.lit("top_customers").alias("kpi_name"), F.row_number().over(Window.orderBy("rank_no", "customer_id")).alias("rank_no"), F.col("customer_id").alias("item_key"), F.col("customer_name").alias("item_label"), F.col("net_value_inr").alias("metric_value"))
+    one = top.select(F.lit("kpi01_top_customers").alias("kpi_name"), F.row_number().over(Window.orderBy("rank_no", "customer_id")).alias("rank_no"), F.col("customer_id").alias("item_key"), F.col("customer_name").alias("item_label"), F.col("net_value_inr").alias("metric_value"))
     label = F.concat("region", F.lit(" #"), F.col("rank_in_region").cast("string"))
     place = F.row_number().over(Window.orderBy("region", "rank_in_region", "branch_id"))  # a row for each branch
-    two = ranks.select(F.lit("branch_ranking").alias("kpi_name"), place.alias("rank_no"), F.col("branch_id").alias("item_key"), label.alias("item_label"), F.col("revenue_inr").alias("metric_value"))
+    two = ranks.select(F.lit("kpi07_branch_ranking").alias("kpi_name"), place.alias("rank_no"), F.col("branch_id").alias("item_key"), label.alias("item_label"), F.col("revenue_inr").alias("metric_value"))
     return one.unionByName(two).withColumn("batch_id", F.lit(batch_id)).withColumn("rank_no", F.col("rank_no").cast("long"))
 
 
 def snapshot_deltas(snapshots: DataFrame, before: str, after: str) -> DataFrame:
     """K11b: each row of a later snapshot beside the earlier one's."""
     keys = ["kpi_name", "item_key"]
-    old = snapshots.where(F.col("batch_id") == before).select(*keys, F.col("rank_no").alias("rank_before"), F.col("metric_value").alias("value_before"))
-    new = snapshots.where(F.col("batch_id") == after).select(*keys, "item_label", F.col("rank_no").alias("rank_after"), F.col("metric_value").alias("value_after"))
-    change = money(F.col("value_after") - F.coalesce("value_before", F.lit(0)))
-    return new.join(old, keys, "left").select(*keys, "item_label", "rank_before", "rank_after", "value_before", "value_after", change.alias("value_change"))
+    side = lambda batch: [F.col("rank_no").alias(f"{batch}_rank"), F.col("metric_value").alias(f"{batch}_value")]
+    old = snapshots.where(F.col("batch_id") == before).select(*keys, *side(before))
+    new = snapshots.where(F.col("batch_id") == after).select(*keys, "item_label", *side(after))
+    change = money(F.col(f"{after}_value") - F.coalesce(f"{before}_value", F.lit(0)))
+    ranks, values = [f"{b}_rank" for b in (before, after)], [f"{b}_value" for b in (before, after)]
+    return new.join(old, keys, "left").select(*keys, "item_label", *ranks, *values, change.alias("value_change"))
 
 
 def kyc_transitions(customers: DataFrame) -> DataFrame:

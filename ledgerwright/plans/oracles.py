@@ -39,8 +39,8 @@ FROM ({totals('region, branch_id, branch_name', source)})"""
 
 
 def snapshot(source: str, batch: str) -> str:
-    return f"""SELECT 'top_customers' AS kpi_name, row_number() OVER (ORDER BY rank_no, customer_id) AS rank_no, customer_id AS item_key, customer_name AS item_label, net_value_inr AS metric_value, '{batch}' AS batch_id FROM ({top(source)})
-UNION ALL SELECT 'branch_ranking', row_number() OVER (ORDER BY region, rank_in_region, branch_id), branch_id, region || ' #' || rank_in_region, revenue_inr, '{batch}' FROM ({ranking(source)})"""
+    return f"""SELECT 'kpi01_top_customers' AS kpi_name, row_number() OVER (ORDER BY rank_no, customer_id) AS rank_no, customer_id AS item_key, customer_name AS item_label, net_value_inr AS metric_value, '{batch}' AS batch_id FROM ({top(source)})
+UNION ALL SELECT 'kpi07_branch_ranking', row_number() OVER (ORDER BY region, rank_in_region, branch_id), branch_id, region || ' #' || rank_in_region, revenue_inr, '{batch}' FROM ({ranking(source)})"""
 
 
 def growth(window: str) -> str:
@@ -49,8 +49,8 @@ def growth(window: str) -> str:
 
 def suspicious(minutes: int) -> str:
     return f"""
-SELECT event_id AS transaction_id, 'A' || user_id AS account_id, 'C' || user_id AS customer_id, event_type AS customer_name, ts AS txn_ts, amount, 'INR' AS currency, 'Success' AS status, n AS txns_in_window,
-       concat_ws(' | ', CASE WHEN amount > 300 THEN 'HIGH_VALUE' END, CASE WHEN n >= 3 THEN 'VELOCITY' END, CASE WHEN hour(ts) < 5 THEN 'ODD_HOURS' END) AS risk_reason
+SELECT event_id AS transaction_id, 'A' || user_id AS account_id, 'C' || user_id AS customer_id, event_type AS customer_name, ts AS txn_ts, amount, 'INR' AS currency, 'Success' AS status, n AS txns_in_{minutes}_min,
+       concat_ws(' | ', CASE WHEN amount > 300 THEN 'HIGH_VALUE' END, CASE WHEN n >= 3 THEN 'VELOCITY_3_IN_{minutes}_MIN' END, CASE WHEN hour(ts) < 5 THEN 'ODD_HOURS' END) AS risk_reason
 FROM (SELECT *, value::DECIMAL(15,2) AS amount, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL {minutes} MINUTE PRECEDING AND CURRENT ROW) AS n FROM events)
 WHERE amount > 300 OR n >= 3 OR hour(ts) < 5"""
 
@@ -129,7 +129,7 @@ FROM customer CROSS JOIN a LEFT JOIN last ON account_id = 'A' || c_custkey LEFT
     "kpi09_refund_by_product": f"{STAR} SELECT product_type, count(*) AS txn_count, sum(is_refund)::BIGINT AS refund_count, sum(CASE WHEN is_refund = 1 THEN amount_inr ELSE 0 END)::DECIMAL(18,2) AS refund_value_inr, {pct('sum(is_refund)', 'count(*)', 1)} AS refund_rate_pct, {pct('sum(CASE WHEN is_refund = 1 THEN amount_inr ELSE 0 END)', 'sum(amount_inr)', 1)} AS refund_value_pct FROM v GROUP BY product_type",
     "kpi09_refund_by_branch": f"{STAR} SELECT region, branch_id, branch_name, count(*) AS txn_count, sum(is_refund)::BIGINT AS refund_count, sum(CASE WHEN is_refund = 1 THEN amount_inr ELSE 0 END)::DECIMAL(18,2) AS refund_value_inr, {pct('sum(is_refund)', 'count(*)', 1)} AS refund_rate_pct FROM v GROUP BY ALL",
     "kpi10_dq_scorecard": f"""{LINES}, r AS (SELECT *, row_number() OVER (PARTITION BY batch_id, source_file ORDER BY record_count DESC, reason_code) AS rn FROM issues WHERE severity = 'REJECT')
-SELECT c.batch_id, c.source_file, records_received, records_passed, records_rejected, duplicates_removed, {pct('records_passed', 'records_received', 1)} AS pass_rate_pct, string_agg(reason_code || ' (' || record_count || ')', ', ' ORDER BY rn) AS top_reject_reasons
+SELECT c.batch_id, c.source_file, records_received, records_passed, records_rejected, duplicates_removed, {pct('records_passed', 'records_received', 1)} AS pass_rate_pct, string_agg(reason_code || ' (' || record_count || ')', ', ' ORDER BY rn) AS top_3_reject_reasons
 FROM card c LEFT JOIN r ON r.batch_id = c.batch_id AND r.source_file = c.source_file AND rn <= 3 GROUP BY ALL""",
     "issue_counts": f"{LINES} SELECT * FROM issues",
     "scd2_merge": f"{VERSIONS} SELECT * FROM dim",
@@ -150,7 +150,7 @@ UNION ALL SELECT 'New customers', count(*) FROM customer WHERE c_custkey % 10 =
 UNION ALL SELECT 'Products with new version', 0 UNION ALL SELECT 'New branches', count(*) FROM supplier WHERE s_suppkey % 25 = 0 UNION ALL SELECT 'Branches with new version', 0""",
     "kpi_snapshot": f"{STAR} {snapshot('v', 'day2')}",
     "kpi11_kpi_deltas": f"""{STAR}, v1 AS (SELECT * FROM v WHERE source_batch_id = 'day1'), a AS ({snapshot('v1', 'day1')}), b AS ({snapshot('v', 'day2')})
-SELECT b.kpi_name, b.item_key, b.item_label, a.rank_no AS rank_before, b.rank_no AS rank_after, a.metric_value AS value_before, b.metric_value AS value_after, (b.metric_value - coalesce(a.metric_value, 0))::DECIMAL(18,2) AS value_change
+SELECT b.kpi_name, b.item_key, b.item_label, a.rank_no AS day1_rank, b.rank_no AS day2_rank, a.metric_value AS day1_value, b.metric_value AS day2_value, (b.metric_value - coalesce(a.metric_value, 0))::DECIMAL(18,2) AS value_change
 FROM b LEFT JOIN a USING (kpi_name, item_key)""",
     "kpi13_new_activations": f"""{STAR}, f AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY txn_ts, transaction_id) = 1)
 SELECT account_id, customer_id, customer_name, transaction_id AS first_transaction_id, txn_ts AS first_txn_ts, substr(customer_id, 2)::BIGINT % 10 = 0 AS newly_onboarded FROM f WHERE source_batch_id = 'day2'""",
@@ -181,8 +181,8 @@ SELECT s.column_name, shape, shape_n, row_number() OVER (PARTITION BY s.column_n
     "dashboard_totals": f"""SELECT * FROM ({STAR} SELECT (SELECT count(*) FROM t) AS facts, count(*) AS valued, sum(net_inr)::DECIMAL(18,2) AS net_value_inr FROM v)
 CROSS JOIN ({LINES} SELECT sum(records_received)::BIGINT AS records_received, sum(records_passed)::BIGINT AS records_passed, sum(records_rejected)::BIGINT AS records_rejected, sum(duplicates_removed)::BIGINT AS duplicates_removed, {pct('sum(records_passed)', 'sum(records_received)', 1)} AS pass_rate_pct FROM card)""",
     "segment_counts": f"{SEGMENTS} SELECT segment, count(*) AS n FROM seg GROUP BY segment",
-    "reason_counts": f"SELECT reason, count(*) FILTER (contains(risk_reason, reason)) AS n FROM ({suspicious(60)}), (VALUES ('HIGH_VALUE'), ('VELOCITY'), ('ODD_HOURS')) r(reason) GROUP BY reason",
-    "reason_filter": f"SELECT transaction_id, risk_reason FROM ({suspicious(60)}) WHERE contains(risk_reason, 'HIGH_VALUE') OR contains(risk_reason, 'VELOCITY')",
+    "reason_counts": f"SELECT reason, count(*) FILTER (contains(risk_reason, reason)) AS n FROM ({suspicious(60)}), (VALUES ('HIGH_VALUE'), ('VELOCITY_3_IN_60_MIN'), ('ODD_HOURS')) r(reason) GROUP BY reason",
+    "reason_filter": f"SELECT transaction_id, risk_reason FROM ({suspicious(60)}) WHERE contains(risk_reason, 'HIGH_VALUE') OR contains(risk_reason, 'VELOCITY_3_IN_60_MIN')",
     "quarantine_search": f"{LINES} SELECT key, array_to_string(rejects, ';') AS reasons FROM l WHERE contains(lower(array_to_string(rejects, ';')), 'orphan')",
     "safe_csv": "SELECT c_custkey::VARCHAR AS c_custkey, CASE WHEN c_custkey % 5 < 4 THEN '''' ELSE '' END || (['=', '+', '-', '@', ''])[(c_custkey % 5 + 1)::INT] || c_name AS c_name FROM customer",
 }
@@ -204,7 +204,7 @@ MONEY = {
     "kpi09_refund_by_branch": ("refund_value_inr",),
     "fact_upsert": ("amount",),
     "kpi_snapshot": ("metric_value",),
-    "kpi11_kpi_deltas": ("value_before", "value_after", "value_change"),
+    "kpi11_kpi_deltas": ("day1_value", "day2_value", "value_change"),
     "parse_amount": ("amount",),
     "pivot_month_region": ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"),
     "pivot_quarter_product": ("Credit Card", "Fixed Deposit", "Loan", "Savings Account"),

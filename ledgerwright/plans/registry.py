@@ -57,7 +57,7 @@ def kpi05_suspicious_10min(spark, d):
 
 @query
 def kpi05_suspicious_60min(spark, d):
-    return kpi.suspicious(events(spark, d), window="60 MINUTES", high=300)
+    return kpi.suspicious(events(spark, d), minutes=60, high=300)
 
 
 @query
@@ -367,12 +367,12 @@ def segment_counts(spark, d):
 
 @query
 def reason_counts(spark, d):
-    return serving.reason_counts(kpi05_suspicious_60min(spark, d), "risk_reason", ["HIGH_VALUE", "VELOCITY", "ODD_HOURS"])
+    return serving.reason_counts(kpi05_suspicious_60min(spark, d), "risk_reason", ["HIGH_VALUE", "VELOCITY_3_IN_60_MIN", "ODD_HOURS"])
 
 
 @query
 def reason_filter(spark, d):
-    return serving.any_reason(kpi05_suspicious_60min(spark, d), "risk_reason", ["HIGH_VALUE", "VELOCITY"]).select("transaction_id", "risk_reason")
+    return serving.any_reason(kpi05_suspicious_60min(spark, d), "risk_reason", ["HIGH_VALUE", "VELOCITY_3_IN_60_MIN"]).select("transaction_id", "risk_reason")
 
 
 @query

@@ -18,7 +18,7 @@ HANDLING = {
 
 def quality_report(scorecard: DataFrame, issues: DataFrame) -> str:
     """scorecard: K10's rows; issues: (batch_id, severity, reason_code, record_count). Both are small."""
-    columns = ["batch_id", "source_file", "records_received", "records_passed", "records_rejected", "duplicates_removed", "pass_rate_pct", "top_reject_reasons"]
+    columns = ["batch_id", "source_file", "records_received", "records_passed", "records_rejected", "duplicates_removed", "pass_rate_pct", "top_3_reject_reasons"]
     out = ["# Data quality", "", "| " + " | ".join(columns) + " |", "|" + "---|" * len(columns)]
     out += ["| " + " | ".join("" if r[c] is None else str(r[c]) for c in columns) + " |" for r in scorecard.orderBy("batch_id", "source_file").collect()]
     out += ["", "| batch | severity | code | records | handling |", "|---|---|---|---|---|"]

@@ -20,8 +20,8 @@ def txn(spark):
 
 
 def test_suspicious(txn):
-    got = {r["transaction_id"]: (r["txns_in_window"], r["risk_reason"]) for r in kpi.suspicious(txn).collect()}
-    assert got == {"TKA3": (3, "VELOCITY"), "TKB3": (1, "ODD_HOURS"), "TKB4": (1, "HIGH_VALUE")}
+    got = {r["transaction_id"]: (r["txns_in_10_min"], r["risk_reason"]) for r in kpi.suspicious(txn).collect()}
+    assert got == {"TKA3": (3, "VELOCITY_3_IN_10_MIN"), "TKB3": (1, "ODD_HOURS"), "TKB4": (1, "HIGH_VALUE")}
 
 
 def test_net_value_and_ranks(spark, txn):
