@@ -19,6 +19,8 @@ BUCKETS = 1 << 13
 DIMENSIONS = 16
 GRAMS = (1, 2, 3, 4)
 CHUNK_CHARS = 1_000_000
+#: Gradient steps at least, however few the rows.
+LEAST_STEPS = 400
 #: Share of rightly labelled documents that the rejection threshold may cost on calibration rows.
 REJECTED_SHARE = 0.002
 UNDETERMINED = "und"
@@ -136,9 +138,11 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epochs: in
             x[i, bags[r][0]] = bags[r][1]
         return x / np.maximum(x.sum(1, keepdims=True), 1)
 
+    batches = max(1, len(seen) // 64)
+    epochs = max(epochs, -(-LEAST_STEPS // batches))  # few rows are seen more often
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
-        for rows in np.array_split(rng.permutation(seen), max(1, len(seen) // 64)):
+        for rows in np.array_split(rng.permutation(seen), batches):
             x = dense(rows)
             h = x @ embed
             g = softmax(h @ out + bias)
