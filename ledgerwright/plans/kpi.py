@@ -127,27 +127,36 @@ def suspicious(txn: DataFrame, minutes: int = BURST_MINUTES, burst: int = BURST,
     return found.select("transaction_id", "account_id", "customer_id", "customer_name", "txn_ts", "amount", "currency", "status", F.col(near).cast("long").alias(near), reason.alias("risk_reason"))
 
 
-def _tile(scores: DataFrame, value: str, descending: bool, tiles: int, name: str) -> DataFrame:
-    """scores with the tile (1 ..) of a value in order, ties by customer_id, without one task for all rows.
+def tiles(scores: DataFrame, values: list[tuple[str, bool, str]], n: int = 3) -> DataFrame:
+    """scores with a tile from 1 to n for each (value, descending, name), equal values in order of customer_id.
 
-    Rows are placed by value ranges: counts of the distinct values' ranges give each range its
-    first row number, and rows are numbered inside their range.
+    No task sorts all rows: approximate quantiles cut each value into ranges, one pass counts the
+    rows of all ranges, and rows are numbered inside their range from its first number on. The
+    ranges are as many as shuffle partitions, so their counts are one short row, broadcast.
     """
-    session = scores.sparkSession
-    parts = max(2, int(session.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(2, int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = [i / parts for i in range(1, parts)]
-    edges = scores.agg(F.percentile_approx(F.col(value).cast("double"), cuts, 10_000).alias("edges"))
-    place = F.expr(f"size(filter(edges, e -> e < cast({value} as double)))")
-    placed = scores.crossJoin(F.broadcast(edges)).withColumn("_range", place if not descending else -place).drop("edges")
-    counts = placed.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
-    starts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("_all"))
-    order = F.desc(value) if descending else F.asc(value)
-    number = F.row_number().over(Window.partitionBy("_range").orderBy(order, "customer_id")) + F.col("_before")
-    whole, more = F.floor(F.col("_all") / tiles), F.col("_all") % tiles
+    edges = scores.agg(*[F.percentile_approx(F.col(v).cast("double"), cuts, 1000).alias(f"_edges{k}") for k, (v, _, _) in enumerate(values)])
+    placed = scores.crossJoin(F.broadcast(edges))
+    for k, (value, descending, _) in enumerate(values):
+        below = F.expr(f"size(filter(_edges{k}, e -> e < cast({value} as double)))")
+        placed = placed.withColumn(f"_range{k}", -below if descending else below)
+    placed = placed.drop(*[f"_edges{k}" for k in range(len(values))])
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_range{k}").alias("r")) for k in range(len(values))]))
+    counts = placed.select(each.alias("x")).groupBy("x.k", "x.r").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("k").orderBy("r").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("k", "r", F.coalesce(before, F.lit(0)).alias("before"), F.sum("n").over(Window.partitionBy("k")).alias("all"))
+    maps = [F.map_from_entries(F.collect_list(F.when(F.col("k") == k, F.struct("r", "before")))).alias(f"_starts{k}") for k in range(len(values))]
+    numbered = placed.crossJoin(F.broadcast(starts.agg(F.max("all").alias("_all"), *maps)))
+    whole, more = F.floor(F.col("_all") / n), F.col("_all") % n
     edge = more * (whole + 1)
-    tile = F.when(F.col("_number") <= edge, F.ceil(F.col("_number") / (whole + 1))).otherwise(more + F.ceil(F.try_divide(F.col("_number") - edge, whole)))
-    return placed.join(F.broadcast(starts), "_range").withColumn("_number", number).withColumn(name, tile.cast("long")).drop("_range", "_before", "_all", "_number")
+    for k, (value, descending, name) in enumerate(values):
+        order = F.desc(value) if descending else F.asc(value)
+        row = F.row_number().over(Window.partitionBy(f"_range{k}").orderBy(order, "customer_id"))
+        numbered = numbered.withColumn("_number", row + F.element_at(f"_starts{k}", F.col(f"_range{k}")))
+        tile = F.when(F.col("_number") <= edge, F.ceil(F.col("_number") / (whole + 1))).otherwise(more + F.ceil(F.try_divide(F.col("_number") - edge, whole)))
+        numbered = numbered.withColumn(name, tile.cast("long"))
+    return numbered.select(*scores.columns, *[name for *_, name in values])
 
 
 def segments(txn: DataFrame, facts: DataFrame, customers: DataFrame) -> DataFrame:
@@ -155,8 +164,7 @@ def segments(txn: DataFrame, facts: DataFrame, customers: DataFrame) -> DataFram
     as_of = facts.agg(F.max("txn_date").alias("as_of_date"))
     scores = valued(txn).groupBy("customer_id").agg(F.max("txn_date").alias("last"), F.count("*").alias("frequency"), money(F.sum("net_inr")).alias("monetary_inr"))
     scores = scores.crossJoin(F.broadcast(as_of)).select("customer_id", F.datediff("as_of_date", "last").cast("long").alias("recency_days"), "frequency", "monetary_inr")
-    for value, descending, name in (("recency_days", True, "r_score"), ("frequency", False, "f_score"), ("monetary_inr", False, "m_score")):
-        scores = _tile(scores, value, descending, 3, name)
+    scores = tiles(scores, [("recency_days", True, "r_score"), ("frequency", False, "f_score"), ("monetary_inr", False, "m_score")])
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     tier = F.when(total >= 8, "Platinum").when(total >= 6, "Gold").when(total >= 4, "Silver").otherwise("Bronze")
     named = scores.join(customers.where("is_current = 1").select("customer_id", "customer_name"), "customer_id")

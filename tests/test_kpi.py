@@ -43,7 +43,7 @@ def test_transitions(spark):
 
 def test_thirds(spark):
     df = spark.createDataFrame([(f"c{i:03}", (i * 7) % 13) for i in range(50)], "customer_id string, v int")
-    got = {r["customer_id"]: r["t"] for r in kpi._tile(df, "v", False, 3, "t").collect()}
+    got = {r["customer_id"]: r["t"] for r in kpi.tiles(df, [("v", False, "t"), ("v", True, "u")]).collect()}
     order = sorted(got, key=lambda c: ((int(c[1:]) * 7) % 13, c))
     assert [got[c] for c in order] == [1] * 17 + [2] * 17 + [3] * 16
 
