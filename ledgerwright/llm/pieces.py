@@ -77,6 +77,32 @@ def codes_of(word: str) -> np.ndarray:
     return np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+class Store:
+    """Words and their ids, one after the other in one array."""
+
+    def __init__(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat, self.ends, self.used = np.zeros(1 << 16, np.int32), [np.zeros(1, np.int64)], 0
+
+    def add(self, words: list[str], ids: np.ndarray, many: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
+        self.ends.append(self.used + np.cumsum(many))
+        self.used += len(ids)
+
+    def get(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of each word) of words that are there."""
+        if len(self.ends) > 1:
+            self.ends = [np.concatenate(self.ends)]
+        place, first = self.place, self.ends[0]
+        at = np.array([place[w] for w in words], np.int64)
+        start, many = first[at], first[at + 1] - first[at]
+        end = np.cumsum(many)
+        return self.flat[np.repeat(start - end + many, many) + np.arange(end[-1] if len(end) else 0)], many
+
+
 @dataclass
 class PieceModel:
     """A model's pieces, with what the search needs. Ids from vocabulary size on stand for unknown characters."""
@@ -89,7 +115,6 @@ class PieceModel:
     byte_fallback: bool
     unknown: int
     histories: dict[int, tuple[list[float], list[str], list[str]]] = field(default_factory=dict)
-    place: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         normal = [i for i, k in enumerate(self.kinds) if k == NORMAL]
@@ -102,8 +127,9 @@ class PieceModel:
         self.byte_ids = {int(p[1:-1], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
         self.powers = np.array([pow(int(HASH), n, 1 << 64) for n in self.lengths], np.uint64)
         self.pair_keys, self.pair_values = np.full(1 << PAIR_BITS, -1, np.int64), np.zeros(1 << PAIR_BITS, bool)
-        self.forget()
-        self.newline_alone = not any("\n" in p for p in self.id_of)
+        self.young, self.old = Store(), Store()
+        self.splitter = re.compile(self._parts())
+        self._surfaces()
 
     @classmethod
     def parse(cls, raw: bytes) -> PieceModel:
@@ -127,10 +153,6 @@ class PieceModel:
             raise ValueError("models whose pieces go across words are not supported")
         return cls(pieces, np.array(scores), np.array(kinds), trainer.get(3, UNIGRAM), bool(normal.get(3, 1)), bool(trainer.get(35, 0)), kinds.index(UNKNOWN))
 
-    def forget(self) -> None:
-        self.place.clear()
-        self.flat, self.first, self.used = np.zeros(1 << 16, np.int32), np.zeros(1, np.int64), 0
-
     def history(self, piece: int) -> tuple[list[float], list[str], list[str]] | None:
         """How merging (best score first, then leftmost) makes a piece from its characters.
 
@@ -243,21 +265,33 @@ class PieceModel:
                 out.append(self.unknown)
         return np.array(out, np.int32)
 
+    def _parts(self) -> str:
+        """A pattern of the parts of a text that no piece goes across.
+
+        Always runs of spaces with what follows. Where no piece joins letters to anything else,
+        letters stand apart from the rest, and where none has a line end, so do line ends; then
+        fewer different parts have to be searched.
+        """
+        alone = "\n" if self.byte_fallback and not any("\n" in p for p in self.id_of) else ""
+        # word characters that are neither letters nor digits, like the squared sign
+        odd = "".join(sorted({c for p in self.id_of for c in p if re.match(r"[^\W\d_]", c) and not c.isalpha()}))
+        letter = re.compile(f"[^\\W\\d_{odd}]")
+        inner = [(bool(letter.match(a)), bool(letter.match(b))) for p in self.id_of for a, b in zip(p, p[1:], strict=False) if SPACE not in (a, b)]
+        ends = f"{alone}|" if alone else ""
+        if all(a == b for a, b in inner) and self.byte_fallback:
+            return f"{ends}{SPACE}*[^\\W\\d_{odd}]+|{SPACE}*(?:[^\\w{SPACE}{alone}]|[\\d_{odd}])+|{SPACE}+"
+        return f"{ends}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+"
+
     def words(self, text: str) -> list[str]:
-        """Parts of a text that no piece goes across: runs of spaces with what follows, and line ends."""
-        if self.dummy_prefix:
-            text = " " + text
-        text = text.replace(" ", SPACE)
-        apart = "\n" if self.newline_alone and self.byte_fallback else ""
-        return re.findall(f"{apart}|{SPACE}*[^{SPACE}{apart}]+|{SPACE}+" if apart else f"{SPACE}*[^{SPACE}]+|{SPACE}+", text)
-
-    def learn(self, words: set[str]) -> None:
-        """Search new words and append their ids to the flat store."""
+        """The parts of a text, spaces marked."""
+        return self.splitter.findall((" " + text if self.dummy_prefix else text).replace(" ", SPACE))
+
+    def learn(self, words: list[str]) -> None:
+        """Search words and remember their ids."""
         fresh: dict[int, list[str]] = {}
         for w in words:
             fresh.setdefault(len(w), []).append(w)
         size = len(self.pieces)
-        ends: list[np.ndarray] = [self.first]
         for n, same in fresh.items():
             step = max(1, 500_000 // n)
             for k in range(0, len(same), step):
@@ -266,42 +300,48 @@ class PieceModel:
                 if (found >= size).any():
                     each = [self.ids(x) for x in np.split(found, np.cumsum(many)[:-1])]
                     found, many = np.concatenate(each), np.array([len(x) for x in each])
-                while self.used + len(found) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-                self.flat[self.used : self.used + len(found)] = found
-                self.place.update(zip(some, range(len(self.place), len(self.place) + len(some)), strict=True))
-                ends.append(self.used + np.cumsum(many))
-                self.used += len(found)
-        self.first = np.concatenate(ends)
+                self.young.add(some, found, many)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        """The ids of each text; null stays null, empty gives none."""
+        """The ids of each text; null stays null, empty gives none.
+
+        Words of the current and the previous generation are remembered.
+        """
         split = [self.words(t) if t else [] for t in texts]
-        if len(self.place) > REMEMBERED:
-            self.forget()
-        place = self.place
-        self.learn({w for ws in split for w in ws if w not in place})
-        at = np.array([place[w] for ws in split for w in ws], np.int64)
-        start, many = self.first[at], self.first[at + 1] - self.first[at]
-        end = np.cumsum(many)
-        ids = self.flat[np.repeat(start - end + many, many) + np.arange(end[-1] if len(end) else 0)]
-        edge = np.concatenate([[0], end])[np.cumsum([0, *map(len, split)])]
+        if len(self.young.place) > REMEMBERED:
+            self.old, self.young = self.young, Store()
+        young, old = self.young.place, self.old.place
+        missing = {w for ws in split for w in ws if w not in young}
+        again = [w for w in missing if w in old]
+        self.young.add(again, *self.old.get(again))
+        self.learn([w for w in missing if w not in old])
+        ids, many = self.young.get([w for ws in split for w in ws])
+        edge = np.concatenate([[0], np.cumsum(many)])[np.cumsum([0, *map(len, split)])]
         return [None if t is None else ids[edge[i] : edge[i + 1]] for i, t in enumerate(texts)]
 
+    def _surfaces(self) -> None:
+        """The bytes of all pieces in one array; the last is that of ids that are none."""
+        each = [self._surface(i) for i in range(len(self.pieces))] + [" ⁇ ".encode()]
+        self.surface = np.frombuffer(b"".join(each), np.uint8)
+        self.surface_size = np.array([len(x) for x in each], np.int64)
+        self.surface_start = np.cumsum(self.surface_size) - self.surface_size
+
     def decode(self, rows: list[np.ndarray | None]) -> list[str | None]:
         """Texts of ids: control pieces vanish; unknown, null and out-of-range ids give the mark of the unknown piece."""
-        if not hasattr(self, "surface"):
-            self.surface = [self._surface(i) for i in range(len(self.pieces))]
-        unknown, size = " ⁇ ".encode(), len(self.pieces)
+        none, mark = len(self.pieces), " ⁇ ".encode()
         out: list[str | None] = []
         for ids in rows:
             if ids is None:
                 out.append(None)
                 continue
-            # a null among ids arrives as not a number
-            whole = [int(i) if i == i and i is not None and 0 <= i < size else -1 for i in ids] if getattr(ids, "dtype", None) != np.int32 else ids.tolist()
-            joined = b"".join([self.surface[i] if 0 <= i < size else unknown for i in whole])
-            if self.dummy_prefix and joined.startswith(b" ") and not joined.startswith(unknown):
+            if getattr(ids, "dtype", None) != np.int32:  # nulls among the ids arrive as not a number
+                ids = np.array([-1 if x is None or x != x else x for x in ids], np.int64)
+            known = np.where((ids >= 0) & (ids < none), ids, none)
+            size = self.surface_size[known]
+            end = np.cumsum(size)
+            at = np.repeat(self.surface_start[known] - end + size, size) + np.arange(end[-1] if len(end) else 0)
+            joined = self.surface[at].tobytes()
+            if self.dummy_prefix and joined.startswith(b" ") and not joined.startswith(mark):
                 joined = joined[1:]
             out.append(joined.decode("utf-8", "replace"))
         return out
