@@ -149,34 +149,39 @@ def load_signatures(frame: pd.DataFrame) -> dict[str, np.ndarray]:
     return {"sig": sig, "n": frame["n"].to_numpy()}
 
 
-def forest(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | None]:
-    """(regions, stars): the groups to compare, and pairs with the head of what is too large.
+def forest(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """(regions, stars, whole): the groups to start from, pairs with two heads of what is too large, and all groups.
 
     Every tree is an order of the signatures; documents with a common prefix of
-    least_depth() values are a region. A region of more than REGION documents is told apart at the next
-    depth, so depth follows density. Heads (smallest ids) of too large regions are paired with
-    all their members as well, for members that the next depth leaves alone. At the full depth
-    a region stays whole, whatever its size.
+    least_depth() values are a whole region, and links are looked for in all of these. To link
+    dense ones early, a region of more than REGION documents is told apart at the next
+    depth, so depth follows density. Heads of too large regions (the smallest id, and the
+    document that is in most of them, as what others are copies of is) are paired with all their
+    members. At the full depth a region stays, whatever its size.
     """
     least = least_depth(threshold)
     depths = [*(d for d in (least, 2 * least, 4 * least, 8 * least) if d < PERMUTATIONS), PERMUTATIONS]
     trees = F.explode(F.sequence(F.lit(0), F.lit(PERMUTATIONS // least - 1))).alias("tree")
     entries = reps.select("id", "sig", trees)
-    regions = stars = None
+    regions = stars = whole = None
     for depth in depths:
         keyed = entries.select("id", "tree", order_key(least, depth).alias("region"))
         counts = keyed.groupBy("region").agg(F.count("*").alias("many"), F.min("id").alias("head")).where("many > 1")
         part = durable(keyed.join(counts, "region"))
+        whole = part.select("id", "region") if whole is None else whole
         done = F.lit(True) if depth == PERMUTATIONS else F.col("many") <= REGION
         settled = part.where(done).select("id", "region")
         regions = settled if regions is None else regions.unionByName(settled)
         large = part.where(~done)
         if large.isEmpty():
             break
-        star = large.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
+        often = large.groupBy("id").agg(F.count("*").alias("often"))
+        centres = large.join(often, "id").groupBy("region").agg(F.min(F.struct(-F.col("often"), "id")).alias("x")).select("region", F.col("x.id").alias("centre"))
+        heads = large.join(centres, "region").select("id", F.explode(F.array("head", "centre")).alias("head")).where("id <> head")
+        star = heads.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
         stars = star if stars is None else stars.unionByName(star)
         entries = large.select("id", "tree").join(reps.select("id", "sig"), "id")
-    return regions, stars
+    return regions, stars, whole
 
 
 def check_sets(threshold: float):
@@ -207,8 +212,8 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, id_col: str = "d
     the threshold; components of links are the groups, named by their smallest id.
 
     The first round compares each document with its closest; a second one all candidates that
-    the first left in different groups, so that only pairs that no region holds can be missed
-    (for a pair at 0.85, about 1 in 100,000 in regions that are not told apart further).
+    the first left in different groups, in regions of the least depth and any size, so that only
+    pairs that no region holds can be missed (for a pair at 0.85, about 1 in 100,000).
 
     Null texts and texts without words have no shingles and link with nothing. Rows without id
     are kept and have no component. Rows that repeat an id count as one document (one whose
@@ -218,14 +223,14 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, id_col: str = "d
     with_words = table.where("cls IS NOT NULL AND id IS NOT NULL")
     classes = durable(with_words.groupBy("cls", "sig", F.col("n_shingles").alias("n")).agg(F.min("id").alias("id")))
     reps = classes.groupBy("id").agg(F.min(F.struct("n", "sig")).alias("x")).select("id", "x.n", "x.sig")
-    regions, stars = forest(reps, threshold)
+    regions, stars, whole = forest(reps, threshold)
 
     def texts(ids: DataFrame) -> DataFrame:
         own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
         # rows that repeat an id: one text stands for it
         return own.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
 
-    _, groups = link(regions, reps, stars, closeness(threshold), load_signatures, texts, check_sets(threshold))
+    _, groups = link(regions, reps, stars, closeness(threshold), load_signatures, texts, check_sets(threshold), whole)
     roots = classes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("cls", F.coalesce("root", "id").alias("component_id"))
     own = table.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("cls")).alias("cls"))
     out = own.join(roots, "cls", "left")

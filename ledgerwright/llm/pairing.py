@@ -153,12 +153,14 @@ def link(
     load: Callable[[pd.DataFrame], dict[str, np.ndarray]],
     payload: Callable[[DataFrame], DataFrame],
     check: Callable[[pd.DataFrame], list[tuple[int, int]]],
+    whole: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(links, components) of rows (id, ...) that share a region (region, id) of any size.
 
     A first round confirms each row with its closest in every region, and `extra` pairs. What
     that leaves in different components is compared in a second round, every pair of it that
-    closeness allows; so components miss no pair that shares a region and is close.
+    closeness allows, in the regions or, where given, in the `whole` ones (region, id) that hold
+    these; so components miss no pair that shares such a region and is close.
     """
     parts = durable(split_regions(regions))
     known = durable(parts.select("region", "id").join(rows, "id").withColumn("label", F.col("id")))
@@ -168,8 +170,9 @@ def link(
     links = durable(confirm(first, payload, check))
     groups = components(links)
 
-    whole = parts.select(F.col("whole").alias("region"), "id").join(groups.withColumnRenamed("node", "id"), "id", "left")
-    crossing = crossing_regions(whole.select("region", "id", F.coalesce("root", "id").alias("label")))
+    whole = parts.select(F.col("whole").alias("region"), "id") if whole is None else whole
+    labelled = whole.join(groups.withColumnRenamed("node", "id"), "id", "left")
+    crossing = crossing_regions(labelled.select("region", "id", F.coalesce("root", "id").alias("label")))
     rest = pairs_in_regions(crossing.join(rows, "id"), closeness, load, True)
     rest = durable(rest.join(first, ["a", "b"], "left_anti"))
     if rest.isEmpty():

@@ -60,6 +60,21 @@ def test_regions_that_are_too_large(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in out} == brute(texts, 0.85)
 
 
+def test_large_star_around_the_largest_id(spark):
+    """Every copy links with the original alone, so one lost link would split a document off."""
+    r = random.Random(9)
+    base = [f"w{r.randrange(10**6)}" for _ in range(200)]
+    rows = []
+    for i in range(1000):
+        copy = list(base)
+        for third in range(3):
+            copy[third * 66 + r.randrange(5, 61)] = f"x{i}.{third}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame([*rows, (1000, " ".join(base))], "doc_id long, text string")
+    out = neardup.near_duplicates(docs, threshold=0.85)
+    assert out.where("component_id <> 0").count() == 0 and out.where("kept").count() == 1
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     rows = [(None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (6, "A b c d e f"), (7, None)]
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, component_id string")
