@@ -64,8 +64,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files <source>/<lang>/<doc_id>.txt.
+
+    One of whose characters at least half are in lines that speak of a licence is a licence file of
+    its directory, <source>/<lang>/LICENSE.<doc_id>, and the others there inherit from it.
+    """
     docs = table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(".txt")))
+    notices = F.filter(F.split("text", "\n"), lambda line: line.rlike("(?i)licen[cs]e"))
+    is_licence = F.coalesce(2 * F.length(F.array_join(notices, "\n")) >= F.greatest(F.length("text"), F.lit(1)), F.lit(False))
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    name = F.when(is_licence, F.concat(F.lit("LICENSE."), number)).otherwise(F.concat(number, F.lit(".txt")))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), name)
     found = licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
     return found.select("doc_id", "path", "own_license", F.round("similarity", 6).alias("similarity"), "license", "license_from")
 
