@@ -21,6 +21,46 @@ TEMPLATES = {
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-only"],
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", "SPDX-License-Identifier: MIT"],
 }
+#: Longer headers and whole texts, over any number of lines: (text, terms that a block must have too).
+BLOCKS = {
+    "Apache-2.0": [(
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+        'software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
+        {"apache", "2.0"},
+    )],
+    "BSD-3-Clause": [(
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+        "and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission.",
+        {"neither", "endorse"},
+    )],
+    "GPL-3.0": [(
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        {"gnu", "general", "3"},
+    )],
+    "MIT": [(
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        {"hereby", "granted", "sublicense"},
+    )],
+}
+#: Titles, by which only a text that begins with one is licensed.
+TITLES = {
+    "Apache-2.0": ["Apache License Version 2.0, January 2004"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License"],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International"],
+    "GPL-3.0": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "MIT": ["MIT License", "The MIT License"],
+}
+#: Terms of other licences that differ from a template by little else.
+OTHERS = {"lesser", "library", "affero"}
 #: Least cosine of a header to a template.
 HEADER = 0.75
 #: Names of files that license their directory and what is below it.
@@ -32,9 +72,14 @@ def terms(text: str) -> list[str]:
     return TERM.findall(text.lower())
 
 
-VOCABULARY = sorted({t for notices in TEMPLATES.values() for n in notices for t in terms(n)})
-#: A line can only match if it has one of these, which every template has.
-MARKS = ("licens", "mit", "spdx", "cc")
+def listed() -> list[tuple[str, str, frozenset[str], bool]]:
+    """(licence, text, terms needed, whether only the beginning counts) of all templates."""
+    notices = [(name, n, frozenset(), False) for name, texts in TEMPLATES.items() for n in texts]
+    blocks = [(name, n, frozenset(needed), False) for name, texts in BLOCKS.items() for n, needed in texts]
+    return notices + blocks + [(name, n, frozenset(terms(n)), True) for name, texts in TITLES.items() for n in texts]
+
+
+VOCABULARY = sorted({t for _, n, *_ in listed() for t in terms(n)})
 
 
 class Templates:
@@ -44,6 +89,8 @@ class Templates:
         self.idf, self.other = idf, other
         self.names = [name for name, notices in TEMPLATES.items() for _ in notices]
         self.vectors = [self.vector(n) for notices in TEMPLATES.values() for n in notices]
+        #: All templates, the notices first: (licence, vector, number of terms, terms needed, only at the beginning).
+        self.all = [(name, self.vector(n), len(terms(n)), needed, begins) for name, n, needed, begins in listed()]
 
     def vector(self, text: str) -> dict[str, float]:
         v = {t: n * self.idf.get(t, self.other) for t, n in Counter(terms(text)).items()}
@@ -57,6 +104,53 @@ class Templates:
         k = int(np.argmax(cosines))
         return (self.names[k], cosines[k]) if cosines[k] > 0 else (None, 0.0)
 
+    def reach(self, held: set[str], k: int) -> float:
+        """The greatest cosine that terms among `held` can have with template k of all."""
+        return sum(x * x for t, x in self.all[k][1].items() if t in held) ** 0.5
+
+    def find(self, text: str, threshold: float) -> tuple[str | None, float]:
+        """The licence nearest to any line or block of a text, and the cosine; (None, 0) if none can reach the threshold.
+
+        A block is as many terms in a row as a template has, over any lines.
+        """
+        words = terms(text)
+        held = set(words)
+        may = [k for k in range(len(self.all)) if self.all[k][3] <= held and self.reach(held, k) >= threshold - 1e-9]
+        if not may:
+            return None, 0.0
+        found: tuple[str | None, float] = (None, 0.0)
+        for line in text.split("\n"):
+            of_line = set(terms(line))
+            if any(self.reach(of_line, k) >= threshold - 1e-9 for k in may if k < len(self.vectors)):
+                got = self.best(line)
+                if got[1] > found[1]:
+                    found = got
+        for k in may:
+            name, vector, length, needed, begins = self.all[k]
+            got = self.block(words[:length] if begins else words, vector, length, needed)
+            if got > found[1] + 1e-9:
+                found = (name, got)
+        return found
+
+    def block(self, words: list[str], vector: dict[str, float], length: int, needed: frozenset[str]) -> float:
+        """The greatest cosine of `length` terms in a row that have the needed ones, and none of other licences."""
+        weight = {t: self.idf.get(t, self.other) for t in set(words)}
+        count: Counter[str] = Counter()
+        best = dot = square = 0.0
+        for i, t in enumerate(words):
+            square += (2 * count[t] + 1) * weight[t] ** 2
+            dot += weight[t] * vector.get(t, 0.0)
+            count[t] += 1
+            if i >= length:
+                gone = words[i - length]
+                square -= (2 * count[gone] - 1) * weight[gone] ** 2
+                dot -= weight[gone] * vector.get(gone, 0.0)
+                count[gone] -= 1
+            if (i >= length - 1 or i == len(words) - 1) and dot > best * square**0.5:
+                if all(count[n] for n in needed) and not (needed and any(count[o] for o in OTHERS)):
+                    best = dot / square**0.5
+        return best
+
 
 def statistics(files: DataFrame, text_col: str) -> Templates:
     """Inverse document frequencies of the templates' terms over all the texts.
@@ -81,8 +175,10 @@ def statistics(files: DataFrame, text_col: str) -> Templates:
 def scan(files: DataFrame, *, path_col: str = "path", text_col: str = "text", threshold: float = HEADER) -> DataFrame:
     """files with own_license, similarity, license and license_from (columns of these names are replaced).
 
-    own_license: the template nearest to any line of the whole text, if the cosine reaches the
-    threshold. Other files take the licence of the nearest directory above them that holds a
+    own_license: the template nearest to any line, or to any block of as many terms as the
+    template has, of the whole text, if the cosine reaches the threshold; titles of licences count
+    where a text begins with them. similarity: that cosine, or 0 where the text lacks the terms to
+    reach the threshold with any template. Other files take the licence of the nearest directory above them that holds a
     licence file (by its name) with a licence of its own; of several in one directory the most
     similar counts, then the first by name. license_from: that directory, or the path itself.
 
@@ -97,14 +193,7 @@ def scan(files: DataFrame, *, path_col: str = "path", text_col: str = "text", th
     def nearest(text: pd.Series) -> pd.DataFrame:
         out = []
         for t in text:
-            found: tuple[str | None, float] = (None, 0.0)
-            for line in t.split("\n") if isinstance(t, str) else ():
-                low = line.lower()
-                if any(m in low for m in MARKS):
-                    got = templates.best(line)
-                    if got[1] > found[1]:
-                        found = got
-            out.append(found)
+            out.append(templates.find(t, threshold) if isinstance(t, str) else (None, 0.0))
         return pd.DataFrame(out, columns=["name", "similarity"])
 
     own = files.drop(*[c for c in ("own_license", "similarity", "license", "license_from") if c not in (path_col, text_col)])

@@ -41,3 +41,40 @@ def test_every_notice_is_its_own_nearest():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "path string, text string")
     assert licenses.scan(df).count() == 0
+
+
+def test_files_and_headers_of_several_lines():
+    t = licenses.Templates({w: 2.0 for w in licenses.VOCABULARY}, 5.0)
+    mit = "\n".join(f" * {line}" for line in licenses.BLOCKS["MIT"][0][0].replace(", ", ",\n").split("\n"))
+    gpl = licenses.BLOCKS["GPL-3.0"][0][0]
+    apart = "\n".join(f"# {x}" for x in gpl.replace("under the", "under\nthe").replace("published by", "published by\n").split("\n"))
+    filler = "some words of a file " * 30
+    for text, want in [
+        ("MIT License\n\nCopyright (c) 2020 X", "MIT"),
+        ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n" + filler, "GPL-3.0"),
+        ("   Apache License\n  Version 2.0, January 2004\n" + filler, "Apache-2.0"),
+        ("Copyright (c) 2020 X. Licensed under the MIT License.", "MIT"),
+        (f"{filler} Licensed under the Apache License, Version 2.0. {filler}", "Apache-2.0"),
+        ("# Licensed under the\n# Apache License,\n# Version 2.0.", "Apache-2.0"),
+        (f"{filler}\n{mit}\n{filler}", "MIT"),
+        (f"{filler}\n{apart}\n{filler}", "GPL-3.0"),
+        ("redistributed\n" + licenses.BLOCKS["BSD-3-Clause"][0][0], "BSD-3-Clause"),
+        ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", None),
+        (gpl.replace("version 3", "version 2"), None),
+        (filler + "\nunlike the MIT License\n" + filler, None),
+    ]:
+        got, cosine = t.find(text, licenses.HEADER)
+        assert (got if cosine >= licenses.HEADER else None) == want, text[:80]
+
+
+def test_lines_that_can_match_are_not_skipped():
+    """Whatever `best` gives a line at the threshold or above, `find` gives at least."""
+    t = licenses.Templates({w: 1.0 + len(w) for w in licenses.VOCABULARY}, 5.0)
+    for notices in licenses.TEMPLATES.values():
+        for n in notices:
+            words = n.split()
+            for gone in range(len(words)):
+                line = " ".join(words[:gone] + words[gone + 1 :])
+                name, cosine = t.best(line)
+                if cosine >= licenses.HEADER:
+                    assert t.find(f"ab\n{line}\ncd", licenses.HEADER)[1] >= cosine - 1e-9
