@@ -1,11 +1,13 @@
 """The pipeline against a plain version of each stage, in Python over all rows."""
 
+import re
 from collections import Counter, defaultdict
 
 import corpus_pipeline
 import pytest
 from ledgerwright.llm import quality
 from ledgerwright.llm.queries import PIECE_MODEL
+from pyspark.sql import functions as F
 
 sentencepiece = pytest.importorskip("sentencepiece")
 
@@ -43,6 +45,36 @@ def test_quality_stage(stages):
     assert quality.LATEST == 3
 
 
+def linear_brute(text):
+    """tests.llm.test_quality.brute with a dictionary of windows, for texts of any length."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    often = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(5)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines), len(lines) - len(set(lines)), len(covered)
+
+
+@pytest.mark.parametrize("chunk", [quality.CHUNK_WORDS, 2000])
+def test_quality_stage_on_texts_of_all_lengths(spark, sf, monkeypatch, chunk):
+    """Chunk borders fall between long texts as well."""
+    monkeypatch.setattr(quality, "CHUNK_WORDS", chunk)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    some = [r["text"] for r in docs.collect()]
+    twice = max(some, key=len)
+    docs = docs.unionByName(docs.where(F.length("text") == len(twice)).limit(1).withColumn("text", F.concat_ws("\n", "text", "text")))
+
+    def keep(text):
+        n, chars, symbols, lines, dup, repeat = linear_brute(text)
+        return n >= 10 and 100 * repeat <= 20 * n and 100 * symbols <= 10 * chars and 100 * dup <= 60 * lines and 2 * n <= chars <= 15 * n
+
+    all_rows = rows(docs)
+    want = [r for r in all_rows if keep(r[1])]
+    assert rows(corpus_pipeline.keep_good(spark, docs, sf)) == want
+    long = [keep(r[1]) for r in all_rows if len(r[1]) >= 6000]
+    assert any(long) and not all(long)
+
+
 def test_language_stage_keeps_clean_documents(stages):
     before, after = rows(stages[1]), rows(stages[2])
     assert set(after) <= set(before) and len(after) > 0.97 * len(before)
