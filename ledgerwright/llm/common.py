@@ -4,8 +4,10 @@ broadcasts, grouped maps without one Python call per group, and connected compon
 from __future__ import annotations
 
 import pickle
+import re
 import sys
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,8 +15,9 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a narrow table may be broadcast (about 16 MB of keys).
+#: A table may be broadcast up to so many rows and so many bytes of its files.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 8 << 20
 #: Arrow batches stay this small because a single text may be very long.
 BATCH_ROWS = 256
 #: A word is a run of anything but these ASCII blanks.
@@ -36,22 +39,50 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder all of the cluster shares: spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder all of the cluster shares: spark.checkpoint.dir.
+
+    Where that is unset, a temporary folder serves a session within this one process; any other
+    master is an error, since executors elsewhere would not see the driver's folder.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Compute df once into the shared checkpoint folder and cut its lineage."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    """Compute df once into a table in the shared folder, and read it from there: its lineage ends."""
+    path = f"{checkpoint_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def _folder(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    at, fs = _folder(spark, path)
+    fs.delete(at, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that durable() wrote, once nothing will read them."""
+    for df in tables:
+        drop_folder(df.sparkSession, df.stored_at)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it is counted to have at most `rows` rows, else unhinted."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """A durable table with a broadcast hint if it has at most `rows` rows and BROADCAST_BYTES, else unhinted."""
+    at, fs = _folder(df.sparkSession, df.stored_at)
+    small = fs.getContentSummary(at).getLength() <= BROADCAST_BYTES and df.limit(rows + 1).count() <= rows
+    return F.broadcast(df) if small else df
 
 
 def shared(spark: SparkSession, value) -> Callable:
@@ -114,22 +145,26 @@ def components(edges: DataFrame) -> DataFrame:
     Edges point from the larger to the smaller id. In each step every node finds its smallest
     neighbour; its other neighbours are hooked to that one, and the node itself to the smallest
     neighbour of that. The steps needed grow with the logarithm of the longest path. A step is
-    one pre-aggregated minimum, two joins that can be split where a node has very many links,
-    and one distinct; nothing is collected but a checksum. Null ids and self links are ignored.
-    An empty input gives an empty result.
+    one pre-aggregated minimum, written, two joins with it that can be split where a node has very
+    many links, and one distinct; nothing is collected but a checksum, and each step's table
+    replaces the one before. Null ids and self links are ignored. An empty input gives an empty result.
     """
     proper = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     e = durable(proper.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = None
     while True:
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
+        low = durable(e.groupBy("u").agg(F.min("v").alias("m")))
         hooked = e.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         onward = low.select(F.col("u").alias("m"), F.col("m").alias("mm"))
         jumped = low.join(onward, "m", "left").select("u", F.coalesce("mm", "m").alias("v"))
-        e = durable(hooked.unionByName(jumped).distinct())
+        after = durable(hooked.unionByName(jumped).distinct())
+        release(e, low)
+        e = after
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now
     pairs = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return pairs.unionByName(pairs.select(F.col("root").alias("node"), "root").distinct())
+    whole = durable(pairs.unionByName(pairs.select(F.col("root").alias("node"), "root").distinct()))
+    release(e)
+    return whole

@@ -8,8 +8,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, by_value, durable, small_batches
-from .pairing import REGION, link
+from .common import broadcast_if_small, by_value, durable, release, shared, small_batches
+from .pairing import REGION, compare_regions, crossing_regions, link, mixed_regions
 
 SHINGLE = 5
 PERMUTATIONS = 64
@@ -18,6 +18,10 @@ MISSED = 1e-5
 #: Standard deviations of the estimated similarity that a link may fall below the threshold.
 SLACK = 3.8
 CHUNK_WORDS = 200_000
+#: Counters of the frequencies of shingles in dense regions (8 MB); collisions cost time, no links.
+SLOTS = 1 << 20
+#: Heads of too large regions that a document is paired with, those it meets most often.
+HEADS = 2
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -102,14 +106,15 @@ def signatures(texts: list[str | None]) -> list[tuple[int, bytes | None, bytes |
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_shingles, cls, sig), a row for each row of docs, in one pass over the whole texts."""
+    """(id, text_hash, n_shingles, cls, sig), a row for each row of docs, in one pass over the whole texts."""
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("n_shingles long, cls binary, sig binary")
     def signed(text: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(signatures([x if isinstance(x, str) else None for x in text]), columns=["n_shingles", "cls", "sig"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), signed(F.col(text_col).cast("string")).alias("s")).select("id", "s.*")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), signed(text).alias("s")).select("id", "text_hash", "s.*")
 
 
 def least_depth(threshold: float) -> int:
@@ -149,8 +154,9 @@ def load_signatures(frame: pd.DataFrame) -> dict[str, np.ndarray]:
     return {"sig": sig, "n": frame["n"].to_numpy()}
 
 
-def forest(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-    """(regions, stars, whole): the groups to start from, pairs with two heads of what is too large, and all groups.
+def forest(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | None, DataFrame, list[DataFrame]]:
+    """(regions, stars, whole, tables): the groups to start from, pairs (leaf, centre) with heads of what is too large,
+    all groups, and the tables that these are read from.
 
     Every tree is an order of the signatures; documents with a common prefix of
     least_depth() values are a whole region, and links are looked for in all of these. To link
@@ -164,10 +170,13 @@ def forest(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | No
     trees = F.explode(F.sequence(F.lit(0), F.lit(PERMUTATIONS // least - 1))).alias("tree")
     entries = reps.select("id", "sig", trees)
     regions = stars = whole = None
+    tables = []
     for depth in depths:
         keyed = entries.select("id", "tree", order_key(least, depth).alias("region"))
-        counts = keyed.groupBy("region").agg(F.count("*").alias("many"), F.min("id").alias("head")).where("many > 1")
+        counts = durable(keyed.groupBy("region").agg(F.count("*").alias("many"), F.min("id").alias("head")).where("many > 1"))
         part = durable(keyed.join(counts, "region"))
+        release(counts)
+        tables.append(part)
         whole = part.select("id", "region") if whole is None else whole
         done = F.lit(True) if depth == PERMUTATIONS else F.col("many") <= REGION
         settled = part.where(done).select("id", "region")
@@ -175,13 +184,95 @@ def forest(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | No
         large = part.where(~done)
         if large.isEmpty():
             break
-        often = large.groupBy("id").agg(F.count("*").alias("often"))
-        centres = large.join(often, "id").groupBy("region").agg(F.min(F.struct(-F.col("often"), "id")).alias("x")).select("region", F.col("x.id").alias("centre"))
-        heads = large.join(centres, "region").select("id", F.explode(F.array("head", "centre")).alias("head")).where("id <> head")
-        star = heads.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
+        often = durable(large.groupBy("id").agg(F.count("*").alias("often")))
+        centres = large.join(often, "id").groupBy("region").agg(F.min(F.struct(-F.col("often"), "id")).alias("x"))
+        centres = durable(centres.select("region", F.col("x.id").alias("centre")))
+        heads = large.join(centres, "region").select(F.col("id").alias("leaf"), F.explode(F.array("head", "centre")).alias("centre")).where("leaf <> centre")
+        star = durable(heads.groupBy("leaf", "centre").agg(F.count("*").alias("met")))
+        release(often, centres)
+        tables.append(star)
         stars = star if stars is None else stars.unionByName(star)
         entries = large.select("id", "tree").join(reps.select("id", "sig"), "id")
-    return regions, stars, whole
+    if stars is not None:
+        met = stars.groupBy("leaf", "centre").agg(F.sum("met").alias("met")).groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct((-F.col("met")).alias("m"), "centre"))).alias("x"))
+        stars = met.select("leaf", F.explode(F.slice("x", 1, HEADS)).alias("x")).select("leaf", "x.centre")
+    return regions, stars, whole, tables
+
+
+def may_link(threshold: float):
+    """Whether rows can link whose first common shingle, in the order of rare_first(), has these positions.
+
+    Sets of n and m link only if they share o = t / (1 + t) * (n + m) shingles, so the first
+    they share is among the first n - o + 1 of the one and the first m - o + 1 of the other.
+    """
+    percent = round(threshold * 100)
+
+    def close(columns: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        n, m = columns["n"][i], columns["n"][j]
+        least = -(-percent * (n + m) // (100 + percent))
+        fits = (columns["pos"][i] <= n - least) & (columns["pos"][j] <= m - least) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+        return np.where(fits, 1, -1)
+
+    return close
+
+
+def rare_first(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in order of how often their counter was hit, then of their hash; and these counts."""
+    often = counts[(hashes % np.uint64(SLOTS)).astype(np.int64)]
+    order = np.lexsort((hashes, often))
+    return hashes[order], often[order]
+
+
+def dense_pairs(texts, threshold: float):
+    """All pairs (leaf, centre) of (id, label) with different labels that may link: an exact prefix filter.
+
+    Shingles are ordered by a count of them among these documents, rare ones first (a table
+    of SLOTS counters, whatever the input). Documents that link share one among the first of both, so they
+    are joined on those; shingles that only one document has are left out. What all of a region share stands last, so
+    similar documents that don't link seldom meet.
+    """
+    percent = round(threshold * 100)
+
+    def pairs(dense: DataFrame) -> DataFrame:
+        spark = dense.sparkSession
+        with_text = lambda: texts(dense.select("id")).join(dense, "id")
+
+        def sets_of(frame: pd.DataFrame):
+            whole = list(frame["text"])
+            for start, end in chunks(whole):
+                yield from zip(range(start, end), shingle_sets(whole[start:end]), strict=True)
+
+        def count(frames):
+            for frame in frames:
+                got = [s for _, s in sets_of(frame)]
+                slot, n = np.unique(np.concatenate(got) % np.uint64(SLOTS), return_counts=True)
+                yield pd.DataFrame({"slot": slot.astype(np.int64), "n": n})
+
+        found = with_text().select("text").mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+        counts = np.zeros(SLOTS, np.int64)
+        counts[found["slot"].to_numpy()] = found["n"].to_numpy()
+        sent = shared(spark, counts)
+
+        def firsts(frames):
+            for frame in frames:
+                ids, labels = frame["id"].to_numpy(), frame["label"].to_numpy()
+                for i, s in sets_of(frame):
+                    n = len(s)
+                    rare, often = rare_first(s, sent())
+                    first = n - -(-percent * n // 100) + 1
+                    at = np.flatnonzero(often[:first] > 1)
+                    if len(at):
+                        yield pd.DataFrame({"region": rare[at].view(np.int64), "id": ids[i], "label": labels[i], "n": n, "pos": at})
+
+        entries = durable(with_text().select("id", "label", "text").mapInPandas(firsts, "region long, id long, label long, n long, pos long"))
+        shape = mixed_regions(entries)
+        crossing = crossing_regions(entries, shape)
+        load = lambda frame: {"n": frame["n"].to_numpy(), "pos": frame["pos"].to_numpy()}
+        out = durable(compare_regions(crossing, may_link(threshold), load, True).select("leaf", "centre").distinct())
+        release(entries, shape)
+        return out
+
+    return pairs
 
 
 def check_sets(threshold: float):
@@ -212,32 +303,41 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, id_col: str = "d
     the threshold; components of links are the groups, named by their smallest id.
 
     The first round compares each document with its closest; a second one all candidates that
-    the first left in different groups, in regions of the least depth and any size, so that only
-    pairs that no region holds can be missed (for a pair at 0.85, about 1 in 100,000).
+    the first left in different groups, in regions of the least depth and any size. In small regions
+    signatures say what may link; in dense ones an exact prefix filter does (dense_pairs). So only
+    pairs that no region holds can be missed (for a pair at 0.85, about 1 in 100,000), and in
+    small regions those whose signatures underrate them (about 1 in 10,000).
 
     Null texts and texts without words have no shingles and link with nothing. Rows without id
     are kept and have no component. Rows that repeat an id count as one document (one whose
-    class of smallest id they share), and each gets its row. Empty tables give an empty result.
+    class of smallest id they share; links are those of its text of the fewest shingles, by
+    class and text hash where these tie), and each gets its row. Empty tables give an empty result.
     """
     table = durable(sketch(docs, id_col, text_col))
     with_words = table.where("cls IS NOT NULL AND id IS NOT NULL")
-    classes = durable(with_words.groupBy("cls", "sig", F.col("n_shingles").alias("n")).agg(F.min("id").alias("id")))
-    reps = classes.groupBy("id").agg(F.min(F.struct("n", "sig")).alias("x")).select("id", "x.n", "x.sig")
-    regions, stars, whole = forest(reps, threshold)
+    keys = ["cls", "sig", F.col("n_shingles").alias("n")]
+    classes = durable(with_words.groupBy(*keys).agg(F.min(F.struct("id", "text_hash")).alias("x")).select("cls", "sig", "n", "x.id", "x.text_hash"))
+    reps = durable(classes.groupBy("id").agg(F.min(F.struct("n", "sig", "text_hash")).alias("x")).select("id", "x.n", "x.sig", "x.text_hash"))
+    regions, stars, whole, tables = forest(reps, threshold)
 
     def texts(ids: DataFrame) -> DataFrame:
-        own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-        # rows that repeat an id: one text stands for it
-        return own.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-
-    _, groups = link(regions, reps, stars, closeness(threshold), load_signatures, texts, check_sets(threshold), whole)
-    roots = classes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("cls", F.coalesce("root", "id").alias("component_id"))
+        """(id, text) of the wanted ids: the text whose signature stands for the id, once."""
+        text = F.col(text_col).cast("string")
+        own = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+        wanted = durable(ids.distinct().join(reps.select("id", "text_hash"), "id"))
+        return own.join(broadcast_if_small(wanted), ["id", "text_hash"], "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+
+    links, groups = link(
+        regions, reps.select("id", "n", "sig"), stars, closeness(threshold), load_signatures, texts, check_sets(threshold), whole, dense_pairs(texts, threshold)
+    )
+    roots = durable(classes.select("cls", "id").join(groups.withColumnRenamed("node", "id"), "id", "left").select("cls", F.coalesce("root", "id").alias("component_id")))
     own = table.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("cls")).alias("cls"))
-    out = own.join(roots, "cls", "left")
     component = F.coalesce("component_id", "id")
-    return out.select(
+    out = durable(own.join(roots, "cls", "left").select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")
-    )
+    ))
+    release(table, classes, reps, links, groups, roots, *tables)
+    return out
 
 
 def drop_near_duplicates(docs: DataFrame, *, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,8 +345,10 @@ def drop_near_duplicates(docs: DataFrame, *, threshold: float = 0.8, id_col: str
 
     Repeated rows of that document all stay.
     """
-    gone = near_duplicates(docs, threshold=threshold, id_col=id_col, text_col=text_col).where("NOT kept").select(F.col(id_col).alias("near_gone")).distinct()
-    return docs.join(broadcast_if_small(durable(gone)), F.col(id_col) == F.col("near_gone"), "left_anti")
+    judged = near_duplicates(docs, threshold=threshold, id_col=id_col, text_col=text_col)
+    gone = durable(judged.where("NOT kept").select(F.col(id_col).alias("near_gone")).distinct())
+    release(judged)
+    return docs.join(broadcast_if_small(gone), F.col(id_col) == F.col("near_gone"), "left_anti")
 
 
 by_value(__name__)

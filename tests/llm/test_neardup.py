@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from ledgerwright.llm import neardup, pairing
 
@@ -75,6 +76,55 @@ def test_large_star_around_the_largest_id(spark):
     assert out.where("component_id <> 0").count() == 0 and out.where("kept").count() == 1
 
 
+def matched(texts, threshold):
+    """Roots by brute force: shared shingles of each document with all others, by lists of the documents of a shingle."""
+    sets = neardup.shingle_sets(texts)
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    held = np.split(owner[np.argsort(token, kind="stable")], np.cumsum(np.bincount(token))[:-1])
+    own = np.split(token, np.cumsum(size)[:-1])
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        common = np.bincount(np.concatenate([held[t] for t in own[i]]), minlength=len(texts))
+        for j in np.flatnonzero(100 * common >= round(100 * threshold) * (size[i] + size - common)):
+            a, b = find(i), find(int(j))
+            root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+def test_links_among_boilerplate(spark):
+    """Documents that share most of their words without linking, and planted pairs just above the threshold among them."""
+    r = random.Random(21)
+    word = lambda: f"w{r.randrange(10**9)}"
+    rows = []
+    for background, of in ((0.5, 500), (0.7, 700), (0.8, 900)):
+        shared = [word() for _ in range(140)]
+        own = round(140 * (1 - background) / (2 * background))
+        for _ in range(of // 2):
+            text = [*shared, *(word() for _ in range(own + r.randrange(3)))]
+            rows.append(text)
+            near = list(text)
+            if r.random() < 0.5:  # one word changes five shingles
+                near[-3], near[20] = word(), word()
+            else:
+                near[-own // 2 :] = [word() for _ in range(own // 2)]
+            rows.append(near)
+    r.shuffle(rows)
+    texts = [" ".join(x) for x in rows]
+    want = matched(texts, 0.85)
+    assert 300 < len(set(want)) < len(texts) - 100
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: x["component_id"] for x in neardup.near_duplicates(docs, threshold=0.85).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     rows = [(None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (6, "A b c d e f"), (7, None)]
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, component_id string")
