@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 
 from ledgerwright.llm import langid, mixing, neardup, pieces, quality
-from ledgerwright.llm.common import checkpoint_folder
+from ledgerwright.llm.common import checkpoint_folder, drop_folder
 from ledgerwright.llm.queries import PIECE_MODEL
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,7 +57,11 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each but the last is written to the shared folder and read again."""
+    """All stages over documents; each but the last is written to the shared folder and read again.
+
+    A stage's folder is deleted when the next one is written, so one lies there while a stage
+    works, and that of the last but one at the end, as the result reads it.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
@@ -65,4 +69,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
+            if k:
+                drop_folder(spark, f"{folder}/{k - 1}")
     return docs
