@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +10,6 @@ from .common import broadcast_if_small, by_value, durable
 BITS_PER_RULE = 16
 #: A block is 8 words of 64 bits, and a key sets one bit in each.
 WORDS = 8
-#: A longer list is joined without the filter, which would be too large to send to every task.
-MAX_FILTER_BYTES = 64 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,76 +42,68 @@ def rule_key(host: Column, path: Column) -> Column:
 
 
 class BlockedBloom:
-    """A Bloom filter whose keys each touch one block of 512 bits."""
+    """A Bloom filter whose keys each touch one block of 512 bits, as a table of the blocks that are not empty.
+
+    Probes are joined with their block, so the filter may have any size: a small one is broadcast,
+    a larger one is dealt out by block like the probes.
+    """
 
     def __init__(self, keys: DataFrame, count: int):
         self.blocks = max(1, -(-count * BITS_PER_RULE // (64 * WORDS)))
-        block, hashes = self.places(F.col("key"))
-        bits = keys.select(block.alias("block"), hashes.alias("bits")).select("block", F.posexplode("bits").alias("word", "bit"))
-        words = bits.groupBy("block", "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect()
-        self.table = np.zeros((self.blocks, WORDS), np.uint64)
-        for r in words:  # no more than the filter has words
-            self.table[r["block"], r["word"]] = np.uint64(r["bits"] & (2**64 - 1))
-
-    def places(self, key: Column) -> tuple[Column, Column]:
-        """The block of a key, and the bit in each of its words."""
-        h, g = F.xxhash64(key), F.xxhash64(F.lit(1), key)
-        bits = [F.shiftrightunsigned(g, 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(WORDS)]
-        return F.pmod(h, F.lit(self.blocks)).cast("long"), F.array(*bits)
+        words = [F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), self.bit("key", i))).alias(f"word{i}") for i in range(WORDS)]
+        self.table = durable(keys.groupBy(self.block("key").alias("block")).agg(*words))
 
-    def passing(self, probes: DataFrame) -> DataFrame:
-        """The probes (key, ...) that may be in the filter."""
-        sent = probes.sparkSession.sparkContext.broadcast(self.table)
+    def block(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.blocks)).cast("long")
 
-        @F.pandas_udf("boolean")
-        def may_hold(block: pd.Series, bits: pd.Series) -> pd.Series:
-            if not len(block):
-                return pd.Series([], dtype=bool)
-            words = sent.value[block.to_numpy()]
-            wanted = np.left_shift(np.uint64(1), np.stack(bits.to_numpy()).astype(np.uint64))
-            return pd.Series((words & wanted == wanted).all(1))
+    def bit(self, key: str, word: int) -> Column:
+        """The bit of a key in one of its block's words."""
+        return F.shiftrightunsigned(F.xxhash64(F.lit(1), key), 6 * word).bitwiseAND(F.lit(63)).cast("int")
 
-        block, bits = self.places(F.col("key"))
-        return probes.where(may_hold(block, bits))
+    def passing(self, probes: DataFrame) -> DataFrame:
+        """The probes (key, ...) that may be in the filter."""
+        placed = probes.withColumn("block", self.block("key")).join(broadcast_if_small(self.table), "block")
+        held = F.lit(True)
+        for i in range(WORDS):
+            held = held & (F.call_function("shiftright", F.col(f"word{i}"), self.bit("key", i)).bitwiseAND(F.lit(1).cast("long")) == 1)
+        return placed.where(held).select(*probes.columns)
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, *, url_col: str = "url", default: str = "allow") -> DataFrame:
-    """pages with host, path, rule and verdict (columns of these names are replaced).
+    """pages with host, path, rule and verdict (columns of these names are replaced, but for the url's own).
 
     rules: (rule, action). A rule fits its host and all subdomains where the url's path starts
     with the rule's; the longest fitting rule wins (of equal length the longer host, then the
     later in code point order). Without one the verdict is `default`.
 
-    Each distinct url is asked once: for every shape of rule (labels in the host, length of the
-    path) it has one canonical key. Keys that pass the Bloom filter are joined with the list.
-    The list may have any length; the filter is sent to the tasks while it is small.
+    Each distinct url is asked once. Its host and those above it pass the Bloom filter of listed
+    hosts and are joined with these, which tells how long the paths of a host's rules are; the
+    url's path, cut to these lengths, gives its canonical keys. Keys that pass the Bloom filter
+    of listed rules are joined with the list. The list may have any length and any shapes.
 
     Null urls and those without :// have an empty host and path and fit no rule with a host.
     Repeated rows each get their verdict; empty tables and an empty list give what they should.
+    Other columns of any name stay as they are.
     """
-    host, path = host_and_path(F.col(url_col))
-    own = pages.drop(*[c for c in ("host", "path", "rule", "verdict", "url_md5") if c != url_col])
-    parsed = own.withColumns({"host": host, "path": path}).withColumn("url_md5", F.md5(rule_key(F.col("host"), F.col("path")).cast("binary")))
+    host, path = host_and_path(F.col(f"`{url_col}`"))
+    kept = [c for c in pages.columns if c == url_col or c not in ("host", "path", "rule", "verdict")]
+    url = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("page"), host.alias("host"), path.alias("path"))
+    parsed = url.withColumn("url_md5", F.md5(rule_key(F.col("host"), F.col("path")).cast("binary")))
     listed = durable(parse_rules(rules))
-    count = listed.count()
-    shapes = listed.select("labels", F.length("path").alias("n")).distinct().collect()  # one for each form of rule
+    hosts = durable(listed.groupBy(F.col("host").alias("key")).agg(F.collect_set(F.length("path")).alias("lengths")))
+
     asked = parsed.groupBy("url_md5").agg(F.first("host").alias("host"), F.first("path").alias("path"))
     labels = F.split("host", r"\.", -1)
-    keys = [
-        F.when(
-            (F.size(labels) >= s["labels"]) & (F.length("path") >= s["n"]),
-            rule_key(F.array_join(F.slice(labels, -s["labels"], s["labels"]), "."), F.substring("path", 1, s["n"])),
-        )
-        for s in shapes
-    ]
-    probes = asked.select("url_md5", F.explode(F.array_compact(F.array(*keys) if keys else F.array().cast("array<string>"))).alias("key"))
-    if count * BITS_PER_RULE // 8 <= MAX_FILTER_BYTES:
-        probes = BlockedBloom(listed, count).passing(probes)
-    hits = probes.join(broadcast_if_small(listed), "key")
+    above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.array_join(F.slice(labels, -n, n), "."))
+    suffixes = asked.select("url_md5", "path", F.explode(above).alias("key"))
+    fits = BlockedBloom(hosts, hosts.count()).passing(suffixes).join(broadcast_if_small(hosts), "key")
+    cut = fits.select("url_md5", "path", "key", F.explode("lengths").alias("n")).where(F.col("n") <= F.length("path"))
+    keys = cut.select("url_md5", rule_key(F.col("key"), F.expr("substring(path, 1, n)")).alias("key"))
+    hits = BlockedBloom(listed, listed.count()).passing(keys).join(broadcast_if_small(listed), "key")
     best = F.max(F.struct(F.length("rule"), F.length("host"), "rule", "action")).alias("best")
     decided = durable(hits.groupBy("url_md5").agg(best).select("url_md5", "best.rule", "best.action"))
-    out = parsed.join(broadcast_if_small(decided), "url_md5", "left").withColumn("verdict", F.coalesce("action", F.lit(default)))
-    return out.select(*own.columns, "host", "path", "rule", "verdict")
+    out = parsed.join(decided, "url_md5", "left").withColumn("verdict", F.coalesce("action", F.lit(default)))
+    return out.select("page.*", *[c for c in ("host", "path", "rule", "verdict") if c not in kept])
 
 
 by_value(__name__)
