@@ -13,6 +13,8 @@ from .common import WORD, broadcast_if_small, durable, hex_fraction
 #: No document is taken more often than this, and no source's target exceeds this times its size.
 MAX_REPEAT = 3
 SEED = "mix-1"
+#: The columns that mix() looks at, by the name of its option.
+KEYS = {"id_col": "doc_id", "source_col": "source", "size_col": "size"}
 #: Rows of one cell (source, size class, digits of the key's hash) that one task may have to sort.
 CELL_ROWS = 250_000
 
@@ -87,28 +89,42 @@ def mix(
     so the words taken differ from the target by little more than one large document.
 
     No task holds a source: ranks are taken in cells (source, size class, leading hash digits),
-    whose starts are prefix sums over pre-aggregated counts. More rows give more digits.
-
-    Null source: a source of its own, last. Null size: 0. Null ids: allowed, they tie. Repeated
-    rows and ties are told apart by their rank only, so equal rows may share their copies in
-    either way. Column names that begin with mix_ are reserved. A source without words has target 0 and gives no copies; an empty table gives
-    an empty result. Reruns give the same copies.
+    whose starts are prefix sums over pre-aggregated counts. More rows give more digits. An id that
+    more than CELL_ROWS rows have gets cells of its own, by a hash of the whole row; such ids are
+    rows / CELL_ROWS at most.
+
+    Null source: a source of its own, last. Null size: 0. Rows without id stand in the order of a
+    hash of the whole row. Equal rows are told apart by their rank only, so they may share their
+    copies in either way. Other columns of any name stay. A source without words has target 0 and
+    gives no copies; an empty table gives an empty result. Reruns give the same copies.
     """
     n = docs.count()
     digits = max(1, math.ceil(math.log(max(n, 1) / CELL_ROWS, 16))) if n else 1
-    size = F.coalesce(F.col(size_col).cast("long"), F.lit(0))
-    binary = F.bin(size)
+    added = ("source_size", "target", "copies")
+    kept = [c for c in docs.columns if c in (id_col, source_col, size_col) or c not in added]
+    column = lambda c: F.col(f"`{c}`")
+    d = docs.select(
+        F.struct(*map(column, kept)).alias("mix_row"), column(id_col).alias("mix_id"), column(source_col).alias("mix_source"),
+        F.coalesce(column(size_col).cast("long"), F.lit(0)).alias("mix_size"), F.xxhash64(*map(column, kept)).alias("mix_whole"),
+    )
+    often = d.where("mix_id IS NOT NULL").groupBy(F.col("mix_id").alias("mix_hot")).agg(F.count("*").alias("mix_often"))
+    often = durable(often.where(F.col("mix_often") > CELL_ROWS))
+    binary = F.bin("mix_size")
+    hashed = F.md5(F.coalesce(F.col("mix_id").cast("string"), F.concat(F.lit("row "), F.col("mix_whole").cast("string"))).cast("binary"))
+    own_cell = F.concat("mix_hash", F.lit("."), F.pmod("mix_whole", F.ceil(F.col("mix_often") / CELL_ROWS)).cast("string"))
     d = (
-        docs.drop(*[c for c in ("source_size", "target", "copies") if c not in (id_col, source_col, size_col)])
-        .withColumn("mix_key", source_key(F.col(source_col)))
+        d.withColumn("mix_key", source_key(F.col("mix_source")))
         .withColumn("mix_class", F.concat(F.lpad(F.length(binary).cast("string"), 2, "0"), F.rpad(F.substring(binary, 1, 4), 4, "0")))
-        .withColumn("mix_hash", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")))
-        .withColumn("mix_cell", F.substring("mix_hash", 1, digits))
+        .withColumn("mix_hash", hashed)
+        .join(F.broadcast(often), F.col("mix_id") == F.col("mix_hot"), "left")
+        .withColumn("mix_cell", F.coalesce(own_cell, F.substring("mix_hash", 1, digits)))
+        .select("mix_row", "mix_id", "mix_size", "mix_whole", "mix_key", "mix_class", "mix_hash", "mix_cell")
     )
     keys = ["mix_key", "mix_class", "mix_cell"]
-    cells = durable(d.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(size).alias("words"), F.first(source_col).alias("source")))
+    cells = durable(d.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("mix_size").alias("words")))
 
-    per_source = durable(cells.groupBy("mix_key").agg(F.sum("words").alias("source_size"), F.first("source").alias("source")))
+    source = F.when(F.col("mix_key") != "n", F.substring("mix_key", 2, 1_000_000_000)).alias("source")
+    per_source = durable(cells.groupBy("mix_key").agg(F.sum("words").alias("source_size")).select("mix_key", "source_size", source))
     targets = durable(water_fill(per_source.join(weights(per_source), "mix_key").select("mix_key", "weight", "source_size"), max_repeat))
 
     classes = cells.groupBy("mix_key", "mix_class").agg(F.sum("n").alias("n"))
@@ -128,18 +144,20 @@ def mix(
             hex_fraction(F.concat(F.lit(seed), F.col("mix_key"))).alias("mix_offset"),
         )
     )
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("mix_hash", id_col))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("mix_hash", "mix_id", "mix_whole"))
     reached = lambda at: F.floor(at * F.col("mix_rate") + F.col("mix_offset"))
     at = F.col("mix_start") + F.col("mix_rank")
-    return (
+    out = (
         d.withColumn("mix_rank", rank)
         .join(starts, keys)
         .withColumn("copies", F.least(reached(at) - reached(at - 1), F.lit(max_repeat)).cast("long"))
-        .drop("mix_rank", "mix_start", "mix_rate", "mix_offset", "mix_hash", *keys)
     )
+    return out.select("mix_row.*", *[c for c in added if c not in kept])
 
 
 def take(docs: DataFrame, **options) -> DataFrame:
     """The mixture itself: each row of docs as often as mix() says, with the columns of docs."""
-    out = mix(docs, **options)
-    return out.where("copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), *[F.col(f"`{options.get(c, name)}`") for c, name in KEYS.items()])
+    out = mix(whole, **options).where("copies > 0")
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    return out.select("whole", copies).select("whole.*")

@@ -55,6 +55,17 @@ def test_nulls_ties_repeats_and_empty_tables(spark):
     assert mixing.mix(none).count() == 0 and mixing.take(none).count() == 0
 
 
+def test_one_id_and_no_id_of_very_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CELL_ROWS", 20)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "a" if i % 2 else "b", 8, "x") for i in range(600)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({"mix_hash": F.lit("own"), "copy": F.col("target")})
+    out = mixing.mix(docs)
+    taken = {r["source"]: (r["n"], r["t"]) for r in out.groupBy("source").agg(F.sum("copies").alias("n"), (F.first("target") / 8).alias("t")).collect()}
+    assert all(abs(n - t) <= 1 for n, t in taken.values())
+    assert out.where("mix_hash = 'own' AND copy = 'x'").count() == 600
+    assert mixing.take(docs).columns == docs.columns
+
+
 def test_word_count(spark):
     df = spark.createDataFrame([("a b c\x0b\nd",), ("",), (None,), (" \t",)], "t string")
     assert [r[0] for r in df.select(mixing.word_count(F.col("t"))).collect()] == [3, 0, 0, 0]
