@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, durable, map_groups, small_batches
+from .common import by_value, durable, map_groups, release, small_batches
 from .pairing import link
 
 #: Rows that a filter catches on average of vectors without structure.
@@ -21,7 +21,11 @@ SHARED = 16
 BITS = 128
 SLACK = 4.5
 #: Vectors of one component that are counted against as many others in one task.
-BLOCK = 512
+BLOCK = 2048
+#: Filters of each vector at least: the best ones, where fewer are exceeded.
+LEAST_FILTERS = 8
+#: Cosines this near the threshold are computed again in one order of additions, so that every place decides alike.
+DOUBT = 1e-9
 
 
 class ProductCode:
@@ -59,9 +63,19 @@ class ProductCode:
             many = np.searchsorted(falling, x[near] - self.cap, side="right")
             rows = np.repeat(near, many)
             within = np.arange(len(rows)) - np.repeat(np.cumsum(many) - many, many)
-            out.append(rows * self.size + order[within])
+            found = rows * self.size + order[within]
+            if len(found) < LEAST_FILTERS:
+                found = np.union1d(found, self._best(x, y))
+            out.append(found)
         return out
 
+    def _best(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The LEAST_FILTERS filters of the greatest sums, which are among as many best of each half."""
+        k = min(LEAST_FILTERS, self.size)
+        i, j = np.argsort(-x)[:k], np.argsort(-y)[:k]
+        top = np.argsort(-(x[i][:, None] + y[j][None, :]), axis=None, kind="stable")[:LEAST_FILTERS]
+        return i[top // k] * self.size + j[top % k]
+
     def sketch(self, unit: np.ndarray) -> np.ndarray:
         return np.packbits(unit @ self.signs > 0, axis=1)
 
@@ -85,6 +99,14 @@ def unit_rows(raw) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
+def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Which unit rows of a link with which of b."""
+    cosine = a @ b.T
+    i, j = np.nonzero(np.abs(cosine - threshold) < DOUBT)
+    cosine[i, j] = [float(np.add.reduce(a[p] * b[q])) for p, q in zip(i, j, strict=True)]
+    return cosine >= threshold
+
+
 def most_differing(threshold: float) -> int:
     """Sign bits that may differ: as many as two vectors at the threshold differ in, and SLACK deviations."""
     p = float(np.arccos(threshold) / np.pi)
@@ -146,17 +168,19 @@ def near_vectors(vectors: DataFrame, *, threshold: float = 0.9, id_col: str = "v
         for c, i, leaf, raw in zip(frame["centre"], frame["id"], frame["is_leaf"], frame["raw"], strict=True):
             if not leaf:
                 centre = unit_rows([raw])[0]
-            elif len(raw) == 8 * len(centre) and float(unit_rows([raw])[0] @ centre) >= threshold:
+            elif len(raw) == 8 * len(centre) and linked(unit_rows([raw]), centre[None, :], threshold)[0, 0]:
                 found.append((c, i))
         return found
 
     payload = lambda ids: reps.select("id", "raw").join(ids, "id", "left_semi")
-    _, groups = link(regions, coded.select("id", "dim", "sketch"), None, close, load, payload, check)
+    links, groups = link(regions, coded.select("id", "dim", "sketch"), None, close, load, payload, check)
 
     members = durable(groups.withColumnsRenamed({"node": "id"}).join(reps.select("id", "raw", "weight"), "id"))
-    counts = count_links(members, threshold)
+    counts = durable(count_links(members, threshold))
+    release(members, coded, links)
     found = classes.select("cls", "id", "weight").join(groups.withColumnRenamed("node", "id"), "id", "left").join(counts, "id", "left")
-    of_class = found.select("cls", F.coalesce("root", "id").alias("root"), (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    of_class = durable(found.select("cls", F.coalesce("root", "id").alias("root"), (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links")))
+    release(counts, groups, classes, reps)
     out = table.withColumn("joined", F.when(F.col("id").isNotNull(), F.col("cls"))).select("id", "joined").join(of_class, F.col("joined") == F.col("cls"), "left")
     component = F.coalesce("root", "id")
     return out.select(
@@ -169,7 +193,7 @@ def count_links(members: DataFrame, threshold: float) -> DataFrame:
 
     A component is cut into parts, and each part is held against each, itself included.
     """
-    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    sizes = durable(members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("parts")))
     parted = members.join(sizes, "root").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
     every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     mine = ("root", "id", "raw", "weight")
@@ -184,8 +208,8 @@ def count_links(members: DataFrame, threshold: float) -> DataFrame:
             own = some["counts"].to_numpy()
             against = own if some["alone"].iloc[0] else ~own
             same = some["id"].to_numpy()[own][:, None] == some["id"].to_numpy()[against][None, :]
-            linked = (unit[own] @ unit[against].T >= threshold) & ~same
-            out.append(pd.DataFrame({"id": some["id"].to_numpy()[own], "linked": linked @ weight[against]}))
+            count = (linked(unit[own], unit[against], threshold) & ~same) @ weight[against]
+            out.append(pd.DataFrame({"id": some["id"].to_numpy()[own], "linked": count}))
         return pd.concat(out)
 
     parts = map_groups(blocks, "block", count, "id long, linked long", then=("id",))
