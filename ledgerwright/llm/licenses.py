@@ -165,9 +165,10 @@ def statistics(files: DataFrame, text_col: str) -> Templates:
     def held(text: pd.Series) -> pd.Series:
         return pd.Series([sorted(known.intersection(terms(t))) if isinstance(t, str) else [] for t in text], dtype=object)
 
-    each = files.select(F.explode(held(F.col(text_col).cast("string"))).alias("term"))
+    # the empty term stands for the text itself
+    each = files.select(F.explode(F.concat(F.array(F.lit("")), held(F.col(f"`{text_col}`").cast("string")))).alias("term"))
     counts = {r["term"]: r["count"] for r in each.groupBy("term").count().collect()}
-    total = files.count()
+    total = counts.get("", 0)
     idf = {t: float(np.log((1 + total) / (1 + counts.get(t, 0))) + 1) for t in VOCABULARY}
     return Templates(idf, float(np.log(1 + total) + 1))
 
@@ -184,7 +185,7 @@ def scan(files: DataFrame, *, path_col: str = "path", text_col: str = "text", th
 
     Distinct directories are joined with the licensed ones level by level upwards in one join;
     files are joined with what their directory got. Null texts have no licence of their own,
-    files with a null path inherit none; repeated rows each get their result.
+    files with a null path inherit none; repeated rows each get their result, and columns of other names stay.
     """
     small_batches(files.sparkSession)
     templates = statistics(files, text_col)
@@ -196,16 +197,17 @@ def scan(files: DataFrame, *, path_col: str = "path", text_col: str = "text", th
             out.append(templates.find(t, threshold) if isinstance(t, str) else (None, 0.0))
         return pd.DataFrame(out, columns=["name", "similarity"])
 
-    own = files.drop(*[c for c in ("own_license", "similarity", "license", "license_from") if c not in (path_col, text_col)])
-    found = own.withColumn("license_near", nearest(F.col(text_col).cast("string")))
-    name = F.when(F.col("license_near.similarity") >= threshold, F.col("license_near.name"))
-    similarity = F.col("license_near.similarity")
-    parts = F.split(path_col, "/")
+    path, text = F.col(f"`{path_col}`").cast("string"), F.col(f"`{text_col}`").cast("string")
+    added = ("own_license", "similarity", "license", "license_from")
+    kept = [c for c in files.columns if c in (path_col, text_col) or c not in added]
+    own = files.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("file"), path.alias("path"), nearest(text).alias("near"))
+    name = F.when(F.col("near.similarity") >= threshold, F.col("near.name"))
+    parts = F.split("path", "/")
     folder = F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/")
-    marked = found.select("*", name.alias("own_license"), similarity.alias("similarity"), folder.alias("license_dir")).drop("license_near")
+    marked = own.select("file", "path", name.alias("own_license"), F.col("near.similarity").alias("similarity"), folder.alias("license_dir"))
 
     grants = marked.where(F.element_at(parts, -1).rlike(LICENCE_FILE) & F.col("own_license").isNotNull())
-    first = F.min(F.struct((-F.col("similarity")).alias("s"), F.col(path_col).alias("p"), F.col("own_license").alias("granted")))
+    first = F.min(F.struct((-F.col("similarity")).alias("s"), F.col("path").alias("p"), F.col("own_license").alias("granted")))
     grants = durable(grants.groupBy(F.col("license_dir").alias("above")).agg(first.alias("x")).select("above", "x.granted"))
     up = F.split("license_dir", "/")
     every = F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(up)), lambda n: F.array_join(F.slice(up, 1, n), "/")))
@@ -213,14 +215,14 @@ def scan(files: DataFrame, *, path_col: str = "path", text_col: str = "text", th
     above = dirs.select("license_dir", F.explode(F.array_distinct(every)).alias("above")).join(broadcast_if_small(grants), "above")
     near = above.groupBy("license_dir").agg(F.max(F.struct(F.length("above").alias("n"), "above", "granted")).alias("x"))
     near = durable(near.select("license_dir", "x.above", "x.granted"))
-    out = marked.join(broadcast_if_small(near), "license_dir", "left")
-    return out.select(
-        *own.columns,
+    out = marked.join(broadcast_if_small(near), "license_dir", "left").select(
+        "file",
         "own_license",
         "similarity",
         F.coalesce("own_license", "granted").alias("license"),
-        F.when(F.col("own_license").isNotNull(), F.col(path_col)).otherwise(F.col("above")).alias("license_from"),
+        F.when(F.col("own_license").isNotNull(), F.col("path")).otherwise(F.col("above")).alias("license_from"),
     )
+    return out.select("file.*", *[c for c in added if c not in kept])
 
 
 by_value(__name__)

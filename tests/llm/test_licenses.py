@@ -78,3 +78,10 @@ def test_lines_that_can_match_are_not_skipped():
                 name, cosine = t.best(line)
                 if cosine >= licenses.HEADER:
                     assert t.find(f"ab\n{line}\ncd", licenses.HEADER)[1] >= cosine - 1e-9
+
+
+def test_columns_of_any_name(spark):
+    rows = [("a/LICENSE", "Released under the MIT License.", 1, "x", "y", "z", "w"), ("a/b.txt", "code", 2, "x", "y", "z", "w")]
+    files = spark.createDataFrame(rows, "path string, text string, license_dir int, above string, granted string, license_near string, file string")
+    out = {r["path"]: (r["license"], r["license_dir"], r["above"], r["granted"], r["license_near"], r["file"]) for r in licenses.scan(files).collect()}
+    assert out == {"a/LICENSE": ("MIT", 1, "x", "y", "z", "w"), "a/b.txt": ("MIT", 2, "x", "y", "z", "w")}
