@@ -13,7 +13,7 @@ from .common import by_value, small_batches
 
 #: Labelled rows that a model is fitted on at most; the sample is spread over the languages.
 MAX_ROWS = 3000
-#: Languages that a model tells apart at most; more is an error, not a silent cut.
+#: Languages that a model tells apart at most; of more values those with the most rows, then the first by name.
 MAX_LANGUAGES = 512
 BUCKETS = 1 << 13
 DIMENSIONS = 16
@@ -169,13 +169,12 @@ def train(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 
     Rows are chosen by a hash of their id, so a rerun chooses the same; their whole texts are
     reduced to hashed counts where they are read, and only those counts (at most BUCKETS a row)
-    come to the driver. Rows without id, language or text are not learned from.
+    come to the driver. Rows without id, language or text are not learned from, nor are those of
+    other languages than the MAX_LANGUAGES with the most rows.
     """
     small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
     if not counts:
         return fit([], [])
     quota = 1.2 * max_rows / len(counts)

@@ -1,6 +1,8 @@
+import math
 import random
 
 import numpy as np
+import xxhash
 from ledgerwright.llm import grades
 
 
@@ -49,3 +51,44 @@ def test_nulls_and_empty_tables(spark):
     model = grades.train(docs, none, 3)
     assert grades.grade(docs, model).count() == 3
     assert grades.grade(docs.where("false"), model).count() == 0
+
+
+def plain_tails(model, text):
+    """A model's tail probabilities in plain Python, a word at a time."""
+    words = (text or "").lower().split()
+    n = max(1, len(words))
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    own = raw.split()
+    chars = sum(len(w.decode("utf-8", "surrogatepass")) for w in own)
+    symbols = sum(raw.count(c.encode()) for c in "#*$%&|<>")
+    lines = [x for x in raw.split(b"\n") if x.strip()]
+    often, inside = {}, set()
+    for i in range(len(own) - 4):
+        often.setdefault(tuple(own[i : i + 5]), []).append(i)
+    for at in often.values():
+        if len(at) > 1:
+            inside.update(i + k for i in at for k in range(5))
+    some = {w.strip(".,;:!?\"'()[]") or w for w in words}
+    some |= {f"\x00words {n.bit_length()}", f"\x00symbols {min(9, int(30 * symbols / max(1, chars)))}", f"\x00repeats {min(9, int(10 * len(inside) / n))}"}
+    some |= {f"\x00lines {min(9, int(10 * (len(lines) - len(set(lines))) / max(1, len(lines))))}", f"\x00distinct {int(5 * len(set(words)) / n)}"}
+    buckets = {xxhash.xxh3_64_intdigest(w) % grades.BUCKETS for w in some}
+    z = sum(float(model.weights[b]) for b in buckets) * len(buckets) ** -0.25
+    return [1 / (1 + math.exp(-max(-40, min(40, z - t)))) for t in model.thresholds]
+
+
+def test_query_matches_a_plain_scorer(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    ratings = labels.selectExpr("doc_id", "CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 2 END AS grade")
+    model = grades.train(docs, ratings, 3)
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    for r in grades.grade(docs.select("doc_id", "text"), model).collect():
+        tails = plain_tails(model, texts[r["doc_id"]])
+        assert abs(r["expected_grade"] - sum(tails)) < 1e-6 and abs(r["tail_probability"] - tails[-1]) < 1e-6
+        assert r["kept"] == (r["tail_probability"] >= 0.5)
+
+
+def test_very_long_texts_and_ties(spark):
+    model = grades.GradeModel(np.linspace(-1, 1, grades.BUCKETS), np.array([-0.5, 0.5]))
+    long = " ".join(f"w{i % 5000}" for i in range(300_000))
+    got = [r["expected_grade"] for r in grades.grade(spark.createDataFrame([(1, long), (2, long), (3, "")], "doc_id long, text string"), model).orderBy("doc_id").collect()]
+    assert got[0] == got[1] and abs(got[0] - sum(plain_tails(model, long))) < 1e-6 and abs(got[2] - sum(plain_tails(model, ""))) < 1e-6

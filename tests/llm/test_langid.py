@@ -62,3 +62,40 @@ def test_chunks_do_not_matter(monkeypatch):
     monkeypatch.setattr(langid, "CHUNK_CHARS", 50)
     parts = model.score(texts)
     assert whole[0] == parts[0] and np.allclose(whole[1], parts[1])
+
+
+def plain_score(model, text):
+    """A model's answer in plain Python: the mean of the logits of all n-grams of all words, softmax, the first best."""
+    total, z = 0, [0.0] * len(model.languages)
+    for word in text.lower().split():
+        whole = f"<{word}>"
+        for n in langid.GRAMS:
+            for at in range(len(whole) - n + 1):
+                h = n
+                for c in whole[at : at + n]:
+                    h = ((h ^ ord(c)) * 0x9E3779B97F4A7C15) % 2**64
+                    h ^= h >> 31
+                bucket = (h >> 11) % langid.BUCKETS
+                total += 1
+                z = [x + w for x, w in zip(z, model.logits[bucket], strict=True)]
+    z = [(x / max(total, 1) + b) * model.temperature for x, b in zip(z, model.bias, strict=True)]
+    e = [np.exp(x - max(z)) for x in z]
+    best = max(range(len(e)), key=lambda k: (e[k], -k))
+    return model.languages[best], e[best] / sum(e)
+
+
+def test_query_matches_a_plain_scorer(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(~langid.held_out(docs["doc_id"])))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, model).collect()}
+    some = sorted((r for r in docs.collect() if r["text"] and any(map(str.isalpha, r["text"]))), key=lambda r: len(r["text"]))
+    for r in [*some[:40], *some[40::20], some[-1]]:
+        lang, score = plain_score(model, r["text"])
+        assert got[r["doc_id"]][0] == lang and abs(got[r["doc_id"]][1] - score) < 1e-6
+
+
+def test_too_many_languages_leaves_the_commonest(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    rows = [(i, f"{w} {w}{w} {i}", lang) for k, (w, lang, n) in enumerate([("alpha", "a", 30), ("beta", "b", 20), ("gamma", "c", 5)]) for i in range(100 * k, 100 * k + n)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ("a", "b")
