@@ -21,8 +21,11 @@ DISPOSITION, COUNTED = "_disposition", "_counted_flags"
 
 
 def mark_exact_duplicates(rows: DataFrame, key: str = RAW, order: str = POSITION) -> DataFrame:
-    """rows with _copy: 1 for the first of equal records, 2 and up for its repetitions."""
-    return rows.withColumn("_copy", F.row_number().over(Window.partitionBy(key).orderBy(order)))
+    """rows with _copy: 1 for the first of equal records, 2 and up for its repetitions.
+
+    Records are compared by their SHA-256, so what is sorted is short however long they are.
+    """
+    return rows.withColumn("_copy", F.row_number().over(Window.partitionBy(F.sha2(F.col(key).cast("binary"), 256)).orderBy(order)))
 
 
 def mark_conflicts(rows: DataFrame, key: str) -> DataFrame:
@@ -115,14 +118,14 @@ def quarantine(settled: DataFrame) -> DataFrame:
     return rejected.select("record_key", F.array_join(REJECTS, ";").alias("reason_codes"), F.col(RAW).alias("raw_record"))
 
 
-def issue_counts(settled: DataFrame) -> DataFrame:
-    """(severity, reason_code, record_count)."""
+def issue_counts(settled: DataFrame, *by: str) -> DataFrame:
+    """(severity, reason_code, record_count), for each value of the columns `by`."""
     codes = lambda severity, column: F.transform(column, lambda c: F.struct(F.lit(severity).alias("severity"), c.alias("reason_code")))
-    each = settled.select(F.explode(F.concat(codes("REJECT", F.col(REJECTS)), codes("FLAG", F.col(COUNTED)))).alias("x"))
-    return each.groupBy("x.severity", "x.reason_code").agg(F.count("*").alias("record_count"))
+    each = settled.select(*by, F.explode(F.concat(codes("REJECT", F.col(REJECTS)), codes("FLAG", F.col(COUNTED)))).alias("x"))
+    return each.groupBy(*by, "x.severity", "x.reason_code").agg(F.count("*").alias("record_count"))
 
 
-def scorecard(settled: DataFrame) -> DataFrame:
-    """One row: records received, passed and rejected, and duplicates removed."""
+def scorecard(settled: DataFrame, *by: str) -> DataFrame:
+    """Records received, passed and rejected, and duplicates removed: one row, or one for each value of the columns `by`."""
     many = lambda d: F.count_if(F.col(DISPOSITION) == d)
-    return settled.agg(F.count("*").alias("records_received"), many(PASSED).alias("records_passed"), many(REJECTED).alias("records_rejected"), many(DUPLICATE).alias("duplicates_removed"))
+    return settled.groupBy(*by).agg(F.count("*").alias("records_received"), many(PASSED).alias("records_passed"), many(REJECTED).alias("records_rejected"), many(DUPLICATE).alias("duplicates_removed"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql.window import Window
 from ..functions.text import canonical, row_hash
 
 FIRST, OPEN = dt.date(1900, 1, 1), dt.date(9999, 12, 31)
+Stage = Callable[[DataFrame], DataFrame]
 SCD = ["valid_from", "valid_to", "is_current", "row_hash", "batch_id"]
 
 
@@ -28,13 +30,14 @@ def hashed(records: DataFrame, columns: list[str]) -> DataFrame:
     return records.withColumn("row_hash", row_hash([(c, kinds[c]) for c in columns]))
 
 
-def merge_versions(history: DataFrame, records: DataFrame, key: str, tracked: list[str], batch_id: str, batch_date: dt.date, batches: list[str]) -> tuple[DataFrame, DataFrame]:
+def merge_versions(history: DataFrame, records: DataFrame, key: str, tracked: list[str], batch_id: str, batch_date: dt.date, batches: list[str], stage: Stage = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """(new history, actions): records merged into a dimension's versions, in one join on the key.
 
     history: key, attributes and SCD columns. An absent key is inserted as known since always.
     A record whose hash is that of the current version is unchanged; one of an earlier batch than
     that version's is skipped; a change of a tracked column closes the version at the batch's
     date and opens a new one; any other change is made in place. actions: (action, n).
+    stage: writes the joined rows, from which both results are read, so that the join runs once.
     """
     attributes = [c for c in history.columns if c != key and c not in SCD]
     new = hashed(records.select(key, *attributes), attributes)
@@ -51,7 +54,7 @@ def merge_versions(history: DataFrame, records: DataFrame, key: str, tracked: li
         .when(changed, "new_version")
         .otherwise("updated_in_place")
     )
-    joined = current.join(new, "_key", "full_outer").withColumn("action", action)
+    joined = stage(current.join(new, "_key", "full_outer").withColumn("action", action))
 
     def version(source: str, valid_from: Column, valid_to: Column, is_current: int, hash_: Column, batch: Column) -> Column:
         values = [F.col(f"{source}.{c}").alias(c) for c in (key, *attributes)]
@@ -94,12 +97,13 @@ def as_of(facts: DataFrame, versions: DataFrame, fact_key: str, key: str, day: s
     return joined.select(*[c for c in facts.columns], *chosen, F.coalesce(F.size("_valid"), F.lit(0)).alias(marker))
 
 
-def upsert_facts(facts: DataFrame, records: DataFrame, key: str, hashed_columns: list[str], extra: list[str], batch_id: str, batches: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+def upsert_facts(facts: DataFrame, records: DataFrame, key: str, hashed_columns: list[str], extra: list[str], batch_id: str, batches: list[str], stage: Stage = lambda df: df) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(new facts, actions, corrections): records merged into the facts in one join on the key.
 
     An absent key is inserted; an equal hash is unchanged; a record older than the fact's last
     change is skipped; else the fact is corrected and the changed columns are logged with their
     old and new text. `extra` columns (surrogate keys) follow a correction but are not hashed.
+    stage: writes the joined rows, from which all three results are read, so that the join runs once.
     """
     columns = facts.columns
     new = hashed(records.select(key, *hashed_columns, *extra), hashed_columns)
@@ -112,7 +116,7 @@ def upsert_facts(facts: DataFrame, records: DataFrame, key: str, hashed_columns:
         .when(batch_order(F.lit(batch_id), batches) < batch_order(F.col("old.last_updated_batch_id"), batches), "skipped_newer_exists")
         .otherwise("corrected")
     )
-    joined = old.join(new, "_key", "full_outer").withColumn("action", action)
+    joined = stage(old.join(new, "_key", "full_outer").withColumn("action", action))
     takes = F.col("action").isin("inserted", "corrected")
     kinds = dict(facts.dtypes)
     values = []

@@ -34,7 +34,7 @@ OUTPUTS = {
     "dq_quarantine": "batch_id string, entity string, source_file string, record_key string, reason_codes string, raw_record string, run_id string",
     "dq_scorecard": "batch_id string, entity string, source_file string, records_received bigint, records_passed bigint, records_rejected bigint, duplicates_removed bigint, run_id string",
     "dq_issue_counts": "batch_id string, entity string, source_file string, severity string, reason_code string, record_count bigint, run_id string",
-    "ingestion_log": "batch_id string, entity string, source_file string, file_name string, size_bytes bigint, sha256 string, run_id string",
+    "ingestion_log": "batch_id string, entity string, source_file string, file_name string, size_bytes bigint, sha256 string, row_count bigint, run_id string",
 }
 SNAPSHOT = "kpi_name string, rank_no bigint, item_key string, item_label string, metric_value decimal(18,2), batch_id string"
 RUNS = "run_id string, batch_id string, status string, received bigint, passed bigint, rejected bigint, error string, at timestamp_ntz"
@@ -108,7 +108,7 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
     for name, (table, sk, columns) in DIMENSIONS.items():
         entity = ENTITIES[name]
         old = store.read(table, f"{columns}, {SCD}, {sk} bigint").drop(sk)
-        new, actions = history.merge_versions(old, dedupe.clean_records(settled[name]), entity.key, list(entity.tracked), batch_id, day, batches)
+        new, actions = history.merge_versions(old, dedupe.clean_records(settled[name]), entity.key, list(entity.tracked), batch_id, day, batches, lambda df, name=name: store.stage(f"joined_{name}", df, keep=False))
         dims[name] = store.stage(table, history.with_surrogate(new, entity.key, sk))
         summary.actions[name] = {r["action"]: r["n"] for r in actions.collect()}
         require_unique(table, dims[name], entity.key, "valid_from")
@@ -124,7 +124,7 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
     records = history.as_of(records, dims["branches"], "branch_id", "branch_id", "txn_date", {"branch_sk": "branch_sk"}, "_b")
     records = store.stage("resolved_transactions", records)
     require("transactions without a version of their day", records.where("_c = 0 OR _p = 0 OR _b = 0").select("transaction_id", "txn_date"))
-    facts, actions, log = history.upsert_facts(store.read("fact_transaction", FACT), records, "transaction_id", HASHED, KEYS, batch_id, batches)
+    facts, actions, log = history.upsert_facts(store.read("fact_transaction", FACT), records, "transaction_id", HASHED, KEYS, batch_id, batches, lambda df: store.stage("joined_transactions", df, keep=False))
     summary.actions["transactions"] = {r["action"]: r["n"] for r in actions.collect()}
     log = store.read("fact_correction_log", LOG).unionByName(log.withColumn("run_id", F.lit(summary.run_id)))
     store.stage("fact_correction_log", log)
@@ -150,6 +150,7 @@ def _quality(spark, batch_id, calendar, store, summary, settled) -> None:
         c = summary.counts[name]
         if c["records_received"] != c["records_passed"] + c["records_rejected"] + c["duplicates_removed"]:
             raise ValueError(f"{file}: records do not balance: {c}")
+        made["ingestion_log"] = made["ingestion_log"].withColumn("row_count", F.lit(c["records_received"]).cast("long"))
         for table, df in made.items():
             tags = {"batch_id": batch_id, "entity": name, "source_file": file, "run_id": summary.run_id}
             outputs[table] = outputs[table].unionByName(df.withColumns({k: F.lit(v) for k, v in tags.items()}))
@@ -170,8 +171,7 @@ def _snapshot(spark, batch_id, batches, store, facts, dims) -> None:
     old = store.read("kpi_snapshot", SNAPSHOT)
     if not old.where(F.col("batch_id").isin(later)).isEmpty():
         return
-    txn = kpi.point_in_time(facts, dims["customers"], dims["products"], dims["branches"])
-    new = kpi.snapshot(txn.select(*[c for c in txn.columns]), dims["customers"], batch_id)
+    new = kpi.snapshot(kpi.point_in_time(facts, branches=dims["branches"]), dims["customers"], batch_id)
     store.stage("kpi_snapshot", old.where(F.col("batch_id") != batch_id).unionByName(new.select(*old.columns)))
 
 
@@ -195,11 +195,13 @@ def register_views(spark: SparkSession, root: str, calendar: Calendar | None = N
     tables = {name: spark.read.parquet(path) for name, path in store.tables().items()}
     facts, c, p, b = (tables[n] for n in ("fact_transaction", "dim_customer", "dim_product", "dim_branch"))
     txn = kpi.point_in_time(facts, c, p, b)
+    bare, of_product, of_branch = kpi.point_in_time(facts), kpi.point_in_time(facts, products=p), kpi.point_in_time(facts, branches=b)
+    of_customer = kpi.point_in_time(facts, customers=c)
     views = {
-        **tables, "v_txn": txn, "v_txn_value": kpi.valued(txn), "kpi01_top_customers": kpi.top_customers(txn, c), "kpi02_branch_monthly": kpi.branch_monthly(txn), "kpi02_region_monthly": kpi.region_monthly(txn),
-        "kpi03_product_revenue": kpi.product_revenue(txn), "kpi03_product_share": kpi.product_share(txn), "kpi04_dormant_accounts": kpi.dormant_accounts(facts, c, p), "kpi05_suspicious_transactions": kpi.suspicious(txn),
-        "kpi06_customer_segments": kpi.segments(txn, facts, c), "kpi07_branch_ranking": kpi.branch_ranking(txn), "kpi08_kyc_exposure": kpi.kyc_exposure(txn), "kpi09_refund_by_product": kpi.refunds_by_product(txn),
-        "kpi09_refund_by_branch": kpi.refunds_by_branch(txn), "kpi10_dq_scorecard": kpi.dq_scorecard(tables["dq_scorecard"], tables["dq_issue_counts"]), "kpi12_kyc_transitions": kpi.kyc_transitions(c),
+        **tables, "v_txn": txn, "v_txn_value": kpi.valued(txn), "kpi01_top_customers": kpi.top_customers(bare, c), "kpi02_branch_monthly": kpi.branch_monthly(of_branch), "kpi02_region_monthly": kpi.region_monthly(of_branch),
+        "kpi03_product_revenue": kpi.product_revenue(of_product), "kpi03_product_share": kpi.product_share(of_product), "kpi04_dormant_accounts": kpi.dormant_accounts(facts, c, p), "kpi05_suspicious_transactions": kpi.suspicious(of_customer),
+        "kpi06_customer_segments": kpi.segments(bare, facts, c), "kpi07_branch_ranking": kpi.branch_ranking(of_branch), "kpi08_kyc_exposure": kpi.kyc_exposure(of_customer), "kpi09_refund_by_product": kpi.refunds_by_product(of_product),
+        "kpi09_refund_by_branch": kpi.refunds_by_branch(of_branch), "kpi10_dq_scorecard": kpi.dq_scorecard(tables["dq_scorecard"], tables["dq_issue_counts"]), "kpi12_kyc_transitions": kpi.kyc_transitions(c),
     }
     if calendar and len(calendar.dates) > 1:
         before, after = list(calendar.dates)[-2:]

@@ -29,12 +29,19 @@ def money(c: Column) -> Column:
     return c.cast(MONEY)
 
 
-def point_in_time(facts: DataFrame, customers: DataFrame, products: DataFrame, branches: DataFrame) -> DataFrame:
-    """The facts with the attributes of the dimension versions they point to, and their net value."""
-    c = customers.select("customer_sk", "customer_name", "kyc_status")
-    p = products.select("product_sk", "product_name", "product_type", "category")
-    b = branches.select("branch_sk", "branch_name", "region")
-    joined = facts.join(c, "customer_sk").join(p, "product_sk").join(b, "branch_sk")
+def point_in_time(facts: DataFrame, customers: DataFrame | None = None, products: DataFrame | None = None, branches: DataFrame | None = None) -> DataFrame:
+    """The facts with the attributes of the dimension versions they point to, and their net value.
+
+    Facts point to a version of every dimension (a batch that would break this is not published),
+    so a metric names only the dimensions whose attributes it uses and the others aren't joined.
+    """
+    joined = facts
+    if customers is not None:
+        joined = joined.join(customers.select("customer_sk", "customer_name", "kyc_status"), "customer_sk")
+    if products is not None:
+        joined = joined.join(products.select("product_sk", "product_name", "product_type", "category"), "product_sk")
+    if branches is not None:
+        joined = joined.join(branches.select("branch_sk", "branch_name", "region"), "branch_sk")
     quarter = F.concat(F.year("txn_date").cast("string"), F.lit("-Q"), F.quarter("txn_date").cast("string"))
     net = F.when(F.col("is_refund") == 1, -F.col("amount_inr")).otherwise(F.col("amount_inr"))
     return joined.withColumns({"month_start": F.trunc("txn_date", "MM"), "quarter": quarter, "net_inr": net})

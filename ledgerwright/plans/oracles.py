@@ -116,7 +116,7 @@ ORACLES = {
     "kpi02_region_monthly": f"{STAR} SELECT region, month_start, txn_count, net AS net_value_inr, {growth('PARTITION BY region ORDER BY month_start')} AS mom_growth_pct FROM ({totals('region, month_start')})",
     "kpi03_product_revenue": f"{STAR} SELECT quarter, product_type, net AS revenue_inr, txn_count, {pct('net', 'sum(net) OVER (PARTITION BY quarter)', 1)} AS share_of_quarter_pct, lag(net) OVER (PARTITION BY product_type ORDER BY quarter) AS prev_quarter_revenue_inr, {growth('PARTITION BY product_type ORDER BY quarter')} AS qoq_growth_pct FROM ({totals('quarter, product_type')})",
     "kpi03_product_share": f"{STAR} SELECT product_id, product_name, product_type, category, net AS revenue_inr, {pct('net', 'sum(net) OVER ()', 2)} AS share_pct FROM ({totals('product_id, product_name, product_type, category')})",
-    "kpi04_dormant_accounts": f"""{STAR}, f AS (SELECT * FROM t WHERE status = 'Success'),
+    "kpi04_dormant_accounts": f"""{STAR}, f AS (SELECT * FROM t),
  last AS (SELECT account_id, txn_date, product_id FROM f QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY txn_ts DESC, transaction_id DESC, product_id DESC) = 1), a AS (SELECT max(txn_date) AS d FROM f)
 SELECT 'A' || c_custkey AS account_id, 'C' || c_custkey AS customer_id, c_name AS customer_name, txn_date AS last_txn_date, date_diff('day', txn_date, d) AS days_inactive, (['Savings Account', 'Loan', 'Credit Card', 'Fixed Deposit'])[(p_size % 4 + 1)::INT] AS product_type,
   CASE WHEN p_size % 4 IN (1, 2) THEN 'High-risk dormant' ELSE 'Dormant' END AS dormancy_class
@@ -131,6 +131,20 @@ FROM customer CROSS JOIN a LEFT JOIN last ON account_id = 'A' || c_custkey LEFT
     "kpi10_dq_scorecard": f"""{LINES}, r AS (SELECT *, row_number() OVER (PARTITION BY batch_id, source_file ORDER BY record_count DESC, reason_code) AS rn FROM issues WHERE severity = 'REJECT')
 SELECT c.batch_id, c.source_file, records_received, records_passed, records_rejected, duplicates_removed, {pct('records_passed', 'records_received', 1)} AS pass_rate_pct, string_agg(reason_code || ' (' || record_count || ')', ', ' ORDER BY rn) AS top_3_reject_reasons
 FROM card c LEFT JOIN r ON r.batch_id = c.batch_id AND r.source_file = c.source_file AND rn <= 3 GROUP BY ALL""",
+    "branch_trend": f"{STAR} SELECT * FROM (SELECT region, branch_id, branch_name, month_start, txn_count, net AS net_value_inr, lag(net) OVER (PARTITION BY branch_id ORDER BY month_start) AS prev_month_value_inr, {growth('PARTITION BY branch_id ORDER BY month_start')} AS mom_growth_pct FROM ({totals('region, branch_id, branch_name, month_start')})) WHERE branch_id = 'B7'",
+    "at_risk_exposure": f"{STAR}, e AS (SELECT kyc_status, net, {pct('txn_count', 'sum(txn_count) OVER ()', 1)} AS c, {pct('net', 'sum(net) OVER ()', 1)} AS w FROM ({totals('kyc_status')})) SELECT round(sum(c), 1) AS count_pct, round(sum(w), 1) AS value_pct, sum(net)::DECIMAL(18,2) AS value_inr FROM e WHERE kyc_status <> 'Verified'",
+    "dormant_listing": f"""{STAR}, last AS (SELECT account_id, txn_date, product_id FROM t QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY txn_ts DESC, transaction_id DESC, product_id DESC) = 1), a AS (SELECT max(txn_date) AS d FROM t),
+ idle AS (SELECT 'A' || c_custkey AS account_id, date_diff('day', txn_date, d) AS days_inactive, CASE WHEN p_size % 4 IN (1, 2) THEN 'High-risk dormant' ELSE 'Dormant' END AS dormancy_class
+  FROM customer CROSS JOIN a LEFT JOIN last ON account_id = 'A' || c_custkey LEFT JOIN part ON product_id = 'P' || p_partkey WHERE txn_date IS NULL OR txn_date < d - 90)
+SELECT *, row_number() OVER (ORDER BY dormancy_class DESC NULLS LAST, days_inactive DESC NULLS LAST, account_id) AS place FROM idle""",
+    "value_listing": """SELECT 'o_orderstatus' AS column_name, o_orderstatus AS value, count(*) AS n FROM orders GROUP BY 2 HAVING (SELECT count(DISTINCT o_orderstatus) FROM orders) <= 15
+UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY 2 HAVING (SELECT count(DISTINCT o_orderpriority) FROM orders) <= 15
+UNION ALL SELECT 'o_orderkey', o_orderkey::VARCHAR, count(*) FROM orders GROUP BY 2 HAVING (SELECT count(DISTINCT o_orderkey) FROM orders) <= 15""",
+    "repeated_keys": "SELECT l_orderkey || '-' || l_linenumber AS key, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1",
+    "row_hashes": """SELECT c_custkey, sha256('{"v":[' || coalesce('"' || nullif(right(c_name, 1), '3') || '"', 'null') || ',"' || c_nationkey || '"]}') AS row_hash FROM customer""",
+    "parse_flags": """WITH m AS (SELECT c_custkey, (['yes', 'true', 'n', 'false', '1', 'maybe', ''])[(c_custkey % 7 + 1)::INT] AS said, (['paid', ' ', 'late '])[(c_custkey % 3 + 1)::INT] || ([' ', '', '  twice'])[(c_nationkey % 3 + 1)::INT] AS remark FROM customer)
+SELECT c_custkey, CASE said WHEN 'true' THEN true WHEN 'false' THEN false END AS said, nullif(trim(regexp_replace(remark, '\\s+', ' ', 'g')), '') AS remarks, CASE WHEN c_custkey % 3 = 2 THEN 'x' END AS blank FROM m""",
+    "parse_timestamp": """SELECT c_custkey, try_cast(CASE WHEN c_custkey % 5 IN (0, 2, 3) AND c_nationkey % 5 IN (0, 1, 2) THEN (['2020-01-05', '', '2019-12-31', '2020-02-29', ''])[(c_custkey % 5 + 1)::INT] || ([' 01:02:03', ' 23:59:59', ' 00:00:00', '', ''])[(c_nationkey % 5 + 1)::INT] END AS TIMESTAMP) AS at FROM customer""",
     "issue_counts": f"{LINES} SELECT * FROM issues",
     "scd2_merge": f"{VERSIONS} SELECT * FROM dim",
     "scd_actions": f"{VERSIONS} SELECT action, count(*) AS n FROM x WHERE action <> 'kept' GROUP BY action",
@@ -190,6 +204,8 @@ CROSS JOIN ({LINES} SELECT sum(records_received)::BIGINT AS records_received, su
 #: Columns of exact decimals, which the results hold as doubles.
 MONEY = {
     "star_txn": ("amount_inr", "net_inr"),
+    "branch_trend": ("net_value_inr", "prev_month_value_inr"),
+    "at_risk_exposure": ("value_inr",),
     "kpi01_top_customers": ("net_value_inr",),
     "kpi02_branch_monthly": ("net_value_inr", "prev_month_value_inr"),
     "kpi02_region_monthly": ("net_value_inr",),

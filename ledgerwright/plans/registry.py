@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..functions import text as tx
 from ..operators import dedupe, history
+from ..operators.cleaners import REJECTS
 from ..sources import readers
 from . import kpi, serving
 from .star import AFTER, AFTER_DATE, BEFORE, batch, customers, events, facts, keyed, pick, star, table
@@ -28,26 +29,26 @@ def query(f: Query) -> Query:
 @query
 def star_txn(spark, d):
     columns = ["transaction_id", "account_id", "txn_date", "month_start", "quarter", "amount_inr", "net_inr", "status", "customer_name", "kyc_status", "product_type", "category", "branch_name", "region"]
-    return star(spark, d).txn.select(*columns)
+    return star(spark, d).txn("customers", "products", "branches").select(*columns)
 
 
 @query
 def kpi01_top_customers(spark, d):
     s = star(spark, d)
-    return kpi.top_customers(s.txn, s.customers)
+    return kpi.top_customers(s.txn(), s.customers)
 
 
-for _name, _plan in (
-    ("kpi02_branch_monthly", kpi.branch_monthly), ("kpi02_region_monthly", kpi.region_monthly), ("kpi03_product_revenue", kpi.product_revenue), ("kpi03_product_share", kpi.product_share),
-    ("kpi07_branch_ranking", kpi.branch_ranking), ("kpi08_kyc_exposure", kpi.kyc_exposure), ("kpi09_refund_by_product", kpi.refunds_by_product), ("kpi09_refund_by_branch", kpi.refunds_by_branch),
+for _name, _plan, _dimension in (
+    ("kpi02_branch_monthly", kpi.branch_monthly, "branches"), ("kpi02_region_monthly", kpi.region_monthly, "branches"), ("kpi03_product_revenue", kpi.product_revenue, "products"), ("kpi03_product_share", kpi.product_share, "products"),
+    ("kpi07_branch_ranking", kpi.branch_ranking, "branches"), ("kpi08_kyc_exposure", kpi.kyc_exposure, "customers"), ("kpi09_refund_by_product", kpi.refunds_by_product, "products"), ("kpi09_refund_by_branch", kpi.refunds_by_branch, "branches"),
 ):
-    QUERIES[_name] = lambda spark, d, plan=_plan: plan(star(spark, d).txn)
+    QUERIES[_name] = lambda spark, d, plan=_plan, dimension=_dimension: plan(star(spark, d).txn(dimension))
 
 
 @query
 def kpi04_dormant_accounts(spark, d):
     s = star(spark, d)
-    return kpi.dormant_accounts(s.facts.where("status = 'Success'"), s.customers, s.products)
+    return kpi.dormant_accounts(s.facts, s.customers, s.products)
 
 
 @query
@@ -63,7 +64,7 @@ def kpi05_suspicious_60min(spark, d):
 @query
 def kpi06_customer_segments(spark, d):
     s = star(spark, d)
-    return kpi.segments(s.txn, s.facts, s.customers)
+    return kpi.segments(s.txn(), s.facts, s.customers)
 
 
 def _settled_lines(spark, d):
@@ -72,29 +73,25 @@ def _settled_lines(spark, d):
     key = F.concat_ws("-", "l_orderkey", "l_linenumber")
     rejects = F.array_compact(F.array(F.when(F.col("l_quantity") < 3, "LOW_QUANTITY"), F.when(F.col("l_discount") > 0.09, "HIGH_DISCOUNT"), F.when(F.col("l_partkey") % 97 == 0, "ORPHAN_PRODUCT")))
     flags = F.array_compact(F.array(F.when(F.col("l_tax") > 0.07, "NON_INR_CURRENCY"), F.when(F.col("l_returnflag") == "N", "MISSING_REFUND_FLAG")))
-    return l.select("*", key.alias("key"), batch("l_orderkey", 20).alias("batch_id"), F.concat(F.col("l_linestatus"), F.lit(".csv")).alias("source_file"), rejects.alias("rejects"), flags.alias("flags"))
-
-
-def _scorecard(lines):
-    rejected = F.size("rejects") > 0
-    return lines.groupBy("batch_id", "source_file").agg(F.count("*").alias("records_received"), F.count_if(~rejected).alias("records_passed"), F.count_if(rejected).alias("records_rejected"), F.lit(0).cast("long").alias("duplicates_removed"))
+    disposition = F.when(F.size(rejects) > 0, dedupe.REJECTED).otherwise(dedupe.PASSED)
+    return l.select(
+        key.alias("record_key"), batch("l_orderkey", 20).alias("batch_id"), F.concat(F.col("l_linestatus"), F.lit(".csv")).alias("source_file"), rejects.alias(REJECTS), flags.alias(dedupe.COUNTED),
+        disposition.alias(dedupe.DISPOSITION), F.to_json(F.struct("l_orderkey", "l_linenumber")).alias(readers.RAW),
+    )
 
 
-def _issues(lines):
-    each = lambda s, c: F.transform(c, lambda x: F.struct(F.lit(s).alias("severity"), x.alias("reason_code")))
-    exploded = lines.select("batch_id", "source_file", F.explode(F.concat(each("REJECT", F.col("rejects")), each("FLAG", F.col("flags")))).alias("x"))
-    return exploded.groupBy("batch_id", "source_file", "x.severity", "x.reason_code").agg(F.count("*").alias("record_count"))
+FILE = ("batch_id", "source_file")
 
 
 @query
 def kpi10_dq_scorecard(spark, d):
     lines = _settled_lines(spark, d)
-    return kpi.dq_scorecard(_scorecard(lines), _issues(lines))
+    return kpi.dq_scorecard(dedupe.scorecard(lines, *FILE), dedupe.issue_counts(lines, *FILE))
 
 
 @query
 def issue_counts(spark, d):
-    return _issues(_settled_lines(spark, d))
+    return dedupe.issue_counts(_settled_lines(spark, d), *FILE)
 
 
 def _customer_versions(spark, d) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -208,14 +205,15 @@ def kpi11_incremental_counts(spark, d):
 @query
 def kpi_snapshot(spark, d):
     s = star(spark, d)
-    return kpi.snapshot(s.txn, s.customers, AFTER)
+    return kpi.snapshot(s.txn("branches"), s.customers, AFTER)
 
 
 @query
 def kpi11_kpi_deltas(spark, d):
     s = star(spark, d)
-    before = kpi.snapshot(s.txn.where(F.col("source_batch_id") == BEFORE), s.customers, BEFORE)
-    return kpi.snapshot_deltas(before.unionByName(kpi.snapshot(s.txn, s.customers, AFTER)), BEFORE, AFTER)
+    txn = s.txn("branches")
+    before = kpi.snapshot(txn.where(F.col("source_batch_id") == BEFORE), s.customers, BEFORE)
+    return kpi.snapshot_deltas(before.unionByName(kpi.snapshot(txn, s.customers, AFTER)), BEFORE, AFTER)
 
 
 @query
@@ -340,6 +338,57 @@ def duplicate_profile(spark, d):
     return serving.duplicates(table(spark, d, "documents").select("text", "lang", "source"), "text")
 
 
+@query
+def branch_trend(spark, d):
+    """The monthly trend of one branch, in order."""
+    return serving.listing(QUERIES["kpi02_branch_monthly"](spark, d).where("branch_id = 'B7'"), "month_start")
+
+
+@query
+def at_risk_exposure(spark, d):
+    return serving.at_risk(QUERIES["kpi08_kyc_exposure"](spark, d))
+
+
+@query
+def dormant_listing(spark, d):
+    """Dormant accounts as a report lists them, with their place."""
+    return serving.placed(kpi04_dormant_accounts(spark, d), "dormancy_class DESC NULLS LAST", "days_inactive DESC NULLS LAST", "account_id").select("account_id", "dormancy_class", "days_inactive", "place")
+
+
+@query
+def value_listing(spark, d):
+    """The values of columns that have few."""
+    return serving.value_listing(table(spark, d, "orders").select("o_orderstatus", "o_orderpriority", "o_orderkey"))
+
+
+@query
+def repeated_keys(spark, d):
+    return serving.repeated_keys(_ordered_lines(spark, d).select("key"), "key")
+
+
+@query
+def row_hashes(spark, d):
+    """SHA-256 of customers' standardised rows; null and '' differ."""
+    c = table(spark, d, "customer").select("c_custkey", F.nullif(F.substring("c_name", -1, 1), F.lit("3")).alias("last"), F.col("c_nationkey").alias("nation"))
+    return history.hashed(c, ["last", "nation"]).select("c_custkey", "row_hash")
+
+
+@query
+def parse_flags(spark, d):
+    """Booleans, remarks without the mark of a correction, and blanks as null."""
+    c = table(spark, d, "customer")
+    said = F.concat(pick(("", " "), "c_custkey"), pick(("yes", "TRUE", "n", "False", "1", "maybe", ""), "c_custkey"))
+    remark = F.concat(pick(("paid", " ", "late "), "c_custkey"), pick((" [late correction]", "", "  twice"), "c_nationkey"))
+    return c.select("c_custkey", tx.parse_bool(said).cast("boolean").alias("said"), tx.clean_remarks(remark).alias("remarks"), tx.blank_to_null(tx.clean_text(pick(("", " ", "x"), "c_custkey"))).alias("blank"))
+
+
+@query
+def parse_timestamp(spark, d):
+    c = table(spark, d, "customer")
+    text = F.concat(pick(("2020-1-5", "2021-02-30", "2019-12-31", " 2020-02-29", "5/6/2020"), "c_custkey"), pick((" 1:2:3", " 23:59:59", "  00:00:00 ", " 24:00:00", ""), "c_nationkey"))
+    return c.select("c_custkey", tx.parse_timestamp(text).alias("at"))
+
+
 @query
 def file_metadata(spark, d):
     return readers.file_metadata(spark, f"{d}/region.parquet")
@@ -347,17 +396,17 @@ def file_metadata(spark, d):
 
 @query
 def pivot_month_region(spark, d):
-    return serving.pivot(kpi.valued(star(spark, d).txn), "month_start", "region", "net_inr", ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"])
+    return serving.pivot(kpi.valued(star(spark, d).txn("branches")), "month_start", "region", "net_inr", ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"])
 
 
 @query
 def pivot_quarter_product(spark, d):
-    return serving.pivot(kpi.valued(star(spark, d).txn), "quarter", "product_type", "net_inr", ["Credit Card", "Fixed Deposit", "Loan", "Savings Account"])
+    return serving.pivot(kpi.valued(star(spark, d).txn("products")), "quarter", "product_type", "net_inr", ["Credit Card", "Fixed Deposit", "Loan", "Savings Account"])
 
 
 @query
 def dashboard_totals(spark, d):
-    return serving.totals(star(spark, d).txn, _scorecard(_settled_lines(spark, d)))
+    return serving.totals(star(spark, d).txn(), dedupe.scorecard(_settled_lines(spark, d), *FILE))
 
 
 @query
@@ -377,8 +426,8 @@ def reason_filter(spark, d):
 
 @query
 def quarantine_search(spark, d):
-    lines = _settled_lines(spark, d).where(F.size("rejects") > 0).select("key", F.array_join("rejects", ";").alias("reasons"))
-    return serving.search(lines, "orphan", ["key", "reasons"])
+    rejected = dedupe.quarantine(_settled_lines(spark, d)).select(F.col("record_key").alias("key"), F.col("reason_codes").alias("reasons"))
+    return serving.search(rejected, "orphan", ["key", "reasons"])
 
 
 @query

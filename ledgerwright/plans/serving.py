@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -72,3 +74,60 @@ def duplicates(df: DataFrame, key: str) -> DataFrame:
     whole = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
     counted = df.agg(F.count("*").alias("n_rows"), F.count_distinct(whole).alias("_rows"), F.count(key).alias("_keyed"), F.count_distinct(key).alias("_keys"))
     return counted.select("n_rows", (F.col("n_rows") - F.col("_rows")).alias("repeated_rows"), (F.col("_keyed") - F.col("_keys")).alias("repeated_keys"))
+
+
+def listing(df: DataFrame, *order: str) -> DataFrame:
+    """Rows as a report lists them: each of order is a column, or one with DESC or DESC NULLS LAST."""
+    return df.orderBy(*map(_ordering, order))
+
+
+def _ordering(order: str):
+    column, _, rest = order.partition(" ")
+    by = {"": F.asc, "DESC": F.desc, "DESC NULLS LAST": F.desc_nulls_last}[rest]
+    return by(column)
+
+
+def placed(df: DataFrame, *order: str) -> DataFrame:
+    """A report's rows with their place in it. The window holds all rows: reports list few."""
+    return df.withColumn("place", F.row_number().over(Window.orderBy(*map(_ordering, order))).cast("long"))
+
+
+def at_risk(exposure: DataFrame) -> DataFrame:
+    """One row: the share of transactions and of value of customers that aren't verified, and that value."""
+    sums = {"share_of_count_pct": "count_pct", "share_of_value_pct": "value_pct"}
+    rounded = [F.round(F.sum(c), 1).alias(name) for c, name in sums.items()]
+    return exposure.where("at_risk").agg(*rounded, money(F.sum("value_inr")).alias("value_inr"))
+
+
+def value_listing(df: DataFrame, most: int = 15) -> DataFrame:
+    """(column_name, value, n) of the columns that have at most `most` distinct values, blank ones aside."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias("value")) for c in df.columns]))
+    values = df.select(cells.alias("x")).groupBy("x.column_name", "x.value").agg(F.count("*").alias("n"))
+    few = values.where(F.trim("value") != "").groupBy("column_name").agg(F.count("*").alias("many")).where(F.col("many") <= most)
+    return values.join(F.broadcast(few), "column_name").select("column_name", "value", "n")  # a row for each column
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """The keys that several rows have, and how many."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+
+
+class Cache:
+    """Results that are kept while the published version they come from is the latest."""
+
+    def __init__(self, store):
+        self.store, self.version, self.held = store, None, {}
+
+    def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        version = self.store.tables()
+        if version != self.version:
+            self.clear()
+            self.version = version
+        if name not in self.held:
+            self.held[name] = build().persist()
+        return self.held[name]
+
+    def clear(self) -> None:
+        for df in self.held.values():
+            df.unpersist()
+        self.held = {}

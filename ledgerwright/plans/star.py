@@ -21,7 +21,12 @@ class Star:
     customers: DataFrame
     products: DataFrame
     branches: DataFrame
-    txn: DataFrame
+
+    def txn(self, *dimensions: str) -> DataFrame:
+        """The facts with the attributes of the named dimensions."""
+        from .kpi import point_in_time
+
+        return point_in_time(self.facts, **{d: getattr(self, d) for d in dimensions})
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,10 +88,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    from .kpi import point_in_time
-
-    f, c, p, b = (part(spark, sf_dir) for part in (facts, customers, products, branches))
-    return Star(f, c, p, b, point_in_time(f, c, p, b))
+    return Star(*(part(spark, sf_dir) for part in (facts, customers, products, branches)))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

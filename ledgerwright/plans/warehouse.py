@@ -49,10 +49,12 @@ class Warehouse:
         path = self.staged.get(name) or self.tables().get(name)
         return self.spark.read.parquet(path) if path else self.spark.createDataFrame([], schema)
 
-    def stage(self, name: str, df: DataFrame) -> DataFrame:
+    def stage(self, name: str, df: DataFrame, keep: bool = True) -> DataFrame:
+        """Write a table of this batch and read it; unless it is to be kept, it is no table to publish."""
         path = f"{self.root}/v={self.version}/{name}"
         df.write.mode("errorifexists").parquet(path)
-        self.staged[name] = path
+        if keep:
+            self.staged[name] = path
         return self.spark.read.parquet(path)
 
     def publish(self) -> None:

@@ -23,15 +23,25 @@ JSON_ROWS = "_pos long, _raw string, _lost string"
 def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Every value as text, '' for blank and missing ones, with _pos, _raw and a null _lost.
 
-    Text that looks like a missing value stays text. A row with too many fields aborts the read:
-    a batch must not lose fields. The file is one task's, so positions are those in the file.
+    Columns are found by the names in the file's header, in whatever order; a missing one is an
+    error, others only stand in _raw. Text that looks like a missing value stays text. A row with
+    too many fields aborts the read: a batch must not lose fields. The file is read in splits
+    unless a quoted value goes over a line's end; positions are in the order of the file.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_broken"]])
-    rows = spark.read.csv(path, header=True, schema=schema, multiLine=True, escape='"', quote='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_broken")
-    too_long = F.col("_broken").isNotNull() & (F.size(F.split("_broken", ",")) > len(columns)) & F.col(columns[-1]).isNotNull()
-    values = [F.when(too_long, F.raise_error(F.concat(F.lit("too many fields: "), "_broken"))).otherwise(F.coalesce(c, F.lit(""))).alias(c) for c in columns]
+    lines = spark.read.text(path)
+    open_quote = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    whole = not lines.where(open_quote).isEmpty()
+    options = {"header": True, "multiLine": whole, "escape": '"', "quote": '"'}
+    names = [c.strip().removeprefix("\ufeff") for c in spark.read.csv(path, **options).columns]
+    if missing := [c for c in columns if c not in names]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "_broken"]])
+    rows = spark.read.csv(path, schema=schema, mode="PERMISSIVE", columnNameOfCorruptRecord="_broken", **options)
+    too_long = F.col("_broken").isNotNull() & (F.size(F.split("_broken", ",")) > len(names)) & F.col(f"`{names[-1]}`").isNotNull()
+    values = [F.when(too_long, F.raise_error(F.concat(F.lit("too many fields: "), "_broken"))).otherwise(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in names]
     placed = rows.select(*values, F.monotonically_increasing_id().alias(POSITION))
-    return placed.select(*columns, POSITION, F.to_json(F.struct(*columns)).alias(RAW), F.lit(None).cast("string").alias(LOST))
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in names]))
+    return placed.select(*columns, POSITION, record.alias(RAW), F.lit(None).cast("string").alias(LOST))
 
 
 def salvage(text: str) -> Iterator[tuple[str | None, str | None]]:

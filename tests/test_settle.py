@@ -104,3 +104,26 @@ def test_metadata(spark, tmp_path):
 
     (tmp_path / "f.csv").write_bytes(b"abc")
     assert tuple(readers.file_metadata(spark, str(tmp_path / "f.csv")).first()) == ("f.csv", 3, hashlib.sha256(b"abc").hexdigest())
+
+
+def test_columns_are_found_by_the_header(spark, tmp_path):
+    path = tmp_path / "f.csv"
+    path.write_text('b,more,"a"\n1,x,2\n3,,"4\n5"\n')
+    rows = readers.read_csv(spark, str(path), ["a", "b"]).orderBy("_pos").collect()
+    assert [(r["a"], r["b"]) for r in rows] == [("2", "1"), ("4\n5", "3")]
+    assert json.loads(rows[0]["_raw"]) == {"a": "2", "b": "1", "more": "x"}
+    with pytest.raises(ValueError, match="no column c, d"):
+        readers.read_csv(spark, str(path), ["a", "c", "d"])
+
+
+def test_splits_keep_the_order_of_the_file(spark, tmp_path):
+    path = tmp_path / "f.csv"
+    path.write_text("k,v\n" + "".join(f"{i},{'x' * 50}\n" for i in range(2000)))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        rows = readers.read_csv(spark, str(path), ["k", "v"])
+        assert rows.rdd.getNumPartitions() > 1
+        assert [int(r["k"]) for r in rows.orderBy("_pos").select("k").collect()] == list(range(2000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
