@@ -145,6 +145,19 @@ UNION ALL SELECT 'o_orderkey', o_orderkey::VARCHAR, count(*) FROM orders GROUP B
     "parse_flags": """WITH m AS (SELECT c_custkey, (['yes', 'true', 'n', 'false', '1', 'maybe', ''])[(c_custkey % 7 + 1)::INT] AS said, (['paid', ' ', 'late '])[(c_custkey % 3 + 1)::INT] || ([' ', '', '  twice'])[(c_nationkey % 3 + 1)::INT] AS remark FROM customer)
 SELECT c_custkey, CASE said WHEN 'true' THEN true WHEN 'false' THEN false END AS said, nullif(trim(regexp_replace(remark, '\\s+', ' ', 'g')), '') AS remarks, CASE WHEN c_custkey % 3 = 2 THEN 'x' END AS blank FROM m""",
     "parse_timestamp": """SELECT c_custkey, try_cast(CASE WHEN c_custkey % 5 IN (0, 2, 3) AND c_nationkey % 5 IN (0, 1, 2) THEN (['2020-01-05', '', '2019-12-31', '2020-02-29', ''])[(c_custkey % 5 + 1)::INT] || ([' 01:02:03', ' 23:59:59', ' 00:00:00', '', ''])[(c_nationkey % 5 + 1)::INT] END AS TIMESTAMP) AS at FROM customer""",
+    "settle_customers": """WITH raw AS (
+  SELECT c_custkey AS k, CASE WHEN c_custkey % 10 = 1 THEN c_custkey - 1 ELSE c_custkey END AS key, DATE '2020-01-01' + (c_custkey % 28)::INT AS day, c_custkey % 3 = 0 AS no_mail FROM customer),
+ r AS (SELECT *, CASE WHEN k % 17 = 0 THEN NULL ELSE 'C' || key END AS id, CASE WHEN k % 23 <> 0 THEN 'A' || key % 700 END AS account, concat_ws(';', CASE WHEN k % 17 = 0 THEN 'MISSING_CUSTOMER_ID' END, CASE WHEN k % 23 = 0 THEN 'MISSING_ACCOUNT_ID' END, CASE WHEN k % 7 = 3 THEN 'INVALID_KYC_STATUS' END) AS bad FROM raw),
+ best AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY no_mail, k DESC) AS rank FROM r WHERE bad = ''),
+ own AS (SELECT k, row_number() OVER (PARTITION BY account ORDER BY day, id) AS place FROM best WHERE rank = 1),
+ said AS (SELECT r.*, CASE WHEN r.bad <> '' THEN 'rejected' WHEN best.rank > 1 THEN 'duplicate' WHEN own.place > 1 THEN 'rejected' ELSE 'passed' END AS disposition,
+   CASE WHEN r.bad <> '' THEN r.bad WHEN best.rank = 1 AND own.place > 1 THEN 'SHARED_ACCOUNT_ID' ELSE '' END AS reasons,
+   CASE WHEN best.rank > 1 THEN 'NEAR_DUPLICATE_RESOLVED' WHEN best.rank = 1 AND own.place > 1 THEN '' WHEN r.no_mail THEN 'MISSING_EMAIL' ELSE '' END AS flags
+   FROM r LEFT JOIN best ON best.k = r.k LEFT JOIN own ON own.k = r.k)
+SELECT k AS pos, id AS record_key, disposition, reasons, flags, CASE disposition WHEN 'passed' THEN id END AS customer_id, CASE WHEN disposition = 'passed' AND NOT no_mail THEN 'x' || k || '@mail.org' END AS email,
+  CASE disposition WHEN 'passed' THEN '+91-9876543210' END AS phone, CASE disposition WHEN 'passed' THEN account END AS account_id, CASE disposition WHEN 'passed' THEN '1 X St' END AS address,
+  CASE disposition WHEN 'passed' THEN CASE WHEN k % 2 = 0 THEN 'Verified' ELSE 'Pending' END END AS kyc_status, CASE disposition WHEN 'passed' THEN day END AS registration_date FROM said
+UNION ALL SELECT k + 10000000, id, 'duplicate', '', 'EXACT_DUPLICATE', NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM r WHERE k % 50 = 0""",
     "issue_counts": f"{LINES} SELECT * FROM issues",
     "scd2_merge": f"{VERSIONS} SELECT * FROM dim",
     "scd_actions": f"{VERSIONS} SELECT action, count(*) AS n FROM x WHERE action <> 'kept' GROUP BY action",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..functions import text as tx
 from ..operators import dedupe, history
-from ..operators.cleaners import REJECTS
+from ..operators.cleaners import ENTITIES, REJECTS
 from ..sources import readers
 from . import kpi, serving
 from .star import AFTER, AFTER_DATE, BEFORE, batch, customers, events, facts, keyed, pick, star, table
@@ -241,6 +241,39 @@ def _ordered_lines(spark, d):
     return l.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"), "l_partkey", "l_suppkey", "l_quantity", order.alias("o"), F.col("l_tax"), "l_returnflag", "l_discount")
 
 
+def _raw_customers(spark, d):
+    """A customers' file: ids that two rows have, blank ones, unknown codes, missing addresses, shared accounts, repeated lines."""
+    k = F.col("c_custkey")
+    key = F.when(k % 10 == 1, k - 1).otherwise(k)
+    values = {
+        "customer_id": F.when(k % 17 == 0, "  ").otherwise(F.concat(F.lit(" C"), key.cast("string"))),
+        "customer_name": F.col("c_name"),
+        "email": F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("X"), k.cast("string"), F.lit("@Mail.org "))),
+        "phone": F.lit("98765 43210"),
+        "account_id": F.when(k % 23 == 0, "").otherwise(F.concat(F.lit("a"), (key % 700).cast("string"))),
+        "gender": F.lit("m"),
+        "dob": F.lit("1990-01-31"),
+        "address": F.lit("1 x st"),
+        "kyc_status": F.when(k % 7 == 3, "none").when(k % 2 == 0, "VERIFIED").otherwise(" pending"),
+        "registration_date": F.concat(F.lit("2020-01-"), F.lpad((k % 28 + 1).cast("string"), 2, "0")),
+        "transaction_id": F.lit(""),
+    }
+    rows = table(spark, d, "customer").select(*[v.alias(c) for c, v in values.items()], k.alias("k"))
+    whole = rows.withColumn(readers.POSITION, F.explode(F.when(F.col("k") % 50 == 0, F.array("k", F.col("k") + 10_000_000)).otherwise(F.array("k")))).drop("k")
+    return whole.select("*", F.to_json(F.struct(*values)).alias(readers.RAW), F.lit(None).cast("string").alias(readers.LOST))
+
+
+@query
+def settle_customers(spark, d):
+    """Every record's disposition, reasons and counted flags, and what is clean of those that pass."""
+    settled = dedupe.settle(_raw_customers(spark, d), ENTITIES["customers"], dt.date(2026, 9, 30))
+    passed = lambda c: F.when(F.col(dedupe.DISPOSITION) == dedupe.PASSED, F.col(f"clean.{c}")).alias(c)
+    return settled.select(
+        F.col(readers.POSITION).alias("pos"), "record_key", F.col(dedupe.DISPOSITION).alias("disposition"), F.array_join(REJECTS, ";").alias("reasons"), F.array_join(dedupe.COUNTED, ";").alias("flags"),
+        *map(passed, ("customer_id", "email", "phone", "account_id", "address", "kyc_status", "registration_date")),
+    )
+
+
 @query
 def exact_dedupe(spark, d):
     """Documents by their text: the first copy, and how many repeat it."""
