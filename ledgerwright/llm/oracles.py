@@ -123,3 +123,9 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM low
 """
 
 ORACLES = {"op1_mixing": OP1, "op3_sharding": op3(64), "op4_quality_rules": OP4, "op7_minhash_near_dedup": OP7, "op8_url_filters": OP8, "op9_embedding_near_dedup": OP9}
+
+_BITS = ", ".join(f"('{r.name}', {quality.BIT[r.name]})" for r in quality.RULES if quality.BIT[r.name] & quality.POLICIES[quality.LATEST])
+ORACLES["quality_ablation"] = f"""
+WITH marked AS ({ORACLES["op4_quality_rules"]}), rules(rule, bit) AS (VALUES {_BITS})
+SELECT rule, count(*) FILTER (WHERE failed_rules & bit <> 0) AS failing, count(*) FILTER (WHERE failed_rules & {quality.POLICIES[quality.LATEST]} = bit) AS only_failing
+FROM marked, rules GROUP BY rule"""

@@ -56,6 +56,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of op4's latest policy does, from the ledger's bitmasks."""
+    return quality.ablation(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
@@ -111,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_sentencepiece": op2_sentencepiece,
         "op3_sharding": op3_sharding,
         "op4_quality_rules": op4_quality_rules,
+        "quality_ablation": quality_ablation,
         "op5_language_id": op5_language_id,
         "op6_license_scans": op6_license_scans,
         "op7_minhash_near_dedup": op7_minhash_near_dedup,
