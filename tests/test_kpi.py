@@ -78,3 +78,25 @@ def test_no_division_by_zero(spark):
 def test_search_is_literal(spark):
     df = spark.createDataFrame([("A%b", None), (None, "a_b"), ("AB", "x")], "k string, r string")
     assert serving.search(df, "a%", ["k", "r"]).count() == 1 and serving.search(df, "a", ["k", "r"]).count() == 3
+
+
+def test_results_are_kept_until_the_next_version(spark):
+    class Store:
+        published = {"fact": "v1"}
+
+        def tables(self):
+            return dict(self.published)
+
+    made, store = [], Store()
+    cache = serving.Cache(store)
+    build = lambda: made.append(1) or spark.range(3)
+    assert cache.get("n", build).count() == 3 and cache.get("n", build).count() == 3 and len(made) == 1
+    store.published = {"fact": "v2"}
+    assert cache.get("n", build).count() == 3 and len(made) == 2
+    cache.clear()
+
+
+def test_values_are_listed_where_they_are_few(spark):
+    df = spark.createDataFrame([(str(i % 3) if i % 4 else "", str(i)) for i in range(40)], "few string, many string")
+    got = {(r["column_name"], r["value"]): r["n"] for r in serving.value_listing(df).collect()}
+    assert set(got) == {("few", v) for v in ("", "0", "1", "2")} and sum(got.values()) == 40
