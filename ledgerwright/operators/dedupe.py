@@ -1,7 +1,7 @@
 """Duplicates, conflicts, ownership and references: each record gets exactly one disposition.
 
 The dispositions are passed, rejected and duplicate. Every step is one window or join over keys,
-so hot keys shuffle once and nothing is gathered on the driver.
+and nothing is gathered on the driver.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import text as tx
 from ..sources.readers import LOST, POSITION, RAW
 from .cleaners import FLAGS, REJECTS, Entity, clean
 
@@ -29,8 +28,13 @@ def mark_exact_duplicates(rows: DataFrame, key: str = RAW, order: str = POSITION
 
 
 def mark_conflicts(rows: DataFrame, key: str) -> DataFrame:
-    """rows with _conflict: whether another record has the same key."""
-    return rows.withColumn("_conflict", F.count(F.lit(1)).over(Window.partitionBy(key)) > 1)
+    """rows with _conflict: whether another record has the same key.
+
+    Keys are counted where the records lie and the counts are joined, so that a key of very many
+    records (a blank one) is split among tasks.
+    """
+    repeated = rows.groupBy(F.col(key).alias("_repeated")).count().where("count > 1")
+    return rows.join(repeated, F.col(key).eqNullSafe(F.col("_repeated")), "left").withColumn("_conflict", F.col("count").isNotNull()).drop("_repeated", "count")
 
 
 def mark_best_copy(rows: DataFrame, key: str, flags: str = FLAGS, order: str = POSITION) -> DataFrame:
@@ -48,47 +52,52 @@ def settle(rows: DataFrame, entity: Entity, batch_date: dt.date) -> DataFrame:
     """Every record of a file with its clean columns, reasons, disposition and the flags that count.
 
     Flags of records that a cleaner rejects count; flags of records that lose to another copy,
-    conflict or another owner do not, and have their own code instead.
+    conflict or another owner do not, and have their own code instead. Records are compared as
+    short rows, one for each different record; the records themselves shuffle once, to learn from
+    their row what became of them. A record without such a row repeats an earlier one.
     """
-    lost = rows.where(F.col(LOST).isNotNull())
-    found = mark_exact_duplicates(rows.where(F.col(LOST).isNull()))
-    found = found.withColumn("_key", tx.clean_text(F.col(entity.key)))
-    first = found.where("_copy = 1")
-    again = found.where("_copy > 1")
+    cleaned = clean(rows, entity, batch_date).withColumn("_hash", F.sha2(F.col(RAW).cast("binary"), 256))
+    verdicts = _verdicts(cleaned, entity)
+    found = cleaned.join(verdicts, (F.col("_hash") == F.col("_of")) & (F.col(POSITION) == F.col("_first")), "left")
     none = F.array().cast("array<string>")
-    if entity.name == "transactions":
-        first = mark_conflicts(first, "_key")
-        conflicting, first = first.where("_conflict"), first.where(~F.col("_conflict"))
-    cleaned = clean(first, entity, batch_date)
-    kind = cleaned.schema["clean"].dataType
-    good = cleaned.where(F.size(REJECTS) == 0)
-    out = [_settled(cleaned.where(F.size(REJECTS) > 0), REJECTED, F.col(FLAGS))]
-    if entity.name != "transactions":
-        good = mark_best_copy(good.withColumn("_id", F.col(f"clean.{entity.key}")), "_id")
-        out.append(_settled(good.where("_rank > 1").withColumn("_key", F.col("_id")), DUPLICATE, F.array(F.lit("NEAR_DUPLICATE_RESOLVED"))))
-        good = good.where("_rank = 1")
-    if entity.name == "customers":
-        good = mark_owner(good, "clean.account_id", "clean.registration_date", "clean.customer_id")
-        out.append(_settled(good.where(~F.col("_owner")).withColumn(REJECTS, F.array(F.lit("SHARED_ACCOUNT_ID"))), REJECTED, none))
-        good = good.where("_owner")
-    out.append(_settled(good, PASSED, F.col(FLAGS)))
-    empty = F.lit(None).cast(kind)
-    bare = lambda df, reasons: df.withColumn("clean", empty).withColumn(REJECTS, reasons)
-    out.append(_settled(bare(again, none), DUPLICATE, F.array(F.lit("EXACT_DUPLICATE"))))
-    if entity.name == "transactions":
-        out.append(_settled(bare(conflicting, F.array(F.lit("CONFLICTING_DUPLICATE"))), REJECTED, none))
+    codes = lambda code: F.array(F.lit(code))
+    bare = F.lit(None).cast(cleaned.schema["clean"].dataType)
     fragment = F.to_json(F.struct(F.col(LOST).alias("fragment")))
-    broken = bare(lost, F.array(F.lit("MALFORMED_JSON"))).withColumn("_key", F.lit("")).withColumn(RAW, fragment)
-    out.append(_settled(broken, REJECTED, none))
-    whole = out[0]
-    for part in out[1:]:
-        whole = whole.unionByName(part)
-    return whole
 
-
-def _settled(df: DataFrame, disposition: str, counted) -> DataFrame:
-    key = F.nullif(F.substring("_key", 1, 50), F.lit(""))
-    return df.select(POSITION, RAW, key.alias("record_key"), "clean", F.col(REJECTS).alias(REJECTS), F.lit(disposition).alias(DISPOSITION), counted.alias(COUNTED))
+    def outcome(disposition, rejects, counted, values=F.col("clean"), key=F.col("_key"), record=F.col(RAW)):
+        key = F.nullif(F.substring(key, 1, 50), F.lit(""))
+        return F.struct(record.alias(RAW), key.alias("record_key"), values.alias("clean"), rejects.alias(REJECTS), F.lit(disposition).alias(DISPOSITION), counted.alias(COUNTED))
+
+    settled = (
+        F.when(F.col(LOST).isNotNull(), outcome(REJECTED, codes("MALFORMED_JSON"), none, bare, F.lit(""), fragment))
+        .when(F.col("_of").isNull(), outcome(DUPLICATE, none, codes("EXACT_DUPLICATE"), bare))
+        .when(F.col("_verdict") == "CONFLICTING_DUPLICATE", outcome(REJECTED, codes("CONFLICTING_DUPLICATE"), none, bare))
+        .when(F.size(REJECTS) > 0, outcome(REJECTED, F.col(REJECTS), F.col(FLAGS)))
+        .when(F.col("_verdict") == "NEAR_DUPLICATE_RESOLVED", outcome(DUPLICATE, none, codes("NEAR_DUPLICATE_RESOLVED"), key=F.col(f"clean.{entity.key}")))
+        .when(F.col("_verdict") == "SHARED_ACCOUNT_ID", outcome(REJECTED, codes("SHARED_ACCOUNT_ID"), none))
+        .otherwise(outcome(PASSED, none, F.col(FLAGS)))
+    )
+    return found.select(POSITION, settled.alias("_settled")).select(POSITION, "_settled.*")
+
+
+def _verdicts(cleaned: DataFrame, entity: Entity) -> DataFrame:
+    """(_of, _first, _verdict): each different record's hash, its first place, and the code of what it loses by, if it does."""
+    good = F.size(REJECTS) == 0
+    facts = {"_id": F.col(f"clean.{entity.key}"), "_good": good}
+    if entity.name == "customers":
+        facts |= {"_holds": F.col("clean.account_id"), "_registered": F.col("clean.registration_date")}
+    each = cleaned.where(F.col(LOST).isNull()).groupBy(F.col("_hash").alias("_of"), "_key", FLAGS, *[c.alias(n) for n, c in facts.items()]).agg(F.min(POSITION).alias("_first"))
+    if entity.name == "transactions":
+        verdict = F.when(F.col("_conflict"), "CONFLICTING_DUPLICATE")
+        return mark_conflicts(each, "_key").select("_of", "_first", verdict.alias("_verdict"))
+    # records that are out of a comparison are a group of their own in it
+    among = lambda takes_part, key: F.when(takes_part, F.concat(F.lit("key "), key)).otherwise(F.concat(F.lit("record "), F.col("_of")))
+    ranked = mark_best_copy(each.withColumn("_among", among(F.col("_good"), F.col("_id"))), "_among", order="_first")
+    verdict = F.when(F.col("_rank") > 1, "NEAR_DUPLICATE_RESOLVED")
+    if entity.name == "customers":
+        ranked = mark_owner(ranked.withColumn("_among", among(F.col("_good") & (F.col("_rank") == 1), F.col("_holds"))), "_among", "_registered", "_id")
+        verdict = verdict.when(~F.col("_owner"), "SHARED_ACCOUNT_ID")
+    return ranked.select("_of", "_first", verdict.alias("_verdict"))
 
 
 def check_references(settled: DataFrame, references: dict[str, tuple[str, DataFrame]]) -> DataFrame:

@@ -138,6 +138,15 @@ def upsert_facts(facts: DataFrame, records: DataFrame, key: str, hashed_columns:
     return joined.select(*values), actions, log
 
 
+def touched_parts(facts: DataFrame, records: DataFrame, key: str, part: Column) -> DataFrame:
+    """The parts that an upsert of records may change: those of the facts they meet, and their own.
+
+    Of the facts only the key and what gives the part are read.
+    """
+    met = facts.join(records.select(key), key, "left_semi").select(part.alias("part"))
+    return met.unionByName(records.select(part.alias("part"))).distinct()
+
+
 def earliest(df: DataFrame, key: str, *order) -> DataFrame:
     """The first row of each key."""
     return df.withColumn("_first", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_first = 1").drop("_first")

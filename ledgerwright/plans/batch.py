@@ -29,6 +29,8 @@ FACT = (
     "transaction_id string, account_id string, customer_id string, product_id string, branch_id string, txn_ts timestamp_ntz, txn_date date, amount decimal(15,2), currency string, amount_inr decimal(15,2), payment_method string, "
     "status string, is_refund int, remarks string, date_mismatch int, needs_review int, customer_sk bigint, product_sk bigint, branch_sk bigint, row_hash string, source_batch_id string, last_updated_batch_id string"
 )
+#: Facts are kept by day.
+DAY = "date_format(txn_date, 'yyyy-MM-dd')"
 LOG = "transaction_id string, batch_id string, old_values map<string,string>, new_values map<string,string>, run_id string"
 OUTPUTS = {
     "dq_quarantine": "batch_id string, entity string, source_file string, record_key string, reason_codes string, raw_record string, run_id string",
@@ -124,15 +126,21 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
     records = history.as_of(records, dims["branches"], "branch_id", "branch_id", "txn_date", {"branch_sk": "branch_sk"}, "_b")
     records = store.stage("resolved_transactions", records)
     require("transactions without a version of their day", records.where("_c = 0 OR _p = 0 OR _b = 0").select("transaction_id", "txn_date"))
-    facts, actions, log = history.upsert_facts(store.read("fact_transaction", FACT), records, "transaction_id", HASHED, KEYS, batch_id, batches, lambda df: store.stage("joined_transactions", df, keep=False))
+    # the days that the records or the facts they correct are of; all others stay as they are
+    days = {r["part"] for r in history.touched_parts(store.read("fact_transaction", FACT), records, "transaction_id", F.expr(DAY)).collect()}
+    old = store.read("fact_transaction", FACT, days)
+    new, actions, log = history.upsert_facts(old, records, "transaction_id", HASHED, KEYS, batch_id, batches, lambda df: store.stage("joined_transactions", df, keep=False))
     summary.actions["transactions"] = {r["action"]: r["n"] for r in actions.collect()}
-    log = store.read("fact_correction_log", LOG).unionByName(log.withColumn("run_id", F.lit(summary.run_id)))
-    store.stage("fact_correction_log", log)
-    facts = store.stage("fact_transaction", facts)
-    require_unique("fact_transaction", facts, "transaction_id")
-    require("fact_transaction has amounts of zero or less", facts.where("amount <= 0"))
+    if summary.actions["transactions"].get("corrected") or not store.parts("fact_correction_log"):
+        store.stage("fact_correction_log", log.withColumn("run_id", F.lit(summary.run_id)), part=summary.run_id)
+    written = store.stage_parts("fact_transaction", new, F.expr(DAY), days)
+    # a key of another day would have made that day one of these, so what holds here holds for all facts
+    changed = store.read("fact_transaction", FACT, set(written))
+    require_unique("fact_transaction", changed, "transaction_id")
+    require("fact_transaction has amounts of zero or less", changed.where("amount <= 0"))
     for name, (_, sk, _) in DIMENSIONS.items():
-        require_reference("fact_transaction", facts, sk, dims[name])
+        require_reference("fact_transaction", changed, sk, dims[name])
+    facts = store.read("fact_transaction", FACT)
 
     _quality(spark, batch_id, calendar, store, summary, settled)
     _snapshot(spark, batch_id, batches, store, facts, dims)
@@ -142,7 +150,7 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
 
 def _quality(spark, batch_id, calendar, store, summary, settled) -> None:
     """The batch's rows of the quality tables, in place of those it had."""
-    outputs = {name: store.read(name, schema).where(F.col("batch_id") != batch_id) for name, schema in OUTPUTS.items()}
+    outputs = {name: spark.createDataFrame([], schema) for name, schema in OUTPUTS.items()}
     for name, rows in settled.items():
         file = calendar.files[batch_id][name]
         made = {"dq_quarantine": dedupe.quarantine(rows), "dq_scorecard": dedupe.scorecard(rows), "dq_issue_counts": _with_file_flag(dedupe.issue_counts(rows), rows), "ingestion_log": readers.file_metadata(spark, calendar.path(batch_id, name))}
@@ -155,7 +163,7 @@ def _quality(spark, batch_id, calendar, store, summary, settled) -> None:
             tags = {"batch_id": batch_id, "entity": name, "source_file": file, "run_id": summary.run_id}
             outputs[table] = outputs[table].unionByName(df.withColumns({k: F.lit(v) for k, v in tags.items()}))
     for table, df in outputs.items():
-        store.stage(table, df)
+        store.stage(table, df, part=batch_id)
 
 
 def _with_file_flag(issues: DataFrame, rows: DataFrame) -> DataFrame:
@@ -168,11 +176,11 @@ def _with_file_flag(issues: DataFrame, rows: DataFrame) -> DataFrame:
 def _snapshot(spark, batch_id, batches, store, facts, dims) -> None:
     """The metrics as this batch leaves them, unless a later batch has been published."""
     later = batches[batches.index(batch_id) + 1 :]
-    old = store.read("kpi_snapshot", SNAPSHOT)
-    if not old.where(F.col("batch_id").isin(later)).isEmpty():
+    if store.parts("kpi_snapshot").keys() & set(later):
         return
     new = kpi.snapshot(kpi.point_in_time(facts, branches=dims["branches"]), dims["customers"], batch_id)
-    store.stage("kpi_snapshot", old.where(F.col("batch_id") != batch_id).unionByName(new.select(*old.columns)))
+    columns = [c.split()[0] for c in SNAPSHOT.split(", ")]
+    store.stage("kpi_snapshot", new.select(*columns), part=batch_id)
 
 
 def _audit(spark: SparkSession, root: str, summary: Summary, totals: dict[str, int], error: str | None = None) -> None:
@@ -192,7 +200,8 @@ def register_views(spark: SparkSession, root: str, calendar: Calendar | None = N
     With a calendar also the metrics that compare its last batch with the one before.
     """
     store = Warehouse(spark, root)
-    tables = {name: spark.read.parquet(path) for name, path in store.tables().items()}
+    # only facts can have no part at all
+    tables = {name: store.read(name, FACT) for name in store.tables()}
     facts, c, p, b = (tables[n] for n in ("fact_transaction", "dim_customer", "dim_product", "dim_branch"))
     txn = kpi.point_in_time(facts, c, p, b)
     bare, of_product, of_branch = kpi.point_in_time(facts), kpi.point_in_time(facts, products=p), kpi.point_in_time(facts, branches=b)

@@ -2,7 +2,9 @@
 
 A batch writes every table it changes to a folder of its own version and then replaces one small
 pointer file, which is atomic. Readers follow the pointer, so an interrupted batch leaves nothing
-visible, and what is being read is never overwritten. Audit rows live beside the versions.
+visible, and what is being read is never overwritten. A table is one part, or several (days, batches,
+runs), each with its folder, so that a batch writes the parts it changes and the pointer keeps the
+others. Audit rows live beside the versions.
 """
 
 from __future__ import annotations
@@ -11,7 +13,8 @@ import json
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 POINTER = "CURRENT.json"
 
@@ -22,7 +25,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.version = uuid.uuid4().hex
-        self.staged: dict[str, str] = {}
+        self.staged: dict[str, dict[str, str]] = {}
+        self.scratch: list[str] = []
 
     def _fs(self, path: str):
         jvm = self.spark._jvm
@@ -37,26 +41,46 @@ class Warehouse:
         p, fs = self._fs(path)
         return fs.getFileStatus(p).getLen()
 
-    def tables(self) -> dict[str, str]:
-        """The published tables and their folders."""
+    def tables(self) -> dict[str, dict[str, str]]:
+        """The published tables: the folder of each of their parts."""
         path = f"{self.root}/{POINTER}"
         if not self.exists(path):
             return {}
         return json.loads("".join(r[0] for r in self.spark.read.text(path).collect()))
 
-    def read(self, name: str, schema: str) -> DataFrame:
-        """A table as this batch sees it: staged if it has been written, else published, else empty."""
-        path = self.staged.get(name) or self.tables().get(name)
-        return self.spark.read.parquet(path) if path else self.spark.createDataFrame([], schema)
+    def parts(self, name: str) -> dict[str, str]:
+        """A table's parts as this batch sees them: staged if it has written any, else published."""
+        return self.staged[name] if name in self.staged else self.tables().get(name, {})
 
-    def stage(self, name: str, df: DataFrame, keep: bool = True) -> DataFrame:
-        """Write a table of this batch and read it; unless it is to be kept, it is no table to publish."""
-        path = f"{self.root}/v={self.version}/{name}"
+    def read(self, name: str, schema: str, only: set[str] | None = None) -> DataFrame:
+        """A table, or only some of its parts, as this batch sees it; empty where there are none."""
+        paths = [path for part, path in self.parts(name).items() if only is None or part in only]
+        return self.spark.read.parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def stage(self, name: str, df: DataFrame, keep: bool = True, part: str = "") -> DataFrame:
+        """Write a table of this batch, or one part of it, and read that; unless it is to be kept, it goes at publication."""
+        path = f"{self.root}/v={self.version}/{name}" + (f"/part={part}" if part else "")
         df.write.mode("errorifexists").parquet(path)
         if keep:
-            self.staged[name] = path
+            self.staged[name] = {**self.parts(name), part: path} if part else {"": path}
+        else:
+            self.scratch.append(path)
         return self.spark.read.parquet(path)
 
+    def stage_parts(self, name: str, df: DataFrame, part: Column, instead: set[str]) -> list[str]:
+        """Write rows by their part in place of some parts of a table, whose other parts stay; the names of those written.
+
+        A large part becomes several files, small ones aren't scattered over many.
+        """
+        path = f"{self.root}/v={self.version}/{name}"
+        placed = df.withColumn("part", part)
+        placed.hint("rebalance", F.col("part")).write.mode("errorifexists").partitionBy("part").parquet(path)
+        folder, fs = self._fs(path)
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        made = {n.removeprefix("part="): f"{path}/{n}" for n in names if n.startswith("part=")}
+        self.staged[name] = {k: p for k, p in self.parts(name).items() if k not in instead} | made
+        return list(made)
+
     def publish(self) -> None:
         """Make all staged tables visible with one rename."""
         whole = json.dumps({**self.tables(), **self.staged}, sort_keys=True)
@@ -71,6 +95,8 @@ class Warehouse:
         options = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         context.rename(fresh, path, options)
+        for unused in self.scratch:
+            fs.delete(self._fs(unused)[0], True)
 
     def drop(self, yes: bool = False) -> None:
         """Remove everything; only with a clear yes."""
