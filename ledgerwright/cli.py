@@ -1,4 +1,4 @@
-"""Command line: run a batch, report, profile, reset."""
+"""Command line: run a batch, check the tables, report, profile, reset."""
 
 from __future__ import annotations
 
@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     actions.add_parser("run").add_argument("--batch-id", required=True)
     actions.add_parser("profile").add_argument("--batch-id", required=True)
     actions.add_parser("report")
+    actions.add_parser("check")
     actions.add_parser("reset").add_argument("--yes", action="store_true")
     args = parser.parse_args(argv)
     spark, batches = session.build(), calendar(args.calendar)
@@ -48,6 +49,10 @@ def main(argv: list[str] | None = None) -> int:
         elif args.action == "report":
             batch.register_views(spark, args.warehouse, batches)
             print(report.quality_report(spark.table("kpi10_dq_scorecard"), spark.table("dq_issue_counts")))
+        elif args.action == "check":
+            if wrong := batch.check(spark, args.warehouse):
+                raise ValueError("; ".join(wrong))
+            print("all tables are as they should be")
         else:
             store.drop(args.yes)
     except (ValueError, FileNotFoundError) as error:

@@ -14,7 +14,7 @@ from ..operators import dedupe, history
 from ..operators.cleaners import ENTITIES
 from ..sources import landing, readers
 from . import kpi
-from .warehouse import Warehouse, require, require_not_null, require_reference, require_unique
+from .warehouse import ConstraintError, Warehouse, require, require_not_null, require_reference, require_unique
 
 LOG_TO = logging.getLogger(__name__)
 SCD = "valid_from date, valid_to date, is_current int, row_hash string, batch_id string"
@@ -107,9 +107,9 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
         settled[name] = store.stage(f"settled_{name}", dedupe.settle(rows, entity, day))
 
     dims: dict[str, DataFrame] = {}
-    for name, (table, sk, columns) in DIMENSIONS.items():
+    for name, (table, sk, _) in DIMENSIONS.items():
         entity = ENTITIES[name]
-        old = store.read(table, f"{columns}, {SCD}, {sk} bigint").drop(sk)
+        old = store.read(table, schemas()[table]).drop(sk)
         new, actions = history.merge_versions(old, dedupe.clean_records(settled[name]), entity.key, list(entity.tracked), batch_id, day, batches, lambda df, name=name: store.stage(f"joined_{name}", df, keep=False))
         dims[name] = store.stage(table, history.with_surrogate(new, entity.key, sk))
         summary.actions[name] = {r["action"]: r["n"] for r in actions.collect()}
@@ -194,6 +194,38 @@ def last_run(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/pipeline_runs").orderBy(F.desc("at")).limit(1)
 
 
+def schemas() -> dict[str, str]:
+    """Every published table of a batch's results, and its columns."""
+    dims = {table: f"{columns}, {SCD}, {sk} bigint" for table, sk, columns in DIMENSIONS.values()}
+    return {**dims, "fact_transaction": FACT, "fact_correction_log": LOG, **OUTPUTS, "kpi_snapshot": SNAPSHOT}
+
+
+def check(spark: SparkSession, root: str) -> list[str]:
+    """What is wrong with the published tables: missing ones, columns that are missing or of another type, and broken constraints."""
+    store, wrong = Warehouse(spark, root), []
+    published = store.tables()
+    for name, schema in schemas().items():
+        if name not in published:
+            wrong.append(f"{name} is missing")
+            continue
+        want = dict(spark.createDataFrame([], schema).dtypes)
+        found = dict(store.read(name, schema).dtypes)
+        wrong += [f"{name}.{c} is {found.get(c, 'missing')}, not {kind}" for c, kind in want.items() if found.get(c) != kind]
+    if wrong:
+        return wrong
+    tables = {name: store.read(name, schema) for name, schema in schemas().items()}
+    facts = tables["fact_transaction"]
+    rules = [lambda: require_unique("fact_transaction", facts, "transaction_id"), lambda: require("fact_transaction has amounts of zero or less", facts.where("amount <= 0"))]
+    for entity, (table, sk, _) in DIMENSIONS.items():
+        rules += [lambda t=table, k=ENTITIES[entity].key: require_unique(f"current {t}", tables[t].where("is_current = 1"), k), lambda t=table, k=sk: require_reference("fact_transaction", facts, k, tables[t])]
+    for rule in rules:
+        try:
+            rule()
+        except ConstraintError as error:
+            wrong.append(str(error))
+    return wrong
+
+
 def register_views(spark: SparkSession, root: str, calendar: Calendar | None = None) -> list[str]:
     """Temporary views of the published tables and of the metrics over them.
 

@@ -109,6 +109,20 @@ READINGS = f"""{MESSY}, r AS (SELECT c_custkey, list_distinct(list_filter([
    CASE WHEN regexp_full_match(day, '\\d{{1,2}}[-/]\\d{{1,2}}[-/]\\d{{4}}') THEN try_strptime(replace(day, '/', '-'), '%d-%m-%Y')::DATE END AS day_first FROM messy)
 """
 
+def settled(table: str, k: str, key: str, rejects: dict, flags: dict, values: dict, conflicts: bool = False) -> str:
+    """Records that _file makes of a table, settled. rejects, flags: code -> condition; values: clean column -> expression; k is the record's number."""
+    codes = lambda of: "concat_ws(';', " + ", ".join(f"CASE WHEN {condition} THEN '{code}' END" for code, condition in of.items()) + ")"
+    listed = ", ".join(f"{v} AS {c}" for c, v in values.items())
+    lost = "many > 1" if conflicts else "FALSE"
+    return f"""WITH t AS (SELECT *, {k}::BIGINT AS k FROM {table}), r AS (SELECT k, CASE WHEN k % 17 <> 0 THEN '{key}' || CASE WHEN k % 10 = 1 THEN k - 1 ELSE k END END AS id, {codes(rejects)} AS bad, {codes(flags)} AS said, {listed} FROM t),
+ n AS (SELECT *, count(*) OVER (PARTITION BY id) AS many FROM r), best AS (SELECT k, row_number() OVER (PARTITION BY id ORDER BY len(string_split(nullif(said, ''), ';')) NULLS FIRST, k DESC) AS place FROM r WHERE bad = ''),
+ j AS (SELECT n.*, coalesce(place, 1) > 1 AND {not conflicts} AS beaten, {lost} AS conflict FROM n LEFT JOIN best USING (k)),
+ o AS (SELECT *, CASE WHEN conflict OR bad <> '' THEN 'rejected' WHEN beaten THEN 'duplicate' ELSE 'passed' END AS disposition FROM j)
+SELECT k AS pos, id AS record_key, disposition, CASE WHEN conflict THEN 'CONFLICTING_DUPLICATE' ELSE bad END AS reasons, CASE WHEN conflict THEN '' WHEN beaten THEN 'NEAR_DUPLICATE_RESOLVED' ELSE said END AS flags,
+  {", ".join(f"CASE disposition WHEN 'passed' THEN {c} END AS {c}" for c in values)} FROM o
+UNION ALL SELECT k + 1000000000000, id, 'duplicate', '', 'EXACT_DUPLICATE', {", ".join("NULL" for _ in values)} FROM r WHERE k % 50 = 0"""
+
+
 ORACLES = {
     "star_txn": f"{STAR} SELECT transaction_id, account_id, txn_date, month_start, quarter, amount_inr, net_inr, status, customer_name, kyc_status, product_type, category, branch_name, region FROM t",
     "kpi01_top_customers": f"{STAR} {top('v')}",
@@ -158,6 +172,37 @@ SELECT k AS pos, id AS record_key, disposition, reasons, flags, CASE disposition
   CASE disposition WHEN 'passed' THEN '+91-9876543210' END AS phone, CASE disposition WHEN 'passed' THEN account END AS account_id, CASE disposition WHEN 'passed' THEN '1 X St' END AS address,
   CASE disposition WHEN 'passed' THEN CASE WHEN k % 2 = 0 THEN 'Verified' ELSE 'Pending' END END AS kyc_status, CASE disposition WHEN 'passed' THEN day END AS registration_date FROM said
 UNION ALL SELECT k + 10000000, id, 'duplicate', '', 'EXACT_DUPLICATE', NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM r WHERE k % 50 = 0""",
+    "settle_products": settled(
+        "part", "p_partkey", "P", {"MISSING_PRODUCT_ID": "k % 17 = 0", "INVALID_PRODUCT_TYPE": "k % 13 = 0", "INVALID_CATEGORY": "k % 11 = 0", "INVALID_PRICE": "k % 19 = 0"},
+        {"NEGATIVE_PRICE_CORRECTED": "k % 19 <> 0 AND k % 8 = 0", "MISSING_IS_ACTIVE": "k % 3 = 2", "MISSING_PRODUCT_NAME": "k % 5 = 0"},
+        {
+            "product_name": "CASE WHEN k % 5 <> 0 THEN 'name ' || k END", "product_type": "CASE WHEN k % 2 = 0 THEN 'Loan' ELSE 'Savings Account' END", "launch_date": "DATE '2020-01-31'", "vendor_name": "CASE WHEN k % 4 <> 0 THEN 'v' END",
+            "price": "(CASE WHEN k % 8 = 0 THEN k + 0.5 ELSE 1000 + k % 1000 END)::DOUBLE", "is_active": "(k % 3 = 0)::BIGINT",
+        },
+    ),
+    "settle_branches": settled(
+        "supplier", "s_suppkey", "B", {"MISSING_BRANCH_ID": "k % 17 = 0", "INVALID_REGION": "k % 7 = 3", "INVALID_BRANCH_TYPE": "k % 9 = 0"}, {"MISSING_MANAGER": "k % 4 = 0", "INVALID_CONTACT": "k % 6 = 0", "AMBIGUOUS_DATE": "k % 3 = 0"},
+        {
+            "branch_name": "'branch ' || k", "location": "'New Delhi-O''Neil'", "manager_name": "CASE WHEN k % 4 = 0 THEN 'UNKNOWN' ELSE 'm' || k END", "opened_date": "DATE '2022-08-07'", "region": "'South'", "branch_type": "'Rural'",
+            "contact_number": "CASE WHEN k % 6 = 0 THEN '1' ELSE '+91-9876543210' END",
+        },
+    ),
+    "settle_transactions": settled(
+        "orders", "o_orderkey", "T",
+        {
+            "MISSING_KEY": "k % 17 = 0 OR k % 23 = 0", "INVALID_TIMESTAMP": "k % 29 = 0", "FUTURE_DATED": "k % 29 <> 0 AND o_orderdate::DATE > DATE '1998-01-01'", "INVALID_REFUND_FLAG": "k % 41 = 0", "MISSING_AMOUNT": "k % 44 = 0",
+            "INVALID_AMOUNT": "k % 44 = 3", "ZERO_AMOUNT": "k % 44 = 2", "NEGATIVE_AMOUNT": "k % 44 = 1", "INVALID_STATUS": "k % 31 = 0", "INVALID_PAYMENT_METHOD": "k % 19 = 0", "INVALID_CURRENCY": "k % 37 = 0",
+        },
+        {"DATE_MISMATCH": "k % 29 <> 0 AND k % 4 = 0", "MISSING_REFUND_FLAG": "k % 41 <> 0 AND k % 5 = 0", "NON_INR_CURRENCY": "k % 37 = 0 OR k % 13 = 0"},
+        {
+            "account_id": "'A' || o_custkey", "txn_date": "o_orderdate::DATE", "currency": "CASE WHEN k % 13 = 0 THEN 'USD' ELSE 'INR' END", "payment_method": "'UPI'", "status": "CASE WHEN k % 2 = 0 THEN 'Failed' ELSE 'Success' END",
+            "remarks": "CASE WHEN k % 3 <> 0 THEN 'note ' || k END", "amount": "(1000.5 + k % 1000)::DOUBLE", "amount_inr": "(CASE WHEN k % 13 <> 0 THEN 1000.5 + k % 1000 END)::DOUBLE",
+            "is_refund": "(k % 5 <> 0 AND k % 2 = 0)::BIGINT", "date_mismatch": "(k % 4 = 0)::BIGINT", "needs_review": "(k % 13 = 0)::BIGINT",
+        },
+        conflicts=True,
+    ),
+    "touched_days": """WITH m AS (SELECT o_orderkey AS k, o_orderdate::DATE - 1000 AS day FROM orders WHERE (o_orderkey % 2 = 0 OR o_orderkey % 15 = 0) AND o_orderkey % 10 = 0)
+SELECT strftime(day, '%Y-%m-%d') AS part FROM m UNION SELECT strftime(o_orderdate::DATE, '%Y-%m-%d') FROM orders JOIN m ON k = o_orderkey WHERE o_orderkey % 6 <> 0""",
     "issue_counts": f"{LINES} SELECT * FROM issues",
     "scd2_merge": f"{VERSIONS} SELECT * FROM dim",
     "scd_actions": f"{VERSIONS} SELECT action, count(*) AS n FROM x WHERE action <> 'kept' GROUP BY action",

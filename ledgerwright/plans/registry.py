@@ -186,6 +186,14 @@ def fact_actions(spark, d):
     return _upserted(spark, d)[1]
 
 
+@query
+def touched_days(spark, d):
+    """The days of facts that day 2's records may change."""
+    old, new = _fact_versions(spark, d)
+    moved = new.where("transaction_id % 10 = 0").withColumn("txn_date", F.date_sub("txn_date", 1000))
+    return history.touched_parts(old, moved, "transaction_id", F.date_format("txn_date", "yyyy-MM-dd"))
+
+
 @query
 def correction_diff(spark, d):
     """A row for each changed column of each corrected fact."""
@@ -263,14 +271,70 @@ def _raw_customers(spark, d):
     return whole.select("*", F.to_json(F.struct(*values)).alias(readers.RAW), F.lit(None).cast("string").alias(readers.LOST))
 
 
+def _settled(rows, entity, day, **values) -> DataFrame:
+    """Every record's disposition, reasons and counted flags, and what is clean of those that pass. values: name -> clean column."""
+    settled = dedupe.settle(rows, ENTITIES[entity], day)
+    passed = [F.when(F.col(dedupe.DISPOSITION) == dedupe.PASSED, v).alias(n) for n, v in values.items()]
+    return settled.select(F.col(readers.POSITION).alias("pos"), "record_key", F.col(dedupe.DISPOSITION).alias("disposition"), F.array_join(REJECTS, ";").alias("reasons"), F.array_join(dedupe.COUNTED, ";").alias("flags"), *passed)
+
+
+def _file(rows: DataFrame, k: str, values: dict) -> DataFrame:
+    """Rows of a table as text records by their number; every fiftieth stands there twice."""
+    said = rows.select(F.col(k).cast("long").alias("_k"), *[v.cast("string").alias(c) for c, v in values.items()])
+    places = F.when(F.col("_k") % 50 == 0, F.array("_k", F.col("_k") + 1_000_000_000_000)).otherwise(F.array("_k"))
+    return said.select(*values, F.explode(places).alias(readers.POSITION), F.to_json(F.struct(*values)).alias(readers.RAW), F.lit(None).cast("string").alias(readers.LOST))
+
+
+def _id(letter: str, k):
+    """An id that two numbers share, with blanks around it, or a blank."""
+    return F.when(k % 17 == 0, "  ").otherwise(F.concat(F.lit(f" {letter}"), F.when(k % 10 == 1, k - 1).otherwise(k).cast("string")))
+
+
 @query
 def settle_customers(spark, d):
-    """Every record's disposition, reasons and counted flags, and what is clean of those that pass."""
-    settled = dedupe.settle(_raw_customers(spark, d), ENTITIES["customers"], dt.date(2026, 9, 30))
-    passed = lambda c: F.when(F.col(dedupe.DISPOSITION) == dedupe.PASSED, F.col(f"clean.{c}")).alias(c)
-    return settled.select(
-        F.col(readers.POSITION).alias("pos"), "record_key", F.col(dedupe.DISPOSITION).alias("disposition"), F.array_join(REJECTS, ";").alias("reasons"), F.array_join(dedupe.COUNTED, ";").alias("flags"),
-        *map(passed, ("customer_id", "email", "phone", "account_id", "address", "kyc_status", "registration_date")),
+    names = ("customer_id", "email", "phone", "account_id", "address", "kyc_status", "registration_date")
+    return _settled(_raw_customers(spark, d), "customers", dt.date(2026, 9, 30), **{c: F.col(f"clean.{c}") for c in names})
+
+
+@query
+def settle_products(spark, d):
+    k = F.col("p_partkey")
+    rows = _file(table(spark, d, "part"), "p_partkey", {
+        "product_id": _id("P", k), "product_name": F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("name  "), k.cast("string"))),
+        "product_type": F.when(k % 13 == 0, "?").when(k % 2 == 0, "LOAN ").otherwise(" savings  Account"),
+        "price": F.when(k % 19 == 0, "x").when(k % 8 == 0, F.concat(F.lit("-"), k.cast("string"), F.lit(".50"))).otherwise(F.concat(F.lit("Rs. 1,"), F.lpad((k % 1000).cast("string"), 3, "0"))),
+        "launch_date": F.lit("2020/1/31"), "is_active": F.when(k % 3 == 0, "TRUE").when(k % 3 == 1, "false").otherwise("yes"), "category": F.when(k % 11 == 0, "gold").otherwise(" sme"), "vendor_name": F.when(k % 4 == 0, " ").otherwise("v"),
+    })
+    clean = {c: F.col(f"clean.{c}") for c in ("product_name", "product_type", "launch_date", "vendor_name")}
+    return _settled(rows, "products", dt.date(2026, 9, 30), **clean, price=F.col("clean.price").cast("double"), is_active=F.col("clean.is_active").cast("long"))
+
+
+@query
+def settle_branches(spark, d):
+    k = F.col("s_suppkey")
+    rows = _file(table(spark, d, "supplier"), "s_suppkey", {
+        "branch_id": _id("B", k), "branch_name": F.concat(F.lit(" branch "), k.cast("string")), "location": F.lit("new DELHI-o'neil"), "manager_name": F.when(k % 4 == 0, "").otherwise(F.concat(F.lit("m"), k.cast("string"))),
+        "opened_date": F.when(k % 3 == 0, "07-08-2022").otherwise("2022-08-07"), "region": F.when(k % 7 == 3, "centre").otherwise("SOUTH "), "branch_type": F.when(k % 9 == 0, "").otherwise("rural"),
+        "contact_number": F.when(k % 6 == 0, "1").otherwise("+91 98765 43210"),
+    })
+    return _settled(rows, "branches", dt.date(2026, 9, 30), **{c: F.col(f"clean.{c}") for c in ("branch_name", "location", "manager_name", "opened_date", "region", "branch_type", "contact_number")})
+
+
+@query
+def settle_transactions(spark, d):
+    """Orders as records before all of a year is over: some ids twice, with other values; blank ids, bad codes, times and amounts."""
+    k, day = F.col("o_orderkey"), F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd")
+    rows = _file(table(spark, d, "orders"), "o_orderkey", {
+        "transaction_id": _id("T", k), "account_id": F.when(k % 23 == 0, "").otherwise(F.concat(F.lit(" a"), F.col("o_custkey").cast("string"))), "product_id": F.lit("p1"), "branch_id": F.lit("b1"),
+        "date": F.when(k % 4 == 0, "1980-01-01").otherwise(day), "timestamp": F.when(k % 29 == 0, "x").otherwise(F.concat(day, F.lit(" 10:00:00"))),
+        "amount": F.when(k % 44 == 0, "").when(k % 44 == 1, "-5").when(k % 44 == 2, "0").when(k % 44 == 3, "zz").otherwise(F.concat(F.lit("₹ 1,"), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(".5"))),
+        "payment_method": F.when(k % 19 == 0, "").otherwise(" upi"), "status": F.when(k % 31 == 0, "?").when(k % 2 == 0, "FAILD").otherwise("Succes "),
+        "currency": F.when(k % 37 == 0, "rupee").when(k % 13 == 0, "usd").otherwise("inr"), "remarks": F.when(k % 3 == 0, "[late correction] ").otherwise(F.concat(F.lit("note  "), k.cast("string"), F.lit(" [late correction]"))),
+        "is_refund": F.when(k % 41 == 0, "q").when(k % 5 == 0, "").when(k % 2 == 0, "Y").otherwise("0"),
+    })
+    clean = {c: F.col(f"clean.{c}") for c in ("account_id", "txn_date", "currency", "payment_method", "status", "remarks")}
+    return _settled(
+        rows, "transactions", dt.date(1998, 1, 1), **clean, **{c: F.col(f"clean.{c}").cast("double") for c in ("amount", "amount_inr")}, **{c: F.col(f"clean.{c}").cast("long") for c in ("is_refund", "date_mismatch", "needs_review")}
     )
 
 

@@ -91,6 +91,36 @@ def test_failures_leave_the_tables(spark, calendar, tmp_path, monkeypatch):
     assert Warehouse(spark, root).tables() == {}
 
 
+def test_a_batch_writes_only_the_days_it_changes(spark, calendar, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "wh")
+    at = lambda k, day: TXN | dict(transaction_id=k, timestamp=f"{day} 08:00:00", date=day)
+    put(raw / "first", {"customers": [CUSTOMER], "products": [PRODUCT], "branches": [BRANCH], "transactions": [at("T1", "2026-09-01"), at("T2", "2026-09-01"), at("T3", "2026-09-02"), at("T4", "2026-09-03")]})
+    put(raw / "second", {"customers": [CUSTOMER], "products": [PRODUCT], "branches": [BRANCH], "transactions": [at("T3", "2026-09-04"), at("T5", "2026-09-01")]})
+    days = batch.Calendar(str(raw), {"first": dt.date(2026, 9, 30), "second": dt.date(2026, 10, 1)}, {"first": FILES, "second": FILES})
+    batch.run_batch(spark, "first", days, root)
+    before = Warehouse(spark, root).tables()
+    assert set(before["fact_transaction"]) == {"2026-09-01", "2026-09-02", "2026-09-03"}
+    run = batch.run_batch(spark, "second", days, root)
+    assert run.actions["transactions"] == {"corrected": 1, "inserted": 1}
+    after = Warehouse(spark, root).tables()
+    # a fact that moved leaves its old day, here empty; a day without records stays the same folder
+    assert set(after["fact_transaction"]) == {"2026-09-01", "2026-09-03", "2026-09-04"}
+    same = {d for d, p in before["fact_transaction"].items() if after["fact_transaction"].get(d) == p}
+    assert same == {"2026-09-03"}
+    assert after["dq_scorecard"]["first"] == before["dq_scorecard"]["first"] and set(after["dq_scorecard"]) == {"first", "second"}
+    assert set(after["fact_correction_log"]) > set(before["fact_correction_log"])
+    facts = Warehouse(spark, root).read("fact_transaction", batch.FACT)
+    found = {r["transaction_id"]: str(r["txn_date"]) for r in facts.collect()}
+    assert found == {"T1": "2026-09-01", "T2": "2026-09-01", "T3": "2026-09-04", "T4": "2026-09-03", "T5": "2026-09-01"}
+    assert not list((tmp_path / "wh").glob("v=*/joined_*"))
+    assert batch.check(spark, root) == []
+    store = Warehouse(spark, root)
+    store.stage("fact_transaction", facts.unionByName(facts.where("transaction_id = 'T1'")))
+    store.stage("dim_product", store.read("dim_product", "k int").drop("price"))
+    store.publish()
+    assert batch.check(spark, root) == ["dim_product.price is missing, not decimal(15,2)"]
+
+
 def test_constraints(spark):
     with pytest.raises(ConstraintError):
         require_unique("t", spark.createDataFrame([(1,), (1,)], "k int"), "k")
@@ -125,5 +155,6 @@ def test_command_line(calendar, tmp_path, monkeypatch, capsys, spark):
     monkeypatch.setenv("LEDGERWRIGHT_CALENDAR", str(tmp_path / "c.json"))
     monkeypatch.setenv("LEDGERWRIGHT_WAREHOUSE", str(tmp_path / "wh"))
     assert cli.main(["run", "--batch-id", "day1"]) == 0 and cli.main(["run", "--batch-id", "day7"]) == 1
+    assert cli.main(["check"]) == 0
     assert cli.main(["report"]) == 0 and "ORPHAN_ACCOUNT" in capsys.readouterr().out
     assert cli.main(["reset"]) == 1 and cli.main(["reset", "--yes"]) == 0
