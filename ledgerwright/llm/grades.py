@@ -13,19 +13,25 @@ from pyspark.sql import functions as F
 from .common import by_value, shared, small_batches
 from .quality import measure_texts
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 17
+#: Letters of a word's beginning, which its inflected and compound forms share.
+BEGINNING = 4
 #: Rated rows that a model is fitted on at most.
 MAX_ROWS = 8000
 CHUNK_WORDS = 200_000
 EPOCHS = 30
+#: Gradient steps at least, so that small samples are fitted.
+STEPS = 400
 L2 = 1e-5
+#: How far a step must push a weight for it to leave zero, as a share of the step's largest push.
+L1 = 0.35
 
 
-def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text index, bucket, value): each distinct word of a whole text, and buckets of its measures.
+def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(text index, bucket): each distinct word of a whole text and its beginning, and buckets of the text's measures.
 
-    Words are lower-cased, without punctuation at their ends. The value falls with the fourth
-    root of their number, so that a few telling words still count in a long text.
+    Words are lower-cased, without punctuation at their ends. All count as one, so a few telling
+    words count as much in a long text as in a short one; most words have no weight at all.
     """
     words = [(t or "").lower().split() for t in texts]
     measures = measure_texts(texts)
@@ -33,7 +39,8 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     for i, ws in enumerate(words):
         n = max(1, len(ws))
         m = measures[i]
-        some = {w.strip(".,;:!?\"'()[]") or w for w in ws}
+        some = {w.strip(".,;:!?\"'()[]") or w for w in set(ws)}
+        some |= {"\x00" + w[:BEGINNING] for w in some if len(w) >= BEGINNING}
         some |= {f"\x00words {n.bit_length()}", f"\x00symbols {min(9, int(30 * m[2] / max(1, m[1])))}", f"\x00repeats {min(9, int(10 * m[5] / n))}"}
         some |= {f"\x00lines {min(9, int(10 * m[4] / max(1, m[3])))}", f"\x00distinct {int(5 * len(set(ws)) / n)}"}
         ids = np.unique([number[w] if w in number else number.setdefault(w, xxhash.xxh3_64_intdigest(w) % BUCKETS) for w in some])
@@ -41,8 +48,7 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
         bucket.append(ids)
     d = np.concatenate(doc) if doc else np.zeros(0, np.int64)
     b = np.concatenate(bucket).astype(np.int64) if bucket else np.zeros(0, np.int64)
-    size = np.bincount(d, minlength=len(texts))
-    return d, b, size[d] ** -0.25
+    return d, b
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -64,23 +70,25 @@ class GradeModel:
         for i, t in enumerate(texts):
             held += len(t or "") // 6
             if held > CHUNK_WORDS or i == len(texts) - 1:
-                d, b, v = features(texts[start : i + 1])
-                z = np.bincount(d, self.weights[b] * v, i + 1 - start)
+                d, b = features(texts[start : i + 1])
+                z = np.bincount(d, self.weights[b], i + 1 - start)
                 out[start : i + 1] = sigmoid(z[:, None] - self.thresholds[None, :])
                 start, held = i + 1, 0
         return out
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, levels: int) -> GradeModel:
-    """Adam on the log loss of the cumulative links; thresholds rise as the first plus positive gaps."""
+    """Adam on the log loss of the cumulative links, with weights drawn to zero; thresholds rise as the first plus positive gaps. rows: buckets and their values."""
     rng = np.random.default_rng(5)
     w, first, gaps = np.zeros(BUCKETS), np.zeros(1), np.zeros(max(0, levels - 2))
     params = [w, first, gaps]
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     step = 0
-    for epoch in range(EPOCHS if len(rows) else 0):
+    batches = max(1, len(rows) // 128)
+    epochs = max(EPOCHS, -(-STEPS // batches)) if len(rows) else 0
+    for epoch in range(epochs):
         order = rng.permutation(len(rows))
-        for some in np.array_split(order, max(1, len(order) // 128)):
+        for some in np.array_split(order, batches):
             d = np.repeat(np.arange(len(some)), [len(rows[r][0]) for r in some])
             b = np.concatenate([rows[r][0] for r in some])
             v = np.concatenate([rows[r][1] for r in some])
@@ -98,11 +106,12 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, levels: i
             gt = gt[1:-1]
             grads = [np.bincount(b, gz[d] * v, BUCKETS) + L2 * w, np.array([gt.sum()]), np.array([gt[k + 1 :].sum() for k in range(levels - 2)]) * np.exp(gaps)]
             step += 1
-            rate = 0.05 * (1 - epoch / EPOCHS) + 0.002
+            rate = 0.05 * (1 - epoch / epochs) + 0.002
             for q, g, (m, s) in zip(params, grads, state, strict=True):
                 m += 0.1 * (g - m)
                 s += 0.01 * (g * g - s)
                 q -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
+            w -= np.clip(w, -rate * L1, rate * L1)
     return GradeModel(w, np.concatenate([first, first + np.cumsum(np.exp(gaps))]))
 
 
@@ -119,17 +128,17 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int, *, id_col: str = "do
     rated = ratings.select(F.col(id_col).alias("id"), F.col("grade").cast("int").alias("grade")).where(f"id IS NOT NULL AND grade BETWEEN 0 AND {levels - 1}")
     chosen = rated.groupBy("id").agg(F.min("grade").alias("grade")).orderBy(place, "id").limit(max_rows)
 
-    @F.pandas_udf("bucket array<int>, value double")
-    def extracted(text: pd.Series) -> pd.DataFrame:
-        d, b, v = features(list(text))
+    @F.pandas_udf("array<int>")
+    def extracted(text: pd.Series) -> pd.Series:
+        d, b = features(list(text))
         edge = np.searchsorted(d, np.arange(len(text) + 1))
-        return pd.DataFrame({"bucket": [b[edge[i] : edge[i + 1]] for i in range(len(text))], "value": v[edge[:-1]]})
+        return pd.Series([b[edge[i] : edge[i + 1]] for i in range(len(text))])
 
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     # max_rows bounds the broadcast
-    sample = own.join(F.broadcast(chosen), "id").select("id", "grade", extracted("text").alias("x")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_rows)
-    sample = sample.select("grade", "x.bucket", "x.value").toArrow()
-    rows = [(b.values.to_numpy(), np.full(len(b), v)) for b, v in zip(sample["bucket"], sample["value"].to_numpy(), strict=True)]
+    sample = own.join(F.broadcast(chosen), "id").select("id", "grade", extracted("text").alias("bucket")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_rows)
+    sample = sample.select("grade", "bucket").toArrow()
+    rows = [(b.values.to_numpy(), np.ones(len(b))) for b in sample["bucket"]]
     return fit(rows, sample["grade"].to_numpy().astype(np.int64), levels)
 
 
