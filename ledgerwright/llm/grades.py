@@ -13,36 +13,52 @@ from pyspark.sql import functions as F
 from .common import by_value, shared, small_batches
 from .quality import measure_texts
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 18
+#: The first buckets, which the measures of a text have for themselves: 50 levels of each.
+MEASURES = 250
+#: Lengths of a word's beginnings, which its inflected and compound forms share.
+BEGINNINGS = (4, 5, 6)
 #: Rated rows that a model is fitted on at most.
-MAX_ROWS = 8000
+MAX_ROWS = 16000
 CHUNK_WORDS = 200_000
 EPOCHS = 30
-L2 = 1e-5
+#: Gradient steps at least, so that small samples are fitted too.
+LEAST_STEPS = 400
+#: Variance of the normal prior of a weight.
+PRIOR = 0.3
 
 
-def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text index, bucket, value): each distinct word of a whole text, and buckets of its measures.
+def word_buckets(word: str) -> list[int]:
+    """Buckets of a word without punctuation at its ends and of its beginnings (-1: too short for one)."""
+    bare = word.strip(".,;:!?\"'()[]") or word
+    parts = [bare] + ["\x00" + bare[:n] if len(bare) >= n else None for n in BEGINNINGS]
+    return [-1 if x is None else MEASURES + xxhash.xxh3_64_intdigest(x) % (BUCKETS - MEASURES) for x in parts]
 
-    Words are lower-cased, without punctuation at their ends. The value falls with the fourth
-    root of their number, so that a few telling words still count in a long text.
+
+def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(text index, bucket): the distinct words of each whole text and their beginnings, and its measures.
+
+    Words are lower-cased. All count as one, so a few telling words count as much in a long text
+    as in a short one.
     """
     words = [(t or "").lower().split() for t in texts]
     measures = measure_texts(texts)
-    doc, bucket, number = [], [], {}
+    number: dict[str, int] = {}
+    ids = [np.array([number.setdefault(w, len(number)) for w in set(ws)], np.int64) for ws in words]
+    table = np.array([word_buckets(w) for w in number], np.int64).reshape(-1, 1 + len(BEGINNINGS))
+    doc, bucket = [], []
     for i, ws in enumerate(words):
         n = max(1, len(ws))
         m = measures[i]
-        some = {w.strip(".,;:!?\"'()[]") or w for w in ws}
-        some |= {f"\x00words {n.bit_length()}", f"\x00symbols {min(9, int(30 * m[2] / max(1, m[1])))}", f"\x00repeats {min(9, int(10 * m[5] / n))}"}
-        some |= {f"\x00lines {min(9, int(10 * m[4] / max(1, m[3])))}", f"\x00distinct {int(5 * len(set(ws)) / n)}"}
-        ids = np.unique([number[w] if w in number else number.setdefault(w, xxhash.xxh3_64_intdigest(w) % BUCKETS) for w in some])
-        doc.append(np.full(len(ids), i))
-        bucket.append(ids)
-    d = np.concatenate(doc) if doc else np.zeros(0, np.int64)
-    b = np.concatenate(bucket).astype(np.int64) if bucket else np.zeros(0, np.int64)
-    size = np.bincount(d, minlength=len(texts))
-    return d, b, size[d] ** -0.25
+        levels = (n.bit_length(), int(30 * m[2] / max(1, m[1])), int(10 * m[5] / n), int(10 * m[4] / max(1, m[3])), int(5 * len(ids[i]) / n))
+        some = [50 * k + min(49 if k == 0 else 9, x) for k, x in enumerate(levels)]
+        got = np.unique(np.append(table[ids[i]].ravel(), some))
+        got = got[got >= 0]
+        doc.append(np.full(len(got), i))
+        bucket.append(got)
+    if not doc:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(doc), np.concatenate(bucket).astype(np.int64)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -64,28 +80,63 @@ class GradeModel:
         for i, t in enumerate(texts):
             held += len(t or "") // 6
             if held > CHUNK_WORDS or i == len(texts) - 1:
-                d, b, v = features(texts[start : i + 1])
-                z = np.bincount(d, self.weights[b] * v, i + 1 - start)
+                d, b = features(texts[start : i + 1])
+                z = np.bincount(d, self.weights[b], i + 1 - start)
                 out[start : i + 1] = sigmoid(z[:, None] - self.thresholds[None, :])
                 start, held = i + 1, 0
         return out
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, levels: int) -> GradeModel:
-    """Adam on the log loss of the cumulative links; thresholds rise as the first plus positive gaps."""
+def telling(rows: list[np.ndarray], grades: np.ndarray, levels: int) -> np.ndarray:
+    """Whether each bucket tells grades apart beyond chance.
+
+    By a score test of its weight in the model of thresholds alone: the sum of the residuals of
+    the rows that have it, over the root of the sum of their squares, must pass the universal
+    bound sqrt(2 ln p) of p tested buckets, for measures and words each. So a bucket needs
+    evidence in more than 2 ln p rows; with few rows few weights or none leave zero, and what is
+    unknown goes by the thresholds.
+    """
+    share = np.bincount(grades, minlength=levels) / len(grades)
+    above = np.concatenate([[1.0], 1 - np.cumsum(share)])
+    residual = (1 - above[:-1] - above[1:])[grades]  # slope of the log likelihood when a row's links all shift
+    total, squares = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for start in range(0, len(rows), 500):
+        some = rows[start : start + 500]
+        each = np.repeat(residual[start : start + 500], [len(b) for b in some])
+        bucket = np.concatenate(some)
+        total += np.bincount(bucket, each, BUCKETS)
+        squares += np.bincount(bucket, each * each, BUCKETS)
+    score = np.abs(total) / np.sqrt(np.maximum(squares, 1e-12))
+    out = np.zeros(BUCKETS, bool)
+    for family in (slice(0, MEASURES), slice(MEASURES, BUCKETS)):
+        tested = np.count_nonzero(squares[family])
+        out[family] = score[family] > np.sqrt(2 * np.log(max(tested, 2)))
+    return out
+
+
+def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int) -> GradeModel:
+    """Adam on the log loss of the cumulative links; thresholds rise as the first plus positive gaps.
+
+    rows: the buckets of each text. Only the weights of telling() buckets are fitted.
+    """
+    used = np.flatnonzero(telling(rows, grades, levels)) if len(rows) else np.zeros(0, np.int64)
+    place = np.full(BUCKETS, -1)
+    place[used] = np.arange(len(used))
+    rows = [x[x >= 0] for x in (place[b] for b in rows)]
     rng = np.random.default_rng(5)
-    w, first, gaps = np.zeros(BUCKETS), np.zeros(1), np.zeros(max(0, levels - 2))
+    w, first, gaps = np.zeros(len(used)), np.zeros(1), np.zeros(max(0, levels - 2))
     params = [w, first, gaps]
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     step = 0
-    for epoch in range(EPOCHS if len(rows) else 0):
+    batches = max(1, len(rows) // 128)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // batches)) if len(rows) else 0
+    for epoch in range(epochs):
         order = rng.permutation(len(rows))
-        for some in np.array_split(order, max(1, len(order) // 128)):
-            d = np.repeat(np.arange(len(some)), [len(rows[r][0]) for r in some])
-            b = np.concatenate([rows[r][0] for r in some])
-            v = np.concatenate([rows[r][1] for r in some])
+        for some in np.array_split(order, batches):
+            d = np.repeat(np.arange(len(some)), [len(rows[r]) for r in some])
+            b = np.concatenate([rows[r] for r in some])
             theta = np.concatenate([first, first + np.cumsum(np.exp(gaps))])
-            z = np.bincount(d, w[b] * v, len(some))
+            z = np.bincount(d, w[b], len(some))
             y = grades[some]
             upper = np.concatenate([np.full((len(some), 1), 1.0), sigmoid(z[:, None] - theta), np.zeros((len(some), 1))], 1)
             at = np.arange(len(some))
@@ -96,14 +147,16 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, levels: i
             np.add.at(gt, y, slope[at, y] / p / len(some))
             np.add.at(gt, y + 1, -slope[at, y + 1] / p / len(some))
             gt = gt[1:-1]
-            grads = [np.bincount(b, gz[d] * v, BUCKETS) + L2 * w, np.array([gt.sum()]), np.array([gt[k + 1 :].sum() for k in range(levels - 2)]) * np.exp(gaps)]
+            grads = [np.bincount(b, gz[d], len(used)) + w / (PRIOR * len(rows)), np.array([gt.sum()]), np.array([gt[k + 1 :].sum() for k in range(levels - 2)]) * np.exp(gaps)]
             step += 1
-            rate = 0.05 * (1 - epoch / EPOCHS) + 0.002
+            rate = 0.05 * (1 - epoch / epochs) + 0.002
             for q, g, (m, s) in zip(params, grads, state, strict=True):
                 m += 0.1 * (g - m)
                 s += 0.01 * (g * g - s)
                 q -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
-    return GradeModel(w, np.concatenate([first, first + np.cumsum(np.exp(gaps))]))
+    weights = np.zeros(BUCKETS)
+    weights[used] = w
+    return GradeModel(weights, np.concatenate([first, first + np.cumsum(np.exp(gaps))]))
 
 
 def train(docs: DataFrame, ratings: DataFrame, levels: int, *, id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_ROWS) -> GradeModel:
@@ -119,18 +172,17 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int, *, id_col: str = "do
     rated = ratings.select(F.col(id_col).alias("id"), F.col("grade").cast("int").alias("grade")).where(f"id IS NOT NULL AND grade BETWEEN 0 AND {levels - 1}")
     chosen = rated.groupBy("id").agg(F.min("grade").alias("grade")).orderBy(place, "id").limit(max_rows)
 
-    @F.pandas_udf("bucket array<int>, value double")
-    def extracted(text: pd.Series) -> pd.DataFrame:
-        d, b, v = features(list(text))
+    @F.pandas_udf("array<int>")
+    def extracted(text: pd.Series) -> pd.Series:
+        d, b = features(list(text))
         edge = np.searchsorted(d, np.arange(len(text) + 1))
-        return pd.DataFrame({"bucket": [b[edge[i] : edge[i + 1]] for i in range(len(text))], "value": v[edge[:-1]]})
+        return pd.Series([b[edge[i] : edge[i + 1]] for i in range(len(text))])
 
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     # max_rows bounds the broadcast
-    sample = own.join(F.broadcast(chosen), "id").select("id", "grade", extracted("text").alias("x")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_rows)
-    sample = sample.select("grade", "x.bucket", "x.value").toArrow()
-    rows = [(b.values.to_numpy(), np.full(len(b), v)) for b, v in zip(sample["bucket"], sample["value"].to_numpy(), strict=True)]
-    return fit(rows, sample["grade"].to_numpy().astype(np.int64), levels)
+    sample = own.join(F.broadcast(chosen), "id").select("id", "grade", extracted("text").alias("bucket")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_rows)
+    sample = sample.select("grade", "bucket").toArrow()
+    return fit([b.values.to_numpy() for b in sample["bucket"]], sample["grade"].to_numpy().astype(np.int64), levels)
 
 
 def grade(docs: DataFrame, model: GradeModel, *, text_col: str = "text", least: int | None = None, probability: float = 0.5) -> DataFrame:

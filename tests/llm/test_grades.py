@@ -35,14 +35,24 @@ def test_held_out_grades(spark):
 
 
 def test_fit_raises_every_likelihood():
-    """Of separable rows; at the start, with no weights and thresholds 0 and 1, they are 0.5, 0.231 and 0.269."""
-    rows = [(np.array([1, 2]), np.array([0.5, 0.5])), (np.array([3]), np.array([1.0])), (np.array([4]), np.array([1.0]))]
-    y = np.array([0, 1, 2])
+    """Of separable rows; with no weights, each grade is as likely as it is frequent, a third."""
+    rows, y = [np.array([300 + g, 400, 500 + i]) for i in range(40) for g in range(3)], np.tile([0, 1, 2], 40)
     model = grades.fit(rows, y, 3)
-    z = np.array([(model.weights[b] * v).sum() for b, v in rows])
-    tails = np.concatenate([np.ones((3, 1)), grades.sigmoid(z[:, None] - model.thresholds), np.zeros((3, 1))], 1)
-    p = tails[np.arange(3), y] - tails[np.arange(3), y + 1]
-    assert (p > [0.5, 0.232, 0.27]).all()
+    z = np.array([model.weights[b].sum() for b in rows])
+    tails = np.concatenate([np.ones((120, 1)), grades.sigmoid(z[:, None] - model.thresholds), np.zeros((120, 1))], 1)
+    p = tails[np.arange(120), y] - tails[np.arange(120), y + 1]
+    assert (p > 0.5).all()
+    # the grade in the middle has no slope; what all rows have and what one row has tells nothing
+    assert set(np.flatnonzero(model.weights)) == {300, 302}
+
+
+def test_chance_gets_no_weight_and_few_rows_keep_the_common_grade():
+    r = np.random.default_rng(3)
+    for n in (10, 64, 1000):
+        rows, y = [np.unique(r.integers(300, 20_000, 200)) for _ in range(n)], np.where(r.random(n) < 0.8, 2, r.integers(0, 2, n))
+        model = grades.fit(rows, y, 3)
+        assert np.count_nonzero(model.weights) <= 1
+        assert grades.sigmoid(-model.thresholds)[1] > 0.5
 
 
 def test_nulls_and_empty_tables(spark):
@@ -68,11 +78,14 @@ def plain_tails(model, text):
     for at in often.values():
         if len(at) > 1:
             inside.update(i + k for i in at for k in range(5))
-    some = {w.strip(".,;:!?\"'()[]") or w for w in words}
-    some |= {f"\x00words {n.bit_length()}", f"\x00symbols {min(9, int(30 * symbols / max(1, chars)))}", f"\x00repeats {min(9, int(10 * len(inside) / n))}"}
-    some |= {f"\x00lines {min(9, int(10 * (len(lines) - len(set(lines))) / max(1, len(lines))))}", f"\x00distinct {int(5 * len(set(words)) / n)}"}
-    buckets = {xxhash.xxh3_64_intdigest(w) % grades.BUCKETS for w in some}
-    z = sum(float(model.weights[b]) for b in buckets) * len(buckets) ** -0.25
+    repeated = (len(lines) - len(set(lines))) / max(1, len(lines))
+    buckets = {n.bit_length(), 50 + min(9, int(30 * symbols / max(1, chars))), 100 + min(9, int(10 * len(inside) / n))}
+    buckets |= {150 + min(9, int(10 * repeated)), 200 + int(5 * len(set(words)) / n)}
+    for w in words:
+        w = w.strip(".,;:!?\"'()[]") or w
+        for x in (w, *["\x00" + w[:k] for k in (4, 5, 6) if len(w) >= k]):
+            buckets.add(grades.MEASURES + xxhash.xxh3_64_intdigest(x) % (grades.BUCKETS - grades.MEASURES))
+    z = sum(float(model.weights[b]) for b in buckets)
     return [1 / (1 + math.exp(-max(-40, min(40, z - t)))) for t in model.thresholds]
 
 
@@ -88,7 +101,7 @@ def test_query_matches_a_plain_scorer(spark, sf):
 
 
 def test_very_long_texts_and_ties(spark):
-    model = grades.GradeModel(np.linspace(-1, 1, grades.BUCKETS), np.array([-0.5, 0.5]))
+    model = grades.GradeModel(np.linspace(-1, 1, grades.BUCKETS) / 1000, np.array([-0.5, 0.5]))
     long = " ".join(f"w{i % 5000}" for i in range(300_000))
     got = [r["expected_grade"] for r in grades.grade(spark.createDataFrame([(1, long), (2, long), (3, "")], "doc_id long, text string"), model).orderBy("doc_id").collect()]
     assert got[0] == got[1] and abs(got[0] - sum(plain_tails(model, long))) < 1e-6 and abs(got[2] - sum(plain_tails(model, ""))) < 1e-6
