@@ -97,6 +97,13 @@ def shared(spark: SparkSession, value) -> Callable:
     return get
 
 
+def ascii_lower(text: Column) -> Column:
+    """text with A to Z, and nothing else, in lower case."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
+
+
 def hex_fraction(text: Column) -> Column:
     """A reproducible number in [0, 1) from a text: the first 8 digits of its MD5."""
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
@@ -108,12 +115,15 @@ def map_groups(
     fn: Callable[[pd.DataFrame], pd.DataFrame],
     schema: str,
     then: tuple[str, ...] = (),
+    batch_rows: int = BATCH_ROWS,
 ) -> DataFrame:
     """fn over frames that each hold many whole groups of `key`, sorted by key and `then`.
 
-    Unlike applyInPandas this has no cost per group. The caller bounds a group's size.
+    Unlike applyInPandas this has no cost per group. The caller bounds a group's size. With more
+    batch_rows than usual the caller sets the session's batches, as its rows are short.
     """
-    small_batches(df.sparkSession)
+    if batch_rows <= BATCH_ROWS:
+        small_batches(df.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []

@@ -129,3 +129,29 @@ ORACLES["quality_ablation"] = f"""
 WITH marked AS ({ORACLES["op4_quality_rules"]}), rules(rule, bit) AS (VALUES {_BITS})
 SELECT rule, count(*) FILTER (WHERE failed_rules & bit <> 0) AS failing, count(*) FILTER (WHERE failed_rules & {quality.POLICIES[quality.LATEST]} = bit) AS only_failing
 FROM marked, rules GROUP BY rule"""
+
+#: The CRC-32 of a text, from the table of its polynomial.
+ORACLES["op11_spelling_variants"] = r"""
+WITH RECURSIVE step(i, k, c) AS (
+  SELECT i, 0, i::BIGINT FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS tab FROM step WHERE k = 8),
+run AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS r FROM documents) WHERE length(r) >= 7),
+hashed AS (
+  SELECT run, xor(list_reduce(list_transform(range(0, octet_length(encode(id || ':' || run)) * 2, 2), lambda k: ('0x' || substr(hex(encode(id || ':' || run)), k + 1, 2))::BIGINT),
+                              lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h FROM run, crc),
+struck AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed),
+w AS MATERIALIZED (SELECT word, count(*) AS n FROM struck WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+cut AS MATERIALIZED (SELECT DISTINCT word, n, length(word) AS l, k, substr(word, 1, k - 1) AS a, substr(word, k + 1) AS z FROM w, range(1, 200) r(k) WHERE k <= length(word)),
+pair AS (
+  SELECT x.word AS u, y.word AS v FROM cut x JOIN cut y ON x.l = y.l AND x.k = y.k AND x.a = y.a AND x.z = y.z AND x.word <> y.word
+  UNION SELECT c.word, w.word FROM cut c JOIN w ON w.word = c.a || c.z
+  UNION SELECT w.word, c.word FROM cut c JOIN w ON w.word = c.a || c.z),
+near AS (SELECT u, count(*) AS n_near, arg_min(v, (-n, v)) AS form, max(n) AS most FROM pair JOIN w ON v = word GROUP BY u),
+judged AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN form END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n FROM w LEFT JOIN near ON u = word),
+walk AS (SELECT word, word AS onto, 0 AS d FROM w UNION ALL SELECT walk.word, j.form, d + 1 FROM walk JOIN judged j ON j.word = walk.onto WHERE j.form IS NOT NULL),
+ends AS (SELECT word, arg_max(onto, d) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN ends USING (word)
+"""

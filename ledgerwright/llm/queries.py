@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import grades, langid, licenses, mixing, neardup, neardup_vectors, pieces, quality, sharding, urls
-from .common import durable
+from . import grades, langid, licenses, mixing, neardup, neardup_vectors, pieces, quality, sharding, urls, variants
+from .common import ascii_lower, durable
 
 SHARDS = 64
 LINK_DOCUMENTS = 0.85
@@ -110,6 +110,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "expected_grade", "tail_probability", "kept")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of at least 7 letters found twice or more, after one letter is struck out of every 31st run or so."""
+    docs = table(spark, sf_dir, "documents").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text")
+    run = docs.select("id", F.explode(variants.runs(F.col("text"), 7)).alias("run")).select("id", ascii_lower(F.col("run")).alias("run"))
+    hashed = run.withColumn("h", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")))
+    at = F.pmod("h", F.length("run")).cast("int")
+    struck = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    words = hashed.select(F.when(F.col("h") % 31 == 0, struck).otherwise(F.col("run")).alias("word")).where(F.length("word") >= 7)
+    often = durable(words.groupBy("word").agg(F.count("*").alias("n")).where("n >= 2"))
+    return variants.grouped(often)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -123,6 +135,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filters": op8_url_filters,
         "op9_embedding_near_dedup": op9_embedding_near_dedup,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_spelling_variants": op11_spelling_variants,
     }
 
 
