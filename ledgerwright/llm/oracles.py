@@ -155,3 +155,25 @@ walk AS (SELECT word, word AS onto, 0 AS d FROM w UNION ALL SELECT walk.word, j.
 ends AS (SELECT word, arg_max(onto, d) AS root FROM walk GROUP BY word)
 SELECT word, form, root, n, n_near, form_n FROM judged JOIN ends USING (word)
 """
+
+ORACLES["op12_source_divergence"] = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+word AS MATERIALIZED (SELECT r, lang, source, unnest(t) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term FROM word GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM word JOIN kept USING (lang, term) GROUP BY lang, source, term),
+cell AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(n, 0)::HUGEINT AS n FROM grp g JOIN kept k USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+p AS MATERIALIZED (
+  SELECT lang, source, term, n, (1 + 1000000000 * (n + 2) // (sum(n) OVER (PARTITION BY lang, source)::HUGEINT + 2 * v))::HUGEINT AS p,
+         (1 + 1000000000 * (sum(n) OVER (PARTITION BY lang, term)::HUGEINT + 2) // (sum(n) OVER (PARTITION BY lang)::HUGEINT + 2 * v))::HUGEINT AS q
+  FROM cell JOIN v USING (lang)),
+far AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p))::BIGINT AS value FROM p x JOIN p y USING (lang, term) WHERE x.source <> y.source GROUP BY ALL),
+part AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INT AS rank FROM part QUALIFY part = 'pair' OR rank <= 10
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import grades, langid, licenses, mixing, neardup, neardup_vectors, pieces, quality, sharding, urls, variants
+from . import divergence, grades, langid, licenses, mixing, neardup, neardup_vectors, pieces, quality, sharding, urls, variants
 from .common import ascii_lower, durable
 
 SHARDS = 64
@@ -122,6 +122,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.grouped(often)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -136,6 +140,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_embedding_near_dedup": op9_embedding_near_dedup,
         "op10_quality_classifier": op10_quality_classifier,
         "op11_spelling_variants": op11_spelling_variants,
+        "op12_source_divergence": op12_source_divergence,
     }
 
 
