@@ -18,6 +18,8 @@ BANDS = 3
 BAND = tuple(np.uint64(sum(1 << b for b in range(BITS) if b % BANDS == k)) for k in range(BANDS))
 #: Rows of one bucket that are compared in one piece; a larger bucket is compared piece against piece.
 BUCKET = 4096
+#: Buckets of at most so many rows are gone through together; larger ones by blocks of so many rows.
+SMALL, BLOCK = 48, 512
 #: Words that a Python worker gets at once, and cells (letters, or candidates' letters) that it works on at once.
 WORDS, CELLS = 8192, 4_000_000
 
@@ -101,45 +103,78 @@ def one_edit(words: list[str], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return near
 
 
+def halves(words: list[str], low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first half of `low` letters of each word and of its last letters up to as many as the rest of `low`.
+
+    One edit leaves one of the two as it is. low: the length of the shorter word of a pair.
+    """
+    head, tail = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
+    for at, chars in by_length(words):
+        factor = np.cumprod(np.full(chars.shape[1] + 1, 0x9E3779B97F4A7C15, np.uint64))
+        for n in np.unique(low[at]):
+            mine = low[at] == n
+            h = int(n) // 2
+            some = chars[mine].astype(np.uint64) + np.uint64(1)
+            head[at[mine]] = (some[:, :h] * factor[:h]).sum(axis=1)
+            tail[at[mine]] = (some[:, some.shape[1] - (int(n) - h) :] * factor[: int(n) - h]).sum(axis=1)
+    return head, tail
+
+
 def compared(frame: pd.DataFrame) -> pd.DataFrame:
-    """Near words of whole buckets: each row against the one after it, then the one after that, and so on, in all buckets at once."""
+    """Near words of whole buckets. All small buckets are gone through at once, a large one by blocks of rows."""
     key = frame["key"].to_numpy()
-    edge = np.flatnonzero(np.r_[key[1:] != key[:-1], True]) + 1
-    end = np.repeat(edge, np.diff(np.r_[0, edge]))
+    edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+    sizes = np.diff(edge)
     mask = frame["mask"].to_numpy().view(np.uint64)
-    kind, part, across = (frame[c].to_numpy() for c in ("kind", "part", "across"))
+    kind, low, part, across = (frame[c].to_numpy() for c in ("kind", "low", "part", "across"))
     words, n = frame["word"].tolist(), frame["n"].to_numpy()
     length = np.fromiter(map(len, words), np.int64, len(words))
-    alive, step, found, held, out = np.arange(len(frame)), 0, [], 0, []
+    head, tail = halves(words, low)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    out: list[tuple[np.ndarray, np.ndarray]] = []
 
     def verified() -> None:
-        nonlocal found, held
+        nonlocal found
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
         near = one_edit(words, a, b)
         out.append((np.r_[a[near], b[near]], np.r_[b[near], a[near]]))
-        found, held = [], 0
+        found = []
 
-    while True:
-        step += 1
-        alive = alive[end[alive] > alive + step]
-        if not len(alive):
-            break
-        x = mask[alive] ^ mask[alive + step]
-        may = np.bitwise_count(x) <= 2
-        a, x = alive[may], x[may]
-        b = a + step
-        k, grown = kind[a], length[b] - length[a]
+    def candidates(a: np.ndarray, b: np.ndarray) -> None:
+        halved = (head[a] == head[b]) | (tail[a] == tail[b])
+        a, b = a[halved], b[halved]
+        x, k, grown = mask[a] ^ mask[b], kind[a], length[b] - length[a]
         empty = [x & band == 0 for band in BAND]
         replaced = (grown == 0) & np.select([k == 0, k == 1, k == 2], [empty[0], empty[1] & ~empty[0], empty[2] & ~empty[0] & ~empty[1]], False)
         moved = (np.abs(grown) == 1) & (np.bitwise_count(x) == 1) & np.select([k == j + BANDS for j in range(BANDS)], [~empty[j] for j in range(BANDS)], False)
-        keep = (kind[b] == k) & (replaced | moved) & (~across[a] | (part[a] != part[b]))
+        keep = (kind[b] == k) & (low[a] == low[b]) & (replaced | moved) & (~across[a] | (part[a] != part[b]))
         a, b = a[keep], b[keep]
         if len(a):
             swap = length[a] > length[b]
             found.append((np.where(swap, b, a), np.where(swap, a, b)))
-            held += len(a)
-            if held > 500_000:
+            if sum(len(x) for x, _ in found) > 500_000:
                 verified()
+
+    end = np.repeat(edge[1:], sizes)
+    alive, step = np.flatnonzero(np.repeat(sizes <= SMALL, sizes)), 0
+    while True:
+        step += 1
+        alive = alive[end[alive] > alive + step]
+        if not len(alive):
+            break
+        a = alive[np.bitwise_count(mask[alive] ^ mask[alive + step]) <= 2]
+        candidates(a, a + step)
+    for start, stop in zip(edge[:-1][sizes > SMALL], edge[1:][sizes > SMALL], strict=True):
+        rows = np.arange(start, stop)
+        for k in np.unique(kind[start:stop]):
+            mine = rows[kind[start:stop] == k]
+            one, other, flips = (mine, mine, 2) if k < BANDS else (mine[length[mine] == low[mine]], mine[length[mine] != low[mine]], 1)
+            for i in range(0, len(one), BLOCK):
+                for j in range(i if k < BANDS else 0, len(other), BLOCK):
+                    x, y = np.nonzero(np.bitwise_count(mask[one[i : i + BLOCK]][:, None] ^ mask[other[j : j + BLOCK]][None, :]) <= flips)
+                    a, b = one[i + x], other[j + y]
+                    once = a < b if k < BANDS else slice(None)
+                    candidates(a[once], b[once])
     if found:
         verified()
     a, b = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (alive, alive)
@@ -164,16 +199,16 @@ def near_words(words: DataFrame) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(WORDS))
     try:
         made = words.mapInPandas(entries, "kind int, low long, bits long, mask long, word string, n long")
-        made = durable(made.select(F.xxhash64("kind", "low", "bits").alias("key"), "kind", "mask", "word", "n"))
+        made = durable(made.select(F.xxhash64("kind", "low", "bits").alias("key"), "kind", "low", "mask", "word", "n"))
         hot = durable(made.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > BUCKET))
         sized = made.join(broadcast_if_small(hot), "key", "left")
         parts = F.coalesce(F.ceil(F.col("many") / BUCKET), F.lit(1)).cast("long")
         sized = sized.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int"))
         # of a bucket in several parts a row goes to its own piece and to those of its part with each other one
-        placed = sized.select("key", "kind", "mask", "word", "n", "part", "parts", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("with"))
+        placed = sized.select("key", "kind", "low", "mask", "word", "n", "part", "parts", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("with"))
         placed = placed.select(
             F.when(F.col("parts") == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("part", "with"), F.greatest("part", "with"))).alias("key"),
-            "kind", "mask", "word", "n", "part", (F.col("part") != F.col("with")).alias("across"),
+            "kind", "low", "mask", "word", "n", "part", (F.col("part") != F.col("with")).alias("across"),
         )
         found = durable(map_groups(placed, "key", compared, "word string, other string, other_n long", then=("word",), batch_rows=WORDS))
     finally:
