@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, grades, langid, licenses, mixing, neardup, neardup_vectors, pieces, quality, sharding, urls, variants
+from . import divergence, grades, langid, licenses, mixing, neardup, neardup_vectors, pieces, pii, quality, sharding, urls, variants
 from .common import ascii_lower, durable
 
 SHARDS = 64
@@ -126,6 +126,15 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    name = lambda s: F.element_at(F.array(*map(F.lit, pii.KINDS)), s["kind"] + 1)
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    sure = found.withColumn("sure", F.filter("spans", lambda s: s["sure"]))
+    counts = [F.size(F.filter("sure", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return sure.select("doc_id", *counts, F.sha2(written(F.col("sure")).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -141,6 +150,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_quality_classifier": op10_quality_classifier,
         "op11_spelling_variants": op11_spelling_variants,
         "op12_source_divergence": op12_source_divergence,
+        "op13_pii": op13_pii,
     }
 
 
