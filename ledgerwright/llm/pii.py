@@ -39,9 +39,9 @@ FEATURES = (
     "kind", "digits", "letters", "length", "separators", "kinds of separator", "Luhn", "octets", "prefix", "last label", "at", "dot",
     "character before", "character after", "announced", "others in the text", "first digit", "telling local part",
 )
-TREES, DEPTH, RATE, RIDGE = 16, 3, 0.4, 1.0
-#: A kind's threshold is the lowest score at and above which the held-out examples are personal data by so large a share, and of which there are so many.
-PRECISION, LEAST_HELD_OUT = 0.99, 20
+TREES, DEPTH, RATE, RIDGE = 12, 3, 0.5, 1.0
+#: A kind's threshold is the lowest score that at most this share of its held-out negative examples, and so many positive ones, reach.
+MISTAKES, LEAST_HELD_OUT = 0.001, 20
 
 
 def digits_of(span: Column) -> Column:
@@ -52,7 +52,7 @@ def luhn(digits: Column) -> Column:
     """Whether a text of digits, at most 19, passes Luhn's test."""
     padded = F.lpad(F.when(F.length(digits).between(1, 19), digits).otherwise(F.lit("1")), 20, "0")
     doubled = F.translate(padded, "0123456789", "0246813579")
-    one = lambda k: F.substring(F.when(k % 2 == 1, doubled).otherwise(padded), k, F.lit(1)).cast("int")
+    one = lambda k: F.substring(F.when(k % 2 == 1, doubled).otherwise(padded), k, F.lit(1)).try_cast("int")
     total = F.aggregate(F.sequence(F.lit(1), F.lit(20)), F.lit(0), lambda sum_, k: sum_ + one(k))
     return total % 10 == 0
 
@@ -103,12 +103,12 @@ def placed(found: DataFrame) -> DataFrame:
     spans = each.withColumn("end", F.sum(F.col("gap") + F.length("span")).over(upto)).withColumn("start", F.col("end") - F.length("span"))
     spans = spans.where((F.col("sure") == 0) | is_sure(F.col("kind"), F.col("span")))
     in_text = Window.partitionBy("row")
-    by_start = in_text.orderBy("start", F.desc("sure"))
+    upwards, downwards = in_text.orderBy("start", F.desc("sure"), "end", "kind"), in_text.orderBy(F.desc("start"), "sure", F.desc("end"), F.desc("kind"))
     end, start = F.when(F.col("sure") == 1, F.col("end")), F.when(F.col("sure") == 1, F.col("start"))
     marked = spans.select(
         "*",
-        F.max(end).over(by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("covered"),
-        F.min(start).over(by_start.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("next"),
+        F.max(end).over(upwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("covered"),
+        F.min(start).over(downwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("next"),
         (F.sum("sure").over(in_text) - F.col("sure")).alias("others"),
     )
     free = ~F.coalesce(F.col("covered") > F.col("start"), F.lit(False)) & ~F.coalesce(F.col("next") < F.col("end"), F.lit(False))
@@ -142,7 +142,7 @@ def features() -> Column:
         F.when(span.contains("@"), 1).when(span.rlike(r"(?i)[\[(]at[\])]"), 2).when(span.rlike("(?i) at "), 3).otherwise(0),
         F.when(span.rlike(r"(?i)[\[(](?:dot|\.)[\])]"), 2).when(span.rlike("(?i) (?:dot|\\.) "), 3).when(span.contains("."), 1).otherwise(0),
         beside(F.right(before, F.lit(1))), beside(F.left(after, F.lit(1))), announced, small("others", 3),
-        F.when(F.length(digits) > 0, F.substring(digits, 1, 1).cast("int")).otherwise(-1), span.rlike(r"^[^@\[( ]*[0-9._+-][^@\[( ]*(?:@| |\[|\()"),
+        F.when(F.length(digits) > 0, F.substring(digits, 1, 1).try_cast("int")).otherwise(-1), span.rlike(r"^[^@\[( ]*[0-9._+-][^@\[( ]*(?:@| |\[|\()"),
     ]
     return F.array(*[F.coalesce(v.cast("int"), F.lit(0)) for v in values])
 
@@ -159,14 +159,14 @@ def examples(spans: DataFrame) -> DataFrame:
     local, domain = F.substring_index(span, "@", 1), F.substring_index(span, "@", -1)
     dots = lambda c, by: F.replace(c, F.lit("."), F.lit(by))
     fours = lambda c, by: F.regexp_replace(c, "([0-9]{4})(?=[0-9])", f"$1{by}")
-    wrong = F.concat(F.substring(d, F.lit(1), F.length(d) - 1), F.pmod(F.right(d, F.lit(1)).cast("int") + 1, F.lit(10)).cast("string"))
+    wrong = F.concat(F.substring(d, F.lit(1), F.length(d) - 1), F.pmod(F.right(d, F.lit(1)).try_cast("int") + 1, F.lit(10)).cast("string"))
     area, middle, last = F.left(F.right(d, F.lit(10)), F.lit(3)), F.left(F.right(d, F.lit(7)), F.lit(3)), F.right(d, F.lit(4))
     rest = F.regexp_replace(span, r"^[0-9]+", "")
     disguised = (
         F.array(*[F.concat(local, F.lit(at), dots(domain, dot)) for at, dot in ((" at ", " dot "), ("[at]", "."), ("(at)", "(dot)"), (" (at) ", " (dot) "), (" @ ", "."), (" at ", "."), (" [at] ", " [dot] "))]),
         F.array(*[dots(span, dot) for dot in ("[.]", "(.)", " . ", ". ")]),
         F.array(*[fours(d, by) for by in (".", "/", "_", "  ", " - ")]),
-        F.array(F.concat(F.lit("00"), d), F.concat(F.lit("("), area, F.lit(") "), middle, F.lit("-"), last), F.concat(area, F.lit("-"), middle, F.lit("-"), last), F.concat(area, F.lit("."), middle, F.lit("."), last),
+        F.array(F.concat(F.lit("00"), F.left(d, F.lit(1)), F.lit(" "), area, F.lit(" "), middle, F.lit(" "), last), F.concat(F.lit("("), area, F.lit(") "), middle, F.lit("-"), last), F.concat(area, F.lit("-"), middle, F.lit("-"), last), F.concat(area, F.lit("."), middle, F.lit("."), last),
                 F.concat(F.lit("+"), F.left(d, F.lit(1)), F.lit("/"), area, F.lit("/"), middle, F.lit("/"), last)),
     )
     spoiled = (
@@ -217,9 +217,22 @@ def margin(model: Model) -> Column:
     return F.round(sum((tree_value(t) for t in model.trees), F.lit(model.base)), 6)
 
 
-def best_split(rows: list[tuple[int, int, float, float]]) -> tuple[float, int, int]:
-    """(gain, feature, at) from the sums of gradients and curvatures by feature and value."""
-    best = (1e-6, -1, 0)
+@dataclass(frozen=True)
+class Split:
+    gain: float
+    feature: int
+    at: int
+    left: float
+    right: float
+
+
+def leaf(g: float, h: float) -> float:
+    return round(-RATE * g / (h + RIDGE), 6)
+
+
+def best_split(rows: list[tuple[int, int, float, float]]) -> Split | None:
+    """The split of largest gain, with the values of its sides, from (feature, value, sum of gradients, sum of curvatures)."""
+    best = None
     for f in sorted({r[0] for r in rows}):
         bins = sorted(r[1:] for r in rows if r[0] == f)
         g, h = sum(b[1] for b in bins), sum(b[2] for b in bins)
@@ -227,8 +240,8 @@ def best_split(rows: list[tuple[int, int, float, float]]) -> tuple[float, int, i
         for value, bin_g, bin_h in bins[:-1]:
             left_g, left_h = left_g + bin_g, left_h + bin_h
             gain = left_g**2 / (left_h + RIDGE) + (g - left_g) ** 2 / (h - left_h + RIDGE) - g**2 / (h + RIDGE)
-            if gain > best[0] + 1e-9:
-                best = (gain, f, value)
+            if gain > (best.gain if best else 0) + 1e-6:
+                best = Split(gain, f, value, leaf(left_g, left_h), leaf(g - left_g, h - left_h))
     return best
 
 
@@ -236,36 +249,28 @@ def grow(data: DataFrame, model: Model) -> Node:
     """One more tree, a level at a time. A level is one job, of which a row for each node, feature and value comes back: some hundreds."""
     p = 1 / (1 + F.exp(-F.col("margin")))
     graded = data.withColumn("margin", margin(model)).withColumn("g", (p - F.col("label")) * F.col("n")).withColumn("h", p * (1 - p) * F.col("n"))
-    splits: dict[int, tuple[int, int]] = {}
-    values: dict[int, float] = {}
-    for depth in range(DEPTH + 1):
-        level = range(2**depth, 2 ** (depth + 1))  # node k has the children 2k and 2k + 1
-        node = F.lit(1)
-        for d in range(depth):
-            went = F.lit(None).cast("int")
-            for k in range(2**d, 2 ** (d + 1)):
-                if k in splits:
-                    went = F.when(node == k, F.when(goes_left(*splits[k]), 2 * k).otherwise(2 * k + 1)).otherwise(went)
-            node = went
+    splits: dict[int, Split] = {}  # node k has the children 2k and 2k + 1
+    node = F.lit(1)
+    for depth in range(DEPTH):
         at = graded.withColumn("node", node).where("node IS NOT NULL")
         sums = at.select("node", "g", "h", F.posexplode("features").alias("feature", "value")).groupBy("node", "feature", "value").agg(F.round(F.sum("g"), 6).alias("g"), F.round(F.sum("h"), 6).alias("h"))
-        by_node: dict[int, list] = {k: [] for k in level}
+        rows: dict[int, list] = {}
         for r in sums.collect():
-            by_node[r["node"]].append((r["feature"], r["value"], r["g"], r["h"]))
-        for k, rows in by_node.items():
-            if rows:
-                one = [r for r in rows if r[0] == 0]
-                values[k] = round(-RATE * sum(r[2] for r in one) / (sum(r[3] for r in one) + RIDGE), 6)
-                gain, feature, value = best_split(rows)
-                if feature >= 0 and depth < DEPTH:
-                    splits[k] = (feature, value)
-
-    def made(k: int) -> Node:
+            rows.setdefault(r["node"], []).append((r["feature"], r["value"], r["g"], r["h"]))
+        new = {k: split for k in sorted(rows) if (split := best_split(rows[k]))}
+        splits |= new
+        went = F.lit(None).cast("int")
+        for k, split in new.items():
+            went = F.when(node == k, F.when(goes_left(split.feature, split.at), 2 * k).otherwise(2 * k + 1)).otherwise(went)
+        node = went
+
+    def made(k: int, value: float) -> Node:
         if k not in splits:
-            return Node(values.get(k, 0.0))
-        return Node(0.0, *splits[k], made(2 * k), made(2 * k + 1))
+            return Node(value)
+        split = splits[k]
+        return Node(0.0, split.feature, split.at, made(2 * k, split.left), made(2 * k + 1, split.right))
 
-    return made(1)
+    return made(1, 0.0)
 
 
 def train(spans: DataFrame) -> Model:
@@ -290,16 +295,19 @@ def train(spans: DataFrame) -> Model:
 
 
 def thresholds(counts: list[tuple[int, float, int, int]]) -> dict[int, float]:
-    """The lowest score of each kind from which on PRECISION holds, of (kind, score, label, n)."""
+    """The lowest score of each kind that no more than MISTAKES of its negative examples reach, of (kind, score, label, n)."""
     out = {}
     for kind in {c[0] for c in counts}:
-        n = [0, 0]
         mine = [c for c in counts if c[0] == kind]
+        negative = sum(n for _, _, label, n in mine if not label)
+        reached = [0, 0]
         for score in sorted({c[1] for c in mine}, reverse=True):
-            for c in mine:
-                if c[1] == score:
-                    n[c[2]] += c[3]
-            if n[1] >= LEAST_HELD_OUT and n[1] >= PRECISION * sum(n):
+            for _, at, label, n in mine:
+                if at == score:
+                    reached[label] += n
+            if reached[0] > MISTAKES * negative:
+                break
+            if reached[1] >= LEAST_HELD_OUT:
                 out[kind] = score
     return out
 
