@@ -131,7 +131,8 @@ def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = lambda s: F.element_at(F.array(*map(F.lit, pii.KINDS)), s["kind"] + 1)
     written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s), s["start"].cast("string"), s["end"].cast("string"))), ",")
     sure = found.withColumn("sure", F.filter("spans", lambda s: s["sure"]))
-    counts = [F.size(F.filter("sure", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    of_kind = lambda kind: F.filter("sure", lambda s: s["kind"] == kind)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
     return sure.select("doc_id", *counts, F.sha2(written(F.col("sure")).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
