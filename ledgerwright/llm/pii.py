@@ -150,10 +150,11 @@ def features() -> Column:
 def examples(spans: DataFrame) -> DataFrame:
     """(held_out, features, label, n), distinct: how often each combination of features is personal data or not. Durable.
 
-    Nobody has labelled the spans, so sure ones serve: written in the ways that proposals look for
-    they are positive, spoiled (a wrong check digit, parts too large, other counts of digits,
+    Nobody has labelled the spans, so sure ones serve: as they are and written in the ways that
+    proposals look for they are positive, spoiled (a wrong check digit, parts too large, other counts of digits,
     a sentence for a domain) negative. Proposals as they stand in the texts count as negative too: few of
-    them are personal data, and a kind's threshold can only get stricter by those that are.
+    them are personal data, and a kind's threshold can only get stricter by those that are. One that would be
+    sure if it stood alone, but runs into its neighbour, is no example.
     """
     span, d = F.col("span"), digits_of(F.col("span"))
     local, domain = F.substring_index(span, "@", 1), F.substring_index(span, "@", -1)
@@ -163,10 +164,10 @@ def examples(spans: DataFrame) -> DataFrame:
     area, middle, last = F.left(F.right(d, F.lit(10)), F.lit(3)), F.left(F.right(d, F.lit(7)), F.lit(3)), F.right(d, F.lit(4))
     rest = F.regexp_replace(span, r"^[0-9]+", "")
     disguised = (
-        F.array(*[F.concat(local, F.lit(at), dots(domain, dot)) for at, dot in ((" at ", " dot "), ("[at]", "."), ("(at)", "(dot)"), (" (at) ", " (dot) "), (" @ ", "."), (" at ", "."), (" [at] ", " [dot] "))]),
-        F.array(*[dots(span, dot) for dot in ("[.]", "(.)", " . ", ". ")]),
-        F.array(*[fours(d, by) for by in (".", "/", "_", "  ", " - ")]),
-        F.array(F.concat(F.lit("00"), F.left(d, F.lit(1)), F.lit(" "), area, F.lit(" "), middle, F.lit(" "), last), F.concat(F.lit("("), area, F.lit(") "), middle, F.lit("-"), last), F.concat(area, F.lit("-"), middle, F.lit("-"), last), F.concat(area, F.lit("."), middle, F.lit("."), last),
+        F.array(span, *[F.concat(local, F.lit(at), dots(domain, dot)) for at, dot in ((" at ", " dot "), ("[at]", "."), ("(at)", "(dot)"), (" (at) ", " (dot) "), (" @ ", "."), (" at ", "."), (" [at] ", " [dot] "))]),
+        F.array(span, *[dots(span, dot) for dot in ("[.]", "(.)", " . ", ". ")]),
+        F.array(span, *[fours(d, by) for by in (".", "/", "_", "  ", " - ")]),
+        F.array(span, F.concat(F.lit("00"), F.left(d, F.lit(1)), F.lit(" "), area, F.lit(" "), middle, F.lit(" "), last), F.concat(F.lit("("), area, F.lit(") "), middle, F.lit("-"), last), F.concat(area, F.lit("-"), middle, F.lit("-"), last), F.concat(area, F.lit("."), middle, F.lit("."), last),
                 F.concat(F.lit("+"), F.left(d, F.lit(1)), F.lit("/"), area, F.lit("/"), middle, F.lit("/"), last)),
     )
     spoiled = (
@@ -178,7 +179,10 @@ def examples(spans: DataFrame) -> DataFrame:
     by_kind = lambda each: F.element_at(F.array(*each), F.col("kind") + 1)
     sure = spans.where("sure = 1")
     made = [sure.withColumn("span", F.explode(by_kind(each))).withColumn("label", F.lit(label)) for each, label in ((disguised, 1), (spoiled, 0))]
-    natural = spans.where("sure = 0").withColumn("label", F.lit(0))
+    alone = F.lit(False)
+    for kind, pattern in enumerate(SURE):
+        alone = F.when(F.col("kind") == kind, span.rlike(f"^{pattern}$")).otherwise(alone)
+    natural = spans.where("sure = 0").where(~(alone & is_sure(F.col("kind"), span))).withColumn("label", F.lit(0))
     every = made[0].unionByName(made[1]).unionByName(natural)
     return durable(every.select("held_out", "label", features().alias("features")).groupBy("held_out", "label", "features").agg(F.count("*").alias("n")))
 
