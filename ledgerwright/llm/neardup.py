@@ -343,12 +343,16 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, id_col: str = "d
 def drop_near_duplicates(docs: DataFrame, *, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows of other documents of a group than the one with the smallest id.
 
-    Repeated rows of that document all stay.
+    Repeated rows of that document all stay, as do rows without id. All columns stay as they are,
+    whatever their names. Null and empty texts are linked with nothing, texts of any length are
+    compared whole, equal texts are one group, and an empty table gives an empty result.
     """
-    judged = near_duplicates(docs, threshold=threshold, id_col=id_col, text_col=text_col)
-    gone = durable(judged.where("NOT kept").select(F.col(id_col).alias("near_gone")).distinct())
+    short = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    judged = near_duplicates(short, threshold=threshold)
+    gone = durable(judged.where("NOT kept").select(F.col("doc_id").alias("near_gone")).distinct())
     release(judged)
-    return docs.join(broadcast_if_small(gone), F.col(id_col) == F.col("near_gone"), "left_anti")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("near_row"), F.col(f"`{id_col}`").alias("near_id"))
+    return whole.join(broadcast_if_small(gone), F.col("near_id") == F.col("near_gone"), "left_anti").select("near_row.*")
 
 
 by_value(__name__)

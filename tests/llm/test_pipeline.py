@@ -114,3 +114,21 @@ def test_pieces_stage(stages):
 
 def test_run_gives_the_stages_rows(spark, sf, stages):
     assert rows(corpus_pipeline.run(spark, sf)) == rows(stages[5])
+
+
+def test_stages_keep_all_columns(spark, sf, stages):
+    """Columns whose names stages use themselves, or that need quotes, come through as they were."""
+    names = ["n_words", "failed_rules", "score", "accepted", "lang_pred", "size", "copies", "near_gone", "near_id", "row", "a.b", "whole"]
+    docs = stages[0]
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, -F.col("doc_id") - k)
+    for (title, stage), plain in zip(corpus_pipeline.STAGES[:-1], stages[1:], strict=False):
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, title
+        got = rows(out)
+        assert [r[:5] for r in got] == [tuple(r) for r in sorted((tuple(r) for r in plain.collect()), key=lambda r: str((*r, *(-r[0] - k for k in range(len(names))))))], title
+        assert all(r[5:] == tuple(-r[0] - k for k in range(len(names))) for r in got), title
+        docs = spark.createDataFrame(got, docs.schema)
+    assert corpus_pipeline.to_pieces(spark, docs, sf).columns == ["doc_id", "lang", "source", "n_pieces", "ids"]
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), sf).count() == 0
