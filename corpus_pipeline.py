@@ -1,7 +1,13 @@
 """A corpus pipeline: quality rules, language ID, near-duplicates, mixing, pieces.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the
-last return the columns of documents; the last adds the pieces' ids to what identifies a row.
+last return the columns of documents, of whatever names and as they are; the last adds the
+pieces' ids to what identifies a row.
+
+Null and empty texts have no words, so the first stage drops them; a stage that is given them drops
+them too (language ID), keeps them (near-duplicates: linked with nothing), takes them as of no size
+(mixing), or gives them no pieces. Texts of any length are worked on whole. Repeated rows are judged each for
+itself; of equal texts the smallest id stays. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -20,15 +26,20 @@ ORACLE_SQL: str | None = None
 SIMILARITY = 0.8
 
 
+def judged(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text): documents with their own columns out of the way of those that a judgement adds."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the latest policy of quality rules."""
-    return quality.ledger(docs).where(quality.passes()).select(*docs.columns)
+    return quality.ledger(judged(docs)).where(quality.passes()).select("row.*")
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language a model fitted on these documents' labels tells with enough certainty."""
-    model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
-    return langid.predict(docs, model).where("accepted").select(*docs.columns)
+    model = langid.train(docs.select("doc_id", "text", "lang").where(~langid.held_out(F.col("doc_id"))))
+    return langid.predict(judged(docs), model).where("accepted").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +49,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture by sources' weights; a document that is taken several times has several rows."""
-    return mixing.take(docs.withColumn("size", mixing.word_count(F.col("text")))).select(*docs.columns)
+    sized = judged(docs).select("row", "doc_id", F.col("row.source").alias("source"), mixing.word_count(F.col("text")).alias("size"))
+    return mixing.take(sized).select("row.*")
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
