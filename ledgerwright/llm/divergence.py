@@ -36,10 +36,11 @@ def divergence(p: str, q: str) -> Column:
 def kept_terms(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang_id, term, n, ids, counts): each language's kept terms, with the ids of the groups that have them and their counts. Durable."""
     words = F.sort_array(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(TERM), F.lit(1)))
-    each = docs.withColumn("words", words).select("lang", "source", F.explode(F.transform("words", lambda w, i: F.struct(
-        w.alias("term"), F.when((i > 0) & (F.get("words", i - 1) == w), 0).otherwise(1).alias("first")))).alias("x"))
-    counts = each.groupBy("lang", "source", F.col("x.term").alias("term")).agg(F.count("*").alias("n"), F.sum("x.first").alias("docs"))
-    numbered = counts.join(broadcast_if_small(groups), ["lang", "source"]).select("lang_id", "id", "term", "n", "docs")
+    named = docs.join(broadcast_if_small(groups), ["lang", "source"]).select("id", words.alias("words"))
+    each = named.select("id", "words", F.posexplode("words").alias("i", "term"))
+    again = (F.col("i") > 0) & (F.get("words", F.col("i") - 1) == F.col("term"))
+    counts = each.select("id", "term", F.when(again, 0).otherwise(1).alias("first")).groupBy("id", "term").agg(F.count("*").alias("n"), F.sum("first").alias("docs"))
+    numbered = counts.join(broadcast_if_small(groups), "id").select("lang_id", "id", "term", "n", "docs")
     terms = numbered.groupBy("lang_id", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("id", F.col("n").alias("count")))).alias("x"))
     return durable(terms.where(F.col("docs") >= LEAST_DOCUMENTS).select("lang_id", "term", "n", F.col("x.id").alias("ids"), F.col("x.count").alias("counts")))
 
