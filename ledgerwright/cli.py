@@ -33,6 +33,9 @@ def main(argv: list[str] | None = None) -> int:
     actions.add_parser("profile").add_argument("--batch-id", required=True)
     actions.add_parser("report")
     actions.add_parser("check")
+    sweep = actions.add_parser("sweep")
+    sweep.add_argument("--keep", type=int, default=2)
+    sweep.add_argument("--idle-seconds", type=float, default=86_400)
     actions.add_parser("reset").add_argument("--yes", action="store_true")
     args = parser.parse_args(argv)
     spark, batches = session.build(), calendar(args.calendar)
@@ -53,6 +56,8 @@ def main(argv: list[str] | None = None) -> int:
             if wrong := batch.check(spark, args.warehouse):
                 raise ValueError("; ".join(wrong))
             print("all tables are as they should be")
+        elif args.action == "sweep":
+            print(f"deleted {len(store.sweep(args.keep, args.idle_seconds))} manifests and folders")
         else:
             store.drop(args.yes)
     except (ValueError, FileNotFoundError) as error:

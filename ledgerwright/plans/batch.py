@@ -14,9 +14,11 @@ from ..operators import dedupe, history
 from ..operators.cleaners import ENTITIES
 from ..sources import landing, readers
 from . import kpi
-from .warehouse import ConstraintError, Warehouse, require, require_not_null, require_reference, require_unique
+from .warehouse import ConflictError, ConstraintError, Warehouse, require, require_not_null, require_reference, require_unique
 
 LOG_TO = logging.getLogger(__name__)
+#: How often a batch is worked out if other runs publish meanwhile.
+TRIES = 3
 SCD = "valid_from date, valid_to date, is_current int, row_hash string, batch_id string"
 DIMENSIONS = {
     "customers": ("dim_customer", "customer_sk", "customer_id string, customer_name string, email string, email_valid int, phone string, phone_valid int, account_id string, gender string, dob date, address string, kyc_status string, registration_date date"),
@@ -69,10 +71,23 @@ def run_batch(spark: SparkSession, batch_id: str, calendar: Calendar, root: str,
     Fails with ValueError for an unknown batch, FileNotFoundError for a missing or empty file, and
     whatever else goes wrong is audited as FAILED and leaves the published tables as they were.
     With a landing zone the raw files are kept there first, and after publication the quarantine
-    is exported as CSV; an export that fails is logged and does not undo a published run.
+    is exported as CSV; an export that fails is logged and does not undo a published run. If another
+    run publishes first, the batch is worked out again from what that left, up to TRIES times.
     """
     if batch_id not in calendar.dates:
         raise ValueError(f"unknown batch {batch_id}")
+    for left in range(TRIES - 1, -1, -1):
+        try:
+            return _attempt(spark, batch_id, calendar, root, landing_zone)
+        except ConflictError:
+            # another run was published meanwhile; what this one does is to be worked out anew from its tables
+            if not left:
+                raise
+            LOG_TO.warning("%s: another run has published, trying again", batch_id)
+    raise AssertionError
+
+
+def _attempt(spark: SparkSession, batch_id: str, calendar: Calendar, root: str, landing_zone: str | None) -> Summary:
     summary = Summary(uuid.uuid4().hex, batch_id)
     store = Warehouse(spark, root)
     _audit(spark, root, summary, {})
@@ -81,6 +96,7 @@ def run_batch(spark: SparkSession, batch_id: str, calendar: Calendar, root: str,
     except Exception as error:
         summary.status = "FAILED"
         _audit(spark, root, summary, {}, str(error)[:2000])
+        store.clear(published=False)
         raise
     summary.status = "SUCCESS"
     totals = {k: sum(c[f"records_{k}"] for c in summary.counts.values()) for k in ("received", "passed", "rejected")}
@@ -91,20 +107,24 @@ def run_batch(spark: SparkSession, batch_id: str, calendar: Calendar, root: str,
                 landing.write_quarantine(dedupe.quarantine(rows), f"{landing_zone}/quarantine/batch={batch_id}/{name}")
             except Exception:
                 LOG_TO.exception("quarantine of %s was not exported", name)
+    store.clear(published=True)
     return summary
 
 
 def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehouse, summary: Summary, landing_zone: str | None) -> dict[str, DataFrame]:
     day, batches = calendar.dates[batch_id], list(calendar.dates)
     settled: dict[str, DataFrame] = {}
+    broken: dict[str, bool] = {}
     for name, entity in ENTITIES.items():
         path = calendar.path(batch_id, name)
         if not store.exists(path) or not store.size(path):
             raise FileNotFoundError(path)
         landing.land(spark, path, landing_zone and f"{landing_zone}/bronze", batch_id)
-        rows = readers.read_source(spark, path, list(entity.columns))
-        # written once: the clean rows, the quarantine and all counts are taken from it
-        settled[name] = store.stage(f"settled_{name}", dedupe.settle(rows, entity, day))
+        source = readers.open_source(spark, path, list(entity.columns))
+        broken[name] = source.broken
+        # read once, then settled from short rows; the clean rows, the quarantine and all counts are taken from what is settled
+        rows = store.stage(f"read_{name}", source.rows, keep=False)
+        settled[name] = store.stage(f"settled_{name}", dedupe.settle(rows, entity, day), keep=False)
 
     dims: dict[str, DataFrame] = {}
     for name, (table, sk, _) in DIMENSIONS.items():
@@ -119,12 +139,12 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
 
     references = {"ORPHAN_ACCOUNT": ("account_id", dims["customers"].select("account_id")), "ORPHAN_PRODUCT": ("product_id", dims["products"].select("product_id")), "ORPHAN_BRANCH": ("branch_id", dims["branches"].select("branch_id"))}
     judged = dedupe.check_references(settled["transactions"], references)
-    settled["transactions"] = store.stage("judged_transactions", judged)
+    settled["transactions"] = store.stage("judged_transactions", judged, keep=False)
     records = dedupe.clean_records(settled["transactions"])
     records = history.as_of(records, dims["customers"], "account_id", "account_id", "txn_date", {"customer_sk": "customer_sk", "customer_id": "customer_id"}, "_c")
     records = history.as_of(records, dims["products"], "product_id", "product_id", "txn_date", {"product_sk": "product_sk"}, "_p")
     records = history.as_of(records, dims["branches"], "branch_id", "branch_id", "txn_date", {"branch_sk": "branch_sk"}, "_b")
-    records = store.stage("resolved_transactions", records)
+    records = store.stage("resolved_transactions", records, keep=False)
     require("transactions without a version of their day", records.where("_c = 0 OR _p = 0 OR _b = 0").select("transaction_id", "txn_date"))
     # the days that the records or the facts they correct are of; all others stay as they are
     days = {r["part"] for r in history.touched_parts(store.read("fact_transaction", FACT), records, "transaction_id", F.expr(DAY)).collect()}
@@ -142,23 +162,24 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
         require_reference("fact_transaction", changed, sk, dims[name])
     facts = store.read("fact_transaction", FACT)
 
-    _quality(spark, batch_id, calendar, store, summary, settled)
+    _quality(spark, batch_id, calendar, store, summary, settled, broken)
     _snapshot(spark, batch_id, batches, store, facts, dims)
     store.publish()
     return settled
 
 
-def _quality(spark, batch_id, calendar, store, summary, settled) -> None:
+def _quality(spark, batch_id, calendar, store, summary, settled, broken) -> None:
     """The batch's rows of the quality tables, in place of those it had."""
     outputs = {name: spark.createDataFrame([], schema) for name, schema in OUTPUTS.items()}
     for name, rows in settled.items():
         file = calendar.files[batch_id][name]
-        made = {"dq_quarantine": dedupe.quarantine(rows), "dq_scorecard": dedupe.scorecard(rows), "dq_issue_counts": _with_file_flag(dedupe.issue_counts(rows), rows), "ingestion_log": readers.file_metadata(spark, calendar.path(batch_id, name))}
+        made = {"dq_quarantine": dedupe.quarantine(rows), "dq_scorecard": dedupe.scorecard(rows), "dq_issue_counts": _with_file_flag(dedupe.issue_counts(rows), broken[name]), "ingestion_log": readers.file_metadata(spark, calendar.path(batch_id, name))}
         summary.counts[name] = made["dq_scorecard"].first().asDict()
         c = summary.counts[name]
         if c["records_received"] != c["records_passed"] + c["records_rejected"] + c["duplicates_removed"]:
             raise ValueError(f"{file}: records do not balance: {c}")
-        made["ingestion_log"] = made["ingestion_log"].withColumn("row_count", F.lit(c["records_received"]).cast("long"))
+        # rows are the records that could be read; what is lost was received, but is none
+        made["ingestion_log"] = made["ingestion_log"].withColumn("row_count", F.lit(c["records_received"] - rows.where(F.array_contains("_rejects", "MALFORMED_JSON")).count()).cast("long"))
         for table, df in made.items():
             tags = {"batch_id": batch_id, "entity": name, "source_file": file, "run_id": summary.run_id}
             outputs[table] = outputs[table].unionByName(df.withColumns({k: F.lit(v) for k, v in tags.items()}))
@@ -166,10 +187,11 @@ def _quality(spark, batch_id, calendar, store, summary, settled) -> None:
         store.stage(table, df, part=batch_id)
 
 
-def _with_file_flag(issues: DataFrame, rows: DataFrame) -> DataFrame:
-    """The issues, and one flag for a file that had to be salvaged."""
-    lost = rows.where(F.array_contains("_rejects", "MALFORMED_JSON")).limit(1)
-    flag = lost.select(F.lit("FLAG").alias("severity"), F.lit("MALFORMED_JSON_SALVAGED").alias("reason_code"), F.lit(1).cast("long").alias("record_count"))
+def _with_file_flag(issues: DataFrame, broken: bool) -> DataFrame:
+    """The issues, and one flag for a file whose structure is broken, whether or not anything of it is lost."""
+    if not broken:
+        return issues
+    flag = issues.sparkSession.createDataFrame([("FLAG", "MALFORMED_JSON_SALVAGED", 1)], "severity string, reason_code string, record_count long")
     return issues.unionByName(flag)
 
 

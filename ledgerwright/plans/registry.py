@@ -13,7 +13,7 @@ from ..functions import codes
 from ..functions import text as tx
 from ..operators import dedupe, history
 from ..operators.cleaners import ENTITIES, REJECTS
-from ..sources import readers
+from ..sources import json_scan, readers
 from . import kpi, serving
 from .star import AFTER, AFTER_DATE, BEFORE, batch, customers, events, facts, keyed, pick, star, table
 
@@ -538,7 +538,7 @@ def json_salvage(spark, d):
     """Events' properties written as one broken array for each type: every object is recovered."""
     e = table(spark, d, "events")
     files = e.groupBy("event_type", (F.col("event_id") % 64).alias("part")).agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("props")), " "), F.lit(" {cut")).alias("value"))
-    rows = readers.salvage_json(files)
+    rows = json_scan.salvage_texts(files)
     return rows.groupBy(F.col("_raw").alias("record"), F.col("_lost").alias("fragment")).agg(F.count("*").alias("n"))
 
 

@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-import json
-import re
-import sys
-from collections.abc import Iterator
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .json_scan import Scan
+
 #: Columns that every reader adds: place in the file, the record as JSON, what is lost.
 POSITION, RAW, LOST = "_pos", "_raw", "_lost"
-# executors get the functions with the task and need no copy of the package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-JSON_ROWS = "_pos long, _raw string, _lost string"
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -36,64 +30,61 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     if missing := [c for c in columns if c not in names]:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "_broken"]])
-    rows = spark.read.csv(path, schema=schema, mode="PERMISSIVE", columnNameOfCorruptRecord="_broken", **options)
-    too_long = F.col("_broken").isNotNull() & (F.size(F.split("_broken", ",")) > len(names)) & F.col(f"`{names[-1]}`").isNotNull()
+    # without pruning, so that a row is counted whole whichever columns are asked for
+    rows = spark.read.options(columnPruning=False).csv(path, schema=schema, mode="PERMISSIVE", columnNameOfCorruptRecord="_broken", **options)
+    # what stands between quotes counts for nothing; the rest of a row that Spark finds of another length is cut at its commas
+    bare = F.regexp_replace("_broken", r'(?s)(^|,)\s*"(?:[^"]|"")*"\s*(?=,|$)', "$1")
+    too_long = F.col("_broken").isNotNull() & (F.size(F.split(bare, ",", -1)) > len(names))
     values = [F.when(too_long, F.raise_error(F.concat(F.lit("too many fields: "), "_broken"))).otherwise(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in names]
     placed = rows.select(*values, F.monotonically_increasing_id().alias(POSITION))
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in names]))
     return placed.select(*columns, POSITION, record.alias(RAW), F.lit(None).cast("string").alias(LOST))
 
 
-def salvage(text: str) -> Iterator[tuple[str | None, str | None]]:
-    """(record as JSON, None) for every object that parses, (None, fragment) for all else that has content.
+@dataclass(frozen=True)
+class Source:
+    """A file's records, and whether its structure is broken."""
 
-    A sound document gives its records. In a broken one every opening brace is tried; between
-    two objects only blanks, commas and square brackets may be dropped.
-    """
-    dump = lambda record: json.dumps(record, sort_keys=True, ensure_ascii=False)
-    try:
-        yield from ((dump(r), None) for r in json.loads(text))
-        return
-    except json.JSONDecodeError:
-        pass
-    decoder, at = json.JSONDecoder(), 0
-    braces = [m.start() for m in re.finditer(r"\{", text)]
-    for k, brace in enumerate(braces):
-        if brace < at:
-            continue
-        if re.search(r"[^\s,\[\]]", text[at:brace]):
-            yield None, text[at:brace].strip()
-        try:
-            record, at = decoder.raw_decode(text, brace)
-            yield dump(record), None
-        except json.JSONDecodeError:
-            at = braces[k + 1] if k + 1 < len(braces) else len(text)
-            yield None, text[brace:at].strip()
-
-
-def salvage_json(files: DataFrame) -> DataFrame:
-    """(_pos, _raw, _lost) of files (value: a whole file's text)."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for text in frame["value"]:
-                rows = list(salvage(text))
-                yield pd.DataFrame({"_pos": range(len(rows)), "_raw": [r for r, _ in rows], "_lost": [x for _, x in rows]})
-
-    return files.select("value").mapInPandas(run, JSON_ROWS)
+    rows: DataFrame
+    broken: bool = False
 
 
 def read_json(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Records of a JSON array as text columns; absent and null members are null. Lost fragments are rows too."""
-    rows = salvage_json(spark.read.text(path, wholetext=True))
-    return rows.select(*[F.get_json_object(RAW, f"$.{c}").alias(c) for c in columns], POSITION, RAW, LOST)
+    return open_source(spark, path, columns).rows
+
+
+def open_source(spark: SparkSession, path: str, columns: list[str]) -> Source:
+    """A CSV or JSON file, by its name. A JSON file is gone through once or twice here, to know where its objects lie."""
+    if not path.endswith(".json"):
+        return Source(read_csv(spark, path, columns))
+    scan = Scan(spark, path)
+    return Source(scan.rows().select(*[F.get_json_object(RAW, f"$.{c}").alias(c) for c in columns], POSITION, RAW, LOST), not scan.sound)
 
 
 def read_source(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    return (read_json if path.endswith(".json") else read_csv)(spark, path, columns)
+    return open_source(spark, path, columns).rows
 
 
 def file_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """(file_name, size_bytes, sha256) of files."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+    """(file_name, size_bytes, sha256) of a file, or of the files of a folder or pattern.
+
+    A checksum has one order, so a file is one stream through the driver's JVM, in constant memory
+    and of any size, as its landing is.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(at)
+    files = [f for each in found or [] for f in (fs.listStatus(each.getPath()) if each.isDirectory() else [each]) if not f.isDirectory()]
+    rows = [(f.getPath().getName(), f.getLen(), sha256(spark, f.getPath().toString())) for f in files]
+    return spark.createDataFrame(rows, "file_name string, size_bytes long, sha256 string")
+
+
+def sha256(spark: SparkSession, path: str) -> str:
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(at)
+    digest = jvm.java.security.MessageDigest.getInstance("SHA-256")
+    through = jvm.java.security.DigestInputStream(stream, digest)
+    jvm.org.apache.hadoop.io.IOUtils.copyBytes(through, jvm.java.io.OutputStream.nullOutputStream(), 1 << 20, True)
+    return bytes(digest.digest()).hex()

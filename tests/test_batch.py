@@ -5,7 +5,7 @@ import json
 import pytest
 from ledgerwright.operators.cleaners import ENTITIES
 from ledgerwright.plans import batch
-from ledgerwright.plans.warehouse import ConstraintError, Warehouse, require_unique
+from ledgerwright.plans.warehouse import ConflictError, ConstraintError, Warehouse, require_unique
 from ledgerwright.sources import landing
 from ledgerwright.streaming.batches import watch
 
@@ -112,7 +112,7 @@ def test_a_batch_writes_only_the_days_it_changes(spark, calendar, tmp_path):
     facts = Warehouse(spark, root).read("fact_transaction", batch.FACT)
     found = {r["transaction_id"]: str(r["txn_date"]) for r in facts.collect()}
     assert found == {"T1": "2026-09-01", "T2": "2026-09-01", "T3": "2026-09-04", "T4": "2026-09-03", "T5": "2026-09-01"}
-    assert not list((tmp_path / "wh").glob("v=*/joined_*"))
+    assert not list((tmp_path / "wh").glob("scratch=*")) and not list((tmp_path / "wh").glob("v=*/joined_*"))
     assert batch.check(spark, root) == []
     store = Warehouse(spark, root)
     store.stage("fact_transaction", facts.unionByName(facts.where("transaction_id = 'T1'")))
@@ -140,11 +140,77 @@ def test_landing_and_quarantine_sink(spark, tmp_path):
 
 def test_stream_of_batches(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "1.txt").write_text("day1\n")
+    (tmp_path / "in" / "1.txt").write_text("day10\nday2\n\nday9\nday1\n")
     seen = []
     for _ in range(2):
-        watch(spark, str(tmp_path / "in"), str(tmp_path / "cp"), seen.append).awaitTermination(60)
-    assert seen == ["day1"]
+        watch(spark, str(tmp_path / "in"), str(tmp_path / "cp"), seen.append, [f"day{k}" for k in range(1, 11) if k != 9]).awaitTermination(60)
+    assert seen == ["day1", "day2", "day10", "day9"]
+
+
+def test_a_broken_file_without_loss_is_flagged(spark, calendar, tmp_path):
+    """A missing comma loses nothing, but the file is broken; its rows are the records that could be read."""
+    products = tmp_path / "raw" / "day1" / "products.json"
+    products.write_text(json.dumps(PRODUCT) + " " + json.dumps(PRODUCT | dict(product_id="P2")))
+    batch.run_batch(spark, "day1", calendar, str(tmp_path / "a"))
+    products.write_text("[" + json.dumps(PRODUCT) + ", {cut")
+    batch.run_batch(spark, "day1", calendar, str(tmp_path / "b"))
+    products.write_text(json.dumps([PRODUCT]))
+    batch.run_batch(spark, "day1", calendar, str(tmp_path / "c"))
+    for root, flags, rows, received in (("a", {"MALFORMED_JSON_SALVAGED": 1}, 2, 2), ("b", {"MALFORMED_JSON_SALVAGED": 1, "MALFORMED_JSON": 1}, 1, 2), ("c", {}, 1, 1)):
+        store = Warehouse(spark, str(tmp_path / root))
+        issues = store.read("dq_issue_counts", "").where("entity = 'products'").collect()
+        assert {r["reason_code"]: r["record_count"] for r in issues} == flags
+        assert store.read("ingestion_log", "").where("entity = 'products'").first()["row_count"] == rows
+        assert store.read("dq_scorecard", "").where("entity = 'products'").first()["records_received"] == received
+        assert set(store.tables()) == set(batch.schemas()) and not list((tmp_path / root).glob("*/settled_*"))
+
+
+def test_two_runs_at_once(spark, calendar, tmp_path, monkeypatch):
+    """The second of two runs that read the same tables may not publish; the batch is worked out again, and nothing is lost."""
+    root = str(tmp_path / "wh")
+    publish, inside = Warehouse.publish, []
+
+    def late(self):
+        if not inside:
+            inside.append(True)
+            batch.run_batch(spark, "day1", calendar, root)
+        return publish(self)
+
+    monkeypatch.setattr(Warehouse, "publish", late)
+    two = batch.run_batch(spark, "day2", calendar, root)
+    assert two.actions["transactions"] == {"corrected": 1, "inserted": 1}
+    facts = Warehouse(spark, root).read("fact_transaction", batch.FACT)
+    assert {r["transaction_id"] for r in facts.collect()} == {"T1", "T2", "T4"}
+    assert set(Warehouse(spark, root).parts("dq_scorecard")) == {"day1", "day2"}
+    runs = [r["status"] for r in spark.read.parquet(f"{root}/pipeline_runs").orderBy("at").collect()]
+    assert sorted(runs) == ["FAILED", "RUNNING", "RUNNING", "RUNNING", "SUCCESS", "SUCCESS"]
+    assert Warehouse(spark, root).numbers() == [1, 2] and len(list((tmp_path / "wh").glob("v=*"))) == 2
+
+
+def test_conflicts_and_sweep(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    row = lambda k: spark.createDataFrame([(k,)], "k int")
+    one, two = Warehouse(spark, root), Warehouse(spark, root)
+    for store in (one, two):
+        store.tables()
+        store.stage("t", row(1), part="a")
+    assert one.publish() == 1
+    with pytest.raises(ConflictError):
+        two.publish()
+    two.clear(published=False)
+    for k in (2, 3):
+        store = Warehouse(spark, root)
+        store.stage("t", row(k), part="b")
+        store.stage("u", row(k))
+        store.stage("s", row(k), keep=False)
+        store.publish()
+    now = Warehouse(spark, root).tables()
+    assert Warehouse(spark, root).sweep(keep=3) == []
+    gone = Warehouse(spark, root).sweep(keep=1, idle_seconds=0)
+    assert {"1", "2"} <= set(gone) and Warehouse(spark, root).numbers() == [3] and Warehouse(spark, root).tables() == now
+    assert sorted(r["k"] for r in Warehouse(spark, root).read("t", "k int").collect()) == [1, 3]
+    left = {p.relative_to(root).as_posix() for p in (tmp_path / "wh").glob("*=*/*/*") if p.suffix == ".parquet" or p.is_dir()}
+    assert {p.split("/")[0] for p in left} == {p.removeprefix(root + "/").split("/")[0] for parts in now.values() for p in parts.values()}
 
 
 def test_command_line(calendar, tmp_path, monkeypatch, capsys, spark):

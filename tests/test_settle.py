@@ -83,12 +83,6 @@ def test_lost_fragments_and_references(spark):
     assert summary(judged)[0] == (3, 1, 2, 0)
 
 
-def test_salvage():
-    assert list(readers.salvage('[{"a": 1}, {"a": 2}]')) == [('{"a": 1}', None), ('{"a": 2}', None)]
-    assert list(readers.salvage('[{"a": 1} {"a": {"b": 2}}, junk {"c": 3}')) == [('{"a": 1}', None), ('{"a": {"b": 2}}', None), (None, ", junk"), ('{"c": 3}', None)]
-    assert list(readers.salvage('[{"a": 1}, {"b": ')) == [('{"a": 1}', None), (None, '{"b":')]
-
-
 def test_csv_reader(spark, tmp_path):
     path = tmp_path / "f.csv"
     path.write_bytes(b'a,b,c\r\n1,,"x, ""y"""\r\nNA,NULL\r\n')
@@ -99,6 +93,18 @@ def test_csv_reader(spark, tmp_path):
         readers.read_csv(spark, str(path), ["a", "b", "c"]).select("a", F.col("b")).collect()
 
 
+@pytest.mark.parametrize(("row", "fits"), [("1,2,,9", False), ('"x,y",2,,', False), ("1,2,", True), ("1", True), ('"x,y","a ""b"", c",', True), ('1,"2,3",4', True), (",,,", False), ('"1\n,",2,,9', False), ('"1\n,2,3",2,', True)])
+def test_rows_with_too_many_fields_stop_the_read(spark, tmp_path, row, fits):
+    path = tmp_path / "f.csv"
+    path.write_text(f"a,b,c\n{row}\n")
+    read = readers.read_csv(spark, str(path), ["a", "c"]).select("a")
+    if fits:
+        assert read.count() == 1 and len(read.collect()) == 1
+    else:
+        with pytest.raises(Exception, match="too many fields"):
+            read.collect()
+
+
 def test_metadata(spark, tmp_path):
     import hashlib
 
