@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,10 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ascii_lower, broadcast_if_small, by_value, durable, release
+from .common import broadcast_if_small, by_value, durable, small_batches
 
-#: A term is a run of ASCII letters and anything beyond ASCII.
-TERM = r"([^\x00-\x40\x5B-\x60\x7B-\x7F]+)"
+#: A term is a run of ASCII letters and anything beyond ASCII, which is all bytes from 80 on in UTF-8. Others become blanks.
+AS_TERMS = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(256))
 #: A language keeps the terms of at least so many of its documents.
 LEAST_DOCUMENTS = 10
 #: Shares are whole numbers of this unit.
@@ -22,6 +23,8 @@ UNIT = 1_000_000_000
 TOP = 10
 #: Pairs that a Python worker makes at once, and combinations that it holds before it hands them on.
 PAIRS, HELD = 1_000_000, 2_000_000
+#: Terms that it holds at once while it counts, and rows that it hands on at once.
+TERMS, ROWS = 300_000, 50_000
 
 
 def share(n: str, total: str, terms: str) -> Column:
@@ -33,13 +36,34 @@ def divergence(p: str, q: str) -> Column:
     return F.expr(f"({p} - {q}) * ({p} - {q}) DIV ({p} + {q})")
 
 
+def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(id, term, n, docs) of texts (id, text): occurrences and documents of each term, summed over what a task holds at once."""
+    found: dict[int, tuple[Counter, Counter]] = {}
+
+    def rows() -> Iterator[pd.DataFrame]:
+        for i, (n, docs) in found.items():
+            terms = list(n)
+            for k in range(0, len(terms), ROWS):
+                some = terms[k : k + ROWS]
+                yield pd.DataFrame({"id": i, "term": pd.Series([t.decode("utf-8", "surrogatepass") for t in some], dtype=object), "n": [n[t] for t in some], "docs": [docs[t] for t in some]})
+        found.clear()
+
+    for frame in frames:
+        for i, text in zip(frame["id"].tolist(), frame["text"].tolist(), strict=True):
+            terms = text.encode("utf-8", "surrogatepass").translate(AS_TERMS).split()
+            n, docs = found.setdefault(i, (Counter(), Counter()))
+            n.update(terms)
+            docs.update(set(terms))
+        if sum(len(n) for n, _ in found.values()) > TERMS:
+            yield from rows()
+    yield from rows()
+
+
 def kept_terms(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang_id, term, n, ids, counts): each language's kept terms, with the ids of the groups that have them and their counts. Durable."""
-    words = F.sort_array(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(TERM), F.lit(1)))
-    named = docs.join(broadcast_if_small(groups), ["lang", "source"]).select("id", words.alias("words"))
-    each = named.select("id", "words", F.posexplode("words").alias("i", "term"))
-    again = (F.col("i") > 0) & (F.get("words", F.col("i") - 1) == F.col("term"))
-    counts = each.select("id", "term", F.when(again, 0).otherwise(1).alias("first")).groupBy("id", "term").agg(F.count("*").alias("n"), F.sum("first").alias("docs"))
+    small_batches(docs.sparkSession)
+    texts = docs.join(broadcast_if_small(groups), ["lang", "source"]).select("id", "text")
+    counts = texts.mapInPandas(counted, "id long, term string, n long, docs long").groupBy("id", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     numbered = counts.join(broadcast_if_small(groups), "id").select("lang_id", "id", "term", "n", "docs")
     terms = numbered.groupBy("lang_id", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("id", F.col("n").alias("count")))).alias("x"))
     return durable(terms.where(F.col("docs") >= LEAST_DOCUMENTS).select("lang_id", "term", "n", F.col("x.id").alias("ids"), F.col("x.count").alias("counts")))

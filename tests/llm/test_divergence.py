@@ -58,6 +58,8 @@ def test_small_pieces(spark, monkeypatch):
     """Tallies that are handed on in pieces add up to the same."""
     monkeypatch.setattr(divergence, "PAIRS", 3)
     monkeypatch.setattr(divergence, "HELD", 4)
+    monkeypatch.setattr(divergence, "TERMS", 5)
+    monkeypatch.setattr(divergence, "ROWS", 2)
     rows = documents(3, list("abcdefgh"))
     assert audited(spark, rows) == brute(rows)
 
