@@ -16,6 +16,8 @@ MONEY = "decimal(18,2)"
 HIGH_VALUE = 100_000
 BURST, BURST_MINUTES = 3, 10
 ODD_BEFORE = 5
+#: A slice of an account's time, in windows of a burst, and ranges that a numbering is cut into at most.
+SLICE_WINDOWS, RANGES = 6, 64
 DORMANT_DAYS = 90
 RISKY_PRODUCTS = ("Credit Card", "Loan")
 
@@ -119,9 +121,19 @@ def dormant_accounts(facts: DataFrame, customers: DataFrame, products: DataFrame
 
 
 def with_burst(txn: DataFrame, name: str, minutes: int = BURST_MINUTES) -> DataFrame:
-    """txn with the account's transactions in the minutes up to each (equal times included)."""
-    count = F.expr(f"count(1) OVER (PARTITION BY account_id ORDER BY txn_ts RANGE BETWEEN INTERVAL {minutes} MINUTES PRECEDING AND CURRENT ROW)")
-    return txn.withColumn(name, count)
+    """txn with the account's transactions in the minutes up to each (equal times included).
+
+    An account's time is cut into slices of some windows' length, so that one of very many
+    transactions is many tasks. What lies within a window of a slice's end is also in the next one, where it is
+    counted but not returned.
+    """
+    window, length = 60 * minutes, 60 * minutes * SLICE_WINDOWS
+    second = F.unix_date(F.to_date("txn_ts")).cast("long") * 86_400 + F.hour("txn_ts") * 3600 + F.minute("txn_ts") * 60 + F.second("txn_ts").cast("int")
+    own = F.floor(second / F.lit(length))
+    late = second - own * length >= length - window
+    sliced = txn.withColumn("_own", own).withColumn("_slice", F.explode(F.when(late, F.array(F.col("_own"), F.col("_own") + 1)).otherwise(F.array("_own"))))
+    count = F.expr(f"count(1) OVER (PARTITION BY account_id, _slice ORDER BY txn_ts RANGE BETWEEN INTERVAL {minutes} MINUTES PRECEDING AND CURRENT ROW)")
+    return sliced.withColumn(name, count).where("_slice <=> _own").drop("_slice", "_own")
 
 
 def suspicious(txn: DataFrame, minutes: int = BURST_MINUTES, burst: int = BURST, high: int = HIGH_VALUE) -> DataFrame:
@@ -137,18 +149,18 @@ def suspicious(txn: DataFrame, minutes: int = BURST_MINUTES, burst: int = BURST,
 def tiles(scores: DataFrame, values: list[tuple[str, bool, str]], n: int = 3) -> DataFrame:
     """scores with a tile from 1 to n for each (value, descending, name), equal values in order of customer_id.
 
-    No task sorts all rows: approximate quantiles cut each value into ranges, one pass counts the
-    rows of all ranges, and rows are numbered inside their range from its first number on. The
-    ranges are as many as shuffle partitions, so their counts are one short row, broadcast.
+    No task sorts all rows: some rows, chosen by a hash of their key, are the edges of ranges of (value, key), one
+    pass counts the rows of all ranges, and rows are numbered inside their range from its first
+    number on. As the key is part of an edge, very many rows of one value are several ranges too.
+    There are at most RANGES, so edges and counts are one short row, broadcast.
     """
-    parts = max(2, int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = [i / parts for i in range(1, parts)]
-    edges = scores.agg(*[F.percentile_approx(F.col(v).cast("double"), cuts, 1000).alias(f"_edges{k}") for k, (v, _, _) in enumerate(values)])
-    placed = scores.crossJoin(F.broadcast(edges))
-    for k, (value, descending, _) in enumerate(values):
-        below = F.expr(f"size(filter(_edges{k}, e -> e < cast({value} as double)))")
-        placed = placed.withColumn(f"_range{k}", -below if descending else below)
-    placed = placed.drop(*[f"_edges{k}" for k in range(len(values))])
+    ranges = min(RANGES, max(2, int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    place = [F.struct((-F.col(v) if descending else F.col(v)).alias("v"), "customer_id") for v, descending, _ in values]
+    some = scores.orderBy(F.xxhash64("customer_id"), "customer_id").limit(ranges - 1)
+    placed = scores.crossJoin(F.broadcast(some.agg(*[F.sort_array(F.collect_list(p)).alias(f"_edges{k}") for k, p in enumerate(place)])))
+    for k, p in enumerate(place):
+        placed = placed.withColumn("_place", p).withColumn(f"_range{k}", F.expr(f"size(filter(_edges{k}, e -> e < _place))"))
+    placed = placed.drop("_place", *[f"_edges{k}" for k in range(len(values))])
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_range{k}").alias("r")) for k in range(len(values))]))
     counts = placed.select(each.alias("x")).groupBy("x.k", "x.r").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("k").orderBy("r").rowsBetween(Window.unboundedPreceding, -1))

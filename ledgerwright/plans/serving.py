@@ -119,7 +119,7 @@ class Cache:
         self.store, self.version, self.held = store, None, {}
 
     def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        version = self.store.tables()
+        version = self.store.latest()
         if version != self.version:
             self.clear()
             self.version = version

@@ -70,6 +70,11 @@ class Warehouse:
             self._seen = last, self.manifest(last) if last else {}
         return self._seen[1]
 
+    def latest(self) -> dict[str, dict[str, str]]:
+        """The published tables as they are now."""
+        self._seen = None
+        return self.tables()
+
     def parts(self, name: str) -> dict[str, str]:
         """A table's parts as this batch sees them: staged if it has written any, else published."""
         return self.staged[name] if name in self.staged else self.tables().get(name, {})

@@ -62,6 +62,29 @@ def test_transitions(spark):
     assert [(r["from_status"], r["to_status"]) for r in kpi.kyc_transitions(df).collect()] == [("Pending", "Rejected")]
 
 
+@pytest.mark.parametrize("minutes", [1, 10])
+def test_bursts_at_the_edges_of_slices(spark, minutes):
+    """One hot account, with times on and beside the edges of slices, equals a count over all pairs."""
+    length = 60 * minutes * kpi.SLICE_WINDOWS
+    start = dt.datetime(1969, 12, 31, 22)
+    offsets = sorted({max(0, k * length + d) for k in range(5) for d in (-60 * minutes - 1, -60 * minutes, -60 * minutes + 1, -1, 0, 1, 60 * minutes, 60 * minutes + 1)}) * 2
+    times = [start + dt.timedelta(seconds=s, microseconds=u) for s in offsets for u in (0, 500_000)]
+    rows = [(k, "hot", t) for k, t in enumerate(times)] + [(-1, "hot", None)]
+    df = spark.createDataFrame(rows, "id int, account_id string, txn_ts timestamp_ntz")
+    got = {r["id"]: r["n"] for r in kpi.with_burst(df, "n", minutes).where("id >= 0").collect()}
+    window = dt.timedelta(minutes=minutes)
+    assert got == {k: sum(t - window <= u <= t for u in times) for k, t in enumerate(times)}
+    assert kpi.with_burst(df, "n", minutes).count() == len(rows)
+
+
+def test_thirds_of_equal_values(spark):
+    """Rows of one value are numbered in several ranges, in order of their key."""
+    df = spark.createDataFrame([(f"c{i:04}", 1) for i in range(1000)], "customer_id string, v int")
+    plan = kpi.tiles(df, [("v", True, "t")])
+    got = [r["t"] for r in plan.orderBy("customer_id").collect()]
+    assert got == [1] * 334 + [2] * 333 + [3] * 333
+
+
 def test_thirds(spark):
     df = spark.createDataFrame([(f"c{i:03}", (i * 7) % 13) for i in range(50)], "customer_id string, v int")
     got = {r["customer_id"]: r["t"] for r in kpi.tiles(df, [("v", False, "t"), ("v", True, "u")]).collect()}
@@ -84,7 +107,7 @@ def test_results_are_kept_until_the_next_version(spark):
     class Store:
         published = {"fact": "v1"}
 
-        def tables(self):
+        def latest(self):
             return dict(self.published)
 
     made, store = [], Store()
