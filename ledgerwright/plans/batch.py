@@ -40,6 +40,11 @@ OUTPUTS = {
     "dq_issue_counts": "batch_id string, entity string, source_file string, severity string, reason_code string, record_count bigint, run_id string",
     "ingestion_log": "batch_id string, entity string, source_file string, file_name string, size_bytes bigint, sha256 string, row_count bigint, run_id string",
 }
+#: Sums of the facts by day, from which metrics are added up.
+PARTIALS = {
+    "day_by_customer": (kpi.by_customer, "txn_date date, customer_id string, txn_count bigint, net_value_inr decimal(18,2)"),
+    "day_by_product_and_branch": (kpi.by_product_and_branch, "txn_date date, product_id string, product_sk bigint, branch_id string, branch_sk bigint, txn_count bigint, net_value_inr decimal(18,2), refund_count bigint, refund_value_inr decimal(18,2), gross_inr decimal(18,2)"),
+}
 SNAPSHOT = "kpi_name string, rank_no bigint, item_key string, item_label string, metric_value decimal(18,2), batch_id string"
 RUNS = "run_id string, batch_id string, status string, received bigint, passed bigint, rejected bigint, error string, at timestamp_ntz"
 
@@ -160,10 +165,11 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
     require("fact_transaction has amounts of zero or less", changed.where("amount <= 0"))
     for name, (_, sk, _) in DIMENSIONS.items():
         require_reference("fact_transaction", changed, sk, dims[name])
-    facts = store.read("fact_transaction", FACT)
+    for table, (made, _) in PARTIALS.items():
+        store.stage_parts(table, made(changed), F.expr(DAY), days)
 
     _quality(spark, batch_id, calendar, store, summary, settled, broken)
-    _snapshot(spark, batch_id, batches, store, facts, dims)
+    _snapshot(batch_id, batches, store, dims)
     store.publish()
     return settled
 
@@ -195,12 +201,13 @@ def _with_file_flag(issues: DataFrame, broken: bool) -> DataFrame:
     return issues.unionByName(flag)
 
 
-def _snapshot(spark, batch_id, batches, store, facts, dims) -> None:
-    """The metrics as this batch leaves them, unless a later batch has been published."""
+def _snapshot(batch_id, batches, store, dims) -> None:
+    """The metrics as this batch leaves them, unless a later batch has been published. The facts themselves aren't read."""
     later = batches[batches.index(batch_id) + 1 :]
     if store.parts("kpi_snapshot").keys() & set(later):
         return
-    new = kpi.snapshot(kpi.point_in_time(facts, branches=dims["branches"]), dims["customers"], batch_id)
+    days, segments = (store.read(table, schema) for table, (_, schema) in PARTIALS.items())
+    new = kpi.snapshot(days, kpi.point_in_time(segments, branches=dims["branches"]), dims["customers"], batch_id)
     columns = [c.split()[0] for c in SNAPSHOT.split(", ")]
     store.stage("kpi_snapshot", new.select(*columns), part=batch_id)
 
@@ -219,7 +226,7 @@ def last_run(spark: SparkSession, root: str) -> DataFrame:
 def schemas() -> dict[str, str]:
     """Every published table of a batch's results, and its columns."""
     dims = {table: f"{columns}, {SCD}, {sk} bigint" for table, sk, columns in DIMENSIONS.values()}
-    return {**dims, "fact_transaction": FACT, "fact_correction_log": LOG, **OUTPUTS, "kpi_snapshot": SNAPSHOT}
+    return {**dims, "fact_transaction": FACT, "fact_correction_log": LOG, **{table: schema for table, (_, schema) in PARTIALS.items()}, **OUTPUTS, "kpi_snapshot": SNAPSHOT}
 
 
 def check(spark: SparkSession, root: str) -> list[str]:
@@ -254,11 +261,11 @@ def register_views(spark: SparkSession, root: str, calendar: Calendar | None = N
     With a calendar also the metrics that compare its last batch with the one before.
     """
     store = Warehouse(spark, root)
-    # only facts can have no part at all
-    tables = {name: store.read(name, FACT) for name in store.tables()}
+    tables = {name: store.read(name, schema) for name, schema in schemas().items()}
     facts, c, p, b = (tables[n] for n in ("fact_transaction", "dim_customer", "dim_product", "dim_branch"))
     txn = kpi.point_in_time(facts, c, p, b)
-    bare, of_product, of_branch = kpi.point_in_time(facts), kpi.point_in_time(facts, products=p), kpi.point_in_time(facts, branches=b)
+    bare, segments = (tables[name] for name in PARTIALS)
+    of_product, of_branch = kpi.point_in_time(segments, products=p), kpi.point_in_time(segments, branches=b)
     of_customer = kpi.point_in_time(facts, customers=c)
     views = {
         **tables, "v_txn": txn, "v_txn_value": kpi.valued(txn), "kpi01_top_customers": kpi.top_customers(bare, c), "kpi02_branch_monthly": kpi.branch_monthly(of_branch), "kpi02_region_monthly": kpi.region_monthly(of_branch),

@@ -36,6 +36,7 @@ def point_in_time(facts: DataFrame, customers: DataFrame | None = None, products
 
     Facts point to a version of every dimension (a batch that would break this is not published),
     so a metric names only the dimensions whose attributes it uses and the others aren't joined.
+    Partial sums of facts (by_customer, by_product_and_branch) do instead of facts.
     """
     joined = facts
     if customers is not None:
@@ -46,14 +47,40 @@ def point_in_time(facts: DataFrame, customers: DataFrame | None = None, products
         joined = joined.join(branches.select("branch_sk", "branch_name", "region"), "branch_sk")
     quarter = F.concat(F.year("txn_date").cast("string"), F.lit("-Q"), F.quarter("txn_date").cast("string"))
     net = F.when(F.col("is_refund") == 1, -F.col("amount_inr")).otherwise(F.col("amount_inr"))
-    return joined.withColumns({"month_start": F.trunc("txn_date", "MM"), "quarter": quarter, "net_inr": net})
+    periods = {"month_start": F.trunc("txn_date", "MM"), "quarter": quarter}
+    return joined.withColumns(periods if is_partial(facts) else periods | {"net_inr": net})
 
 
 def valued(txn: DataFrame) -> DataFrame:
     return txn.where("status = 'Success' AND amount_inr IS NOT NULL")
 
 
+def is_partial(df: DataFrame) -> bool:
+    """Whether rows are sums over transactions rather than transactions."""
+    return "txn_count" in df.columns
+
+
+def _sums() -> list[Column]:
+    refunded = F.when(F.col("is_refund") == 1, F.col("amount_inr")).otherwise(F.lit(0).cast("decimal(15,2)"))
+    return [
+        F.count("*").alias("txn_count"), money(F.sum("net_inr")).alias("net_value_inr"), F.sum(F.col("is_refund").cast("long")).alias("refund_count"),
+        money(F.sum(refunded)).alias("refund_value_inr"), money(F.sum("amount_inr")).alias("gross_inr"),
+    ]
+
+
+def by_customer(facts: DataFrame) -> DataFrame:
+    """Partial sums by day and customer: what K1 and K6 add up."""
+    return valued(point_in_time(facts)).groupBy("txn_date", "customer_id").agg(*_sums()[:2])
+
+
+def by_product_and_branch(facts: DataFrame) -> DataFrame:
+    """Partial sums by day, product and branch version: what K2, K3, K7 and K9 add up."""
+    return valued(point_in_time(facts)).groupBy("txn_date", "product_id", "product_sk", "branch_id", "branch_sk").agg(*_sums())
+
+
 def _totals(txn: DataFrame, *keys: str) -> DataFrame:
+    if is_partial(txn):
+        return txn.groupBy(*keys).agg(F.sum("txn_count").alias("txn_count"), money(F.sum("net_value_inr")).alias("net_value_inr"))
     return valued(txn).groupBy(*keys).agg(F.count("*").alias("txn_count"), money(F.sum("net_inr")).alias("net_value_inr"))
 
 
@@ -102,7 +129,7 @@ def product_revenue(txn: DataFrame) -> DataFrame:
 def product_share(txn: DataFrame) -> DataFrame:
     """K3b: each product's share of all revenue; the total is one row, joined, so no task holds all products."""
     totals = _totals(txn, "product_id", "product_name", "product_type", "category")
-    whole = valued(txn).agg(money(F.sum("net_inr")).alias("whole"))
+    whole = _totals(txn).select(F.col("net_value_inr").alias("whole"))
     return totals.crossJoin(F.broadcast(whole)).select(
         "product_id", "product_name", "product_type", "category", F.col("net_value_inr").alias("revenue_inr"), percent(F.col("net_value_inr"), F.col("whole"), 2).alias("share_pct")
     )
@@ -181,7 +208,8 @@ def tiles(scores: DataFrame, values: list[tuple[str, bool, str]], n: int = 3) ->
 def segments(txn: DataFrame, facts: DataFrame, customers: DataFrame) -> DataFrame:
     """K6: tiers by recency, frequency and monetary thirds."""
     as_of = facts.agg(F.max("txn_date").alias("as_of_date"))
-    scores = valued(txn).groupBy("customer_id").agg(F.max("txn_date").alias("last"), F.count("*").alias("frequency"), money(F.sum("net_inr")).alias("monetary_inr"))
+    several = (txn, F.sum("txn_count"), "net_value_inr") if is_partial(txn) else (valued(txn), F.count("*"), "net_inr")
+    scores = several[0].groupBy("customer_id").agg(F.max("txn_date").alias("last"), several[1].alias("frequency"), money(F.sum(several[2])).alias("monetary_inr"))
     scores = scores.crossJoin(F.broadcast(as_of)).select("customer_id", F.datediff("as_of_date", "last").cast("long").alias("recency_days"), "frequency", "monetary_inr")
     scores = tiles(scores, [("recency_days", True, "r_score"), ("frequency", False, "f_score"), ("monetary_inr", False, "m_score")])
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
@@ -211,21 +239,21 @@ def kyc_exposure(txn: DataFrame) -> DataFrame:
 
 
 def _refunds(txn: DataFrame, *keys: str) -> DataFrame:
-    refunded = F.when(F.col("is_refund") == 1, F.col("amount_inr")).otherwise(F.lit(0).cast("decimal(15,2)"))
-    sums = valued(txn).groupBy(*keys).agg(
-        F.count("*").alias("txn_count"), F.sum(F.col("is_refund").cast("long")).alias("refund_count"), money(F.sum(refunded)).alias("refund_value_inr"), money(F.sum("amount_inr")).alias("_gross")
-    )
-    return sums.withColumn("refund_rate_pct", percent(F.col("refund_count"), F.col("txn_count"), 1)).withColumn("refund_value_pct", percent(F.col("refund_value_inr"), F.col("_gross"), 1))
+    if is_partial(txn):
+        sums = txn.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("txn_count", "refund_count")], *[money(F.sum(c)).alias(c) for c in ("refund_value_inr", "gross_inr")])
+    else:
+        sums = valued(txn).groupBy(*keys).agg(*_sums()).drop("net_value_inr")
+    return sums.withColumn("refund_rate_pct", percent(F.col("refund_count"), F.col("txn_count"), 1)).withColumn("refund_value_pct", percent(F.col("refund_value_inr"), F.col("gross_inr"), 1))
 
 
 def refunds_by_product(txn: DataFrame) -> DataFrame:
     """K9a."""
-    return _refunds(txn, "product_type").drop("_gross")
+    return _refunds(txn, "product_type").drop("gross_inr")
 
 
 def refunds_by_branch(txn: DataFrame) -> DataFrame:
     """K9b."""
-    return _refunds(txn, "region", "branch_id", "branch_name").drop("_gross", "refund_value_pct")
+    return _refunds(txn, "region", "branch_id", "branch_name").drop("gross_inr", "refund_value_pct")
 
 
 def dq_scorecard(scorecard: DataFrame, issues: DataFrame, k: int = 3) -> DataFrame:
@@ -250,9 +278,9 @@ def incremental_counts(facts: DataFrame, log: DataFrame, dims: dict[str, DataFra
     return out
 
 
-def snapshot(txn: DataFrame, customers: DataFrame, batch_id: str) -> DataFrame:
-    """The rows of K1 and K7 as a batch leaves them."""
-    top, ranks = top_customers(txn, customers), branch_ranking(txn)
+def snapshot(of_customers: DataFrame, of_branches: DataFrame, customers: DataFrame, batch_id: str) -> DataFrame:
+    """The rows of K1 and K7 as a batch leaves them, from transactions or partial sums with the attributes that each needs."""
+    top, ranks = top_customers(of_customers, customers), branch_ranking(of_branches)
     one = top.select(F.lit("kpi01_top_customers").alias("kpi_name"), F.row_number().over(Window.orderBy("rank_no", "customer_id")).alias("rank_no"), F.col("customer_id").alias("item_key"), F.col("customer_name").alias("item_label"), F.col("net_value_inr").alias("metric_value"))
     label = F.concat("region", F.lit(" #"), F.col("rank_in_region").cast("string"))
     place = F.row_number().over(Window.orderBy("region", "rank_in_region", "branch_id"))  # a row for each branch

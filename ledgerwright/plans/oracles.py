@@ -287,3 +287,16 @@ MONEY = {
 for _name, _columns in MONEY.items():
     _casts = ", ".join(f'"{c}"::DOUBLE AS "{c}"' for c in _columns)
     ORACLES[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLES[_name]})"
+# what daily sums add up to is what the facts do
+for _name, _same in {
+    "kpi01_from_daily_sums": "kpi01_top_customers", "kpi02_from_daily_sums": "kpi02_branch_monthly", "kpi03_from_daily_sums": "kpi03_product_share", "kpi06_from_daily_sums": "kpi06_customer_segments",
+    "kpi07_from_daily_sums": "kpi07_branch_ranking", "kpi09_from_daily_sums": "kpi09_refund_by_product",
+}.items():
+    ORACLES[_name] = ORACLES[_same]
+
+_FILES = "SELECT event_type, event_id % 64 AS part, count(*) AS n FROM events GROUP BY ALL"
+ORACLES["json_file_state"] = f"""
+SELECT event_type, part, n AS rows_read, (part % 3 = 2)::BIGINT AS fragments_lost, part % 3 = 2 OR (part % 3 = 1 AND n > 1) AS broken FROM ({_FILES})"""
+ORACLES["json_salvage"] = f"""
+SELECT props AS record, NULL AS fragment, count(*) AS n FROM events GROUP BY props
+UNION ALL SELECT NULL, '{{cut', count(*) FROM ({_FILES})"""

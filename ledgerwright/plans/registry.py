@@ -51,6 +51,36 @@ def kpi04_dormant_accounts(spark, d):
     return kpi.dormant_accounts(s.facts, s.customers, s.products)
 
 
+@query
+def kpi01_from_daily_sums(spark, d):
+    """K1 as a batch works it out, without the facts."""
+    s = star(spark, d)
+    return kpi.top_customers(kpi.by_customer(s.facts), s.customers)
+
+
+for _name, _plan, _dimension in (
+    ("kpi02_from_daily_sums", kpi.branch_monthly, "branches"), ("kpi03_from_daily_sums", kpi.product_share, "products"), ("kpi07_from_daily_sums", kpi.branch_ranking, "branches"), ("kpi09_from_daily_sums", kpi.refunds_by_product, "products"),
+):
+    QUERIES[_name] = lambda spark, d, plan=_plan, dimension=_dimension: plan(kpi.point_in_time(kpi.by_product_and_branch(star(spark, d).facts), **{dimension: getattr(star(spark, d), dimension)}))
+
+
+@query
+def kpi06_from_daily_sums(spark, d):
+    s = star(spark, d)
+    return kpi.segments(kpi.by_customer(s.facts), s.facts, s.customers)
+
+
+@query
+def json_file_state(spark, d):
+    """Events' properties as sound arrays, arrays without commas, and arrays that are cut off: what is read, lost, and flagged of each."""
+    e = table(spark, d, "events").withColumn("part", F.col("event_id") % 64)
+    kind = F.col("part") % 3
+    files = e.groupBy("event_type", "part").agg(F.collect_list("props").alias("props")).withColumn("props", F.array_sort("props"))
+    text = F.concat(F.lit("["), F.array_join("props", ", "), F.when(kind == 2, ", {cut").otherwise("]"))
+    bare = F.concat(F.lit("["), F.array_join("props", " "), F.lit("]"))
+    return json_scan.state(files.select("event_type", "part", F.when(kind == 1, bare).otherwise(text).alias("value")), "value")
+
+
 @query
 def kpi05_suspicious_10min(spark, d):
     return kpi.suspicious(events(spark, d), high=300)
@@ -213,15 +243,17 @@ def kpi11_incremental_counts(spark, d):
 @query
 def kpi_snapshot(spark, d):
     s = star(spark, d)
-    return kpi.snapshot(s.txn("branches"), s.customers, AFTER)
+    txn = s.txn("branches")
+    return kpi.snapshot(txn, txn, s.customers, AFTER)
 
 
 @query
 def kpi11_kpi_deltas(spark, d):
     s = star(spark, d)
     txn = s.txn("branches")
-    before = kpi.snapshot(txn.where(F.col("source_batch_id") == BEFORE), s.customers, BEFORE)
-    return kpi.snapshot_deltas(before.unionByName(kpi.snapshot(txn, s.customers, AFTER)), BEFORE, AFTER)
+    older = txn.where(F.col("source_batch_id") == BEFORE)
+    before = kpi.snapshot(older, older, s.customers, BEFORE)
+    return kpi.snapshot_deltas(before.unionByName(kpi.snapshot(txn, txn, s.customers, AFTER)), BEFORE, AFTER)
 
 
 @query

@@ -214,6 +214,18 @@ class Scan:
         return self._placed(list(range(self.count))).mapInPandas(walked, ROWS)
 
 
+def state(files: DataFrame, text: str) -> DataFrame:
+    """files with rows_read, fragments_lost and broken (file flag) instead of the column of their texts, each a whole document."""
+
+    @F.pandas_udf("rows_read long, fragments_lost long, broken boolean")
+    def walked(texts: pd.Series) -> pd.DataFrame:
+        walks = [walk(t) for t in texts]
+        lost = [sum(x is not None for _, x in w.rows) for w in walks]
+        return pd.DataFrame({"rows_read": [len(w.rows) - n for w, n in zip(walks, lost, strict=True)], "fragments_lost": lost, "broken": [not w.sound for w in walks]})
+
+    return files.withColumn("_state", walked(F.coalesce(F.col(text), F.lit("")))).select(*[c for c in files.columns if c != text], "_state.*")
+
+
 def salvage_texts(files: DataFrame) -> DataFrame:
     """(_pos, _raw, _lost) of texts (value), each a whole document."""
 

@@ -4,7 +4,7 @@ import json
 
 import pytest
 from ledgerwright.operators.cleaners import ENTITIES
-from ledgerwright.plans import batch
+from ledgerwright.plans import batch, kpi
 from ledgerwright.plans.warehouse import ConflictError, ConstraintError, Warehouse, require_unique
 from ledgerwright.sources import landing
 from ledgerwright.streaming.batches import watch
@@ -61,6 +61,13 @@ def test_two_days_replays_and_views(spark, calendar, tmp_path):
     assert {r["metric"]: r["record_count"] for r in spark.table("kpi11_incremental_counts").collect()}["Corrected transactions"] == 1
     log = spark.table("fact_correction_log").collect()
     assert [(r["old_values"], r["new_values"]) for r in log] == [({"status": "Failed", "remarks": "x"}, {"status": "Success", "remarks": "ok"})]
+    # metrics over daily sums are those over the facts
+    facts, c, p, b = (spark.table(t) for t in ("fact_transaction", "dim_customer", "dim_product", "dim_branch"))
+    for name, whole in {
+        "kpi01_top_customers": kpi.top_customers(kpi.point_in_time(facts), c), "kpi02_branch_monthly": kpi.branch_monthly(kpi.point_in_time(facts, branches=b)), "kpi03_product_share": kpi.product_share(kpi.point_in_time(facts, products=p)),
+        "kpi06_customer_segments": kpi.segments(kpi.point_in_time(facts), facts, c), "kpi09_refund_by_product": kpi.refunds_by_product(kpi.point_in_time(facts, products=p)),
+    }.items():
+        assert sorted(map(tuple, spark.table(name).collect())) == sorted(map(tuple, whole.collect())) != []
     versions = spark.table("dim_customer").where("customer_id = 'C2'").orderBy("valid_from").collect()
     assert [(r["kyc_status"], r["valid_from"], r["valid_to"], r["is_current"]) for r in versions] == [("Pending", dt.date(1900, 1, 1), dt.date(2026, 10, 1), 0), ("Verified", dt.date(2026, 10, 1), dt.date(9999, 12, 31), 1)]
     at = {r["transaction_id"]: r["kyc_status"] for r in spark.table("v_txn").collect()}
@@ -107,6 +114,8 @@ def test_a_batch_writes_only_the_days_it_changes(spark, calendar, tmp_path):
     assert set(after["fact_transaction"]) == {"2026-09-01", "2026-09-03", "2026-09-04"}
     same = {d for d, p in before["fact_transaction"].items() if after["fact_transaction"].get(d) == p}
     assert same == {"2026-09-03"}
+    for table in batch.PARTIALS:
+        assert set(after[table]) == set(after["fact_transaction"]) and {d for d, p in before[table].items() if after[table].get(d) == p} == same
     assert after["dq_scorecard"]["first"] == before["dq_scorecard"]["first"] and set(after["dq_scorecard"]) == {"first", "second"}
     assert set(after["fact_correction_log"]) > set(before["fact_correction_log"])
     facts = Warehouse(spark, root).read("fact_transaction", batch.FACT)

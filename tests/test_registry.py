@@ -14,7 +14,7 @@ def duck(sf):
 
 
 def test_only_what_sql_cannot_say_lacks_sql():
-    assert set(registry.queries()) - set(ORACLES) == {"json_salvage", "file_metadata"}
+    assert set(registry.queries()) - set(ORACLES) == {"file_metadata"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
