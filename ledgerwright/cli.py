@@ -10,6 +10,7 @@ import os
 from . import session
 from .operators.cleaners import ENTITIES
 from .plans import batch, report, serving
+from .plans.drills import Drills
 from .plans.warehouse import Warehouse
 from .sources import readers
 
@@ -31,6 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     actions = parser.add_subparsers(dest="action", required=True)
     actions.add_parser("run").add_argument("--batch-id", required=True)
     actions.add_parser("profile").add_argument("--batch-id", required=True)
+    actions.add_parser("drill").add_argument("--batch-id", required=True)
     actions.add_parser("report")
     actions.add_parser("check")
     sweep = actions.add_parser("sweep")
@@ -56,6 +58,11 @@ def main(argv: list[str] | None = None) -> int:
             if wrong := batch.check(spark, args.warehouse):
                 raise ValueError("; ".join(wrong))
             print("all tables are as they should be")
+        elif args.action == "drill":
+            outcomes = Drills(spark, batches, args.warehouse, args.batch_id).run()
+            for o in outcomes:
+                print(f"{'pass' if o.passed else 'FAIL'}  {o.drill}: {o.detail}")
+            return int(not all(o.passed for o in outcomes))
         elif args.action == "sweep":
             print(f"deleted {len(store.sweep(args.keep, args.idle_seconds))} manifests and folders")
         else:

@@ -70,7 +70,7 @@ class Summary:
     counts: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
-def run_batch(spark: SparkSession, batch_id: str, calendar: Calendar, root: str, landing_zone: str | None = None) -> Summary:
+def run_batch(spark: SparkSession, batch_id: str, calendar: Calendar, root: str, landing_zone: str | None = None, warehouse: type[Warehouse] = Warehouse) -> Summary:
     """Read, settle, merge and publish one batch; running it again changes nothing.
 
     Fails with ValueError for an unknown batch, FileNotFoundError for a missing or empty file, and
@@ -83,7 +83,7 @@ def run_batch(spark: SparkSession, batch_id: str, calendar: Calendar, root: str,
         raise ValueError(f"unknown batch {batch_id}")
     for left in range(TRIES - 1, -1, -1):
         try:
-            return _attempt(spark, batch_id, calendar, root, landing_zone)
+            return _attempt(spark, batch_id, calendar, root, landing_zone, warehouse)
         except ConflictError:
             # another run was published meanwhile; what this one does is to be worked out anew from its tables
             if not left:
@@ -92,9 +92,9 @@ def run_batch(spark: SparkSession, batch_id: str, calendar: Calendar, root: str,
     raise AssertionError
 
 
-def _attempt(spark: SparkSession, batch_id: str, calendar: Calendar, root: str, landing_zone: str | None) -> Summary:
+def _attempt(spark: SparkSession, batch_id: str, calendar: Calendar, root: str, landing_zone: str | None, warehouse: type[Warehouse]) -> Summary:
     summary = Summary(uuid.uuid4().hex, batch_id)
-    store = Warehouse(spark, root)
+    store = warehouse(spark, root)
     _audit(spark, root, summary, {})
     try:
         settled = _run(spark, batch_id, calendar, store, summary, landing_zone)

@@ -231,5 +231,9 @@ def test_command_line(calendar, tmp_path, monkeypatch, capsys, spark):
     monkeypatch.setenv("LEDGERWRIGHT_WAREHOUSE", str(tmp_path / "wh"))
     assert cli.main(["run", "--batch-id", "day1"]) == 0 and cli.main(["run", "--batch-id", "day7"]) == 1
     assert cli.main(["check"]) == 0
+    assert cli.main(["drill", "--batch-id", "day1"]) == 0 and capsys.readouterr().out.count("pass  ") == 6
+    assert not list((tmp_path / "wh").glob("drill=*")) and len(list((tmp_path / "wh").glob("v=*"))) == 2
+    assert cli.main(["drill", "--batch-id", "day2"]) == 1  # it has not run yet, so its replay brings new rows
+    assert cli.main(["sweep", "--keep", "1", "--idle-seconds", "0"]) == 0
     assert cli.main(["report"]) == 0 and "ORPHAN_ACCOUNT" in capsys.readouterr().out
     assert cli.main(["reset"]) == 1 and cli.main(["reset", "--yes"]) == 0
