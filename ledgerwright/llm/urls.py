@@ -76,12 +76,13 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, url_col: str = "url", def
     with the rule's; the longest fitting rule wins (of equal length the longer host, then the
     later in code point order). Without one the verdict is `default`.
 
-    Each distinct url is asked once. Its host and those above it pass the Bloom filter of listed
-    hosts and are joined with these, which tells how long the paths of a host's rules are; the
-    url's path, cut to these lengths, gives its canonical keys. Keys that pass the Bloom filter
+    Each distinct url is asked once, and of the hosts each distinct one. A host and those above it pass
+    the Bloom filter of listed hosts and are joined with these, which tells how long the paths of a
+    host's rules are; the url's path, cut to these lengths, gives its canonical keys. Keys that pass the Bloom filter
     of listed rules are joined with the list. The list may have any length and any shapes.
 
-    Null urls and those without :// have an empty host and path and fit no rule with a host.
+    A host has as many hosts above it as labels, so a domain that half of all urls are in is asked for
+    by its distinct hosts only. Urls of any length are judged whole. Null urls and those without :// have an empty host and path and fit no rule with a host.
     Repeated rows each get their verdict; empty tables and an empty list give what they should.
     Other columns of any name stay as they are.
     """
@@ -95,8 +96,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, url_col: str = "url", def
     asked = parsed.groupBy("url_md5").agg(F.first("host").alias("host"), F.first("path").alias("path"))
     labels = F.split("host", r"\.", -1)
     above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.array_join(F.slice(labels, -n, n), "."))
-    suffixes = asked.select("url_md5", "path", F.explode(above).alias("key"))
-    fits = BlockedBloom(hosts, hosts.count()).passing(suffixes).join(broadcast_if_small(hosts), "key")
+    suffixes = asked.select("host").distinct().select("host", F.explode(above).alias("key"))
+    fitting = BlockedBloom(hosts, hosts.count()).passing(suffixes).join(broadcast_if_small(hosts), "key")
+    by_host = durable(fitting.groupBy("host").agg(F.collect_list(F.struct("key", "lengths")).alias("above")))
+    fits = asked.join(broadcast_if_small(by_host), "host").select("url_md5", "path", F.explode("above").alias("x")).select("url_md5", "path", "x.key", "x.lengths")
     cut = fits.select("url_md5", "path", "key", F.explode("lengths").alias("n")).where(F.col("n") <= F.length("path"))
     keys = cut.select("url_md5", rule_key(F.col("key"), F.expr("substring(path, 1, n)")).alias("key"))
     hits = BlockedBloom(listed, listed.count()).passing(keys).join(broadcast_if_small(listed), "key")
