@@ -17,6 +17,8 @@ from . import kpi
 from .warehouse import ConflictError, ConstraintError, Warehouse, require, require_not_null, require_reference, require_unique
 
 LOG_TO = logging.getLogger(__name__)
+#: Parts of a dimension, by a hash of its key. A batch rewrites those that its records are in.
+BUCKETS = 64
 #: How often a batch is worked out if other runs publish meanwhile.
 TRIES = 3
 SCD = "valid_from date, valid_to date, is_current int, row_hash string, batch_id string"
@@ -134,13 +136,19 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
     dims: dict[str, DataFrame] = {}
     for name, (table, sk, _) in DIMENSIONS.items():
         entity = ENTITIES[name]
-        old = store.read(table, schemas()[table]).drop(sk)
-        new, actions = history.merge_versions(old, dedupe.clean_records(settled[name]), entity.key, list(entity.tracked), batch_id, day, batches, lambda df, name=name: store.stage(f"joined_{name}", df, keep=False))
-        dims[name] = store.stage(table, history.with_surrogate(new, entity.key, sk))
+        schema, bucket = schemas()[table], F.expr(f"pmod(xxhash64({entity.key}), {BUCKETS})")
+        records = dedupe.clean_records(settled[name])
+        touched = {str(r["part"]) for r in records.select(bucket.alias("part")).distinct().collect()}
+        old = store.read(table, schema, touched).drop(sk)
+        new, actions = history.merge_versions(old, records, entity.key, list(entity.tracked), batch_id, day, batches, lambda df, name=name: store.stage(f"joined_{name}", df, keep=False))
+        store.stage_parts(table, history.with_surrogate(new, entity.key, sk), bucket, touched)
         summary.actions[name] = {r["action"]: r["n"] for r in actions.collect()}
-        require_unique(table, dims[name], entity.key, "valid_from")
-        require_unique(f"current {table}", dims[name].where("is_current = 1"), entity.key)
-        require_not_null(table, dims[name], entity.key, "valid_from", "valid_to", "row_hash")
+        # a key is in one bucket, so what holds in those that are written holds in the whole dimension
+        changed = store.read(table, schema, touched)
+        require_unique(table, changed, entity.key, "valid_from")
+        require_unique(f"current {table}", changed.where("is_current = 1"), entity.key)
+        require_not_null(table, changed, entity.key, "valid_from", "valid_to", "row_hash")
+        dims[name] = store.read(table, schema)
 
     references = {"ORPHAN_ACCOUNT": ("account_id", dims["customers"].select("account_id")), "ORPHAN_PRODUCT": ("product_id", dims["products"].select("product_id")), "ORPHAN_BRANCH": ("branch_id", dims["branches"].select("branch_id"))}
     judged = dedupe.check_references(settled["transactions"], references)

@@ -24,7 +24,7 @@ HANDLING = {
     "MISSING_DOB": "kept without date of birth",
     "MISSING_EMAIL": "kept without address",
     "MISSING_GENDER": "kept as unknown",
-    "MISSING_IS_ACTIVE": "kept; taken as active",
+    "MISSING_IS_ACTIVE": "kept; taken as not active",
     "MISSING_MANAGER": "kept as unknown",
     "MISSING_PRODUCT_NAME": "kept without name",
     "MISSING_REFUND_FLAG": "kept; taken as no refund",

@@ -102,7 +102,7 @@ def test_a_batch_writes_only_the_days_it_changes(spark, calendar, tmp_path):
     raw, root = tmp_path / "raw", str(tmp_path / "wh")
     at = lambda k, day: TXN | dict(transaction_id=k, timestamp=f"{day} 08:00:00", date=day)
     put(raw / "first", {"customers": [CUSTOMER], "products": [PRODUCT], "branches": [BRANCH], "transactions": [at("T1", "2026-09-01"), at("T2", "2026-09-01"), at("T3", "2026-09-02"), at("T4", "2026-09-03")]})
-    put(raw / "second", {"customers": [CUSTOMER], "products": [PRODUCT], "branches": [BRANCH], "transactions": [at("T3", "2026-09-04"), at("T5", "2026-09-01")]})
+    put(raw / "second", {"customers": [CUSTOMER | dict(customer_id="C7", account_id="A7")], "products": [PRODUCT], "branches": [BRANCH], "transactions": [at("T3", "2026-09-04"), at("T5", "2026-09-01")]})
     days = batch.Calendar(str(raw), {"first": dt.date(2026, 9, 30), "second": dt.date(2026, 10, 1)}, {"first": FILES, "second": FILES})
     batch.run_batch(spark, "first", days, root)
     before = Warehouse(spark, root).tables()
@@ -114,6 +114,9 @@ def test_a_batch_writes_only_the_days_it_changes(spark, calendar, tmp_path):
     assert set(after["fact_transaction"]) == {"2026-09-01", "2026-09-03", "2026-09-04"}
     same = {d for d, p in before["fact_transaction"].items() if after["fact_transaction"].get(d) == p}
     assert same == {"2026-09-03"}
+    # of a dimension only the buckets of the batch's keys are written
+    assert before["dim_customer"].items() < after["dim_customer"].items() and len(after["dim_customer"]) == 2
+    assert {r["customer_id"] for r in Warehouse(spark, root).read("dim_customer", "").collect()} == {CUSTOMER["customer_id"], "C7"}
     for table in batch.PARTIALS:
         assert set(after[table]) == set(after["fact_transaction"]) and {d for d, p in before[table].items() if after[table].get(d) == p} == same
     assert after["dq_scorecard"]["first"] == before["dq_scorecard"]["first"] and set(after["dq_scorecard"]) == {"first", "second"}
