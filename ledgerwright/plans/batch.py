@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dedupe, history
+from ..operators import dedupe, history, keys
 from ..operators.cleaners import ENTITIES
 from ..sources import landing, readers
 from . import kpi
@@ -35,6 +35,8 @@ FACT = (
 )
 #: Facts are kept by day.
 DAY = "date_format(txn_date, 'yyyy-MM-dd')"
+#: Summaries of each day's keys, from which a batch tells the days that its records may be in.
+KEY_INDEX = "fact_key_index"
 LOG = "transaction_id string, batch_id string, old_values map<string,string>, new_values map<string,string>, run_id string"
 OUTPUTS = {
     "dq_quarantine": "batch_id string, entity string, source_file string, record_key string, reason_codes string, raw_record string, run_id string",
@@ -160,7 +162,8 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
     records = store.stage("resolved_transactions", records, keep=False)
     require("transactions without a version of their day", records.where("_c = 0 OR _p = 0 OR _b = 0").select("transaction_id", "txn_date"))
     # the days that the records or the facts they correct are of; all others stay as they are
-    days = {r["part"] for r in history.touched_parts(store.read("fact_transaction", FACT), records, "transaction_id", F.expr(DAY)).collect()}
+    near = _days_with_keys_of(store, records)
+    days = {r["part"] for r in history.touched_parts(store.read("fact_transaction", FACT, near), records, "transaction_id", F.expr(DAY)).collect()}
     old = store.read("fact_transaction", FACT, days)
     new, actions, log = history.upsert_facts(old, records, "transaction_id", HASHED, KEYS, batch_id, batches, lambda df: store.stage("joined_transactions", df, keep=False))
     summary.actions["transactions"] = {r["action"]: r["n"] for r in actions.collect()}
@@ -175,6 +178,7 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
         require_reference("fact_transaction", changed, sk, dims[name])
     for table, (made, _) in PARTIALS.items():
         store.stage_parts(table, made(changed), F.expr(DAY), days)
+    store.stage_parts(KEY_INDEX, keys.summaries(changed, "transaction_id", F.expr(DAY)), F.col("held_in"), days)
 
     _quality(spark, batch_id, calendar, store, summary, settled, broken)
     _snapshot(batch_id, batches, store, dims)
@@ -182,6 +186,13 @@ def _run(spark: SparkSession, batch_id: str, calendar: Calendar, store: Warehous
     return settled
 
 
+def _days_with_keys_of(store: Warehouse, records: DataFrame) -> set[str]:
+    """The days whose facts may have keys of the records, by the index; days that it lacks count as such."""
+    index = store.read(KEY_INDEX, keys.schema("string"))
+    found = {r["held_in"] for r in keys.may_hold(index, records, "transaction_id").collect()}
+    return found | (store.parts("fact_transaction").keys() - store.parts(KEY_INDEX).keys())
+
+
 def _quality(spark, batch_id, calendar, store, summary, settled, broken) -> None:
     """The batch's rows of the quality tables, in place of those it had."""
     outputs = {name: spark.createDataFrame([], schema) for name, schema in OUTPUTS.items()}
@@ -234,7 +245,7 @@ def last_run(spark: SparkSession, root: str) -> DataFrame:
 def schemas() -> dict[str, str]:
     """Every published table of a batch's results, and its columns."""
     dims = {table: f"{columns}, {SCD}, {sk} bigint" for table, sk, columns in DIMENSIONS.values()}
-    return {**dims, "fact_transaction": FACT, "fact_correction_log": LOG, **{table: schema for table, (_, schema) in PARTIALS.items()}, **OUTPUTS, "kpi_snapshot": SNAPSHOT}
+    return {**dims, "fact_transaction": FACT, "fact_correction_log": LOG, KEY_INDEX: keys.schema("string"), **{table: schema for table, (_, schema) in PARTIALS.items()}, **OUTPUTS, "kpi_snapshot": SNAPSHOT}
 
 
 def check(spark: SparkSession, root: str) -> list[str]:

@@ -290,7 +290,7 @@ for _name, _columns in MONEY.items():
 # what daily sums add up to is what the facts do
 for _name, _same in {
     "kpi01_from_daily_sums": "kpi01_top_customers", "kpi02_from_daily_sums": "kpi02_branch_monthly", "kpi03_from_daily_sums": "kpi03_product_share", "kpi06_from_daily_sums": "kpi06_customer_segments",
-    "kpi07_from_daily_sums": "kpi07_branch_ranking", "kpi09_from_daily_sums": "kpi09_refund_by_product",
+    "kpi07_from_daily_sums": "kpi07_branch_ranking", "touched_days_by_key_index": "touched_days", "kpi09_from_daily_sums": "kpi09_refund_by_product",
 }.items():
     ORACLES[_name] = ORACLES[_same]
 

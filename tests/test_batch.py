@@ -133,6 +133,38 @@ def test_a_batch_writes_only_the_days_it_changes(spark, calendar, tmp_path):
     assert batch.check(spark, root) == ["dim_product.price is missing, not decimal(15,2)"]
 
 
+def test_a_batch_reads_only_the_days_that_may_hold_its_keys(spark, calendar, tmp_path, monkeypatch):
+    """Facts are read of days that the index names, without an index of all; the index follows what is corrected and moved."""
+    raw, root = tmp_path / "raw", str(tmp_path / "wh")
+    at = lambda k, day: TXN | dict(transaction_id=k, timestamp=f"{day} 08:00:00", date=day)
+    base = {"customers": [CUSTOMER], "products": [PRODUCT], "branches": [BRANCH]}
+    put(raw / "one", base | {"transactions": [at(f"T{d}", f"2026-09-0{d}") for d in range(1, 7)]})
+    put(raw / "two", base | {"transactions": [at("T2", "2026-09-08"), at("T9", "2026-09-01")]})
+    put(raw / "three", base | {"transactions": [at("T2", "2026-09-09"), at("T4", "2026-09-04")]})
+    dates = {"one": dt.date(2026, 9, 10), "two": dt.date(2026, 9, 11), "three": dt.date(2026, 9, 12)}
+    plan = batch.Calendar(str(raw), dates, dict.fromkeys(dates, FILES))
+    read, seen = Warehouse.read, []
+
+    def noted(self, name, schema, only=None):
+        if name == "fact_transaction":
+            seen.append(only)
+        return read(self, name, schema, only)
+
+    batch.run_batch(spark, "one", plan, root)
+    monkeypatch.setattr(Warehouse, "read", noted)
+    batch.run_batch(spark, "two", plan, root)
+    # first the days to look for keys in, then those to merge, then those written
+    assert [sorted(s) for s in seen] == [["2026-09-02"], ["2026-09-01", "2026-09-02", "2026-09-08"], ["2026-09-01", "2026-09-08"]]
+    seen.clear()
+    batch.run_batch(spark, "three", plan, root)
+    assert [sorted(s) for s in seen] == [["2026-09-04", "2026-09-08"], ["2026-09-04", "2026-09-08", "2026-09-09"], ["2026-09-04", "2026-09-09"]]
+    store = Warehouse(spark, root)
+    assert set(store.parts(batch.KEY_INDEX)) == set(store.parts("fact_transaction")) == {f"2026-09-0{d}" for d in (1, 3, 4, 5, 6, 9)}
+    # a warehouse of before the index was kept: all days count as such that may hold a key
+    del store.tables()[batch.KEY_INDEX]
+    assert batch._days_with_keys_of(store, spark.createDataFrame([("T1",)], "transaction_id string")) == set(store.parts("fact_transaction"))
+
+
 def test_constraints(spark):
     with pytest.raises(ConstraintError):
         require_unique("t", spark.createDataFrame([(1,), (1,)], "k int"), "k")
