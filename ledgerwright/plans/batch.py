@@ -287,7 +287,7 @@ def register_views(spark: SparkSession, root: str, calendar: Calendar | None = N
     of_product, of_branch = kpi.point_in_time(segments, products=p), kpi.point_in_time(segments, branches=b)
     of_customer = kpi.point_in_time(facts, customers=c)
     views = {
-        **tables, "v_txn": txn, "v_txn_value": kpi.valued(txn), "kpi01_top_customers": kpi.top_customers(bare, c), "kpi02_branch_monthly": kpi.branch_monthly(of_branch), "kpi02_region_monthly": kpi.region_monthly(of_branch),
+        **tables, "v_txn": txn, "v_txn_value": kpi.valued(txn), "kpi01_top_customers": kpi.top_customers(bare, c), "kpi02_branch_monthly": kpi.branch_monthly(of_branch), "kpi02_region_monthly": kpi.region_monthly(of_branch), "kpi02_monthly_levels": kpi.monthly_levels(of_branch),
         "kpi03_product_revenue": kpi.product_revenue(of_product), "kpi03_product_share": kpi.product_share(of_product), "kpi04_dormant_accounts": kpi.dormant_accounts(facts, c, p), "kpi05_suspicious_transactions": kpi.suspicious(of_customer),
         "kpi06_customer_segments": kpi.segments(bare, facts, c), "kpi07_branch_ranking": kpi.branch_ranking(of_branch), "kpi08_kyc_exposure": kpi.kyc_exposure(of_customer), "kpi09_refund_by_product": kpi.refunds_by_product(of_product),
         "kpi09_refund_by_branch": kpi.refunds_by_branch(of_branch), "kpi10_dq_scorecard": kpi.dq_scorecard(tables["dq_scorecard"], tables["dq_issue_counts"]), "kpi12_kyc_transitions": kpi.kyc_transitions(c),

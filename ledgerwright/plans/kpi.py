@@ -78,6 +78,12 @@ def by_product_and_branch(facts: DataFrame) -> DataFrame:
     return valued(point_in_time(facts)).groupBy("txn_date", "product_id", "product_sk", "branch_id", "branch_sk").agg(*_sums())
 
 
+def by_branch_and_month(facts: DataFrame) -> DataFrame:
+    """Partial sums by month and branch version, dated the month's first day: K2, K7 and K9 join branches to these few rows."""
+    months = facts.withColumn("txn_date", F.trunc("txn_date", "MM"))
+    return valued(point_in_time(months)).groupBy("txn_date", "branch_id", "branch_sk").agg(*_sums())
+
+
 def _totals(txn: DataFrame, *keys: str) -> DataFrame:
     if is_partial(txn):
         return txn.groupBy(*keys).agg(F.sum("txn_count").alias("txn_count"), money(F.sum("net_value_inr")).alias("net_value_inr"))
@@ -115,6 +121,19 @@ def region_monthly(txn: DataFrame) -> DataFrame:
     return totals.select("region", "month_start", "txn_count", "net_value_inr", growth.alias("mom_growth_pct"))
 
 
+def monthly_levels(txn: DataFrame) -> DataFrame:
+    """K2a and K2b from one pass: `level` is branch or region, and a region's rows have no branch."""
+    many, net = (F.sum("txn_count"), F.sum("net_value_inr")) if is_partial(txn) else (F.count("*"), F.sum("net_inr"))
+    keys = ["region", "branch_id", "branch_name", "month_start"]
+    rows = txn if is_partial(txn) else valued(txn)
+    totals = rows.groupingSets([keys, ["region", "month_start"]], *keys).agg(F.grouping("branch_id").alias("whole"), many.alias("txn_count"), money(net).alias("net_value_inr"))
+    level = F.when(F.col("whole") == 1, "region").otherwise("branch")
+    # a branch that moved keeps its own series, as in K2a
+    series = Window.partitionBy("whole", "branch_id", F.when(F.col("whole") == 1, F.col("region"))).orderBy("month_start", "region", "branch_name")
+    before, growth = _growth(totals, series)
+    return totals.select(level.alias("level"), *keys, "txn_count", "net_value_inr", before.alias("prev_month_value_inr"), growth.alias("mom_growth_pct"))
+
+
 def product_revenue(txn: DataFrame) -> DataFrame:
     """K3a: revenue of product types by quarter: share of the quarter, growth over the previous one."""
     totals = _totals(txn, "quarter", "product_type")

@@ -287,6 +287,8 @@ MONEY = {
 for _name, _columns in MONEY.items():
     _casts = ", ".join(f'"{c}"::DOUBLE AS "{c}"' for c in _columns)
     ORACLES[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLES[_name]})"
+ORACLES["kpi02_monthly_levels"] = f"""SELECT 'branch' AS level, * FROM ({ORACLES["kpi02_branch_monthly"]})
+UNION ALL BY NAME SELECT 'region' AS level, *, lag(net_value_inr) OVER (PARTITION BY region ORDER BY month_start) AS prev_month_value_inr FROM ({ORACLES["kpi02_region_monthly"]})"""
 # what daily sums add up to is what the facts do
 for _name, _same in {
     "kpi01_from_daily_sums": "kpi01_top_customers", "kpi02_from_daily_sums": "kpi02_branch_monthly", "kpi03_from_daily_sums": "kpi03_product_share", "kpi06_from_daily_sums": "kpi06_customer_segments",

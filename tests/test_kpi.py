@@ -123,3 +123,13 @@ def test_values_are_listed_where_they_are_few(spark):
     df = spark.createDataFrame([(str(i % 3) if i % 4 else "", str(i)) for i in range(40)], "few string, many string")
     got = {(r["column_name"], r["value"]): r["n"] for r in serving.value_listing(df).collect()}
     assert set(got) == {("few", v) for v in ("", "0", "1", "2")} and sum(got.values()) == 40
+
+
+def test_both_levels_in_one_pass(txn):
+    """Branches and regions from grouping sets are the rows of the two metrics, from transactions as from sums."""
+    dated = txn.selectExpr("*", "trunc(txn_date, 'MM') AS month_start")
+    both = kpi.monthly_levels(dated)
+    for level, alone in (("branch", kpi.branch_monthly(dated)), ("region", kpi.region_monthly(dated))):
+        got = both.where(f"level = '{level}'").select(*alone.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, alone.collect())) != []
+    assert {r["branch_id"] for r in both.where("level = 'region'").collect()} == {None}
