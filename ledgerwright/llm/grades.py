@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, shared, small_batches
+from .common import by_value, durable, release, shared, small_batches
 from .quality import measure_texts
 
 BUCKETS = 1 << 18
@@ -87,26 +87,20 @@ class GradeModel:
         return out
 
 
-def telling(rows: list[np.ndarray], grades: np.ndarray, levels: int) -> np.ndarray:
+def telling(counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Whether each bucket tells grades apart beyond chance.
 
+    counts: by bucket and grade, the rows that have the bucket; rows: the rows of each grade.
     By a score test of its weight in the model of thresholds alone: the sum of the residuals of
     the rows that have it, over the root of the sum of their squares, must pass the universal
     bound sqrt(2 ln p) of p tested buckets, for measures and words each. So a bucket needs
     evidence in more than 2 ln p rows; with few rows few weights or none leave zero, and what is
     unknown goes by the thresholds.
     """
-    share = np.bincount(grades, minlength=levels) / len(grades)
-    above = np.concatenate([[1.0], 1 - np.cumsum(share)])
-    residual = (1 - above[:-1] - above[1:])[grades]  # slope of the log likelihood when a row's links all shift
-    total, squares = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for start in range(0, len(rows), 500):
-        some = rows[start : start + 500]
-        each = np.repeat(residual[start : start + 500], [len(b) for b in some])
-        bucket = np.concatenate(some)
-        total += np.bincount(bucket, each, BUCKETS)
-        squares += np.bincount(bucket, each * each, BUCKETS)
-    score = np.abs(total) / np.sqrt(np.maximum(squares, 1e-12))
+    above = np.concatenate([[1.0], 1 - np.cumsum(rows / max(rows.sum(), 1))])
+    residual = 1 - above[:-1] - above[1:]  # slope of the log likelihood when a row's links all shift
+    squares = counts @ (residual * residual)
+    score = np.abs(counts @ residual) / np.sqrt(np.maximum(squares, 1e-12))
     out = np.zeros(BUCKETS, bool)
     for family in (slice(0, MEASURES), slice(MEASURES, BUCKETS)):
         tested = np.count_nonzero(squares[family])
@@ -114,12 +108,21 @@ def telling(rows: list[np.ndarray], grades: np.ndarray, levels: int) -> np.ndarr
     return out
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int) -> GradeModel:
+def counted(rows: list[np.ndarray], grades: np.ndarray, levels: int) -> np.ndarray:
+    """The rows of each bucket and grade."""
+    flat = [np.concatenate([b * levels + g for b, g in zip(rows[k : k + 500], grades[k : k + 500], strict=True)]) for k in range(0, len(rows), 500)]
+    return sum((np.bincount(f, minlength=BUCKETS * levels) for f in flat), np.zeros(BUCKETS * levels, np.int64)).reshape(BUCKETS, levels)
+
+
+def fit(rows: list[np.ndarray], grades: np.ndarray, levels: int, tells: np.ndarray | None = None) -> GradeModel:
     """Adam on the log loss of the cumulative links; thresholds rise as the first plus positive gaps.
 
-    rows: the buckets of each text. Only the weights of telling() buckets are fitted.
+    rows: the buckets of each text. Only the weights of telling() buckets are fitted; where these are
+    known (`tells`), rows need hold no others.
     """
-    used = np.flatnonzero(telling(rows, grades, levels)) if len(rows) else np.zeros(0, np.int64)
+    if tells is None:
+        tells = telling(counted([b.astype(np.int64) for b in rows], grades, levels), np.bincount(grades, minlength=levels))
+    used = np.flatnonzero(tells)
     place = np.full(BUCKETS, -1)
     place[used] = np.arange(len(used))
     rows = [x[x >= 0] for x in (place[b] for b in rows)]
@@ -163,7 +166,9 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int, *, id_col: str = "do
     """A model from at most max_rows documents rated (id_col, grade), grade in 0 .. levels - 1.
 
     The sample is chosen by a hash of the id, so a rerun chooses the same; whole texts are
-    reduced to hashed features where they are read. Ratings without id or with another grade
+    reduced to hashed features where they are read, and written to a table of these. To the driver come
+    counts, at most BUCKETS x levels, and of each row the buckets that pass telling(), in whatever
+    length its text has. Ratings without id or with another grade
     are left out; of several ratings of one document the lowest counts. No rated rows give a
     model that holds every grade to be as likely.
     """
@@ -180,9 +185,22 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int, *, id_col: str = "do
 
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     # max_rows bounds the broadcast
-    sample = own.join(F.broadcast(chosen), "id").select("id", "grade", extracted("text").alias("bucket")).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(max_rows)
-    sample = sample.select("grade", "bucket").toArrow()
-    return fit([b.values.to_numpy() for b in sample["bucket"]], sample["grade"].to_numpy().astype(np.int64), levels)
+    sample = own.join(F.broadcast(chosen), "id").select("id", "grade", extracted("text").alias("bucket")).orderBy(place, "id").limit(max_rows)
+    sample = durable(sample)
+    rows, counts = np.zeros(levels, np.int64), np.zeros((BUCKETS, levels), np.int64)
+    for r in sample.groupBy("grade").count().collect():
+        rows[r["grade"]] = r["count"]
+    of_bucket = sample.select("grade", F.explode("bucket").alias("bucket")).groupBy("bucket").agg(*[F.count_if(F.col("grade") == k).alias(f"n{k}") for k in range(levels)]).toArrow()
+    counts[of_bucket["bucket"].to_numpy()] = np.stack([of_bucket[f"n{k}"].to_numpy() for k in range(levels)], 1)
+    tells = telling(counts, rows)
+
+    @F.pandas_udf("array<int>")
+    def left(bucket: pd.Series) -> pd.Series:
+        return pd.Series([b[tells[b]] for b in bucket], dtype=object)
+
+    held = sample.select("id", "grade", left("bucket").alias("bucket")).orderBy(place, "id").select("grade", "bucket").toArrow()
+    release(sample)
+    return fit([b.values.to_numpy() for b in held["bucket"]], held["grade"].to_numpy().astype(np.int64), levels, tells)
 
 
 def grade(docs: DataFrame, model: GradeModel, *, text_col: str = "text", least: int | None = None, probability: float = 0.5) -> DataFrame:

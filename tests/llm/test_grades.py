@@ -105,3 +105,17 @@ def test_very_long_texts_and_ties(spark):
     long = " ".join(f"w{i % 5000}" for i in range(300_000))
     got = [r["expected_grade"] for r in grades.grade(spark.createDataFrame([(1, long), (2, long), (3, "")], "doc_id long, text string"), model).orderBy("doc_id").collect()]
     assert got[0] == got[1] and abs(got[0] - sum(plain_tails(model, long))) < 1e-6 and abs(got[2] - sum(plain_tails(model, ""))) < 1e-6
+
+
+def test_counts_in_tasks_give_the_fit_on_whole_rows(spark, sf):
+    """What Spark counts and leaves out of the rows changes nothing: the weights are those of a fit on all features."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").selectExpr("doc_id", "CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 2 END AS grade")
+    got = grades.train(docs, labels, 3)
+    first = labels.groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    rows = docs.join(first, "doc_id").where("text IS NOT NULL").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").collect()
+    bags = [grades.features([r["text"]])[1] for r in rows]
+    whole = grades.fit(bags, np.array([r["grade"] for r in rows]), 3)
+    assert np.count_nonzero(got.weights) and np.allclose(got.weights, whole.weights) and np.allclose(got.thresholds, whole.thresholds)
