@@ -208,7 +208,7 @@ def grade(docs: DataFrame, model: GradeModel, *, text_col: str = "text", least:
 
     tail_probability is that of a grade of `least` (the best one by default) or more; kept says
     whether it reaches `probability`. Null and empty texts are graded by their lack of words.
-    Each whole text is graded for itself and no row is moved.
+    Each whole text, of any length, is graded for itself and no row is moved; an empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
     sent = shared(docs.sparkSession, model)

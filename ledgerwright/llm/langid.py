@@ -204,7 +204,8 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
     Only the text is read, whole. Null texts and texts without a letter (empty ones too) get
     `und`, score 0, and are not accepted; so are scores under the model's threshold. Rows are
     scored each for itself and none is moved; the model that goes to each task has
-    BUCKETS x languages numbers.
+    BUCKETS x languages numbers. Very long texts are scored by all their subwords, in chunks; of languages
+    of one score the first by name counts. An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
 

@@ -186,6 +186,7 @@ def scan(files: DataFrame, *, path_col: str = "path", text_col: str = "text", th
     Distinct directories are joined with the licensed ones level by level upwards in one join;
     files are joined with what their directory got. Null texts have no licence of their own,
     files with a null path inherit none; repeated rows each get their result, and columns of other names stay.
+    Very long texts are scanned whole, empty ones have no licence of their own, and an empty table gives an empty result.
     """
     small_batches(files.sparkSession)
     templates = statistics(files, text_col)

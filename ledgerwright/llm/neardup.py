@@ -311,7 +311,8 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, id_col: str = "d
     Null texts and texts without words have no shingles and link with nothing. Rows without id
     are kept and have no component. Rows that repeat an id count as one document (one whose
     class of smallest id they share; links are those of its text of the fewest shingles, by
-    class and text hash where these tie), and each gets its row. Empty tables give an empty result.
+    class and text hash where these tie), and each gets its row. Very long texts are compared by all
+    their shingles. Empty tables give an empty result.
     """
     table = durable(sketch(docs, id_col, text_col))
     with_words = table.where("cls IS NOT NULL AND id IS NOT NULL")

@@ -67,6 +67,7 @@ def assign_shards(
     The table is broadcast: it has one short row per slot, a number fixed by the shards alone,
     so rows are placed where they are read, without a shuffle. Rows with the same id go to the
     same shard; choose an id that no third of the rows share. A null id counts as empty text.
+    No other column is looked at, texts of any length are carried along, and an empty table gives an empty result.
     """
     names = [f"shard-{i:05d}" for i in range(shards)] if isinstance(shards, int) else list(shards)
     size = table_size(len(names), slots_per_shard)
