@@ -78,12 +78,6 @@ def by_product_and_branch(facts: DataFrame) -> DataFrame:
     return valued(point_in_time(facts)).groupBy("txn_date", "product_id", "product_sk", "branch_id", "branch_sk").agg(*_sums())
 
 
-def by_branch_and_month(facts: DataFrame) -> DataFrame:
-    """Partial sums by month and branch version, dated the month's first day: K2, K7 and K9 join branches to these few rows."""
-    months = facts.withColumn("txn_date", F.trunc("txn_date", "MM"))
-    return valued(point_in_time(months)).groupBy("txn_date", "branch_id", "branch_sk").agg(*_sums())
-
-
 def _totals(txn: DataFrame, *keys: str) -> DataFrame:
     if is_partial(txn):
         return txn.groupBy(*keys).agg(F.sum("txn_count").alias("txn_count"), money(F.sum("net_value_inr")).alias("net_value_inr"))

@@ -39,16 +39,12 @@ def kpi01_top_customers(spark, d):
 
 
 for _name, _plan, _dimension in (
-    ("kpi03_product_revenue", kpi.product_revenue, "products"), ("kpi03_product_share", kpi.product_share, "products"),
-    ("kpi08_kyc_exposure", kpi.kyc_exposure, "customers"), ("kpi09_refund_by_product", kpi.refunds_by_product, "products"),
+    ("kpi02_branch_monthly", kpi.branch_monthly, "branches"), ("kpi02_region_monthly", kpi.region_monthly, "branches"), ("kpi03_product_revenue", kpi.product_revenue, "products"), ("kpi03_product_share", kpi.product_share, "products"),
+    ("kpi07_branch_ranking", kpi.branch_ranking, "branches"), ("kpi08_kyc_exposure", kpi.kyc_exposure, "customers"), ("kpi09_refund_by_product", kpi.refunds_by_product, "products"), ("kpi09_refund_by_branch", kpi.refunds_by_branch, "branches"),
+    ("kpi02_monthly_levels", kpi.monthly_levels, "branches"),
 ):
     QUERIES[_name] = lambda spark, d, plan=_plan, dimension=_dimension: plan(star(spark, d).txn(dimension))
 
-for _name, _plan in (
-    ("kpi02_branch_monthly", kpi.branch_monthly), ("kpi02_region_monthly", kpi.region_monthly), ("kpi02_monthly_levels", kpi.monthly_levels), ("kpi07_branch_ranking", kpi.branch_ranking), ("kpi09_refund_by_branch", kpi.refunds_by_branch),
-):
-    QUERIES[_name] = lambda spark, d, plan=_plan: plan(kpi.point_in_time(kpi.by_branch_and_month(star(spark, d).facts), branches=star(spark, d).branches))
-
 
 @query
 def kpi04_dormant_accounts(spark, d):
