@@ -310,8 +310,8 @@ def _raw_customers(spark, d):
         "transaction_id": F.lit(""),
     }
     rows = table(spark, d, "customer").select(*[v.alias(c) for c, v in values.items()], k.alias("k"))
-    whole = rows.withColumn(readers.POSITION, F.explode(F.when(F.col("k") % 50 == 0, F.array("k", F.col("k") + 10_000_000)).otherwise(F.array("k")))).drop("k")
-    return whole.select("*", F.to_json(F.struct(*values)).alias(readers.RAW), F.lit(None).cast("string").alias(readers.LOST))
+    whole = rows.withColumn(readers.POSITION, F.explode(F.when(F.col("k") % 50 == 0, F.array("k", F.col("k") + 10_000_000)).otherwise(F.array("k"))))
+    return whole.select(*values, readers.POSITION, F.to_json(F.struct("k", *values)).alias(readers.RAW), F.lit(None).cast("string").alias(readers.LOST))
 
 
 def _settled(rows, entity, day, **values) -> DataFrame:
@@ -322,10 +322,10 @@ def _settled(rows, entity, day, **values) -> DataFrame:
 
 
 def _file(rows: DataFrame, k: str, values: dict) -> DataFrame:
-    """Rows of a table as text records by their number; every fiftieth stands there twice."""
+    """Rows of a table as text records, which say their number; every fiftieth stands there twice."""
     said = rows.select(F.col(k).cast("long").alias("_k"), *[v.cast("string").alias(c) for c, v in values.items()])
     places = F.when(F.col("_k") % 50 == 0, F.array("_k", F.col("_k") + 1_000_000_000_000)).otherwise(F.array("_k"))
-    return said.select(*values, F.explode(places).alias(readers.POSITION), F.to_json(F.struct(*values)).alias(readers.RAW), F.lit(None).cast("string").alias(readers.LOST))
+    return said.select(*values, F.explode(places).alias(readers.POSITION), F.to_json(F.struct("_k", *values)).alias(readers.RAW), F.lit(None).cast("string").alias(readers.LOST))
 
 
 def _id(letter: str, k):
