@@ -17,16 +17,21 @@ PRODUCT_TYPES = ("Savings Account", "Loan", "Credit Card", "Fixed Deposit")
 
 @dataclass(frozen=True)
 class Star:
-    facts: DataFrame
+    lines: DataFrame
+    orders: DataFrame
     customers: DataFrame
     products: DataFrame
     branches: DataFrame
 
+    @property
+    def facts(self) -> DataFrame:
+        return _facts(self.lines, self.orders)
+
     def txn(self, *dimensions: str) -> DataFrame:
         """The facts with the attributes of the named dimensions."""
         from .kpi import point_in_time
 
-        return point_in_time(self.facts, **{d: getattr(self, d) for d in dimensions})
+        return point_in_time(_facts(self.lines, self.orders, **{d: getattr(self, d) for d in dimensions}))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,22 +78,42 @@ def branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
-def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A fact for each line: finished orders succeed, open ones are pending, others failed; heavily taxed lines are foreign."""
-    l, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    foreign = F.col("l_tax") > 0.07
-    amount = F.col("l_extendedprice").cast("decimal(15,2)")
+def _facts(l: DataFrame, o: DataFrame, customers: DataFrame | None = None, products: DataFrame | None = None, branches: DataFrame | None = None) -> DataFrame:
+    """A fact for each line: finished orders succeed, open ones are pending, others failed; heavily taxed lines are foreign.
+
+    Attributes of customers are joined to the orders, which are fewer than lines. What is shuffled
+    are short numbers: a line's amount and flags are made before the joins, the texts of a fact after all.
+    """
+    amount, foreign = F.col("_amount"), F.col("_foreign")
+    made = [F.col("l_extendedprice").cast("decimal(15,2)").alias("_amount"), (F.col("l_tax") > 0.07).alias("_foreign"), (F.col("l_returnflag") == "R").cast("int").alias("_refund")]
+    l = l.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *made)
     status = F.when(F.col("o_orderstatus") == "F", "Success").when(F.col("o_orderstatus") == "O", "Pending").otherwise("Failed")
-    return l.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    named: list[str] = []
+
+    def with_attributes(rows: DataFrame, key: str, dimension: DataFrame | None, sk: str, *attributes: str) -> DataFrame:
+        if dimension is None:
+            return rows
+        named.extend(attributes)
+        return rows.join(dimension.select(F.col(sk).alias("_sk"), *attributes), F.col(key) == F.col("_sk")).drop("_sk")
+
+    o = with_attributes(o, "o_custkey", customers, "customer_sk", "customer_name", "kyc_status")
+    rows = l.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = with_attributes(rows, "l_partkey", products, "product_sk", "product_name", "product_type", "category")
+    rows = with_attributes(rows, "l_suppkey", branches, "branch_sk", "branch_name", "region")
+    return rows.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("transaction_id"), keyed("A", "o_custkey").alias("account_id"), keyed("C", "o_custkey").alias("customer_id"),
         keyed("P", "l_partkey").alias("product_id"), keyed("B", "l_suppkey").alias("branch_id"), F.col("o_custkey").alias("customer_sk"), F.col("l_partkey").alias("product_sk"), F.col("l_suppkey").alias("branch_sk"),
         F.col("o_orderdate").alias("txn_ts"), F.col("o_orderdate").cast("date").alias("txn_date"), amount.alias("amount"), F.when(foreign, "USD").otherwise("INR").alias("currency"),
-        F.when(~foreign, amount).alias("amount_inr"), status.alias("status"), (F.col("l_returnflag") == "R").cast("int").alias("is_refund"), batch("o_orderkey", 20).alias("source_batch_id"),
+        F.when(~foreign, amount).alias("amount_inr"), status.alias("status"), F.col("_refund").alias("is_refund"), batch("o_orderkey", 20).alias("source_batch_id"), *named,
     )
 
 
+def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _facts(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
+
+
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    return Star(*(part(spark, sf_dir) for part in (facts, customers, products, branches)))
+    return Star(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"), *(part(spark, sf_dir) for part in (customers, products, branches)))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
