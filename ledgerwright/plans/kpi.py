@@ -36,7 +36,7 @@ def point_in_time(facts: DataFrame, customers: DataFrame | None = None, products
 
     Facts point to a version of every dimension (a batch that would break this is not published),
     so a metric names only the dimensions whose attributes it uses and the others aren't joined.
-    Partial sums of facts (by_customer, by_product_and_branch) do instead of facts.
+    Partial sums of facts (by_customer, by_product, by_product_and_branch) do instead of facts.
     """
     joined = facts
     if customers is not None:
@@ -47,7 +47,7 @@ def point_in_time(facts: DataFrame, customers: DataFrame | None = None, products
         joined = joined.join(branches.select("branch_sk", "branch_name", "region"), "branch_sk")
     quarter = F.concat(F.year("txn_date").cast("string"), F.lit("-Q"), F.quarter("txn_date").cast("string"))
     net = F.when(F.col("is_refund") == 1, -F.col("amount_inr")).otherwise(F.col("amount_inr"))
-    periods = {"month_start": F.trunc("txn_date", "MM"), "quarter": quarter}
+    periods = {"month_start": F.trunc("txn_date", "MM"), "quarter": quarter} if "txn_date" in facts.columns else {}
     return joined.withColumns(periods if is_partial(facts) else periods | {"net_inr": net})
 
 
@@ -78,6 +78,11 @@ def by_product_and_branch(facts: DataFrame) -> DataFrame:
     return valued(point_in_time(facts)).groupBy("txn_date", "product_id", "product_sk", "branch_id", "branch_sk").agg(*_sums())
 
 
+def by_product(facts: DataFrame) -> DataFrame:
+    """Partial sums by product version: what K3b adds up."""
+    return valued(point_in_time(facts)).groupBy("product_id", "product_sk").agg(*_sums()[:2])
+
+
 def _totals(txn: DataFrame, *keys: str) -> DataFrame:
     if is_partial(txn):
         return txn.groupBy(*keys).agg(F.sum("txn_count").alias("txn_count"), money(F.sum("net_value_inr")).alias("net_value_inr"))
