@@ -348,7 +348,7 @@ def settle_customers(spark, d):
 
 @query
 def settle_products(spark, d):
-    k = F.col("p_partkey")
+    k = F.col("p_partkey").cast("long")
     rows = _file(table(spark, d, "part"), "p_partkey", {
         "product_id": _id("P", k), "product_name": F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("name  "), k.cast("string"))),
         "product_type": F.when(k % 13 == 0, "?").when(k % 2 == 0, "LOAN ").otherwise(" savings  Account"),
@@ -361,7 +361,7 @@ def settle_products(spark, d):
 
 @query
 def settle_branches(spark, d):
-    k = F.col("s_suppkey")
+    k = F.col("s_suppkey").cast("long")
     rows = _file(table(spark, d, "supplier"), "s_suppkey", {
         "branch_id": _id("B", k), "branch_name": F.concat(F.lit(" branch "), k.cast("string")), "location": F.lit("new DELHI-o'neil"), "manager_name": F.when(k % 4 == 0, "").otherwise(F.concat(F.lit("m"), k.cast("string"))),
         "opened_date": F.when(k % 3 == 0, "07-08-2022").otherwise("2022-08-07"), "region": F.when(k % 7 == 3, "centre").otherwise("SOUTH "), "branch_type": F.when(k % 9 == 0, "").otherwise("rural"),
@@ -373,11 +373,12 @@ def settle_branches(spark, d):
 @query
 def settle_transactions(spark, d):
     """Orders as records before all of a year is over: some ids twice, with other values; blank ids, bad codes, times and amounts."""
-    k, day = F.col("o_orderkey"), F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd")
+    k, ordered = F.col("o_orderkey").cast("long"), F.col("o_orderdate").cast("date")
+    day, other_day = F.date_format(ordered, "yyyy-MM-dd"), F.date_format(F.date_sub(ordered, 1), "yyyy-MM-dd")
     rows = _file(table(spark, d, "orders"), "o_orderkey", {
         "transaction_id": _id("T", k), "account_id": F.when(k % 23 == 0, "").otherwise(F.concat(F.lit(" a"), F.col("o_custkey").cast("string"))), "product_id": F.lit("p1"), "branch_id": F.lit("b1"),
-        "date": F.when(k % 4 == 0, "1980-01-01").otherwise(day), "timestamp": F.when(k % 29 == 0, "x").otherwise(F.concat(day, F.lit(" 10:00:00"))),
-        "amount": F.when(k % 44 == 0, "").when(k % 44 == 1, "-5").when(k % 44 == 2, "0").when(k % 44 == 3, "zz").otherwise(F.concat(F.lit("₹ 1,"), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(".5"))),
+        "date": F.when(k % 4 == 0, other_day).otherwise(day), "timestamp": F.when(k % 29 == 0, "x").otherwise(F.concat(day, F.lit(" 10:00:00"))),
+        "amount": F.when(k % 44 == 0, "").when(k % 44 == 1, "-5").when(k % 44 == 2, "0").when(k % 44 == 3, "zz").otherwise(F.concat(F.lit("₹ "), F.format_number(F.lit(1000.5) + k % 1000, 1))),
         "payment_method": F.when(k % 19 == 0, "").otherwise(" upi"), "status": F.when(k % 31 == 0, "?").when(k % 2 == 0, "FAILD").otherwise("Succes "),
         "currency": F.when(k % 37 == 0, "rupee").when(k % 13 == 0, "usd").otherwise("inr"), "remarks": F.when(k % 3 == 0, "[late correction] ").otherwise(F.concat(F.lit("note  "), k.cast("string"), F.lit(" [late correction]"))),
         "is_refund": F.when(k % 41 == 0, "q").when(k % 5 == 0, "").when(k % 2 == 0, "Y").otherwise("0"),

@@ -27,3 +27,24 @@ def test_equal_values_of_other_rows_are_no_exact_duplicates(spark, tmp_path, nam
     df = registry.queries()[name](spark, str(tmp_path))
     want = con.sql(f"SELECT {', '.join(df.columns)} FROM ({registry.oracle_sql()[name]})").fetchall()
     assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str)
+
+
+NEW_YEAR = dt.datetime(1980, 1, 1)
+ODD = {
+    "a day that dates were made of": ("settle_transactions", "orders", "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz", [(k, 5, day) for k, day in ((4, NEW_YEAR), (6, NEW_YEAR), (8, DAY))]),
+    "numbers below 0": ("settle_transactions", "orders", "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz", [(k, 5, DAY) for k in range(-1100, 20)]),
+    "orders by doubles": ("settle_transactions", "orders", "o_orderkey double, o_custkey long, o_orderdate timestamp_ntz", [(float(k), 5, DAY) for k in (4, 10, 11, 50, 20_000_000)]),
+    "parts by doubles": ("settle_products", "part", "p_partkey double", [(float(k),) for k in (4, 10, 11, 50, 20_000_000)]),
+    "suppliers by doubles": ("settle_branches", "supplier", "s_suppkey double", [(float(k),) for k in (4, 10, 11, 50, 20_000_000)]),
+}
+
+
+@pytest.mark.parametrize("odd", ODD)
+def test_records_of_odd_numbers_and_days_settle_as_the_sql_says(spark, tmp_path, odd):
+    name, table, schema, rows = ODD[odd]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{table}.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    df = registry.queries()[name](spark, str(tmp_path))
+    want = con.sql(f"SELECT {', '.join(df.columns)} FROM ({registry.oracle_sql()[name]})").fetchall()
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str)
