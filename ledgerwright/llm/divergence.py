@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,8 +24,8 @@ UNIT = 1_000_000_000
 TOP = 10
 #: Pairs that a Python worker makes at once, and combinations that it holds before it hands them on.
 PAIRS, HELD = 1_000_000, 2_000_000
-#: Terms that it holds at once while it counts, and rows that it hands on at once.
-TERMS, ROWS = 300_000, 50_000
+#: Occurrences of terms that it holds at once while it counts, and rows that it merges or hands on at once; fewer if they have so many bytes.
+TERMS, ROWS, BYTES = 2_000_000, 50_000, 64 << 20
 
 
 def share(n: str, total: str, terms: str) -> Column:
@@ -36,51 +37,146 @@ def divergence(p: str, q: str) -> Column:
     return F.expr(f"({p} - {q}) * ({p} - {q}) DIV ({p} + {q})")
 
 
-def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(id, term, n, docs) of texts (id, text): occurrences and documents of each term, summed over what a task holds at once."""
-    found: dict[int, tuple[Counter, Counter]] = {}
-
-    def rows() -> Iterator[pd.DataFrame]:
-        for i, (n, docs) in found.items():
-            terms = list(n)
-            for k in range(0, len(terms), ROWS):
-                some = terms[k : k + ROWS]
-                yield pd.DataFrame({"id": i, "term": pd.Series([t.decode("utf-8", "surrogatepass") for t in some], dtype=object), "n": [n[t] for t in some], "docs": [docs[t] for t in some]})
-        found.clear()
-
-    for frame in frames:
-        for i, text in zip(frame["id"].tolist(), frame["text"].tolist(), strict=True):
-            terms = text.encode("utf-8", "surrogatepass").translate(AS_TERMS).split()
-            n, docs = found.setdefault(i, (Counter(), Counter()))
-            n.update(terms)
-            docs.update(set(terms))
-        if sum(len(n) for n, _ in found.values()) > TERMS:
-            yield from rows()
-    yield from rows()
+def runs(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal values begins in a sorted array, and its length."""
+    starts = np.flatnonzero(np.r_[np.ones(min(1, len(of)), bool), of[1:] != of[:-1]])
+    return starts, np.diff(np.r_[starts, len(of)])
+
+
+def cells_of(held: list[tuple[np.ndarray, np.ndarray, pa.ListArray]]) -> Iterator[pa.RecordBatch]:
+    """(lang_id, term, docs, ids, counts) of some texts: their languages, their groups and the texts as lists of terms."""
+    langs, groups, texts = zip(*held, strict=True)
+    lang, group = np.concatenate(langs), np.concatenate(groups)
+    lengths = np.concatenate([pc.list_value_length(t).to_numpy() for t in texts])
+    coded = pa.concat_arrays([t.flatten() for t in texts]).dictionary_encode()
+    code, words = coded.indices.to_numpy(), coded.dictionary
+    doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    if (blank := words.index("").as_py()) >= 0:
+        doc, code = doc[code != blank], code[code != blank]
+    if not len(code):
+        return
+    ids, first, at = np.unique(group, return_index=True, return_inverse=True)
+    key = code.astype(np.int64) * len(ids) + at[doc]
+    key.sort()
+    starts, n = runs(key)
+    term, number = key[starts] // len(ids), key[starts] % len(ids)
+    # the same cells in the same order, from each text's distinct terms
+    once = doc.astype(np.int64) * len(words) + code
+    once.sort()
+    once = once[runs(once)[0]]
+    once = once % len(words) * len(ids) + at[once // len(words)]
+    once.sort()
+    _, docs = runs(once)
+    # ids are in order of languages, so the cells of a language's term lie together
+    spoken = lang[first][number]
+    rows = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (spoken[1:] != spoken[:-1])])
+    offsets = pa.array(np.r_[rows, len(term)], pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(values)) for values in (ids[number], n)]
+    yield from pa.table([pa.array(spoken[rows]), words.take(pa.array(term[rows])), pa.array(np.add.reduceat(docs, rows)), *lists], names=["lang_id", "term", "docs", "ids", "counts"]).to_batches(ROWS)
+
+
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang_id, term, docs, ids, counts) of texts (lang_id, id, text): documents of each term and its occurrences by group, over what a task holds at once."""
+    held: list[tuple[np.ndarray, np.ndarray, pa.ListArray]] = []
+    terms = size = 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        text = batch.column("text")
+        _, offsets, data = text.buffers()
+        low = (data.to_pybytes() if data else b"").translate(AS_TERMS)
+        split = pc.split_pattern(pa.Array.from_buffers(text.type, len(text), [None, offsets, pa.py_buffer(low)], offset=text.offset), " ")
+        # more than BYTES only in a batch by itself
+        if held and (terms + len(split.values) > TERMS or size + len(low) > BYTES):
+            yield from cells_of(held)
+            held, terms, size = [], 0, 0
+        held.append((batch.column("lang_id").to_numpy(), batch.column("id").to_numpy(), split))
+        terms += len(split.values)
+        size += len(low)
+    if held:
+        yield from cells_of(held)
+
+
+def merged(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Rows of counted(), equal (lang_id, term) next to each other, as one row for each."""
+    table = pa.Table.from_batches(batches).combine_chunks()
+    lang, term = table["lang_id"].to_numpy(), table["term"].combine_chunks()
+    other = np.r_[True, (lang[1:] != lang[:-1]) | pc.not_equal(term[1:], term[:-1]).to_numpy(zero_copy_only=False)]
+    rows = np.flatnonzero(other)
+    lists = [table[c].combine_chunks() for c in ("ids", "counts")]
+    ids, counts = (x.flatten().to_numpy() for x in lists)
+    row = np.repeat(np.cumsum(other) - 1, pc.list_value_length(lists[0]).to_numpy())
+    key = row * (int(ids.max()) + 1) + ids
+    order = np.argsort(key, kind="stable")
+    starts, _ = runs(key[order])
+    offsets = pa.array(np.searchsorted(row[order][starts], np.arange(len(rows) + 1)), pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(values)) for values in (ids[order][starts], np.add.reduceat(counts[order], starts))]
+    return pa.RecordBatch.from_arrays([pa.array(lang[rows]), term.take(pa.array(rows)), pa.array(np.add.reduceat(table["docs"].to_numpy(), rows)), *lists], names=batches[0].schema.names)
+
+
+def kept_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang_id, term, n, ids, counts) of the terms in enough documents, of rows of counted() that lie together by (lang_id, term)."""
+    held: list[pa.RecordBatch] = []
+    rows = size = 0
+
+    def enough(whole: pa.RecordBatch) -> pa.RecordBatch:
+        some = whole.filter(pc.greater_equal(whole.column("docs"), LEAST_DOCUMENTS))
+        counts = some.column("counts")
+        ends = np.r_[0, np.cumsum(counts.flatten().to_numpy())]
+        upto = np.r_[0, np.cumsum(pc.list_value_length(counts).to_numpy())]
+        return pa.RecordBatch.from_arrays([some.column("lang_id"), some.column("term"), pa.array(np.diff(ends[upto])), some.column("ids"), counts], names=["lang_id", "term", "n", "ids", "counts"])
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        rows += len(batch)
+        size += batch.nbytes
+        if rows > ROWS or size > BYTES:
+            # the last term may go on in the next batch
+            whole = merged(held)
+            yield enough(whole[:-1])
+            held, rows, size = [whole[-1:]], 1, 0
+    if held:
+        yield enough(merged(held))
 
 
 def kept_terms(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang_id, term, n, ids, counts): each language's kept terms, with the ids of the groups that have them and their counts. Durable."""
     small_batches(docs.sparkSession)
-    texts = docs.join(broadcast_if_small(groups), ["lang", "source"]).select("id", "text")
-    counts = texts.mapInPandas(counted, "id long, term string, n long, docs long").groupBy("id", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    numbered = counts.join(broadcast_if_small(groups), "id").select("lang_id", "id", "term", "n", "docs")
-    terms = numbered.groupBy("lang_id", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("id", F.col("n").alias("count")))).alias("x"))
-    return durable(terms.where(F.col("docs") >= LEAST_DOCUMENTS).select("lang_id", "term", "n", F.col("x.id").alias("ids"), F.col("x.count").alias("counts")))
-
-
-def tallied(keys: list[np.ndarray], times: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """The distinct rows of some columns, with the sum of `times` of each."""
-    if not len(times):
-        return keys, times
-    code = np.zeros(len(times), np.int64)
-    for column in keys:
-        _, number = np.unique(column, return_inverse=True)
-        _, code = np.unique(code * (int(number.max()) + 1) + number, return_inverse=True)
-    _, at, group = np.unique(code, return_index=True, return_inverse=True)
-    total = np.zeros(len(at), np.int64)
-    np.add.at(total, group, times)
-    return [column[at] for column in keys], total
+    texts = docs.join(broadcast_if_small(groups), ["lang", "source"]).select("lang_id", "id", "text")
+    cells = "ids array<long>, counts array<long>"
+    counts = texts.mapInArrow(counted, f"lang_id long, term string, docs long, {cells}")
+    together = counts.repartition("lang_id", "term").sortWithinPartitions("term", "lang_id")
+    return durable(together.mapInArrow(kept_of, f"lang_id long, term string, n long, {cells}"))
+
+
+def tallied(keys: list[np.ndarray], times: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of some columns, with the sum of `times` of each, or how often it is there."""
+    if not len(keys[0]):
+        return keys, np.zeros(0, np.int64)
+    code, wide = np.zeros(len(keys[0]), np.int64), 1
+    lows, spans = [int(c.min()) for c in keys], [int(c.max()) - int(c.min()) + 1 for c in keys]
+    for column, low, span in zip(keys, lows, spans, strict=True):
+        if wide * span >= 1 << 62:
+            # too wide for one number: both are numbered anew
+            _, code = np.unique(code, return_inverse=True)
+            _, column = np.unique(column, return_inverse=True)
+            wide, low, span = int(code.max()) + 1, 0, int(column.max()) + 1
+            spans = []
+        code = code * span + (column - low)
+        wide *= span
+    if times is None and spans:
+        code.sort()
+        starts, total = runs(code)
+        rest, out = code[starts], []
+        for low, span in zip(lows[::-1], spans[::-1], strict=True):
+            out.append(rest % span + low)
+            rest = rest // span
+        return out[::-1], total
+    order = np.argsort(code, kind="stable")
+    starts, total = runs(code[order])
+    return [column[order[starts]] for column in keys], total if times is None else np.add.reduceat(times[order], starts)
 
 
 def joint_counts(ids: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
@@ -98,7 +194,7 @@ def joint_counts(ids: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> It
         first = np.repeat(np.arange(start, stop), n)
         second = first + 1 + np.arange(len(first)) - np.repeat(np.cumsum(n) - n, n)
         if len(first):
-            yield tallied([ids[first], ids[second], counts[first], counts[second]], np.ones(len(first), np.int64))
+            yield tallied([ids[first], ids[second], counts[first], counts[second]])
         start = stop
 
 

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from ledgerwright.llm import divergence
 
@@ -89,3 +90,44 @@ def test_joint_counts():
         for row in zip(a.tolist(), b.tolist(), x.tolist(), y.tolist(), times.tolist(), strict=True):
             found[row[:4]] += row[4]
     assert found == {(1, 2, 5, 6): 2, (1, 3, 5, 7): 1, (2, 3, 6, 7): 1}
+
+
+def test_tasks_hand_on_a_row_for_each_term_of_a_language():
+    """Rows shuffled follow a language's terms: sources that share a term share its row, and their counts lie in lists."""
+    texts = [(1, 1, "The the été"), (1, 2, "the x1y"), (2, 3, "the"), (1, 1, "the"), (2, 3, ""), (1, 2, "THE,the")]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*texts, strict=True)], names=["lang_id", "id", "text"])
+    for parts in ([batch], [batch[:0], batch[:2], batch[2:]]):
+        rows = [r for out in divergence.counted(iter(parts)) for r in out.to_pylist()]
+        found = {(r["lang_id"], r["term"]): (r["docs"], r["ids"], r["counts"]) for r in rows}
+        assert len(found) == len(rows)
+        assert found == {(1, "the"): (4, [1, 2], [3, 3]), (1, "été"): (1, [1], [1]), (1, "x"): (1, [2], [1]), (1, "y"): (1, [2], [1]), (2, "the"): (1, [3], [1])}
+
+
+@pytest.mark.parametrize("rows", [1, 3, 50_000])
+def test_rows_of_a_term_add_up_over_batches(monkeypatch, rows):
+    monkeypatch.setattr(divergence, "ROWS", rows)
+    schema = pa.schema({"lang_id": pa.int64(), "term": pa.string(), "docs": pa.int64(), "ids": pa.list_(pa.int64()), "counts": pa.list_(pa.int64())})
+    few = [{"lang_id": 1, "term": t, "docs": 9, "ids": [1], "counts": [9]} for t in ("a", "c")]
+    many = [{"lang_id": 1, "term": "b", "docs": 1, "ids": [1 + k % 2, 7], "counts": [k, 1]} for k in range(12)]
+    other = [{"lang_id": 2, "term": "b", "docs": 10, "ids": [8], "counts": [10]}]
+    table = pa.Table.from_pylist([few[0], *many, *other, few[1]], schema)
+    for size in (1, 4, 100):
+        out = [r for batch in divergence.kept_of(iter(table.to_batches(size))) for r in batch.to_pylist()]
+        assert out == [{"lang_id": 1, "term": "b", "n": 78, "ids": [1, 2, 7], "counts": [30, 36, 12]}, {"lang_id": 2, "term": "b", "n": 10, "ids": [8], "counts": [10]}]
+
+
+@pytest.mark.parametrize("top", [3, 1 << 20, 1 << 40, (1 << 62) - 1])
+def test_tallies_of_any_width(top):
+    """Columns that fit one number together and such that do not."""
+    r = random.Random(top)
+    rows = [tuple(r.choice([0, 1, top - 1, top]) for _ in range(4)) for _ in range(500)]
+    times = [r.randrange(-3, 4) for _ in rows]
+    columns = [np.array(c, np.int64) for c in zip(*rows, strict=True)]
+    for weights, expected in ((None, Counter(rows)), (np.array(times), None)):
+        if expected is None:
+            expected = defaultdict(int)
+            for row, t in zip(rows, times, strict=True):
+                expected[row] += t
+        keys, total = divergence.tallied(columns, weights)
+        got = dict(zip(zip(*(k.tolist() for k in keys), strict=True), total.tolist(), strict=True))
+        assert got == dict(expected) and len(total) == len(got)
